@@ -112,3 +112,69 @@ def test_toxicity_held_out(spark, con):
     pos, neg = t.s[t.y == 1], t.s[t.y == 0]
     auc = sum((neg < p).mean() for p in pos) / len(pos)
     assert auc > 0.7
+
+
+def test_chat(spark, con):
+    from vitrine.llm import chat
+
+    same(chat.op10_chat(spark, SF), con, chat.ORACLE)
+
+
+def test_urls_against_plain_python(spark, con):
+    from collections import Counter
+    from math import log
+
+    from vitrine.llm import urls
+
+    got = {r.page_id: r for r in urls.op9_urls(spark, SF).collect()}
+    rows = con.execute("select page_id, url from pages").fetchall()
+
+    def parts(u):
+        m = re.match(r"(?s).*?://([^/?#]*)([^?#]*)", u or "")
+        return ("", "") if not m else (m[1].lower(), m[2])
+
+    rules = [("com", "/", "allow"), ("example.com", "/en/", "block"), ("www.example.com", "/en/", "allow"), ("net", "/es/", "block"), ("net", "/fr/", "block")]
+
+    def rule(h, p):
+        fit = [(len(a + b), a + b, v) for a, b, v in rules if (h == a or h.endswith("." + a)) and p.startswith(b)]
+        return max(fit)[1:] if fit else (None, None)
+
+    text = {u: parts(u)[0] + u.split("://", 1)[1][len(parts(u)[0]):] for _, u in rows}
+    cls = {text[u]: rule(*parts(u))[1] for _, u in rows}
+    pad = "\x02\x02\x02"
+    n = {c: [Counter() for _ in range(4)] for c in ("allow", "block")}
+    for t, c in cls.items():
+        if c:
+            for i in range(len(t)):
+                g = (pad + t)[i : i + 4]
+                for k in range(4):
+                    n[c][k][g[3 - k :]] += 1
+    ctx = {c: [(Counter(), Counter()) for _ in range(4)] for c in n}
+    for c in n:
+        for k in range(4):
+            for g, x in n[c][k].items():
+                ctx[c][k][0][g[:-1]] += x
+                ctx[c][k][1][g[:-1]] += 1
+
+    def p(c, g):
+        v = 1 / 256
+        for k in range(4):
+            h = g[3 - k :]
+            total, kinds = ctx[c][k][0][h[:-1]], ctx[c][k][1][h[:-1]]
+            if total:
+                v = (n[c][k][h] + kinds * v) / (total + kinds)
+        return v
+
+    norm = {t: sum(round((log(p("allow", g)) - log(p("block", g))) * 1e6) for g in ((pad + t)[i : i + 4] for i in range(len(t)))) / len(t) for t in cls}
+    stat = {}
+    for c in n:
+        x = [norm[t] for t in cls if cls[t] == c]
+        m = sum(x) / len(x)
+        stat[c] = (m, (sum(y * y for y in x) / len(x) - m * m) ** 0.5 + 1)
+    limit = (stat["allow"][0] * stat["block"][1] + stat["block"][0] * stat["allow"][1]) / (stat["allow"][1] + stat["block"][1])
+    for i, u in rows:
+        h, pa = parts(u)
+        name, v = rule(h, pa)
+        assert (got[i].host, got[i].path, got[i].rule) == (h, pa, name)
+        if abs(norm[text[u]] - limit) > 5:
+            assert got[i].verdict == (v or ("allow" if norm[text[u]] >= limit else "block"))

@@ -1,6 +1,6 @@
 """The queries of this subpackage and their SQL, where SQL can express them."""
 
-from . import bpe, media, minhash, mixing, secrets, topk, toxicity
+from . import bpe, chat, media, minhash, mixing, secrets, topk, toxicity, urls
 
 
 def queries():
@@ -12,8 +12,10 @@ def queries():
         "op6_mix": mixing.op6_mix,
         "op7_bpe": bpe.op7_bpe,
         "op8_minhash": minhash.op8_minhash,
+        "op9_urls": urls.op9_urls,
+        "op10_chat": chat.op10_chat,
     }
 
 
 def oracle_sql():
-    return {"op1_topk": topk.ORACLE, "op6_mix": mixing.ORACLE}
+    return {"op1_topk": topk.ORACLE, "op6_mix": mixing.ORACLE, "op10_chat": chat.ORACLE}
