@@ -61,7 +61,17 @@ def materialize(df: DataFrame, label: str) -> DataFrame:
     # what the written plan shuffled is of no more use; Spark drops such files once the driver has collected its garbage
     gc.collect()
     spark.sparkContext._jvm.System.gc()
-    return spark.read.schema(df.schema).parquet(path)
+    out = spark.read.schema(df.schema).parquet(path)
+    out._vitrine_path = path
+    return out
+
+
+def discard(*tables: DataFrame) -> None:
+    """Delete tables that materialize() wrote, once nothing that is still to run reads them."""
+    for df in tables:
+        jvm = df.sparkSession._jvm
+        path = jvm.org.apache.hadoop.fs.Path(df._vitrine_path)
+        path.getFileSystem(df.sparkSession._jsparkSession.sessionState().newHadoopConf()).delete(path, True)
 
 
 def components(edges: DataFrame, *, max_rounds: int = 60) -> DataFrame:
@@ -83,10 +93,11 @@ def components(edges: DataFrame, *, max_rounds: int = 60) -> DataFrame:
         both = edges.union(edges.select("b", "a"))
         least = both.groupBy(F.col("a").alias("node")).agg(F.min(order(F.col("b"))).alias("m"))
         hooks = least.select("node", F.least(F.col("m"), order(F.col("node"))).getField("id").alias("to"))
-        hooks = materialize(hooks, "hooks")
+        hooks, old = materialize(hooks, "hooks"), (edges, labels)
         ha, hb = hooks.select(F.col("node").alias("a"), F.col("to").alias("ta")), hooks.select(F.col("node").alias("b"), F.col("to").alias("tb"))
         moved = edges.join(ha, "a").join(hb, "b").where("ta <> tb").select(F.least("ta", "tb").alias("a"), F.greatest("ta", "tb").alias("b")).distinct()
         edges = materialize(moved, "edges")
         hr = hooks.withColumnRenamed("node", "root")
         labels = materialize(labels.join(hr, "root", "left").select("node", F.coalesce("to", "root").alias("root")), "labels")
+        discard(hooks, *old)
     raise RuntimeError(f"components did not settle in {max_rounds} rounds on {spark.sparkContext.applicationId}")

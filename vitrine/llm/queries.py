@@ -1,6 +1,6 @@
 """The queries of this subpackage and their SQL, where SQL can express them."""
 
-from . import bpe, chat, media, minhash, mixing, secrets, topk, toxicity, urls
+from . import bpe, chat, media, minhash, mixing, secrets, suffix, topk, toxicity, urls
 
 
 def queries():
@@ -9,6 +9,7 @@ def queries():
         "op2_secrets": secrets.op2_secrets,
         "op3_toxicity": toxicity.op3_toxicity,
         "op4_mpegts": media.op4_mpegts,
+        "op5_suffix": suffix.op5_suffix,
         "op6_mix": mixing.op6_mix,
         "op7_bpe": bpe.op7_bpe,
         "op8_minhash": minhash.op8_minhash,

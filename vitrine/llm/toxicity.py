@@ -2,7 +2,8 @@
 
 P(grade <= j | x) = sigmoid(c_j - w.x): one weight vector shared by all thresholds c_0 < c_1 < ..., so the
 grades are ordered by construction; the expected severity is sum over j of P(grade > j). Features are
-the words of a bounded vocabulary, log(1 + count) scaled to unit length.
+the words of a bounded vocabulary, those whose presence differs between grade 0 and the others beyond
+chance (MIN_Z); a feature's value is log(1 + occurrences in a thousand words).
 
 Grades: the labels table knows toxic and not. A toxic document is graded 2 (severe) where the share of
 its words that mark toxic documents (by smoothed log odds over the training rows) is above the median of the
@@ -28,7 +29,7 @@ from pyspark.sql import functions as F
 
 from .common import arrow_map, table, text_or_empty
 
-MAX_TRAIN, MAX_WORDS, MIN_DOCS, MAX_TRAIN_CHARS = 4_000, 30_000, 3, 50_000_000
+MAX_TRAIN, MAX_WORDS, MIN_DOCS, MIN_Z, MAX_TRAIN_CHARS = 4_000, 2_000, 3, 5.0, 50_000_000
 TOKEN = re.compile(r"[^\W_]+")
 
 
@@ -48,33 +49,44 @@ class OrdinalModel:
         return self.severity_of(words(text))
 
     def severity_of(self, counts: Counter) -> float:
-        get = self.weights.get
-        dot = norm = 0.0
+        get, per = self.weights.get, 1000.0 / max(1, sum(counts.values()))
+        z = 0.0
         for word, n in counts.items():
             w = get(word)
             if w is not None:
-                x = _LOG1P[n] if n < 64 else float(np.log1p(n))
-                dot += w * x
-                norm += x * x
-        z = dot / (norm**0.5) if norm else 0.0
+                z += w * math.log1p(n * per)
         return sum(1.0 / (1.0 + math.exp(max(-30.0, min(30.0, c - z)))) for c in self.thresholds)
 
 
-_LOG1P = np.log1p(np.arange(64)).tolist()
+def telling_words(counts: list[Counter], grades: np.ndarray) -> list[str]:
+    """The words whose share of documents differs most between grade 0 and the others, by z score, at most MAX_WORDS."""
+    n1 = int((grades > 0).sum())
+    n0 = len(grades) - n1
+    if not n0 or not n1:
+        return []
+    df = [Counter(), Counter()]
+    for c, g in zip(counts, grades, strict=True):
+        df[int(g > 0)].update(c.keys())
+    z = {}
+    for w in df[0].keys() | df[1].keys():
+        a, b = df[1][w], df[0][w]
+        if a + b >= MIN_DOCS:
+            p = (a + b) / (n0 + n1)
+            z[w] = abs(a / n1 - b / n0) / math.sqrt(p * (1 - p) * (1 / n0 + 1 / n1) + 1e-12)
+    return [w for w, x in sorted(z.items(), key=lambda x: (-x[1], x[0])) if x >= MIN_Z][:MAX_WORDS]
 
 
 def fit_ordinal(counts: list[Counter], grades: np.ndarray, *, l2: float = 3e-4, steps: int = 400) -> OrdinalModel:
     """Fit by full-batch Adam on the cumulative-link likelihood. Grades 0..K-1; one grade only: a model that always gives it."""
-    df = Counter(w for c in counts for w in c)
-    vocabulary = [w for w, _ in sorted(((w, n) for w, n in df.items() if n >= MIN_DOCS), key=lambda x: (-x[1], x[0]))[:MAX_WORDS]]
+    vocabulary = telling_words(counts, grades)
     at = {w: i for i, w in enumerate(vocabulary)}
     rows, cols, vals = [], [], []
     for r, c in enumerate(counts):
-        x = [(at[w], np.log1p(n)) for w, n in c.items() if w in at]
-        norm = sum(v * v for _, v in x) ** 0.5 or 1.0
+        per = 1000.0 / max(1, sum(c.values()))
+        x = [(at[w], math.log1p(n * per)) for w, n in c.items() if w in at]
         rows.append(np.full(len(x), r, np.int64))
         cols.append(np.array([i for i, _ in x], np.int64))
-        vals.append(np.array([v for _, v in x], np.float64) / norm)
+        vals.append(np.array([v for _, v in x], np.float64))
     rows, cols, vals = (np.concatenate(a) if a else np.empty(0) for a in (rows, cols, vals))
     n, top = len(counts), int(grades.max()) if len(grades) else 0
     if n == 0 or top == 0:
