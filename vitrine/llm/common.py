@@ -78,26 +78,29 @@ def components(edges: DataFrame, *, max_rounds: int = 60) -> DataFrame:
     """Connected components of edges (a, b: long): rows (node, root), root one node of the component.
 
     Randomised contraction: each round every node hooks to the neighbour (or itself) with the least
-    hash of (node, round), edges are relabelled, self loops and repeats go. Each round shrinks the
-    remaining graph by a constant factor whatever its shape, so rounds grow with the logarithm of its
-    size; edges and labels stay distributed and are cut with tables in the shared folder. Hubs are
+    hash of (node, round), then to what that one hooks to; edges are relabelled, self loops and repeats go. Each
+    round shrinks the remaining graph by a constant factor whatever its shape, so rounds grow with the
+    logarithm of its size. Edges and hooks stay distributed and are cut with tables in the shared folder. Hubs are
     harmless: minima are combined before the shuffle, and joins have one row per node on one side.
     """
     spark = edges.sparkSession
     edges = materialize(edges.where("a <> b").select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct(), "edges")
-    labels = materialize(edges.select(F.col("a").alias("node")).union(edges.select(F.col("b").alias("node"))).distinct().withColumn("root", F.col("node")), "labels")
+    labels = edges.select(F.explode(F.array("a", "b")).alias("node")).distinct().withColumn("root", F.col("node"))
+    used = [edges]
     for i in range(max_rounds):
         if edges.isEmpty():
+            labels = materialize(labels, "labels")
+            discard(*used)
             return labels
         order = lambda c: F.struct(F.xxhash64(c, F.lit(i)).alias("h"), c.alias("id"))  # noqa: B023, E731
         both = edges.union(edges.select("b", "a"))
         least = both.groupBy(F.col("a").alias("node")).agg(F.min(order(F.col("b"))).alias("m"))
-        hooks = least.select("node", F.least(F.col("m"), order(F.col("node"))).getField("id").alias("to"))
-        hooks, old = materialize(hooks, "hooks"), (edges, labels)
+        once = least.select("node", F.least(F.col("m"), order(F.col("node"))).getField("id").alias("to"))
+        twice = once.join(once.select(F.col("node").alias("to"), F.col("to").alias("next")), "to").select("node", F.col("next").alias("to"))
+        hooks = materialize(twice, "hooks")
         ha, hb = hooks.select(F.col("node").alias("a"), F.col("to").alias("ta")), hooks.select(F.col("node").alias("b"), F.col("to").alias("tb"))
         moved = edges.join(ha, "a").join(hb, "b").where("ta <> tb").select(F.least("ta", "tb").alias("a"), F.greatest("ta", "tb").alias("b")).distinct()
         edges = materialize(moved, "edges")
-        hr = hooks.withColumnRenamed("node", "root")
-        labels = materialize(labels.join(hr, "root", "left").select("node", F.coalesce("to", "root").alias("root")), "labels")
-        discard(hooks, *old)
+        used += [hooks, edges]
+        labels = labels.join(hooks.withColumnRenamed("node", "root"), "root", "left").select("node", F.coalesce("to", "root").alias("root"))
     raise RuntimeError(f"components did not settle in {max_rounds} rounds on {spark.sparkContext.applicationId}")
