@@ -1,9 +1,339 @@
 """Registered queries over the driver tables, and their SQL."""
 
+from __future__ import annotations
+
+from pyspark.sql import functions as F
+
+from ..functions import identity, links, places, text, worktime
+from ..functions.identity import canonical, stable_key
+from ..operators import dedup, diff, enrich, report
+from ..schemas import ORDER_FIELDS, STORE_COLUMNS, TRACKED_FIELDS
+from ..sources import html
+from .views import CANONICAL, KEYED, raw_stores, sql_compare_url, sql_number, sql_text, sql_token, table
+
+DETECTED = "2026-01-02T00:00:00+00:00"
+_QUERIES, _SQL = {}, {}
+
+
+def query(sql: str | None = None):
+    def add(f):
+        _QUERIES[f.__name__] = f
+        if sql:
+            _SQL[f.__name__] = sql
+        return f
+
+    return add
+
+
+def stores(spark, d):
+    return canonical(raw_stores(spark, d), keep=("c_custkey",))
+
+
+def keyed(spark, d):
+    return stable_key(stores(spark, d))
+
+
+@query(f"with {CANONICAL} select c_custkey, {', '.join(STORE_COLUMNS)} from stores")
+def store_normalize(spark, d):
+    return stores(spark, d)
+
+
+@query(f"with {KEYED} select c_custkey, stable_key from keyed")
+def stable_keys(spark, d):
+    return keyed(spark, d).select("c_custkey", "stable_key")
+
+
+@query(f"select doc_id, {sql_text('text')} as cleaned from documents")
+def text_clean(spark, d):
+    return table(spark, d, "documents").select("doc_id", text.optional_text(F.col("text")).alias("cleaned"))
+
+
+@query(f"select doc_id, {sql_token('text')} as token, coalesce(regexp_replace(lower(text), '[^0-9a-zа-я]+', '', 'g'), '') as bare from documents")
+def text_token(spark, d):
+    return table(spark, d, "documents").select("doc_id", text.text_token(F.col("text")).alias("token"), text.bare_token(F.col("text")).alias("bare"))
+
+
+@query(f"""with x as (select c_custkey, case c_custkey % 4 when 0 then ' ' || (c_custkey % 90)::varchar || ',5 ' when 1 then 'abc' when 2 then (c_custkey % 180)::varchar || '.25' else (c_custkey % 9)::varchar || ' шт' end as s from customer)
+select c_custkey, {sql_number('s')} as plain, {sql_number("replace(s, ',', '.')")} as comma, {sql_number("regexp_replace(replace(s, ',', '.'), '[^0-9.-]', '', 'g')")} as loose from x""")
+def coord_parse(spark, d):
+    k = F.col("c_custkey")
+    s = F.when(k % 4 == 0, F.concat(F.lit(" "), k % 90, F.lit(",5 "))).when(k % 4 == 1, "abc").when(k % 4 == 2, F.concat(k % 180, F.lit(".25"))).otherwise(F.concat(k % 9, F.lit(" шт")))
+    x = table(spark, d, "customer").select("c_custkey", s.alias("s"))
+    return x.select("c_custkey", text.to_number(F.col("s")).alias("plain"), text.to_number_comma(F.col("s")).alias("comma"), text.to_number_loose(F.col("s")).alias("loose"))
+
+
+@query("""with x as (select s_suppkey, (case s_suppkey % 6 when 0 then 'Адрес: у ул ' when 1 then 'ул ' when 2 then 'пр кт ' when 3 then 'пер ' when 4 then 'у ' else 'просп ' end) || s_name || ' , ,' || s_suppkey as a from supplier),
+s as (select s_suppkey, trim(regexp_replace(a, '\\s+', ' ', 'g'), ' ,;') as a from x),
+r1 as (select s_suppkey, regexp_replace(a, '(?i)^адрес\\s*[:\\-]?\\s*', '') as a from s),
+r2 as (select s_suppkey, regexp_replace(regexp_replace(a, '(?i)^у\\s+ул\\.?\\s*', 'ул. '), '(?i)^у\\s+', '') as a from r1),
+r3 as (select s_suppkey, regexp_replace(regexp_replace(regexp_replace(regexp_replace(a, '(?i)^ул\\s+', 'ул. '), '(?i)^пер\\s+', 'пер. '), '(?i)^пр[- ]?кт\\s+', 'пр-кт '), '(?i)^просп\\s+', 'просп. ') as a from r2)
+select s_suppkey, trim(regexp_replace(regexp_replace(regexp_replace(a, '\\s+,', ',', 'g'), ',\\s*,+', ', ', 'g'), '\\s{2,}', ' ', 'g'), ' ,;') as address from r3""")
+def address_street_rewrite(spark, d):
+    k = F.col("s_suppkey") % 6
+    lead = F.when(k == 0, "Адрес: у ул ").when(k == 1, "ул ").when(k == 2, "пр кт ").when(k == 3, "пер ").when(k == 4, "у ").otherwise("просп ")
+    return table(spark, d, "supplier").select("s_suppkey", places.page_address(F.concat(lead, F.col("s_name"), F.lit(" , ,"), F.col("s_suppkey"))).alias("address"))
+
+
+@query("""with x as (select event_id, hour(ts)::varchar || case when event_id % 3 = 0 then '.30' when event_id % 3 = 1 then '' else ':15' end as a, ((hour(ts) + 9) % 24)::varchar as b from events),
+n as (select event_id, lpad(split_part(replace(a, '.', ':'), ':', 1), 2, '0') || ':' || case when contains(replace(a, '.', ':'), ':') then split_part(replace(a, '.', ':'), ':', 2) else '00' end || '-' || lpad(b, 2, '0') || ':00' as t from x)
+select event_id, t as cleaned, t as found from n""")
+def worktime_normalize(spark, d):
+    k = F.col("event_id") % 3
+    a = F.concat(F.hour("ts").cast("string"), F.when(k == 0, ".30").when(k == 1, "").otherwise(":15"))
+    s = F.concat(a, F.lit(" — "), ((F.hour("ts") + 9) % 24).cast("string"))
+    return table(spark, d, "events").select("event_id", worktime.clean_work_time(s).alias("cleaned"), worktime.find_work_time(F.concat(F.lit("Открыто "), s, F.lit(" ежедневно"))).alias("found"))
+
+
+@query("""select event_id, case event_id % 4 when 0 then '8-' || (event_id % 12 + 12) when 1 then 'daily' when 2 then 'a-b' else 'пн' end as work_time, case event_id % 3 when 0 then '+7' when 1 then null else '8' end as phone,
+case event_id % 4 when 0 then 'on' when 1 then 'active' when 2 then 'inactive' end as status, event_id % 1000 as number from events""")
+def shop_fields(spark, d):
+    """J4, J5, J8, J14 over JSON of several shapes."""
+    from ..sources import jsonsource as J
+
+    k = F.col("event_id")
+    hours = F.when(k % 4 == 0, F.concat(F.lit('{"week":["8","'), k % 12 + 12, F.lit('"]}'))).when(k % 4 == 1, '{"daily":" daily "}').when(k % 4 == 2, '["a"," b ",""]').otherwise('" пн "')
+    phone = F.when(k % 3 == 0, '"phones":[" ","+7"]').when(k % 3 == 1, '"phone":" ","phones":["9"]').otherwise('"phone":"8 "')
+    state = F.when(k % 4 == 0, '"status":" on "').when(k % 4 == 1, '"isActive":true').when(k % 4 == 2, '"status":"","isActive":false').otherwise('"status":5')
+    ident = F.when(k % 3 == 0, F.concat(F.lit('" '), k % 1000, F.lit(' "'))).when(k % 3 == 1, (k % 1000).cast("string")).otherwise(F.concat(k % 1000, F.lit(".5")))
+    body = F.concat(F.lit('{"workTime":'), hours, F.lit(","), phone, F.lit(","), state, F.lit(',"id":'), ident, F.lit("}"))
+    v = table(spark, d, "events").select("event_id", F.try_parse_json(body).alias("v"))
+    return v.select("event_id", J.work_time(J.field(F.col("v"), "workTime")).alias("work_time"), J.phone(F.col("v")).alias("phone"), J.status(F.col("v")).alias("status"), J.integer(F.col("v"), "id").alias("number"))
+
+
+_HOST = "regexp_extract(url, '^[a-zA-Z][a-zA-Z0-9+.-]*://([^/?#:]*)', 1)"
+
+
+@query(f"select page_id, {sql_compare_url('url')} as compare_url, (contains(url, '#') or regexp_matches(url, '/[0-9]+/?$') or contains(lower(url), 'store=') or contains(lower(url), 'shop=')) as specific, regexp_replace(url, '#.*$', '') as plain from pages")
+def url_keys(spark, d):
+    u = F.col("url")
+    return table(spark, d, "pages").select("page_id", identity.compare_url(u).alias("compare_url"), identity.specific_url(u).alias("specific"), links.without_fragment(u).alias("plain"))
+
+
+@query(f"""with a as (select page_id, url, unnest(regexp_extract_all(html, '<a href="([^"]*)"', 1)) as href from pages),
+r as (select *, case when starts_with(href, 'http') then href else regexp_extract(url, '^(https?://[^/?#]*)', 1) || href end as full_url from a),
+c as (select page_id, case when trim(href) = '' then 'empty' when starts_with(href, '+') then 'starts_with_plus' when starts_with(href, '#') then 'starts_with_hash' when starts_with(lower(href), 'javascript:') then 'javascript_link'
+ when not regexp_matches(full_url, '(?i)^https?://') then 'unsupported_scheme' when lower(regexp_extract(full_url, '^[a-zA-Z]+://([^/?#:]*)', 1)) not in ('example.com', 'www.example.com') then 'foreign_domain' else 'invalid_city_path' end as reason from r)
+select page_id, reason, count(*) as n from c group by all""")
+def href_classify(spark, d):
+    """P2, P3, G5 over the anchors of every page."""
+    a = html.anchors(html.parse_pages(table(spark, d, "pages")), "page_id")
+    return a.select("page_id", F.coalesce(links.href_reject_reason(F.col("href"), F.col("url"), "example.com"), F.lit("accepted")).alias("reason")).groupBy("page_id", "reason").agg(F.count("*").alias("n"))
+
+
+@query("""select page_id, html_n as n_links, h1 from (select page_id, len(regexp_extract_all(html, '<a href="([^"]*)"', 1)) as html_n, trim(replace(replace(replace(replace(replace(regexp_extract(html, '<h1>([^<]*)</h1>', 1), '&lt;', '<'), '&gt;', '>'), '&quot;', '"'), '&#x27;', ''''), '&amp;', '&')) as h1 from pages)""")
+def page_headings(spark, d):
+    p = html.parse_pages(table(spark, d, "pages"))
+    return p.select("page_id", F.size("page.anchors").cast("long").alias("n_links"), F.col("page.h1").alias("h1"))
+
+
+def _copies(df):
+    """Each store, and for two in five a poorer copy that comes earlier."""
+    poor = df.where("c_custkey % 5 < 2").withColumns({"work_time": F.lit(None).cast("string"), "store_format": F.lit(None).cast("string"), "c_custkey": -F.col("c_custkey")})
+    return df.unionByName(poor)
+
+
+_COPIES = f"{KEYED}, copies as (select * from keyed union all by name select -c_custkey as c_custkey, * exclude (c_custkey) replace (null as work_time, null as store_format) from keyed where c_custkey % 5 < 2)"
+_FILLED = " + ".join(f"(coalesce({c}::varchar, '') <> '')::bigint" for c in ORDER_FIELDS)
+_TEXTS = [f"coalesce(case when {c} = 0 then '' else {c}::varchar end, '')" if c in ("latitude", "longitude") else f"coalesce({c}, '')" for c in [*ORDER_FIELDS, "stable_key"]]
+
+
+@query(f"with {KEYED} select c_custkey, {_FILLED} as filled from keyed")
+def completeness(spark, d):
+    return keyed(spark, d).select("c_custkey", dedup.completeness().alias("filled"))
+
+
+@query(f"with {_COPIES} select c_custkey, stable_key, work_time from copies qualify row_number() over (partition by stable_key order by {_FILLED} desc, {', '.join(t + ' desc' for t in _TEXTS)}, collected_at desc, c_custkey desc) = 1")
+def dedup_best(spark, d):
+    return dedup.keep_best(_copies(keyed(spark, d)), F.struct("collected_at", "c_custkey")).select("c_custkey", "stable_key", "work_time")
+
+
+@query(f"with {_COPIES} select stable_key, count(*) - 1 as duplicates, count(distinct coalesce(work_time, '~') || '|' || coalesce(store_format, '~')) > 1 as conflicting from copies group by stable_key having count(*) > 1")
+def dedup_conflicts(spark, d):
+    return dedup.conflicts(_copies(keyed(spark, d)))
+
+
+def _by_place(df):
+    return df.withColumns({"city": F.when(F.col("c_custkey") % 4 > 0, F.col("city")), "address": F.when(F.col("c_custkey") % 4 > 1, F.concat(F.lit("Дом "), F.col("c_custkey") % 9))})
+
+
+_PLACE = f"with {CANONICAL}, p as (select c_custkey, network, case when c_custkey % 4 > 0 then city end as city, case when c_custkey % 4 > 1 then 'Дом ' || c_custkey % 9 end as address, source_url from stores), q as (select *, lower(network) as a, lower(coalesce(city, '')) as b, lower(coalesce(address, '')) as c from p) select c_custkey from q qualify row_number() over (partition by a, b, c{{}} order by c_custkey) = 1"
+
+
+@query(_PLACE.format(""))
+def dedup_first(spark, d):
+    return dedup.keep_first(_by_place(stores(spark, d)), dedup.location_keys(url_fallback=False), [F.col("c_custkey")]).select("c_custkey")
+
+
+@query(_PLACE.format(", case when b = '' and c = '' then lower(source_url) else '' end"))
+def dedup_first_fallback(spark, d):
+    return dedup.keep_first(_by_place(stores(spark, d)), dedup.location_keys(url_fallback=True), [F.col("c_custkey")]).select("c_custkey")
+
+
+@query("select o_custkey, o_orderstatus, o_orderpriority from orders qualify row_number() over (partition by o_custkey order by o_orderdate, o_orderkey) = 1")
+def first_context(spark, d):
+    o = table(spark, d, "orders")
+    return enrich.first_context(o, "o_custkey", ["o_orderdate", "o_orderkey"], ["o_orderstatus", "o_orderpriority"])
+
+
+@query("select n_name as city, n_regionkey as region_id, case when n_nationkey % 3 = 0 then 'own ' || n_nationkey else r_name end as region_name from nation left join region on n_regionkey = r_regionkey and r_regionkey <> 4")
+def region_lookup_join(spark, d):
+    n = table(spark, d, "nation").select(F.col("n_name").alias("city"), F.col("n_regionkey").alias("region_id"), F.when(F.col("n_nationkey") % 3 == 0, F.concat(F.lit("own "), F.col("n_nationkey"))).otherwise(" ").alias("region_name"))
+    r = table(spark, d, "region").where("r_regionkey <> 4").select(F.col("r_regionkey").alias("id"), F.col("r_name").alias("name"))
+    return enrich.fill_region(n, r)
+
+
+@query("""with x as (select c_custkey, case when c_custkey % 3 > 0 then n_name end as c, case when c_custkey % 5 > 1 then 'R' || c_custkey % 2 end as r, case when c_custkey % 7 > 0 then lower(n_name) else 'Else' end as cc, case when c_custkey % 4 > 0 then 'r1' end as cr from customer join nation on c_nationkey = n_nationkey),
+t as (select *, coalesce(lower(c) <> lower(cc), false) as wc, coalesce(lower(r) <> lower(cr), false) as wr from x)
+select c_custkey, case when wc or wr then c else coalesce(c, cc) end as city, case when wc or wr then r else coalesce(r, cr) end as region from t""")
+def context_backfill(spark, d):
+    k = F.col("c_custkey")
+    j = table(spark, d, "customer").join(table(spark, d, "nation"), F.col("c_nationkey") == F.col("n_nationkey"))
+    s = enrich.backfill(F.when(k % 3 > 0, F.col("n_name")), F.when(k % 5 > 1, F.concat(F.lit("R"), k % 2)), F.when(k % 7 > 0, F.lower("n_name")).otherwise("Else"), F.when(k % 4 > 0, "r1"))
+    return j.select("c_custkey", s.alias("s")).select("c_custkey", "s.city", "s.region")
+
+
+@query("""with s as (select doc_id as url, source as city, case when doc_id % 10 = 0 then null else 'ул. ' || doc_id end as address from documents)
+select url, case when l.doc_id is not null then 'parsed' when coalesce(city, address) is not null then 'partial' else 'skipped' end as outcome, case when l.doc_id is not null then 'q' || quality else city end as city, case when l.doc_id is not null then null else address end as address from s left join labels l on l.doc_id = url""")
+def detail_fallback(spark, d):
+    none = F.lit(None).cast("string")
+    s = table(spark, d, "documents").select(F.col("doc_id").alias("url"), F.col("source").alias("city"), none.alias("region"), F.when(F.col("doc_id") % 10 != 0, F.concat(F.lit("ул. "), F.col("doc_id"))).alias("address"), *[none.alias(c) for c in ("work_time", "phone", "store_format")])
+    t = table(spark, d, "labels").select(F.col("doc_id").alias("url"), F.concat(F.lit("q"), F.col("quality")).alias("city"), *[none.alias(c) for c in ("region", "address", "work_time", "phone", "store_format")])
+    return enrich.with_detail(s, t).select("url", "outcome", "city", "address")
+
+
+def _two(spark, d):
+    """The baseline lacks a tenth of the stores, the current snapshot another; work times of a sixth and urls' paths have moved."""
+    x = keyed(spark, d)
+    k = F.col("c_custkey")
+    previous = x.where(k % 10 != 1)
+    current = x.where(k % 10 != 2).withColumns({"work_time": F.when(k % 6 == 0, "24/7").otherwise(F.col("work_time")), "source_url": F.replace(F.col("source_url"), F.lit("/ural/"), F.lit("/"))})
+    return previous, current
+
+
+_FULL = ", ".join(f"{c} := {c}" for c in sorted(STORE_COLUMNS))
+_DIFF = f"""{KEYED},
+best as (select *, {_FILLED} as filled from keyed),
+p as (select * from best where c_custkey % 10 <> 1 qualify row_number() over (partition by stable_key order by filled desc, {', '.join(t + ' desc' for t in _TEXTS)}, collected_at desc) = 1),
+c0 as (select * replace (case when c_custkey % 6 = 0 then '24/7' else work_time end as work_time, replace(source_url, '/ural/', '/') as source_url) from keyed where c_custkey % 10 <> 2),
+c as (select *, {_FILLED} as filled from c0 qualify row_number() over (partition by stable_key order by {_FILLED} desc, {', '.join(t + ' desc' for t in _TEXTS)}, collected_at desc) = 1),
+j as (select coalesce(p.stable_key, c.stable_key) as stable_key, p, c, p.stable_key is null as no_p, c.stable_key is null as no_c from p full join c on p.stable_key = c.stable_key),
+f as (select *, case when not no_p and not no_c then list_filter([{', '.join(f"case when p.{x} is distinct from c.{x} then '{x}' end" if x != 'source_url' else f"case when {sql_compare_url('p.source_url')} is distinct from {sql_compare_url('c.source_url')} then 'source_url' end" for x in TRACKED_FIELDS)}], lambda z: z is not null) end as fields from j),
+changes as (select stable_key, case when no_p then 'added' when no_c then 'removed' else 'changed' end as change_type, case when no_c then p.network else c.network end as network, case when no_c then p.region else c.region end as region, case when no_c then p.city else c.city end as city,
+ case when no_c then p.address else c.address end as address, case when no_c then p.source_url else c.source_url end as source_url, nullif(array_to_string(fields, ','), '') as changed_fields,
+ case when not no_p and not no_c then p.work_time end as old_time, case when not no_p and not no_c then c.work_time end as new_time, '{DETECTED}' as detected_at from f where fields is null or len(fields) > 0)"""
+
+
+def _changes(spark, d):
+    x = diff.diff(*_two(spark, d), DETECTED)
+    was = lambda c: F.when(F.col("change_type") == "changed", F.get_json_object(c, "$.work_time"))
+    return x.select("stable_key", "change_type", "network", "region", "city", "address", "source_url", "changed_fields", was("old_value").alias("old_time"), was("new_value").alias("new_time"), "detected_at")
+
+
+@query(f"with {_DIFF} select * from changes")
+def diff_all(spark, d):
+    return _changes(spark, d)
+
+
+@query(f"with {_DIFF} select * from changes where change_type = 'added'")
+def diff_added(spark, d):
+    return _changes(spark, d).where("change_type = 'added'")
+
+
+@query(f"with {_DIFF} select * from changes where change_type = 'removed'")
+def diff_removed(spark, d):
+    return _changes(spark, d).where("change_type = 'removed'")
+
+
+@query(f"with {_DIFF} select * from changes where change_type = 'changed'")
+def diff_changed(spark, d):
+    return _changes(spark, d).where("change_type = 'changed'")
+
+
+@query(f"with {_DIFF} select * from changes where false")
+def diff_initial(spark, d):
+    none = F.lit(None).cast("string")
+    return diff.diff(*_two(spark, d), DETECTED, initial=True).select("stable_key", "change_type", "network", "region", "city", "address", "source_url", "changed_fields", none.alias("old_time"), none.alias("new_time"), "detected_at")
+
+
+_PAYLOAD = f"""with {_DIFF}, a as (select stable_key, unnest([{', '.join(f"struct_pack(k := '{c}', v := c.{c}::varchar)" for c in STORE_COLUMNS)}]) as e from f where no_p)
+select stable_key, e.k as field, e.v as value from a where e.v is not null"""
+
+
+@query(_PAYLOAD)
+def diff_payload(spark, d):
+    """The payload of added stores, field by field."""
+    x = diff.diff(*_two(spark, d), DETECTED).where("change_type = 'added'")
+    m = x.select("stable_key", F.explode(F.from_json("new_value", "map<string,string>")).alias("field", "value"))
+    return m.where("value is not null")
+
+
+@query(f"with {_DIFF} select change_type, count(*) as n from changes group by 1")
+def change_counts(spark, d):
+    return diff.change_counts(diff.diff(*_two(spark, d), DETECTED))
+
+
+@query(f"with {_DIFF} select stable_key, row_number() over (order by case change_type when 'added' then 0 when 'removed' then 1 else 2 end, coalesce(network, ''), coalesce(city, ''), coalesce(address, ''), stable_key) as place from changes")
+def change_order(spark, d):
+    from pyspark.sql import Window as W
+
+    return diff.diff(*_two(spark, d), DETECTED).select("stable_key", F.row_number().over(W.orderBy(*diff.change_order())).alias("place"))
+
+
+@query(f"with {CANONICAL} select network, count(*) as stores_count from stores group by 1")
+def network_stats(spark, d):
+    return report.network_stats(stores(spark, d))
+
+
+@query(f"with {KEYED} select c_custkey, row_number() over (order by network nulls last, region nulls last, city nulls last, address nulls last, source_url nulls last, {', '.join(_TEXTS)}, c_custkey) as place from keyed")
+def data_sheet_order(spark, d):
+    from pyspark.sql import Window as W
+
+    return keyed(spark, d).select("c_custkey", F.row_number().over(W.orderBy(*report.data_order(), "c_custkey")).alias("place"))
+
+
+@query(f"with {KEYED} select c_custkey, row_number() over (order by {', '.join(_TEXTS)}, c_custkey) as place from keyed")
+def snapshot_order(spark, d):
+    from pyspark.sql import Window as W
+
+    return keyed(spark, d).select("c_custkey", F.row_number().over(W.orderBy(*report.snapshot_order(), "c_custkey")).alias("place"))
+
+
+@query("select 0 as chain, c_custkey as id, c_name as name from customer union all select 1, s_suppkey, s_name from supplier")
+def union_sources(spark, d):
+    a = table(spark, d, "customer").select(F.lit(0).alias("chain"), F.col("c_custkey").alias("id"), F.col("c_name").alias("name"))
+    return a.unionByName(table(spark, d, "supplier").select(F.lit(1).alias("chain"), F.col("s_suppkey").alias("id"), F.col("s_name").alias("name")))
+
+
+@query("select o_custkey, o_orderkey from orders qualify row_number() over (partition by o_custkey order by o_orderkey) <= 20")
+def page_cap(spark, d):
+    return report.cap(table(spark, d, "orders"), [F.col("o_custkey")], [F.col("o_orderkey")], 20).select("o_custkey", "o_orderkey")
+
+
+@query("""with e as (select event_id, user_id, case event_type when 'purchase' then 0 when 'click' then 1 else 2 end as rank from events) select event_id, user_id, rank from e qualify rank = min(rank) over (partition by user_id)""")
+def strategy_select(spark, d):
+    e = table(spark, d, "events")
+    rank = F.when(F.col("event_type") == "purchase", 0).when(F.col("event_type") == "click", 1).otherwise(2)
+    return report.first_strategy(e.select("event_id", "user_id", rank.alias("rank")), "rank", ["user_id"]).select("event_id", "user_id", "rank")
+
+
+@query(f"with {CANONICAL}, " + ", ".join(f"w{i} as (select '{c}' as \"column\", least(greatest(greatest(coalesce(max(length({c}::varchar)), 0), {len(c)}) + 2, 12), 80)::bigint as width from stores)" for i, c in enumerate(STORE_COLUMNS)) + " " + " union all ".join(f"select * from w{i}" for i in range(len(STORE_COLUMNS))))
+def sheet_widths(spark, d):
+    return report.column_widths(stores(spark, d)).select("column", F.col("width").cast("long").alias("width"))
+
+
+@query("""select c_custkey, (case when c_custkey % 3 = 0 then 'Алтайский край' end) as region, n as city, 'ул. ' || c_custkey || ', 1' as address from (select c_custkey, lower(c_mktsegment) as n from customer)""")
+def map_places(spark, d):
+    """Region and city taken off the front of a map address."""
+    x = table(spark, d, "customer").select("c_custkey", F.lower("c_mktsegment").alias("n"))
+    full = F.concat(F.when(F.col("c_custkey") % 3 == 0, "Алтайский край, ").otherwise(""), F.lit("г. "), F.col("n"), F.lit(", ул "), F.col("c_custkey"), F.lit(",, 1;"))
+    y = x.select("c_custkey", places.split_region(full).alias("r"), full.alias("full"))
+    y = y.select("c_custkey", places.clean_region(F.col("r.region")).alias("region"), F.lit(None).cast("string").alias("city"), F.coalesce("r.rest", "full").alias("address"))
+    return places.city_and_address(y)
+
 
 def queries():
-    return {}
+    return dict(_QUERIES)
 
 
 def oracle_sql():
-    return {}
+    return dict(_SQL)
