@@ -119,10 +119,11 @@ def filter_urls(pages: DataFrame, rules: tuple[Rule, ...] = RULES, *, url: str =
     mean = lambda s: F.col(f"s{s}") / F.col(f"n{s}")
     dev = lambda s: F.sqrt(F.greatest(F.lit(0.0), F.col(f"q{s}").cast("double") / F.col(f"n{s}") - mean(s) * mean(s))) + 1.0
     limit = stats.select(F.when((F.col("na") > 0) & (F.col("nb") > 0), (mean("a") * dev("b") + mean("b") * dev("a")) / (dev("a") + dev("b"))).otherwise(F.lit(0.0)).alias("__limit"))
-    keyed = ruled.withColumn("key", F.when(F.concat("host", F.substring(text, F.char_length("host") + 1, F.lit(2147483647))) != "", F.xxhash64(F.concat("host", F.substring(text, F.char_length("host") + 1, F.lit(2147483647))))))
-    judged = keyed.join(each, "key", "left").crossJoin(F.broadcast(limit))
-    verdict = F.coalesce(F.col("__r.verdict"), F.when(F.col("norm") >= F.col("__limit"), "allow").otherwise("block"))
-    return judged.select(*keep, "host", "path", F.col("__r.rule").alias("rule"), verdict.alias("verdict"), (F.col("norm") / SCALE).alias("score"))
+    own = F.concat("host", F.substring(text, F.char_length("host") + 1, F.lit(2147483647)))
+    keyed = ruled.withColumn("__key", F.when(own != "", F.xxhash64(own)))
+    judged = keyed.join(each.withColumnsRenamed({"key": "__key", "norm": "__norm"}), "__key", "left").crossJoin(F.broadcast(limit))
+    verdict = F.coalesce(F.col("__r.verdict"), F.when(F.col("__norm") >= F.col("__limit"), "allow").otherwise("block"))
+    return judged.select(*keep, "host", "path", F.col("__r.rule").alias("rule"), verdict.alias("verdict"), (F.col("__norm") / SCALE).alias("score"))
 
 
 def op9_urls(spark: SparkSession, sf_dir: str) -> DataFrame:
