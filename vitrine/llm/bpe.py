@@ -13,13 +13,15 @@ from __future__ import annotations
 
 import hashlib
 import json
-from collections.abc import Iterable
+from collections.abc import Iterable, Iterator
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
 import regex
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import ArrayType, IntegerType, LongType, StructType
 
 from .common import arrow_map, table, text_or_empty
 
@@ -189,13 +191,23 @@ def _slices(texts: list[str], chars: int = 4_000_000):
 def encode(docs: DataFrame, text: str = "text", *, path: str | None = None) -> DataFrame:
     """docs plus token_ids (array<int>) and n_tokens (long). Null texts are as empty: no ids. Columns of those names are replaced."""
     where = path or default_path()
+    keep = [c for c in docs.columns if c not in ("token_ids", "n_tokens")]
+    base = docs.select(*keep, text_or_empty(text).alias("__text"))
+    schema = StructType(base.schema.fields[:-1]).add("token_ids", ArrayType(IntegerType())).add("n_tokens", LongType())
 
-    def run(s: pd.Series) -> pd.Series:
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         bpe = load(where)
-        return pd.Series([np.frombuffer(x, "<u4").astype(np.int32) for part in _slices(s.tolist()) for x in bpe.encode_batch(part)], dtype=object)
-
-    out = docs.withColumn("token_ids", F.pandas_udf(run, "array<int>")(text_or_empty(text)))
-    return out.withColumn("n_tokens", F.size("token_ids").cast("long"))
+        for batch in batches:
+            at = 0
+            for part in _slices(batch["__text"].to_pylist()):  # a part's ids leave before the next part's are made
+                ids = bpe.encode_batch(part)
+                counts = np.array([len(x) // 4 for x in ids], np.int64)
+                lists = pa.ListArray.from_arrays(pa.array(np.r_[0, np.cumsum(counts)].astype(np.int32)), pa.array(np.frombuffer(b"".join(ids), "<i4")))
+                rows = batch.slice(at, len(part))
+                yield pa.RecordBatch.from_arrays([*[rows[c] for c in keep], lists, pa.array(counts)], names=[*keep, "token_ids", "n_tokens"])
+                at += len(part)
+
+    return base.mapInArrow(run, schema)
 
 
 def decode(docs: DataFrame, ids: str = "token_ids", to: str = "decoded", *, path: str | None = None) -> DataFrame:

@@ -141,14 +141,15 @@ def train(docs: DataFrame, labels: DataFrame, *, max_train: int = MAX_TRAIN) ->
     texts = docs.select("doc_id", "text").where("text is not null")
     got = texts.join(F.broadcast(sample), "doc_id").groupBy("doc_id").agg(F.min("h").alias("h"), F.min("y").alias("y"), F.min("text").alias("text"))
     counted = arrow_map(got, _counts, "doc_id long, h long, y int, chars long, words array<string>, n array<int>")
-    local = sorted(counted.collect(), key=lambda r: (r.h, r.doc_id))  # bounded by max_train
+    local = counted.toArrow().combine_chunks()  # bounded by max_train
+    ids, hashes = local["doc_id"].to_pylist(), local["h"].to_pylist()
     counts, grades, chars = [], [], 0
-    for r in local:
-        chars += r.chars
+    for i in sorted(range(local.num_rows), key=lambda i: (hashes[i], ids[i])):
+        chars += local["chars"][i].as_py()
         if chars > MAX_TRAIN_CHARS:
             break
-        counts.append(Counter(dict(zip(map(sys.intern, r.words), r.n, strict=True))))
-        grades.append(r.y)
+        counts.append(Counter(dict(zip(map(sys.intern, local["words"][i].as_py()), local["n"][i].as_py(), strict=True))))
+        grades.append(local["y"][i].as_py())
     grades = np.array(grades, np.int64)
     if not graded:
         grades = grade_toxic(counts, grades) if len(grades) else grades
