@@ -27,7 +27,7 @@ import pandas as pd
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import arrow_map, table, text_or_empty
+from .common import arrow_map, discard, materialize, table, text_or_empty
 
 MAX_TRAIN, MAX_WORDS, MIN_DOCS, MIN_Z, MAX_TRAIN_CHARS = 4_000, 2_000, 3, 5.0, 50_000_000
 TOKEN = re.compile(r"[^\W_]+")
@@ -140,14 +140,20 @@ def train(docs: DataFrame, labels: DataFrame, *, max_train: int = MAX_TRAIN) ->
     sample = y.withColumn("h", F.xxhash64("doc_id")).orderBy("h", "doc_id").limit(max_train)
     texts = docs.select("doc_id", "text").where("text is not null")
     got = texts.join(F.broadcast(sample), "doc_id").groupBy("doc_id").agg(F.min("h").alias("h"), F.min("y").alias("y"), F.min("text").alias("text"))
-    counted = arrow_map(got, _counts, "doc_id long, h long, y int, chars long, words array<string>, n array<int>")
-    local = counted.toArrow().combine_chunks()  # bounded by max_train
+    got = materialize(got, "training")
+    sizes = got.select("h", "doc_id", F.length("text").alias("chars")).toArrow().to_pandas().sort_values(["h", "doc_id"])  # max_train rows
+    fit = sizes[sizes["chars"].cumsum() <= MAX_TRAIN_CHARS]
+    if len(fit):
+        upto = F.struct(F.lit(int(fit["h"].iloc[-1])).alias("h"), F.lit(int(fit["doc_id"].iloc[-1])).alias("doc_id"))
+        used = got.where(F.struct("h", F.col("doc_id").cast("long").alias("doc_id")) <= upto)
+    else:
+        used = got.limit(0)
+    counted = arrow_map(used, _counts, "doc_id long, h long, y int, words array<string>, n array<int>")
+    local = counted.toArrow().combine_chunks()  # bounded by max_train and MAX_TRAIN_CHARS
+    discard(got)
     ids, hashes = local["doc_id"].to_pylist(), local["h"].to_pylist()
-    counts, grades, chars = [], [], 0
+    counts, grades = [], []
     for i in sorted(range(local.num_rows), key=lambda i: (hashes[i], ids[i])):
-        chars += local["chars"][i].as_py()
-        if chars > MAX_TRAIN_CHARS:
-            break
         counts.append(Counter(dict(zip(map(sys.intern, local["words"][i].as_py()), local["n"][i].as_py(), strict=True))))
         grades.append(local["y"][i].as_py())
     grades = np.array(grades, np.int64)
@@ -160,7 +166,7 @@ def train(docs: DataFrame, labels: DataFrame, *, max_train: int = MAX_TRAIN) ->
 
 def _counts(batch):
     c = [words(t) for t in batch["text"].to_pylist()]
-    return {"doc_id": batch["doc_id"], "h": batch["h"], "y": batch["y"], "chars": [sum(len(w) * n for w, n in x.items()) for x in c], "words": [list(x) for x in c], "n": [list(x.values()) for x in c]}
+    return {"doc_id": batch["doc_id"], "h": batch["h"], "y": batch["y"], "words": [list(x) for x in c], "n": [list(x.values()) for x in c]}
 
 
 def _cut(model: OrdinalModel, counts: list[Counter], grades: np.ndarray) -> float:
