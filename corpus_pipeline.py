@@ -36,7 +36,7 @@ def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 def encode_texts(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """doc_id, source, n_tokens and token_ids of each document."""
-    return bpe.encode(docs.select("doc_id", "source", "text")).select("doc_id", "source", "n_tokens", "token_ids")
+    return bpe.encode(docs, columns=["doc_id", "source"]).select("doc_id", "source", "n_tokens", "token_ids")
 
 
 STAGES = [

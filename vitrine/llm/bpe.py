@@ -16,14 +16,13 @@ import json
 from collections.abc import Iterable, Iterator
 
 import numpy as np
-import pandas as pd
 import pyarrow as pa
 import regex
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import ArrayType, IntegerType, LongType, StructType
 
-from .common import arrow_map, table, text_or_empty
+from .common import arrow_map, give_back, table, text_or_empty
 
 CACHE_WORDS, CACHE_WORD_BYTES, ROUND_SYMBOLS = 200_000, 64, 2_000_000
 
@@ -176,7 +175,7 @@ def default_path() -> str:
     return public_tokenizers.path("byte_bpe_50k.json")
 
 
-def _slices(texts: list[str], chars: int = 4_000_000):
+def _slices(texts: list[str], chars: int = 1_000_000):
     """Consecutive parts of a batch of up to so many characters together, at least one text each."""
     i = 0
     while i < len(texts):
@@ -188,10 +187,14 @@ def _slices(texts: list[str], chars: int = 4_000_000):
         i = j
 
 
-def encode(docs: DataFrame, text: str = "text", *, path: str | None = None) -> DataFrame:
-    """docs plus token_ids (array<int>) and n_tokens (long). Null texts are as empty: no ids. Columns of those names are replaced."""
+def encode(docs: DataFrame, text: str = "text", *, columns: list[str] | None = None, path: str | None = None) -> DataFrame:
+    """docs, or of it the given columns, plus token_ids (array<int>) and n_tokens (long).
+
+    Null texts are as empty: no ids. Columns of those names are replaced. Leaving the text out of `columns` keeps it
+    from being sent to the workers twice and back again.
+    """
     where = path or default_path()
-    keep = [c for c in docs.columns if c not in ("token_ids", "n_tokens")]
+    keep = [c for c in (docs.columns if columns is None else columns) if c not in ("token_ids", "n_tokens")]
     base = docs.select(*keep, text_or_empty(text).alias("__text"))
     schema = StructType(base.schema.fields[:-1]).add("token_ids", ArrayType(IntegerType())).add("n_tokens", LongType())
 
@@ -206,6 +209,7 @@ def encode(docs: DataFrame, text: str = "text", *, path: str | None = None) -> D
                 rows = batch.slice(at, len(part))
                 yield pa.RecordBatch.from_arrays([*[rows[c] for c in keep], lists, pa.array(counts)], names=[*keep, "token_ids", "n_tokens"])
                 at += len(part)
+        give_back()
 
     return base.mapInArrow(run, schema)
 
@@ -214,11 +218,11 @@ def decode(docs: DataFrame, ids: str = "token_ids", to: str = "decoded", *, path
     """docs plus the text of an array of ids; null gives null, ids out of range fail."""
     where = path or default_path()
 
-    def run(s: pd.Series) -> pd.Series:
+    def run(lists: pa.Array) -> pa.Array:
         bpe = load(where)
-        return pd.Series([None if x is None else bpe.decode(np.asarray(x, "<u4").tobytes()) for x in s], dtype=object)
+        return pa.array([None if x is None else bpe.decode(np.asarray(x, "<u4").tobytes()) for x in lists.to_pylist()], pa.string())
 
-    return docs.withColumn(to, F.pandas_udf(run, "string")(F.col(ids)))
+    return docs.withColumn(to, F.arrow_udf(run, "string")(F.col(ids)))
 
 
 def op7_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:

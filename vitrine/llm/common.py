@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import ctypes
 import gc
 import tempfile
 import uuid
@@ -23,6 +24,14 @@ def text_or_empty(column: str = "text") -> Column:
     return F.coalesce(F.col(column).cast("string"), F.lit(""))
 
 
+def give_back() -> None:
+    """Return freed memory of this Python worker to the system: workers live on between tasks of different stages."""
+    pa.default_memory_pool().release_unused()
+    trim = getattr(ctypes.CDLL(None), "malloc_trim", None)  # glibc only
+    if trim is not None:
+        trim(0)
+
+
 def arrow_map(df: DataFrame, fn: Callable[[pa.RecordBatch], dict | None], schema: str) -> DataFrame:
     """mapInArrow with a function from one batch to a dict of output columns (None: no rows).
 
@@ -37,6 +46,7 @@ def arrow_map(df: DataFrame, fn: Callable[[pa.RecordBatch], dict | None], schema
         for batch in batches:
             if batch.num_rows and (out := fn(batch)) is not None:
                 yield pa.RecordBatch.from_arrays([pa.array(out[f.name], f.type) if not isinstance(out[f.name], pa.Array) else out[f.name].cast(f.type) for f in arrow_schema], schema=arrow_schema)
+        give_back()
 
     return df.mapInArrow(run, schema)
 

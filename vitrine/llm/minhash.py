@@ -36,6 +36,7 @@ _rng = np.random.default_rng(8)
 _A = (_rng.integers(0, 1 << 32, HASHES, dtype=np.uint64) | np.uint64(1)).astype(np.uint32)
 _B = _rng.integers(0, 1 << 32, HASHES, dtype=np.uint64).astype(np.uint32)
 _P, _Q, _R = np.uint64(0x9E3779B97F4A7C15), np.uint64(0xC2B2AE3D27D4EB4F), np.uint64(29)
+KNOWN_WORDS = 100_000
 _known: dict[bytes, int] = {}
 
 
@@ -47,7 +48,7 @@ def shingles(text: str, n: int) -> np.ndarray:
     words = text.encode("utf-8", "surrogatepass").lower().split()
     if not words:
         return np.empty(0, np.uint64)
-    if len(_known) > 300_000:
+    if len(_known) > KNOWN_WORDS:
         _known.clear()
     known, h = _known, xxhash.xxh3_64_intdigest
     for w in set(words):

@@ -15,7 +15,7 @@ import hashlib
 import math
 import re
 
-import pandas as pd
+import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -98,12 +98,13 @@ def scan_secrets(docs: DataFrame, text: str = "text", *, prefix: str = "") -> Da
 
     Rows keep their other columns; repeated rows stay repeated; an input column of that name is replaced.
     """
-    find = F.pandas_udf(_scan_series, "array<struct<kind:string,start:int,end:int>>")
+    find = F.arrow_udf(_scan_array, "array<struct<kind:string,start:int,end:int>>")
     return docs.withColumn(f"{prefix}secrets", find(text_or_empty(text)))
 
 
-def _scan_series(s: pd.Series) -> pd.Series:
-    return pd.Series([[{"kind": KINDS[k], "start": a, "end": b} for a, k, b in scan(t)] for t in s], dtype=object)
+def _scan_array(texts: pa.Array) -> pa.Array:
+    kind = pa.list_(pa.struct([("kind", pa.string()), ("start", pa.int32()), ("end", pa.int32())]))
+    return pa.array([[{"kind": KINDS[k], "start": a, "end": b} for a, k, b in scan(t)] for t in texts.to_pylist()], kind)
 
 
 def _digest(batch):
@@ -126,11 +127,11 @@ def op2_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def redact_secrets(docs: DataFrame) -> DataFrame:
     """Documents with the secrets of their texts masked; n_chars, where present, follows the new text. Null texts stay null."""
-    hide = F.pandas_udf(_redact_series, "string")
+    hide = F.arrow_udf(_redact_array, "string")
     text = F.when(F.col("text").isNotNull(), hide(text_or_empty()))
     out = docs.withColumn("text", text)
     return out.withColumn("n_chars", F.when(F.col("n_chars").isNotNull(), F.char_length(F.coalesce("text", F.lit(""))).cast(docs.schema["n_chars"].dataType))) if "n_chars" in docs.columns else out
 
 
-def _redact_series(s: pd.Series) -> pd.Series:
-    return pd.Series([redact(t, scan(t)) for t in s], dtype=object)
+def _redact_array(texts: pa.Array) -> pa.Array:
+    return pa.array([redact(t, scan(t)) for t in texts.to_pylist()], pa.string())

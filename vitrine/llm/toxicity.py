@@ -23,7 +23,7 @@ from collections import Counter
 from dataclasses import dataclass
 
 import numpy as np
-import pandas as pd
+import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -141,10 +141,10 @@ def train(docs: DataFrame, labels: DataFrame, *, max_train: int = MAX_TRAIN) ->
     texts = docs.select("doc_id", "text").where("text is not null")
     got = texts.join(F.broadcast(sample), "doc_id").groupBy("doc_id").agg(F.min("h").alias("h"), F.min("y").alias("y"), F.min("text").alias("text"))
     got = materialize(got, "training")
-    sizes = got.select("h", "doc_id", F.length("text").alias("chars")).toArrow().to_pandas().sort_values(["h", "doc_id"])  # max_train rows
-    fit = sizes[sizes["chars"].cumsum() <= MAX_TRAIN_CHARS]
-    if len(fit):
-        upto = F.struct(F.lit(int(fit["h"].iloc[-1])).alias("h"), F.lit(int(fit["doc_id"].iloc[-1])).alias("doc_id"))
+    sizes = got.select("h", "doc_id", F.length("text").alias("chars")).toArrow().sort_by([("h", "ascending"), ("doc_id", "ascending")])  # max_train rows
+    fit = int((np.cumsum(sizes["chars"].to_numpy()) <= MAX_TRAIN_CHARS).sum())
+    if fit:
+        upto = F.struct(*[F.lit(int(sizes[c][fit - 1].as_py())).alias(c) for c in ("h", "doc_id")])
         used = got.where(F.struct("h", F.col("doc_id").cast("long").alias("doc_id")) <= upto)
     else:
         used = got.limit(0)
@@ -189,10 +189,11 @@ def score(docs: DataFrame, model: OrdinalModel, text: str = "text") -> DataFrame
     sent = model
 
     keep = [c for c in docs.columns if c not in ("expected_severity", "grade", "toxic")]
-    def series(s: pd.Series) -> pd.Series:
-        return s.map(sent.severity)
 
-    out = docs.select(keep).withColumn("expected_severity", F.pandas_udf(series, "double")(text_or_empty(text)))
+    def severities(texts: pa.Array) -> pa.Array:
+        return pa.array([sent.severity(t) for t in texts.to_pylist()], pa.float64())
+
+    out = docs.select(keep).withColumn("expected_severity", F.arrow_udf(severities, "double")(text_or_empty(text)))
     return out.withColumns({"grade": F.round("expected_severity").cast("int"), "toxic": F.col("expected_severity") >= F.lit(sent.cut)})
 
 
