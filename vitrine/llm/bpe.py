@@ -13,6 +13,7 @@ from __future__ import annotations
 
 import hashlib
 import json
+import re
 from collections.abc import Iterable, Iterator
 
 import numpy as np
@@ -38,6 +39,16 @@ def byte_alphabet() -> list[str]:
     return [out[b] for b in range(256)]
 
 
+#: The fixed pattern by which the file's pre-tokenizer cuts words, and what it comes to on ASCII, which `re` scans twice as fast.
+#: The regex module may know a later Unicode than the file's library: characters new since Unicode 16 can be cut in another place.
+WORDS = regex.compile(r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+")
+ASCII_WORDS = re.compile(r"'s|'t|'re|'ve|'m|'ll|'d| ?[A-Za-z]+| ?[0-9]+| ?[^\t-\r A-Za-z0-9]+|[\t-\r ]+(?![^\t-\r ])|[\t-\r ]+")
+
+
+def cut_words(text: str) -> list[str]:
+    return (ASCII_WORDS if text.isascii() else WORDS).findall(text)
+
+
 class ByteBPE:
     """Encoder and decoder for a byte-level BPE file of the tokenizers library."""
 
@@ -60,8 +71,6 @@ class ByteBPE:
         order = np.argsort(keys)
         self.keys, self.ranks = keys[order], order
         self.made = np.array([vocab[a + b] for a, b in pairs], np.int64)
-        # the fixed pattern by which the file's pre-tokenizer cuts words
-        self.words = regex.compile(r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+").findall
         self.split = regex.compile("(" + "|".join(regex.escape(x) for x in sorted(self.special, key=len, reverse=True)) + ")").split if self.special else lambda t: [t]
         self.cache: dict[str, bytes] = {}
 
@@ -83,21 +92,16 @@ class ByteBPE:
         symbols = self.byte_ids[np.frombuffer(b"".join(words), np.uint8)]
         owner = np.repeat(np.arange(len(words)), lengths)
         none = len(self.keys)
+        rank = np.full(len(symbols), none, np.int64)  # of the pair that starts here
+        self._look_up(symbols, owner, rank, np.arange(len(symbols) - 1))
         while len(symbols):
-            rank = np.full(len(symbols), none, np.int64)  # of the pair that starts here
-            if len(symbols) > 1:
-                key = symbols[:-1] << 32 | symbols[1:]
-                at = np.searchsorted(self.keys, key)
-                at[at == none] = 0
-                hit = (self.keys[at] == key) & (owner[:-1] == owner[1:])
-                rank[:-1][hit] = self.ranks[at[hit]]
             starts = np.flatnonzero(np.r_[True, owner[1:] != owner[:-1]])
             low = np.minimum.reduceat(rank, starts)
             counts = np.diff(np.r_[starts, len(symbols)])
             if (over := low == none).any():  # these words are done
-                ids = symbols.astype("<u4")
-                for s, n, w in zip(starts[over].tolist(), counts[over].tolist(), owner[starts[over]].tolist(), strict=True):
-                    out[base + w] = ids[s : s + n].tobytes()
+                ids = symbols.astype("<u4").tobytes()
+                for s, n, w in zip((4 * starts[over]).tolist(), (4 * counts[over]).tolist(), owner[starts[over]].tolist(), strict=True):
+                    out[base + w] = ids[s : s + n]
                 stay = np.repeat(~over, counts)
                 symbols, owner, rank = symbols[stay], owner[stay], rank[stay]
                 low, counts = low[~over], counts[~over]
@@ -112,46 +116,45 @@ class ByteBPE:
             symbols[at] = self.made[rank[at]]
             keep = np.ones(len(symbols), bool)
             keep[at + 1] = False
-            symbols, owner = symbols[keep], owner[keep]
+            symbols, owner, rank = symbols[keep], owner[keep], rank[keep]
+            at -= np.arange(len(at))  # each merge before has taken one symbol away
+            rank[at] = none
+            # only pairs with a merged symbol are new
+            self._look_up(symbols, owner, rank, np.concatenate([at[at + 1 < len(symbols)], at[at > 0] - 1]))
+
+    def _look_up(self, symbols: np.ndarray, owner: np.ndarray, rank: np.ndarray, at: np.ndarray) -> None:
+        """Set the ranks of the pairs that start at these positions, by binary search over the sorted pair keys."""
+        key = symbols[at] << 32 | symbols[at + 1]
+        found = np.searchsorted(self.keys, key)
+        found[found == len(self.keys)] = 0
+        hit = (self.keys[found] == key) & (owner[at] == owner[at + 1])
+        rank[at] = np.where(hit, self.ranks[found], len(self.keys))
 
     def encode_batch(self, texts: Iterable[str]) -> list[bytes]:
         """Ids of each text, as little-endian unsigned 32-bit integers."""
-        cache, found = self.cache, []
-        pending: dict[str, None] = {}
+        found, seen = [], set()
         for t in texts:
             parts = []
             for k, piece in enumerate(self.split(t)):
                 if k % 2:
                     parts.append(piece)  # a special token, which no word equals as a part of odd place
                 elif piece:
-                    w = self.words(piece)
-                    parts.append(w)
-                    pending.update(dict.fromkeys(x for x in set(w) if x not in cache))
+                    parts.append(w := cut_words(piece))
+                    seen.update(w)
             found.append(parts)
-        now: dict[str, bytes] = {}
-        if pending:
-            new = list(pending)
-            ids = self.merge([x.encode("utf-8") for x in new])
-            now = dict(zip(new, ids, strict=True))
-            if len(cache) + len(new) > CACHE_WORDS:
-                known = cache.copy()  # what this batch found in the cache must outlive it
-                cache.clear()
-            else:
-                known = cache
-            small = {w: b for w, b in now.items() if len(b) <= 4 * CACHE_WORD_BYTES}
-            if len(small) <= CACHE_WORDS:
-                cache.update(small)
+        new = list(seen.difference(self.cache))
+        if len(self.cache) + len(new) > CACHE_WORDS:  # start again from the words of this batch
+            self.cache = {w: b for w, b in self.cache.items() if w in seen}
+        known = self.cache
+        known.update(zip(new, self.merge([x.encode("utf-8") for x in new]), strict=True))
+        ids = known.__getitem__
+        out = [b"".join([self.special[p].to_bytes(4, "little") if isinstance(p, str) else b"".join(map(ids, p)) for p in parts]) for parts in found]
+        if len(known) > CACHE_WORDS:
+            self.cache = {}
         else:
-            known = cache
-        out = []
-        for parts in found:
-            row = []
-            for p in parts:
-                if isinstance(p, str):
-                    row.append(self.special[p].to_bytes(4, "little"))
-                else:
-                    row += [known[w] if w in known else now[w] for w in p]
-            out.append(b"".join(row))
+            for w in new:
+                if len(known[w]) > 4 * CACHE_WORD_BYTES:
+                    del known[w]
         return out
 
     def decode(self, ids: bytes) -> str:
