@@ -97,6 +97,30 @@ def test_minhash(spark, con):
     assert got == brute_components(rows, 2)
 
 
+def test_minhash_sql(spark, con):
+    from vitrine.llm import minhash
+
+    same(minhash.op8_minhash(spark, SF), con, minhash.ORACLE)
+
+
+def test_urls_sql(spark, con):
+    from vitrine.llm import urls
+
+    same(urls.op9_urls(spark, SF), con, urls.ORACLE)
+
+
+def test_word_cache_overflow(monkeypatch):
+    """A cache that starts again between batches, with words too long to stay in it, gives the same ids."""
+    from vitrine.llm import bpe
+
+    texts = [f"word{i} don't  é{i}\n" + "xy" * (i % 150) + "<|endoftext|>" for i in range(400)]
+    want = bpe.ByteBPE(bpe.default_path()).encode_batch(texts)
+    monkeypatch.setattr(bpe, "CACHE_WORDS", 100)
+    small = bpe.ByteBPE(bpe.default_path())
+    assert [x for i in range(0, 400, 7) for x in small.encode_batch(texts[i : i + 7])] == want
+    assert len(small.cache) <= 100 and [small.decode(x) for x in want] == texts
+
+
 def test_toxicity_held_out(spark, con):
     """Fit on documents of even id, judge the labels of odd ones: nearly all that use the abusive vocabulary are caught."""
     from pyspark.sql import functions as F

@@ -267,3 +267,15 @@ def keep_one(docs: DataFrame) -> DataFrame:
     """The documents of which one stays for each group of near copies (five-word shingles, 0.8), with their columns."""
     found = near_duplicates(docs).where("kept").select("doc_id").distinct()
     return docs.join(found, "doc_id", "left_semi").select(docs.columns)
+
+
+ORACLE = r"""
+with recursive w as (select doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x20\x09-\x0D]+') as w from documents where doc_id is not null),
+s as (select distinct doc_id, unnest(case len(w) when 0 then [] when 1 then w else list_transform(range(1, len(w)), lambda i: w[i] || ' ' || w[i + 1]) end) as shingle from w),
+n as (select w.doc_id, count(shingle) as n from w left join s using (doc_id) group by 1),
+both_ as (select a.doc_id as a, b.doc_id as b, count(*) as both_ from s a join s b on a.shingle = b.shingle and a.doc_id < b.doc_id group by 1, 2),
+l as (select a, b from both_ join n x on x.doc_id = a join n y on y.doc_id = b where 100 * both_ >= 80 * (x.n + y.n - both_)),
+links as (select a, b from l union select b, a from l),
+reach as (select doc_id, doc_id as other from n union select doc_id, b from reach join links on other = a)
+select doc_id, any_value(n) as n_shingles, min(other) as component_id, doc_id = min(other) as kept from n join reach using (doc_id) group by doc_id
+"""

@@ -19,4 +19,4 @@ def queries():
 
 
 def oracle_sql():
-    return {"op1_topk": topk.ORACLE, "op6_mix": mixing.ORACLE, "op10_chat": chat.ORACLE}
+    return {"op1_topk": topk.ORACLE, "op6_mix": mixing.ORACLE, "op8_minhash": minhash.ORACLE, "op9_urls": urls.ORACLE, "op10_chat": chat.ORACLE}

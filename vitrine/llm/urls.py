@@ -128,3 +128,34 @@ def filter_urls(pages: DataFrame, rules: tuple[Rule, ...] = RULES, *, url: str =
 
 def op9_urls(spark: SparkSession, sf_dir: str) -> DataFrame:
     return filter_urls(table(spark, sf_dir, "pages").select("page_id", "url")).select("page_id", "host", "path", "rule", "verdict")
+
+
+def _oracle() -> str:
+    """The same in SQL, one table for each order of the models."""
+    upper, lower = _LOWER
+    fit = lambda r: f"((host = '{r.host}' or host like '%.{r.host}') and starts_with(path, '{r.path}'))"
+    longest = sorted(RULES, key=lambda r: (-len(r.name), -len(r.host)))
+    pick = lambda what: "case " + " ".join(f"when {fit(r)} then '{getattr(r, what)}'" for r in longest) + " end"
+    levels = []
+    for k in range(ORDER):
+        prior = {x: f"l.p{x}" if k else "1.0::double / 256" for x in "ab"}
+        mixed = ", ".join(f"case when n{x} + t{x} > 0 then (c.{x} + t{x} * {prior[x]}) / (n{x} + t{x})::double else {prior[x]} end as p{x}" for x in "ab")
+        levels.append(f"""c{k} as (select substr(gram, {ORDER - k}, {k + 1}) as g, sum(a)::bigint as a, sum(b)::bigint as b from counted group by 1),
+k{k} as (select left(g, {k}) as ctx, sum(a)::bigint as na, sum(b)::bigint as nb, count(*) filter (a > 0) as ta, count(*) filter (b > 0) as tb from c{k} group by 1),
+s{k} as (select c.g, {mixed} from c{k} c join k{k} on left(c.g, {k}) = ctx{f" join s{k - 1} l on l.g = substr(c.g, 2)" if k else ""})""")
+    return f"""
+with p as (select page_id, translate(regexp_extract(coalesce(url, ''), '(?s)^.*?://([^/?#]*)', 1), '{upper}', '{lower}') as host, regexp_extract(coalesce(url, ''), '(?s)^.*?://[^/?#]*([^?#]*)', 1) as path, regexp_extract(coalesce(url, ''), '(?s)^.*?://(.*)$', 1) as rest from pages),
+r as (select *, host || substr(rest, length(host) + 1) as lm, {pick('name')} as rule, {pick('verdict')} as class from p),
+u as (select distinct lm, class from r where lm <> ''),
+x as (select lm, class, repeat(chr({ord(START)}), {ORDER - 1}) || lm as padded, unnest(range(1, length(lm) + 1)) as i from u),
+grams as (select lm, class, substr(padded, i, {ORDER}) as gram from x),
+counted as (select gram, count(*) filter (class = 'allow') as a, count(*) filter (class = 'block') as b from grams group by 1),
+{', '.join(levels)},
+each as (select lm, round(sum(round((ln(pa) - ln(pb)) * {SCALE})::bigint)::double / count(*))::bigint as norm from grams join s{ORDER - 1} on gram = g group by lm),
+m as (select class, count(*) as n, avg(norm) as mean, sqrt(greatest(0.0, sum(norm::hugeint * norm)::double / count(*) - (sum(norm)::double / count(*)) ** 2)) + 1.0 as dev from each join u using (lm) where class is not null group by 1),
+edge as (select coalesce((a.mean * b.dev + b.mean * a.dev) / (a.dev + b.dev), 0) as threshold from (select 1) left join m a on a.class = 'allow' left join m b on b.class = 'block')
+select page_id, host, path, rule, coalesce(class, case when norm >= threshold then 'allow' else 'block' end) as verdict from r left join each using (lm), edge
+"""
+
+
+ORACLE = _oracle()
