@@ -131,7 +131,8 @@ def grade_toxic(counts: list[Counter], toxic: np.ndarray) -> np.ndarray:
 def train(docs: DataFrame, labels: DataFrame, *, max_train: int = MAX_TRAIN) -> OrdinalModel:
     """Model from documents (doc_id, text) and labels (doc_id, toxic, or grade 0..K-1): the max_train labelled documents of least hash.
 
-    Null labels and texts are left out; a document with several labels takes the largest. The sampled texts together are
+    Null labels and texts are left out; a document with several labels takes the largest. Where no word tells toxic
+    documents from others (always with fewer than MIN_Z ** 2 = 25 of them), no document is called toxic. The sampled texts together are
     taken in hash order up to MAX_TRAIN_CHARS, so what reaches the driver is bounded.
     """
     graded = "grade" in labels.columns
@@ -170,15 +171,23 @@ def _counts(batch):
 
 
 def _cut(model: OrdinalModel, counts: list[Counter], grades: np.ndarray) -> float:
-    """The severity from which training documents are toxic rather than not: the cut with the best F1, midway between neighbours."""
-    if not len(grades) or not (grades > 0).any():
+    """The severity from which training documents are toxic rather than not: the cut with the best F1 between two different severities.
+
+    Documents of one severity (all without a telling word have the same) are on one side of it; it lies midway between
+    neighbours. Infinite, so that nothing is toxic, where no word tells or no cut has a toxic document above it.
+    """
+    if not model.weights or not len(grades):
         return float("inf")
     s = np.array([model.severity_of(c) for c in counts])
     o = np.argsort(-s, kind="stable")
-    hit = np.cumsum(grades[o] > 0)
-    f1 = 2 * hit / (np.arange(1, len(o) + 1) + (grades > 0).sum())
-    k = int(f1.argmax())
-    return float((s[o[k]] + s[o[min(k + 1, len(o) - 1)]]) / 2)
+    s, hit = s[o], np.cumsum(grades[o] > 0)
+    ends = np.flatnonzero(s[:-1] > s[1:])  # the last row of each run of equal severity but the lowest
+    f1 = 2 * hit[ends] / (ends + 1 + hit[-1])
+    if not len(ends) or not f1.max() > 0:
+        return float("inf")
+    k = int(ends[f1.argmax()])
+    middle = (s[k] + s[k + 1]) / 2
+    return float(middle if middle > s[k + 1] else s[k])  # of neighbouring floats the middle is one of them
 
 
 def score(docs: DataFrame, model: OrdinalModel, text: str = "text") -> DataFrame:
