@@ -25,6 +25,7 @@ import numpy as np
 import pyarrow as pa
 import xxhash
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from .common import arrow_map, components, materialize, table, text_or_empty
@@ -127,7 +128,7 @@ def similar(a: np.ndarray, b: np.ndarray, percent: int) -> bool:
 
 def _sketch(n: int):
     def run(batch: pa.RecordBatch) -> dict:
-        out = {k: [] for k in ("n_shingles", "node", "sig", "bands")} | {"doc_id": batch["doc_id"]}
+        out = {k: [] for k in ("n_shingles", "node", "sig", "bands")} | {c: batch[c] for c in ("row", "doc_id")}
         salt = np.arange(BANDS, dtype=np.uint64) * _P
         for t in batch["text"].to_pylist():
             s = shingles(t, n)
@@ -210,10 +211,16 @@ def near_duplicates(docs: DataFrame, *, words: int = 5, percent: int = 80) -> Da
     with nothing and are kept; equal sets link. Rows that repeat a doc_id are returned each by its own
     text. Rows with a null doc_id are left out. Empty input: no rows.
     """
+    return _found(docs, words, percent).select("doc_id", "n_shingles", "component_id", "kept")
+
+
+def _found(docs: DataFrame, words: int, percent: int) -> DataFrame:
+    """The rows of near_duplicates with node (their set; null: no shingles) and root (one node of the component)."""
     docs = docs.select(F.col("doc_id").cast("long").alias("doc_id"), text_or_empty().alias("text")).where("doc_id is not null")
-    sketch = materialize(arrow_map(docs, _sketch(words), "doc_id long, n_shingles long, node long, sig binary, bands array<bigint>"), "sketch")
+    numbered = docs.select(F.monotonically_increasing_id().alias("row"), "doc_id", "text")
+    sketch = materialize(arrow_map(numbered, _sketch(words), "row long, doc_id long, n_shingles long, node long, sig binary, bands array<bigint>"), "sketch")
     filled = sketch.where("node is not null")
-    classes = filled.groupBy("node").agg(F.min("doc_id").alias("rep"), F.min_by("bands", "doc_id").alias("bands"))
+    classes = filled.groupBy("node").agg(F.min_by("bands", "row").alias("bands"))
     banded = classes.select("node", F.explode("bands").alias("band"))
     buckets = banded.groupBy("band").agg(F.min("node").alias("least"), F.count("*").alias("n")).where("n > 1")
     met = banded.join(buckets, "band").where("node <> least").groupBy(F.col("least").alias("a"), F.col("node").alias("b")).agg(F.max("n").alias("n"))
@@ -223,11 +230,21 @@ def near_duplicates(docs: DataFrame, *, words: int = 5, percent: int = 80) -> Da
     likely = arrow_map(pairs.select("a", "b", "sa", "sb"), _prune(percent / 100), "a long, b long")
     clusters = components(met.where("n > 2").select("a", "b").union(likely)).withColumnRenamed("root", "cluster")
     linked = _verify(docs, filled, clusters, words, percent)
-    own = sketch.select("doc_id", "n_shingles", "node")
+    own = sketch.select("row", "doc_id", "n_shingles", "node")
     rooted = own.join(linked, "node", "left").withColumn("root", F.coalesce("root", "node"))
     least = rooted.where("root is not null").groupBy("root").agg(F.min("doc_id").alias("component_id"))
-    out = rooted.join(least, "root", "left").select("doc_id", "n_shingles", F.coalesce("component_id", "doc_id").alias("component_id"))
-    return out.withColumn("kept", F.col("doc_id") == F.col("component_id"))
+    out = rooted.join(least, "root", "left").withColumn("component_id", F.coalesce("component_id", "doc_id"))
+    return out.select("doc_id", "n_shingles", "component_id", (F.col("doc_id") == F.col("component_id")).alias("kept"), "node", "root")
+
+
+def _named(docs: DataFrame, words: int) -> DataFrame:
+    """docs plus __node, the name of its text's set; null: no shingles."""
+
+    def names(texts: pa.Array) -> pa.Array:
+        sets = [shingles(t, words) for t in texts.to_pylist()]
+        return pa.array([set_node(s) if len(s) else None for s in sets], pa.int64())
+
+    return docs.withColumn("__node", F.arrow_udf(names, "long")(text_or_empty()))
 
 
 def _verify(docs: DataFrame, filled: DataFrame, clusters: DataFrame, words: int, percent: int) -> DataFrame:
@@ -264,9 +281,23 @@ def op8_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def keep_one(docs: DataFrame) -> DataFrame:
-    """The documents of which one stays for each group of near copies (five-word shingles, 0.8), with their columns."""
-    found = near_duplicates(docs).where("kept").select("doc_id").distinct()
-    return docs.join(found, "doc_id", "left_semi").select(docs.columns)
+    """The rows of which one stays for each group of near copies (five-word shingles, 0.8), with their columns.
+
+    It is a row of the least doc_id. Where rows of that id are in the group more than once, one of them stays, the
+    first by set and columns. Texts without shingles are in no group: one row stays for each id. Rows with a null
+    doc_id are left out.
+    """
+    found = materialize(_found(docs, 5, 80).select("doc_id", "node", "root", "kept"), "found")
+    again = found.where("doc_id is not null").groupBy("doc_id").count().where("count > 1").select("doc_id")
+    once = docs.join(found.where("kept").join(again, "doc_id", "left_anti").select("doc_id"), "doc_id", "left_semi").select(docs.columns)
+    if again.isEmpty():
+        return once
+    # ids that repeat are decided by id and set
+    unclear = lambda df: df.join(again, "doc_id", "left_semi").select(df.columns)
+    stay = unclear(found.where("kept")).groupBy("doc_id", "root").agg(F.min("node").alias("n")).select(F.col("doc_id").alias("__id"), F.col("n").alias("__n"))
+    rows = _named(unclear(docs), 5).join(stay, F.col("doc_id").eqNullSafe(F.col("__id")) & F.col("__node").eqNullSafe(F.col("__n")))
+    first = W.partitionBy("doc_id", "__node").orderBy(F.to_json(F.struct(*docs.columns)))
+    return once.union(rows.withColumn("__r", F.row_number().over(first)).where("__r = 1").select(docs.columns))
 
 
 ORACLE = r"""
