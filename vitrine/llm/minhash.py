@@ -209,14 +209,15 @@ def near_duplicates(docs: DataFrame, *, words: int = 5, percent: int = 80) -> Da
 
     docs needs doc_id (long) and text; more columns are ignored. Null or blank texts have no shingles, link
     with nothing and are kept; equal sets link. Rows that repeat a doc_id are returned each by its own
-    text. Rows with a null doc_id are left out. Empty input: no rows.
+    text. Rows with a null doc_id link by their text: they are kept where no row of their component has an id (one of
+    them, with a null component_id) or they have no shingles. Empty input: no rows.
     """
     return _found(docs, words, percent).select("doc_id", "n_shingles", "component_id", "kept")
 
 
 def _found(docs: DataFrame, words: int, percent: int) -> DataFrame:
     """The rows of near_duplicates with node (their set; null: no shingles) and root (one node of the component)."""
-    docs = docs.select(F.col("doc_id").cast("long").alias("doc_id"), text_or_empty().alias("text")).where("doc_id is not null")
+    docs = docs.select(F.col("doc_id").cast("long").alias("doc_id"), text_or_empty().alias("text"))
     numbered = docs.select(F.monotonically_increasing_id().alias("row"), "doc_id", "text")
     sketch = materialize(arrow_map(numbered, _sketch(words), "row long, doc_id long, n_shingles long, node long, sig binary, bands array<bigint>"), "sketch")
     filled = sketch.where("node is not null")
@@ -232,9 +233,11 @@ def _found(docs: DataFrame, words: int, percent: int) -> DataFrame:
     linked = _verify(docs, filled, clusters, words, percent)
     own = sketch.select("row", "doc_id", "n_shingles", "node")
     rooted = own.join(linked, "node", "left").withColumn("root", F.coalesce("root", "node"))
-    least = rooted.where("root is not null").groupBy("root").agg(F.min("doc_id").alias("component_id"))
+    # without any id in a component its least row stays
+    least = rooted.where("root is not null").groupBy("root").agg(F.min("doc_id").alias("component_id"), F.min(F.when(F.col("doc_id").isNull(), F.col("row"))).alias("head"))
     out = rooted.join(least, "root", "left").withColumn("component_id", F.coalesce("component_id", "doc_id"))
-    return out.select("doc_id", "n_shingles", "component_id", (F.col("doc_id") == F.col("component_id")).alias("kept"), "node", "root")
+    nameless = F.col("component_id").isNull() & (F.col("root").isNull() | (F.col("row") == F.col("head")))
+    return out.select("doc_id", "n_shingles", "component_id", F.coalesce(F.col("doc_id") == F.col("component_id"), nameless, F.lit(False)).alias("kept"), "node", "root")
 
 
 def _named(docs: DataFrame, words: int) -> DataFrame:
@@ -256,7 +259,11 @@ def _verify(docs: DataFrame, filled: DataFrame, clusters: DataFrame, words: int,
     placed = member.join(totals, "cluster").withColumn("block", F.pmod(F.xxhash64("node", F.lit(9)), F.col("blocks")).cast("int"))
     # block i meets block j >= i in task (i, j); the documents of a block go to every task that it is part of
     tasks = F.transform(F.sequence(F.lit(0), F.col("blocks") - 1), lambda x: F.struct(F.least(x, F.col("block")).alias("i"), F.greatest(x, F.col("block")).alias("j")))
-    sent = placed.join(docs, "doc_id").withColumn("p", F.explode(tasks)).select("cluster", "p.i", "p.j", "block", "node", "sig", "text")
+    # sets of rows without an id only are found by their own name
+    nameless = _named(docs.where("doc_id is null"), words).where("__node is not null").groupBy(F.col("__node").alias("node")).agg(F.min("text").alias("text"))
+    columns = ("cluster", "blocks", "block", "node", "sig", "text")
+    texts = placed.join(docs, "doc_id").select(*columns).union(placed.where("doc_id is null").join(nameless, "node").select(*columns))
+    sent = texts.withColumn("p", F.explode(tasks)).select("cluster", "p.i", "p.j", "block", "node", "sig", "text")
 
     def link(keys: tuple, t: pa.Table) -> pa.Table:
         names, sets, at, seen = t["node"].to_pylist(), [], [], set()
@@ -283,21 +290,23 @@ def op8_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:
 def keep_one(docs: DataFrame) -> DataFrame:
     """The rows of which one stays for each group of near copies (five-word shingles, 0.8), with their columns.
 
-    It is a row of the least doc_id. Where rows of that id are in the group more than once, one of them stays, the
-    first by set and columns. Texts without shingles are in no group: one row stays for each id. Rows with a null
-    doc_id are left out.
+    It is a row of the least doc_id (nulls last). Where rows of that id or without an id are in the group more than once,
+    one of them stays, the first by set and columns. Texts without shingles are in no group: one row stays for
+    each id, and all rows without an id.
     """
     found = materialize(_found(docs, 5, 80).select("doc_id", "node", "root", "kept"), "found")
     again = found.where("doc_id is not null").groupBy("doc_id").count().where("count > 1").select("doc_id")
     once = docs.join(found.where("kept").join(again, "doc_id", "left_anti").select("doc_id"), "doc_id", "left_semi").select(docs.columns)
-    if again.isEmpty():
+    if again.isEmpty() and found.where("doc_id is null").isEmpty():
         return once
-    # ids that repeat are decided by id and set
-    unclear = lambda df: df.join(again, "doc_id", "left_semi").select(df.columns)
+    # ids that repeat, and rows without one, are decided by id and set
+    unclear = lambda df: df.join(again, "doc_id", "left_semi").select(df.columns).union(df.where("doc_id is null"))
     stay = unclear(found.where("kept")).groupBy("doc_id", "root").agg(F.min("node").alias("n")).select(F.col("doc_id").alias("__id"), F.col("n").alias("__n"))
-    rows = _named(unclear(docs), 5).join(stay, F.col("doc_id").eqNullSafe(F.col("__id")) & F.col("__node").eqNullSafe(F.col("__n")))
+    rows = _named(unclear(docs), 5)
+    blank = rows.where("doc_id is null and __node is null").select(docs.columns)
+    rows = rows.where("doc_id is not null or __node is not null").join(stay, F.col("doc_id").eqNullSafe(F.col("__id")) & F.col("__node").eqNullSafe(F.col("__n")))
     first = W.partitionBy("doc_id", "__node").orderBy(F.to_json(F.struct(*docs.columns)))
-    return once.union(rows.withColumn("__r", F.row_number().over(first)).where("__r = 1").select(docs.columns))
+    return once.union(rows.withColumn("__r", F.row_number().over(first)).where("__r = 1").select(docs.columns)).union(blank)
 
 
 ORACLE = r"""
