@@ -40,3 +40,14 @@ def test_cut_without_two_severities():
     for counts, grades in (([Counter(other=1)] * 4, [1, 0, 0, 1]), ([Counter(bad=1)] * 3, [1, 1, 1]), ([Counter(bad=1), Counter(other=1)], [0, 1]), ([], [])):
         assert toxicity._cut(model, counts, np.array(grades, int)) == float("inf")
     assert toxicity._cut(OrdinalModel({}, [2.0], 0.5), [Counter(bad=1)] * 3, np.array([1, 0, 0])) == float("inf")
+
+
+def test_long_texts_leave_the_rest_of_the_sample(spark, monkeypatch):
+    """Texts that would fill the training sample alone are passed over; the others are learned from."""
+    monkeypatch.setattr(toxicity, "MAX_TRAIN_CHARS", 20_000)
+    monkeypatch.setattr(toxicity, "MAX_TEXT_CHARS", 10_000, raising=False)
+    rows = [(i, f"word{i} " + ("bad" if i % 2 else "good")) for i in range(60)] + [(100 + i, "long " * 6_000) for i in range(30)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    labels = spark.createDataFrame([(i, int(i < 60 and i % 2)) for i, _ in rows], "doc_id long, toxic int")
+    model = toxicity.train(docs, labels, max_train=60)
+    assert {r.doc_id for r in toxicity.score(docs, model).where("toxic").collect()} == set(range(1, 60, 2))

@@ -30,6 +30,7 @@ from pyspark.sql import functions as F
 from .common import arrow_map, discard, materialize, table, text_or_empty
 
 MAX_TRAIN, MAX_WORDS, MIN_DOCS, MIN_Z, MAX_TRAIN_CHARS = 4_000, 2_000, 3, 5.0, 50_000_000
+MAX_TEXT_CHARS = 1_000_000
 TOKEN = re.compile(r"[^\W_]+")
 
 
@@ -132,14 +133,16 @@ def train(docs: DataFrame, labels: DataFrame, *, max_train: int = MAX_TRAIN) ->
     """Model from documents (doc_id, text) and labels (doc_id, toxic, or grade 0..K-1): the max_train labelled documents of least hash.
 
     Null labels and texts are left out; a document with several labels takes the largest. Where no word tells toxic
-    documents from others (always with fewer than MIN_Z ** 2 = 25 of them), no document is called toxic. The sampled texts together are
+    documents from others (always with fewer than MIN_Z ** 2 = 25 of them), no document is called toxic. Documents with a text of over
+    MAX_TEXT_CHARS are left out too, and the next in hash order take their place. The sampled texts together are
     taken in hash order up to MAX_TRAIN_CHARS, so what reaches the driver is bounded.
     """
     graded = "grade" in labels.columns
     target = "grade" if graded else "toxic"
     y = labels.where(F.col(target).isNotNull() & F.col("doc_id").isNotNull()).groupBy("doc_id").agg(F.max(F.col(target).cast("int")).alias("y"))
-    sample = y.withColumn("h", F.xxhash64("doc_id")).orderBy("h", "doc_id").limit(max_train)
     texts = docs.select("doc_id", "text").where("text is not null")
+    y = y.join(texts.where(F.length("text") > MAX_TEXT_CHARS).select("doc_id"), "doc_id", "left_anti")
+    sample = y.withColumn("h", F.xxhash64("doc_id")).orderBy("h", "doc_id").limit(max_train)
     got = texts.join(F.broadcast(sample), "doc_id").groupBy("doc_id").agg(F.min("h").alias("h"), F.min("y").alias("y"), F.min("text").alias("text"))
     got = materialize(got, "training")
     sizes = got.select("h", "doc_id", F.length("text").alias("chars")).toArrow().sort_by([("h", "ascending"), ("doc_id", "ascending")])  # max_train rows
