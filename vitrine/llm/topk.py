@@ -25,9 +25,13 @@ MASKS = [np.array([m for m in range(256) if m.bit_count() == s], dtype=np.uint8)
 
 
 def sign_code(embedding: Column) -> Column:
-    """64-bit code of a vector: bit i is set where component i is above 0 (null or NaN: not set). Null vector: null."""
-    bits = F.transform(F.slice(embedding, 1, 64), lambda x, i: F.when((x > 0) & ~F.isnan(x), F.call_function("shiftleft", F.lit(1).cast("bigint"), i)).otherwise(F.lit(0).cast("bigint")))
-    return F.aggregate(bits, F.lit(0).cast("bigint"), lambda a, b: a.bitwiseOR(b))
+    """64-bit code of a vector: bit i is set where component i is above 0 (null or NaN: not set). Null vector: null.
+
+    A vector of more than 64 components fails the query: a code of its first 64 would rank by a part of it.
+    """
+    bits = F.transform(embedding, lambda x, i: F.when((x > 0) & ~F.isnan(x), F.call_function("shiftleft", F.lit(1).cast("bigint"), i)).otherwise(F.lit(0).cast("bigint")))
+    code = F.aggregate(bits, F.lit(0).cast("bigint"), lambda a, b: a.bitwiseOR(b))
+    return F.when(F.size(embedding) > 64, F.raise_error(F.lit("a 64-bit sign code does not hold a vector of more than 64 components")).cast("bigint")).otherwise(code)
 
 
 class MultiIndex:
