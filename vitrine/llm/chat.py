@@ -166,10 +166,10 @@ def loss_text(formatted: Column, spans: Column) -> Column:
 def conversation_records(rows: DataFrame) -> DataFrame:
     """(conv_id, record): the rows of a conversation in order of turn, role and text (nulls first), as a JSON record of turns.
 
-    Null texts and roles are empty; rows with a null conv_id are left out; repeated rows are turns of their own.
+    Null texts and roles are empty; rows with a null conv_id are one conversation; repeated rows are turns of their own.
     """
     row = F.struct(F.col("turn"), F.coalesce("role", F.lit("")).alias("role"), F.coalesce("text", F.lit("")).alias("text"))
-    by = rows.where("conv_id is not null").groupBy("conv_id").agg(F.collect_list(row).alias("x"))
+    by = rows.groupBy("conv_id").agg(F.collect_list(row).alias("x"))
     ordered = F.array_sort(F.transform("x", lambda m: F.struct(m["turn"].isNotNull().alias("k"), F.coalesce(m["turn"], F.lit(0)).alias("turn"), m["role"].alias("role"), m["text"].alias("text"))))
     turns = F.transform(ordered, lambda m: F.struct(m["role"].alias("role"), m["text"].alias("text")))
     return by.select(F.col("conv_id").cast("long").alias("conv_id"), F.to_json(F.struct(turns.alias("turns"))).alias("record"))
