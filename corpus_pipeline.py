@@ -47,7 +47,8 @@ STAGES = [
     ("bpe", encode_texts),
 ]
 
-#: SQL can express neither the classifier nor the tokenizer; tests hold the stages against brute-force versions.
+#: SQL can express neither the classifier nor the tokenizer; tests/llm/test_stages.py holds what toxicity, near_dedup and mixing keep
+#: against versions of its own, test_oracles.py the encoder against another library; secrets has no independent version of the whole stage.
 ORACLE_SQL = None
 
 
