@@ -52,9 +52,11 @@ def arrow_map(df: DataFrame, fn: Callable[[pa.RecordBatch], dict | None], schema
 
 
 def shared_dir(spark: SparkSession) -> str:
-    """The folder that all executors share: spark.checkpoint.dir; one of our own only where that is unset (tests)."""
+    """The folder that all executors share: spark.checkpoint.dir; one of our own only in local mode (tests), where driver and executors are one."""
     configured = spark.conf.get("spark.checkpoint.dir", None)
     if not configured:
+        if not spark.sparkContext.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a folder that driver and executors share")
         configured = "file://" + tempfile.mkdtemp(prefix="vitrine-")
         spark.conf.set("spark.checkpoint.dir", configured)
     return configured.rstrip("/")
@@ -84,8 +86,27 @@ def discard(*tables: DataFrame) -> None:
         path.getFileSystem(df.sparkSession._jsparkSession.sessionState().newHadoopConf()).delete(path, True)
 
 
+#: Keys that hold more than one in so many rows are split in a join: at most so many keys, and twice as many parts.
+HOT_SHARE = 10_000
+
+
+def join_split(left: DataFrame, right: DataFrame, key: str, how: str, *, counts: DataFrame, spread: str) -> DataFrame:
+    """left joined with right on key (one row a key in right), rows of hot keys spread over many tasks.
+
+    counts: (key, n) of left's rows; spread: a column of left whose hash deals a hot key's rows out. A key of more than
+    1 / HOT_SHARE of the rows gets one part for each such share and right's row once for each part. Shares sum to 1, so hot keys are at most
+    HOT_SHARE and their parts at most twice that, whatever the input: their list is broadcast. Null keys match nothing.
+    """
+    total = max(1, counts.agg(F.sum("n")).first()[0] or 0)  # one number
+    hot = counts.where(F.col(key).isNotNull() & (F.col("n") * HOT_SHARE > total)).select(F.col(key), F.ceil(F.col("n") * HOT_SHARE / total).cast("int").alias("__parts"))
+    hot = materialize(hot, "hot")
+    a = left.join(F.broadcast(hot), key, "left").withColumn("__part", F.when(F.col("__parts").isNull(), 0).otherwise(F.pmod(F.xxhash64(spread, F.lit(77)), F.col("__parts")).cast("int"))).drop("__parts")
+    b = right.join(F.broadcast(hot), key, "left").withColumn("__part", F.explode(F.sequence(F.lit(0), F.coalesce("__parts", F.lit(1)) - 1))).drop("__parts")
+    return a.join(b, [key, "__part"], how).drop("__part")
+
+
 def components(edges: DataFrame, *, max_rounds: int = 60) -> DataFrame:
-    """Connected components of edges (a, b: long): rows (node, root), root one node of the component.
+    """Connected components of edges (a, b of any one ordered type): rows (node, root), root one node of the component.
 
     Randomised contraction: each round every node hooks to the neighbour (or itself) with the least
     hash of (node, round), then to what that one hooks to; edges are relabelled, self loops and repeats go. Each
