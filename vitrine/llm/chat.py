@@ -1,8 +1,10 @@
 """Operator 10, chat formatting by schema fingerprints. DataFrame functions only.
 
 A record is one JSON string. Its fingerprint is the hash of its sorted nested field paths (objects, and objects in
-lists, two levels deep); it selects a declared layout, which maps the record to canonical turns (role, text). Layouts are
-declared as data: the paths they answer to, and where role and text come from.
+lists, all elements of a list, two levels deep). Layouts are declared as data: the paths that they need, and where role and text
+come from. A layout fits a record if the fingerprint of the record's paths, restricted to the paths that the layout names, is the
+layout's own, so ids and other metadata beside them don't matter. Messages in a list are fingerprinted one by one: a list
+fits if every message's print is one that the layout knows, so that no text is lost under a name that nothing reads.
 
 The template marks each turn as <s>[role]text</s>. Inside roles and texts the characters that control
 strings need (& < > [ ]) stand as entities, so no text can hold a mark and unescaping gives every
@@ -14,6 +16,7 @@ Scale: one row is one conversation; expressions only, no shuffle in the operator
 from __future__ import annotations
 
 from dataclasses import dataclass
+from itertools import combinations
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -27,62 +30,90 @@ ENTITIES = (("&", "&amp;"), ("<", "&lt;"), (">", "&gt;"), ("[", "&#91;"), ("]",
 
 @dataclass(frozen=True)
 class Layout:
-    """A list of messages (`items` with `role` and `text` inside), or single fields: (role, field) for each turn.
+    """A list of messages (`items`), each with a role and a text under one of the names given, or single fields: (role, field) for each turn.
 
-    `context` names a field whose text, where not empty, follows that of the user after a blank line.
+    Of several names in a message the first that isn't null counts. `context` names a field whose text, where not empty, follows that
+    of the user after a blank line. `lead`: optional (role, field) whose text, where not empty, is a turn before all others.
     """
 
     name: str
     items: str | None = None
-    role: str = "role"
-    text: str = "content"
+    role: tuple[str, ...] = ("role", "from")
+    text: tuple[str, ...] = ("content", "value", "text")
     fields: tuple[tuple[str, str], ...] = ()
     context: str | None = None
+    lead: tuple[str, str] | None = ("system", "system")
 
     @property
     def paths(self) -> list[str]:
-        if self.items:
-            return sorted([f"{self.items}[].{self.role}", f"{self.items}[].{self.text}"])
-        return sorted([f for _, f in self.fields] + ([self.context] if self.context else []))
+        """The paths that a record needs; for a list of messages its own key."""
+        return [self.items] if self.items else sorted([f for _, f in self.fields] + ([self.context] if self.context else []))
 
     @property
-    def schema(self) -> str:
-        if self.items:
-            return f"struct<`{self.items}`:array<struct<`{self.role}`:string,`{self.text}`:string>>>"
-        return "struct<" + ",".join(f"`{f}`:string" for f in self.paths) + ">"
-
-    def turns(self, r: Column) -> Column:
+    def message_prints(self) -> list[str]:
+        """Joined names of the messages that the layout reads: any of the role names with any of the text names."""
+        some = lambda names: [c for n in range(1, len(names) + 1) for c in combinations(names, n)]
+        return ["\n".join(sorted(r + t)) for r in some(self.role) for t in some(self.text)]
+
+    def fits(self, record: Column, keys: Column) -> Column:
+        own = fingerprint(F.array_intersect(keys, F.array(*map(F.lit, self.paths)))) == F.xxhash64(F.lit("\n".join(self.paths)))
+        if not self.items:
+            return own
+        names = F.array(*map(F.lit, (*self.role, *self.text)))
+        known = [F.xxhash64(F.lit(p)) for p in self.message_prints]
+        each = F.transform(elements(record, self.items), lambda m: fingerprint(F.array_intersect(F.array_sort(F.json_object_keys(m)), names)))
+        return own & F.coalesce(F.forall(each, lambda x: F.coalesce(x.isin(*known), F.lit(False))), F.lit(False))
+
+    def turns(self, record: Column) -> Column:
         turn = lambda role, text: F.struct(role.alias("role"), text.alias("text"))
+        lead = [self.lead] if self.lead else []
+        plain = [f for _, f in [*lead, *self.fields]] + ([self.context] if self.context else [])
+        listed = ",".join(f"`{n}`:string" for n in (*self.role, *self.text))
+        schema = "struct<" + ",".join([f"`{f}`:string" for f in plain] + ([f"`{self.items}`:string"] if self.items else [])) + ">"
+        r = F.from_json(record, schema)
+        first = lambda m, names: F.coalesce(*[m[n] for n in names])
         if self.items:
-            return F.transform(r[self.items], lambda m: turn(m[self.role], m[self.text]))
-        own = lambda role, field: r[field] if role != "user" or not self.context else F.when(F.coalesce(r[self.context], F.lit("")) == "", r[field]).otherwise(F.concat(F.coalesce(r[field], F.lit("")), F.lit("\n\n"), r[self.context]))
-        return F.array(*[turn(F.lit(role), own(role, field)) for role, field in self.fields])
+            body = F.transform(F.from_json(r[self.items], f"array<struct<{listed}>>"), lambda m: turn(first(m, self.role), first(m, self.text)))
+        else:
+            own = lambda role, field: r[field] if role != "user" or not self.context else F.when(F.coalesce(r[self.context], F.lit("")) == "", r[field]).otherwise(F.concat(F.coalesce(r[field], F.lit("")), F.lit("\n\n"), r[self.context]))
+            body = F.array(*[turn(F.lit(role), own(role, field)) for role, field in self.fields])
+        for role, field in lead:
+            body = F.when(F.coalesce(r[field], F.lit("")) != "", F.concat(F.array(turn(F.lit(role), r[field])), body)).otherwise(body)
+        return body
 
 
+#: Where several fit, the last counts.
 LAYOUTS = (
-    Layout("messages", "messages"),
-    Layout("turns", "turns", text="text"),
-    Layout("sharing", "conversations", "from", "value"),
+    Layout("question", fields=(("user", "question"), ("assistant", "answer"))),
+    Layout("question_system", fields=(("system", "system_prompt"), ("user", "question"), ("assistant", "response")), lead=None),
     Layout("prompt", fields=(("user", "prompt"), ("assistant", "response"))),
     Layout("completion", fields=(("user", "prompt"), ("assistant", "completion"))),
-    Layout("question", fields=(("user", "question"), ("assistant", "answer"))),
-    Layout("question_system", fields=(("system", "system_prompt"), ("user", "question"), ("assistant", "response"))),
     Layout("instruction", fields=(("user", "instruction"), ("assistant", "output"))),
     Layout("instruction_input", fields=(("user", "instruction"), ("assistant", "output")), context="input"),
+    Layout("sharing", "conversations"),
+    Layout("turns", "turns"),
+    Layout("messages", "messages"),
 )
 #: Other names of roles.
 ROLES = {"human": "user", "gpt": "assistant", "bot": "assistant", "model": "assistant", "prompter": "user"}
 
 
+def elements(record: Column, key: str | Column) -> Column:
+    """The elements of a list as JSON strings; null where the key holds no list."""
+    at = F.lit(f"$['{key}']") if isinstance(key, str) else F.concat(F.lit("$['"), key, F.lit("']"))
+    inner = F.call_function("get_json_object", record, at)
+    return F.when(inner.startswith("["), F.from_json(inner, "array<string>"))
+
+
 def field_paths(record: Column) -> Column:
-    """Sorted nested field paths of a JSON object: `a`, `a.b` for an object, `a[].b` for a list whose first element is an object."""
+    """Sorted nested field paths of a JSON object: `a`, `a.b` for an object, `a[].b` for the objects in a list (all of them), `a[]` for a list without."""
 
     def under(key: Column) -> Column:
-        at = F.concat(F.lit("$['"), key, F.lit("']"))
-        inner = F.call_function("get_json_object", record, at)
-        first = F.call_function("get_json_object", record, F.concat(at, F.lit("[0]")))
+        inner = F.call_function("get_json_object", record, F.concat(F.lit("$['"), key, F.lit("']")))
+        inside = F.array_distinct(F.flatten(F.transform(elements(record, key), lambda m: F.coalesce(F.json_object_keys(m), F.array().cast("array<string>")))))
         deeper = lambda keys, sep: F.transform(keys, lambda k: F.concat(key, F.lit(sep), k))
-        return F.when(inner.startswith("["), F.when(first.startswith("{"), deeper(F.json_object_keys(first), "[].")).otherwise(F.array(F.concat(key, F.lit("[]"))))).when(inner.startswith("{"), deeper(F.json_object_keys(inner), ".")).otherwise(F.array(key))
+        of_list = F.when(F.size(inside) > 0, deeper(inside, "[].")).otherwise(F.array(F.concat(key, F.lit("[]"))))
+        return F.when(inner.startswith("["), of_list).when(inner.startswith("{"), F.coalesce(deeper(F.json_object_keys(inner), "."), F.array(key))).otherwise(F.array(key))
 
     return F.array_sort(F.array_distinct(F.flatten(F.transform(F.json_object_keys(record), under))))
 
@@ -92,21 +123,25 @@ def fingerprint(paths: Column) -> Column:
 
 
 def canonical_turns(records: DataFrame, column: str = "record", layouts: tuple[Layout, ...] = LAYOUTS) -> DataFrame:
-    """records plus fingerprint (long), layout (string) and turns (array of role and text).
+    """records plus fingerprint (long, of all paths), layout (string) and turns (array of role and text).
 
-    Records of unknown fields, null records and what isn't a JSON object get a null layout and null turns. Null
-    texts and roles are empty. A list without messages shows no fields inside: it counts for the layout of
-    its list field, with no turns. Input columns of those names are replaced; other columns stay.
+    Fields that no layout names don't matter. Records that no layout fits get a null layout and null turns: null records, what
+    isn't a JSON object, unknown fields only, and lists with a message whose role or text has an unknown name. Null texts and
+    roles are empty; a text that is itself a list or object counts as its JSON. An empty list gives no turns. Repeated records
+    are records of their own. Input columns of the new names are replaced; other columns stay. Empty input: no rows.
     """
     keep = [c for c in records.columns if c not in ("fingerprint", "layout", "turns")]
-    df = records.select(keep).withColumn("fingerprint", fingerprint(field_paths(F.col(column))))
-    name, turns = F.lit(None).cast("string"), F.lit(None).cast(TURNS)
+    record = F.col(column)
+    keys = F.array_sort(F.json_object_keys(record))
+    df = records.select(keep).withColumn("fingerprint", fingerprint(field_paths(record)))
+    fit = F.lit(None).cast("string")
+    for x in layouts:
+        fit = F.when(x.fits(record, keys), F.lit(x.name)).otherwise(fit)
+    df = df.withColumn("layout", fit)
+    turns = F.lit(None).cast(TURNS)
     for x in layouts:
-        prints = ["\n".join(x.paths), *([f"{x.items}[]"] if x.items else [])]
-        hit = F.col("fingerprint").isin(*[F.xxhash64(F.lit(p)) for p in prints])
-        name = F.when(hit, F.lit(x.name)).otherwise(name)
-        turns = F.when(hit, _canonical(x.turns(F.from_json(F.col(column), x.schema)))).otherwise(turns)
-    return df.withColumns({"layout": name, "turns": turns})
+        turns = F.when(F.col("layout") == x.name, _canonical(x.turns(record))).otherwise(turns)
+    return df.withColumn("turns", turns)
 
 
 def _canonical(raw: Column) -> Column:
@@ -164,21 +199,26 @@ def loss_text(formatted: Column, spans: Column) -> Column:
 
 
 def conversation_records(rows: DataFrame) -> DataFrame:
-    """(conv_id, record): the rows of a conversation in order of turn, role and text (nulls first), as a JSON record of turns.
+    """(conv_id, record): the rows of a conversation in order of turn, role and text (nulls first), as a JSON record.
 
-    Null texts and roles are empty; rows with a null conv_id are one conversation; repeated rows are turns of their own.
+    Null texts and roles are empty; rows with a null conv_id are one conversation; repeated rows are turns of their own. Records
+    come in three layouts, dealt by a hash of the id, two of them with fields beside their messages.
     """
     row = F.struct(F.col("turn"), F.coalesce("role", F.lit("")).alias("role"), F.coalesce("text", F.lit("")).alias("text"))
     by = rows.groupBy("conv_id").agg(F.collect_list(row).alias("x"))
     ordered = F.array_sort(F.transform("x", lambda m: F.struct(m["turn"].isNotNull().alias("k"), F.coalesce(m["turn"], F.lit(0)).alias("turn"), m["role"].alias("role"), m["text"].alias("text"))))
-    turns = F.transform(ordered, lambda m: F.struct(m["role"].alias("role"), m["text"].alias("text")))
-    return by.select(F.col("conv_id").cast("long").alias("conv_id"), F.to_json(F.struct(turns.alias("turns"))).alias("record"))
+    listed = lambda role, text: F.transform(ordered, lambda m: F.struct(m["role"].alias(role), m["text"].alias(text)))
+    ident, kind = F.col("conv_id").cast("long"), F.pmod(F.xxhash64("conv_id"), F.lit(3))
+    record = F.when(kind == 0, F.to_json(F.struct(listed("role", "content").alias("messages"), ident.alias("id"))))
+    record = record.when(kind == 1, F.to_json(F.struct(ident.alias("id"), listed("from", "value").alias("conversations"), F.lit("table").alias("origin"))))
+    return by.select(ident.alias("conv_id"), record.otherwise(F.to_json(F.struct(listed("role", "text").alias("turns")))).alias("record"))
 
 
 PROBE = "</s>[INST] ok [/INST]"
 
 
 def op10_chat(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All conversations and the probe; null texts and roles are empty, null ids one conversation, repeated rows turns of their own, no rows: the probe alone."""
     rows = table(spark, sf_dir, "conversations").select("conv_id", "turn", "role", "text")
     probe = spark.range(1).select(F.lit(-1).cast("long").alias("conv_id"), F.to_json(F.struct(F.lit(PROBE).alias("instruction"), F.lit(PROBE).alias("output"))).alias("record"))
     df = format_turns(canonical_turns(conversation_records(rows).unionByName(probe))).select("conv_id", "formatted", "loss_spans")
