@@ -7,9 +7,10 @@ budget is spent gives every source its target, to within one document.
 
 Scale: no source is ever one group. Cumulative sums are taken in two levels: over (source, slot of the
 hash), then within a slot, so a source with a third of all rows is spread over all its slots. The global
-order is cut by range: words are summed by range of finish time, and only the range that holds the budget's
-end is looked at by row. What meets in one task are one row for each source, for each slot of a source or for each range,
-never documents.
+order is a range sort that stops where the budget ends: words are summed by range of finish time, the range that holds
+the end is cut into as many ranges again, and only the rows of the one of these that holds the end (one in eight million of the
+corpus) are sorted by row; all ranges before it are taken whole. What meets in one task are one row for each source, for
+each slot of a source or for each range.
 """
 
 from __future__ import annotations
@@ -20,7 +21,7 @@ from pyspark.sql import functions as F
 
 from .common import table, text_or_empty
 
-SLOT_DIGITS, RANGES = 3, 4096
+SLOT_DIGITS, RANGES = 4, 4096
 WEIGHTS = (3, 1, 2)
 
 
@@ -48,36 +49,58 @@ def source_targets(sizes: DataFrame, *, share: float = 1.5, epochs: int = 2, wei
 def mix(docs: DataFrame, *, share: float = 1.5, epochs: int = 2, weights: tuple[int, ...] = WEIGHTS, seed: str = "mix") -> DataFrame:
     """docs (doc_id, source, size long, any more) plus source_size, target and taken (words taken, repeats counted).
 
-    Null sizes count 0; documents of size 0 take 0. A null source is a source of its own, last in order.
-    Rows repeated as a whole are rows of their own and queue side by side. Empty input: no rows.
-    Input columns named source_size, target or taken are replaced. The order is a function of doc_id and
-    seed, so reruns agree.
+    Null sizes count 0; documents of size 0 take 0. A null source is a source of its own, last in order; null ids share one place in
+    the order. Rows repeated as a whole are rows of their own and queue side by side. Empty input: no rows.
+    Input columns named source_size, target or taken are replaced, all others stay whatever their names. The order is a
+    function of doc_id and seed, so reruns agree.
     """
-    docs = docs.drop("source_size", "target", "taken").withColumn("size", F.coalesce(F.col("size").cast("long"), F.lit(0).cast("long")))
-    docs = docs.withColumn("__key", F.md5(F.concat(F.lit(f"{seed}:"), F.coalesce(F.col("doc_id").cast("string"), F.lit("null")))))
-    docs = docs.withColumn("__slot", F.substring("__key", 1, SLOT_DIGITS))
-    slots = docs.groupBy("source", "__slot").agg(F.sum("size").alias("size"))
-    before = F.sum("size").over(W.partitionBy("source").orderBy("__slot")) - F.col("size")
-    slots = slots.withColumn("__before", before)
+    size = F.coalesce(F.col("size").cast("long"), F.lit(0).cast("long"))
+    out = _queue(docs.select(F.struct("*").alias("row"), "doc_id", "source", size.alias("size")), share=share, epochs=epochs, weights=weights, seed=seed)
+    keep = [F.col("size") if c == "size" else F.col(f"row.`{c}`").alias(c) for c in docs.columns if c not in ("source_size", "target", "taken")]
+    return out.select(*keep, "source_size", "target", "taken")
+
+
+def _queue(docs: DataFrame, *, share: float = 1.5, epochs: int = 2, weights: tuple[int, ...] = WEIGHTS, seed: str = "mix") -> DataFrame:
+    """docs of exactly (row, doc_id, source, size), row holding what the caller wants back, plus source_size, target and taken."""
+    docs = docs.withColumn("key", F.md5(F.concat(F.lit(f"{seed}:"), F.coalesce(F.col("doc_id").cast("string"), F.lit("null")))))
+    docs = docs.withColumn("slot", F.substring("key", 1, SLOT_DIGITS))
+    slots = docs.groupBy("source", "slot").agg(F.sum("size").alias("size"))
+    slots = slots.withColumn("before", F.sum("size").over(W.partitionBy("source").orderBy("slot")) - F.col("size"))
     targets = source_targets(slots, share=share, epochs=epochs, weights=weights)
-    heads = slots.select(F.col("source").alias("__source"), F.col("__slot").alias("__s"), "__before")
-    heads = heads.join(targets.withColumnRenamed("source", "__t"), F.col("__source").eqNullSafe(F.col("__t"))).drop("__t")
-    within = W.partitionBy("source", "__slot").orderBy("__key", "doc_id", "size").rowsBetween(W.unboundedPreceding, 0)
-    queued = docs.withColumn("__in", F.sum("size").over(within))
-    joined = queued.join(heads, F.col("source").eqNullSafe(F.col("__source")) & (F.col("__slot") == F.col("__s"))).drop("__source", "__s")
-    finish = lambda e: F.when((F.col("size") > 0) & (F.col("target") > 0), (F.col("__before") + F.col("__in") + F.col("source_size") * e) / F.col("target"))
-    timed = joined.withColumns({f"__f{e}": finish(e) for e in range(epochs)})
-    served = timed.select("size", "doc_id", "source_size", F.explode(F.array(*[F.struct(F.col(f"__f{e}").alias("f"), F.lit(e).alias("e")) for e in range(epochs)])).alias("x")).select("size", "doc_id", "x.f", "x.e").where("f is not null")
-    # every finish time up to 1 is within a target and the targets sum to the budget: ranges split (0, epochs * most] evenly below 2, the rest is one
+    heads = slots.select(F.col("source").alias("s"), F.col("slot").alias("at"), "before")
+    heads = heads.join(targets.withColumnRenamed("source", "t"), F.col("s").eqNullSafe(F.col("t"))).drop("t")
+    within = W.partitionBy("source", "slot").orderBy("key", "doc_id", "size").rowsBetween(W.unboundedPreceding, 0)
+    queued = docs.withColumn("inside", F.sum("size").over(within))
+    joined = queued.join(heads, F.col("source").eqNullSafe(F.col("s")) & (F.col("slot") == F.col("at"))).drop("s", "at")
+    finish = lambda e: F.when((F.col("size") > 0) & (F.col("target") > 0), (F.col("before") + F.col("inside") + F.col("source_size") * e) / F.col("target"))
+    timed = joined.withColumns({f"f{e}": finish(e) for e in range(epochs)})
+    served = timed.select("size", "doc_id", F.explode(F.array(*[F.struct(F.col(f"f{e}").alias("f"), F.lit(e).alias("e")) for e in range(epochs)])).alias("x")).select("size", "doc_id", "x.f", "x.e").where("f is not null")
+    # every finish time up to 1 is within a target and the targets sum to the budget: ranges split (0, 2) evenly, the rest is one
     served = served.withColumn("range", F.least(F.floor(F.col("f") * (RANGES // 2)), F.lit(RANGES)).cast("int"))
-    ranges = served.groupBy("range").agg(F.sum("size").alias("words"))
     budget = targets.agg(F.floor(F.sum("target") + 0.5).cast("long").alias("budget"))
-    run = ranges.withColumn("upto", F.sum("words").over(W.orderBy("range"))).crossJoin(F.broadcast(budget))
-    last = run.where(F.col("upto") > F.col("budget")).agg(F.min(F.struct("range", (F.col("upto") - F.col("words")).alias("spent"), "budget")).alias("m")).select("m.*")
-    edge = served.join(F.broadcast(last), "range").withColumn("cum", F.col("spent") + F.sum("size").over(W.partitionBy("range").orderBy("f", "e", "doc_id", "size").rowsBetween(W.unboundedPreceding, 0)))
-    cut = edge.where(F.col("cum") > F.col("budget")).agg(F.min(F.struct("f", "e", "doc_id", "size")).alias("__cut"))
-    taken = sum((F.when(F.col(f"__f{e}").isNotNull() & (F.col("__cut").isNull() | (F.struct(F.col(f"__f{e}").alias("f"), F.lit(e).alias("e"), F.col("doc_id"), F.col("size")) < F.col("__cut"))), F.col("size")).otherwise(F.lit(0)) for e in range(1, epochs)), F.when(F.col("__f0").isNotNull() & (F.col("__cut").isNull() | (F.struct(F.col("__f0").alias("f"), F.lit(0).alias("e"), F.col("doc_id"), F.col("size")) < F.col("__cut"))), F.col("size")).otherwise(F.lit(0)))
-    return timed.crossJoin(F.broadcast(cut)).withColumn("taken", taken.cast("long")).drop("__key", "__slot", "__before", "__in", "__cut", *[f"__f{e}" for e in range(epochs)])
+    every = W.orderBy("range")
+
+    def edge_of(rows: DataFrame, spent: DataFrame) -> DataFrame:
+        """(range, spent, budget): of at most RANGES + 1 ranges the one in which the budget ends, and what is spent before it; no row: it doesn't."""
+        sums = rows.groupBy("range").agg(F.sum("size").alias("words")).crossJoin(F.broadcast(spent))  # one row
+        sums = sums.withColumn("upto", F.col("spent") + F.sum("words").over(every)).where(F.col("upto") > F.col("budget"))
+        return sums.agg(F.min(F.struct("range", (F.col("upto") - F.col("words")).alias("spent"), "budget")).alias("m")).select("m.*").where("range is not null")
+
+    first = edge_of(served, budget.withColumn("spent", F.lit(0).cast("long")))
+    inside = served.join(F.broadcast(first.select("range")), "range")
+    fine = F.when(F.col("range") < RANGES, F.least(F.floor((F.col("f") * (RANGES // 2) - F.col("range")) * RANGES), F.lit(RANGES - 1)).cast("int")).otherwise(0)
+    inside = inside.withColumn("range", fine)
+    second = edge_of(inside, first.select("spent", "budget"))
+    last = inside.join(F.broadcast(second), "range")
+    run = W.partitionBy("range").orderBy("f", "e", "doc_id", "size").rowsBetween(W.unboundedPreceding, 0)
+    cut = last.withColumn("cum", F.col("spent") + F.sum("size").over(run)).where(F.col("cum") > F.col("budget")).agg(F.min(F.struct("f", "e", "doc_id", "size")).alias("cut"))
+
+    def words(e: int):
+        before = F.col("cut").isNull() | (F.struct(F.col(f"f{e}").alias("f"), F.lit(e).alias("e"), "doc_id", "size") < F.col("cut"))
+        return F.when(F.col(f"f{e}").isNotNull() & before, F.col("size")).otherwise(F.lit(0))
+
+    taken = sum((words(e) for e in range(1, epochs)), words(0))
+    return timed.crossJoin(F.broadcast(cut)).select("row", "doc_id", "source", "size", "source_size", "target", taken.cast("long").alias("taken"))
 
 
 def word_count(column: str = "text"):
@@ -86,15 +109,19 @@ def word_count(column: str = "text"):
 
 
 def op6_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All documents, with what mix gives them; a document's row for each row of the table, no rows for an empty one."""
     docs = table(spark, sf_dir, "documents").select("doc_id", "source", word_count().alias("size"))
     return mix(docs).select("doc_id", "size", "source_size", "target", "taken")
 
 
 def mix_documents(docs: DataFrame) -> DataFrame:
-    """The documents that the mix takes, each as often as it takes it; columns as before."""
-    mixed = mix(docs.withColumn("size", word_count()))
+    """The documents that the mix takes, each as often as it takes it; columns as before, whatever their names.
+
+    Null and empty texts have no words and are never taken; null ids and sources and repeated rows are as mix says.
+    """
+    mixed = _queue(docs.select(F.struct("*").alias("row"), "doc_id", "source", word_count().alias("size")))
     times = (F.col("taken") / F.col("size")).cast("int")
-    return mixed.where("taken > 0").withColumn("__n", F.explode(F.sequence(F.lit(1), times))).select(docs.columns)
+    return mixed.where("taken > 0").select("row", F.explode(F.sequence(F.lit(1), times))).select("row.*")
 
 
 ORACLE = r"""
