@@ -209,7 +209,14 @@ def score(docs: DataFrame, model: OrdinalModel, text: str = "text") -> DataFrame
     return out.withColumns({"grade": F.round("expected_severity").cast("int"), "toxic": F.col("expected_severity") >= F.lit(sent.cut)})
 
 
+def keep_clean(docs: DataFrame, model: OrdinalModel) -> DataFrame:
+    """The documents below the model's cut; columns as before, whatever their names. Null and empty texts are judged as texts without words."""
+    packed = docs.select(F.struct("*").alias("row"), "text")
+    return score(packed, model).where("not toxic").select("row.*")
+
+
 def op3_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All documents, scored by a model of their labels; a row for each row of the table, no rows for an empty one."""
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
     model = train(docs, table(spark, sf_dir, "labels").select("doc_id", "toxic"))
     return score(docs, model).select("doc_id", "expected_severity", "grade", "toxic")
