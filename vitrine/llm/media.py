@@ -14,6 +14,7 @@ from __future__ import annotations
 
 import hashlib
 import zlib
+from collections.abc import Iterator
 from dataclasses import dataclass, field
 
 import numpy as np
@@ -106,18 +107,51 @@ class Demuxed:
         return b"".join(u["data"] for u in self.units if pid is None or u["pid"] == pid)
 
 
-def _read_section(body: bytes) -> bytes | None:
-    s = body[1 + body[0] :] if body else b""
-    if len(s) < 8:
-        return None
-    n = 3 + (int.from_bytes(s[1:3], "big") & 0xFFF)
-    return s[:n] if n <= len(s) and n >= 12 and crc32_mpeg(s[:n]) == 0 else None
+class _Sections:
+    """Joins the sections of one table stream: a section may span packets, a packet may hold several."""
+
+    def __init__(self):
+        self.open: bytes | None = None  # None: wait for a packet in which a section starts
+
+    def add(self, body: bytes, start: bool) -> Iterator[bytes | None]:
+        """Whole sections, or None for one that is cut short or has a wrong CRC."""
+        if not start:
+            if self.open is not None:
+                self.open += body
+                yield from self._take()
+            return
+        at = 1 + body[0] if body else 0
+        if at > len(body) or not body:
+            self.open = None
+            yield None
+            return
+        if self.open:
+            self.open += body[1:at]
+            yield from self._take()
+            if self.open:
+                yield None
+        self.open = body[at:]
+        yield from self._take()
+
+    def _take(self) -> Iterator[bytes | None]:
+        while self.open:
+            if self.open[0] == 0xFF:  # stuffing up to the packet's end
+                self.open = b""
+                return
+            if len(self.open) < 3:
+                return
+            n = 3 + (int.from_bytes(self.open[1:3], "big") & 0xFFF)
+            if n > len(self.open):
+                return
+            s, self.open = self.open[:n], self.open[n:]
+            yield s if n >= 12 and crc32_mpeg(s) == 0 else None
 
 
 def demux(stream: bytes) -> Demuxed:
     """Parse a stream. Packets without the sync byte, with the error indicator or a bad header are counted and left out; a
-    missing or repeated counter counts as a continuity error (a repeat of the same packet is dropped, as the
-    standard allows); tables with a wrong CRC are left out; a unit cut short keeps what arrived. Any bytes are accepted."""
+    missing or repeated counter counts as a continuity error (a repeat of the last packet of its PID is dropped, as the
+    standard allows, whatever lies between); table sections may span packets, those with a wrong CRC or cut short are
+    counted and left out; a unit cut short keeps what arrived. Any bytes are accepted."""
     d, maps, wanted = Demuxed(), set(), {}
     whole = len(stream) // PACKET
     d.packets = whole
@@ -129,8 +163,9 @@ def demux(stream: bytes) -> Demuxed:
     start, control, cc = (p[:, 1] & 0x40 != 0).tolist(), (p[:, 3] >> 4 & 3).tolist(), (p[:, 3] & 15).tolist()
     good = ((p[:, 0] == 0x47) & (p[:, 1] & 0x80 == 0)).tolist()
     length, flags = np.where(p[:, 3] & 0x20 != 0, p[:, 4].astype(np.int32) + 1, 0).tolist(), p[:, 5].tolist()
-    last: dict[int, int] = {}
+    last: dict[int, int] = {}  # the last packet of each PID that was read
     open_: dict[int, dict] = {}
+    tables: dict[int, _Sections] = {}
 
     def close(pid: int) -> None:
         if u := open_.pop(pid, None):
@@ -144,41 +179,47 @@ def demux(stream: bytes) -> Demuxed:
         if pid == 0x1FFF or not control[i] & 1:
             continue
         was = last.get(pid)
-        last[pid] = cc[i]
-        if was is not None and cc[i] != (was + 1) & 15 and not (length[i] > 1 and flags[i] & 0x80):
-            if cc[i] == was and stream[i * PACKET : (i + 1) * PACKET] == stream[(i - 1) * PACKET : i * PACKET]:
-                continue
-            d.continuity_errors += 1
+        broken = was is not None and cc[i] != (cc[was] + 1) & 15 and not (length[i] > 1 and flags[i] & 0x80)
+        if broken and cc[i] == cc[was] and stream[i * PACKET : (i + 1) * PACKET] == stream[was * PACKET : (was + 1) * PACKET]:
+            continue
+        last[pid] = i
+        d.continuity_errors += broken
         at = i * PACKET + 4 + length[i]
         body = stream[at : (i + 1) * PACKET]
         if pid == 0 or pid in maps:
-            if start[i]:
-                s = _read_section(body)
+            for s in tables.setdefault(pid, _Sections()).add(body, start[i]):
                 if s is None:
                     d.table_errors += 1
-                elif s[0] == 0:
-                    for k in range(8, len(s) - 4, 4):
-                        number, at_pid = int.from_bytes(s[k : k + 2], "big"), int.from_bytes(s[k + 2 : k + 4], "big") & 0x1FFF
-                        if number:
-                            maps.add(at_pid)
-                            d.programs.setdefault(number, {})
-                elif s[0] == 2:
-                    streams, k = d.programs.setdefault(int.from_bytes(s[3:5], "big"), {}), 12 + (int.from_bytes(s[10:12], "big") & 0xFFF)
-                    while k + 5 <= len(s) - 4:
-                        streams[es := int.from_bytes(s[k + 1 : k + 3], "big") & 0x1FFF] = s[k]
-                        wanted[es] = s[k]
-                        k += 5 + (int.from_bytes(s[k + 3 : k + 5], "big") & 0xFFF)
+                else:
+                    _read_section(s, d, maps, wanted)
         elif pid in wanted:
             if start[i]:
                 close(pid)
                 open_[pid] = {"parts": [body], "rap": bool(length[i] > 1 and flags[i] & 0x40), "packet": i}
             elif pid in open_:
                 open_[pid]["parts"].append(body)
+    d.table_errors += sum(bool(t.open) for t in tables.values())
     for pid in list(open_):
         close(pid)
     return d
 
 
+def _read_section(s: bytes, d: Demuxed, maps: set[int], wanted: dict[int, int]) -> None:
+    """An association section names the map tables, a map section the elementary streams; others are left alone."""
+    if s[0] == 0:
+        for k in range(8, len(s) - 4, 4):
+            number, at_pid = int.from_bytes(s[k : k + 2], "big"), int.from_bytes(s[k + 2 : k + 4], "big") & 0x1FFF
+            if number:
+                maps.add(at_pid)
+                d.programs.setdefault(number, {})
+    elif s[0] == 2:
+        streams, k = d.programs.setdefault(int.from_bytes(s[3:5], "big"), {}), 12 + (int.from_bytes(s[10:12], "big") & 0xFFF)
+        while k + 5 <= len(s) - 4:
+            streams[es := int.from_bytes(s[k + 1 : k + 3], "big") & 0x1FFF] = s[k]
+            wanted[es] = s[k]
+            k += 5 + (int.from_bytes(s[k + 3 : k + 5], "big") & 0xFFF)
+
+
 def _unit(pid: int, u: dict) -> dict:
     pes = b"".join(u["parts"])
     pts = dts = None
@@ -250,5 +291,6 @@ def _digest(batch):
 
 
 def op4_mpegts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All documents; null texts are as empty (64 bytes of padding), repeated rows stay, no rows for an empty table."""
     docs = table(spark, sf_dir, "documents").select("doc_id", text_or_empty().alias("text"))
     return arrow_map(docs, _digest, "doc_id long, n_bytes long, payload_bytes long, payload_sha256 string, tail_crc32 long, media_bytes long, media_sha256 string, feature string")
