@@ -57,7 +57,7 @@ def test_topk_ties_and_copies(spark):
     codes = [r.getrandbits(64) - (1 << 63) for _ in range(40)]
     rows = [(i, codes[i % 40] if i > 200 else codes[0]) for i in range(400)] + [(401, None), (None, 5), (7, codes[0])]
     df = spark.createDataFrame(rows, "id long, code long")
-    got = {(x.query_id, x["rank"]): (x.neighbor_id, x.distance) for x in topk.topk(df, df.where("id % 50 = 0"), 7, block_rows=64, block_queries=4).collect()}
+    got = {(x.query_id, x["rank"]): (x.neighbor_id, x.distance) for x in topk.topk(df, df.where("id % 50 = 0"), 7, part_rows=3).collect()}
     real = sorted({(i, c) for i, c in rows if i is not None and c is not None})
     for q, c in real:
         if q % 50 == 0:

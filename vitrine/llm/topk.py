@@ -1,27 +1,28 @@
 """Operator 1, exact top-k search: incremental multi-index hashing over 64-bit binary codes.
 
-A code is cut into eight 8-bit segments, each with its own index. A query probes segment after
-segment at growing radii; once the radii r_j of the segments sum to sum(r_j + 1) - 1 >= the k-th
-verified Hamming distance, no unseen code can be as near (pigeonhole), so the search stops.
-
-Scale: rows with one code count once (only their k + 1 least ids can matter), as do queries with one
-code, so a code that a third of all rows share costs nothing extra. Codes and query codes are dealt to
-hash blocks of bounded size; each pair of blocks is one task that returns at most k + 1 rows for each query, and
-the rows that survive meet in a grouped top-k with map-side limits. Nothing is broadcast or collected.
+A code is cut into segments, each with an index of its own: rows keyed by (segment, value). A query probes the values within a
+radius of its own in each segment, radius by radius. Once radius r is searched in segments 0 to j and r - 1 in the others, every
+code within distance m * r + j is found (pigeonhole over m segments), so a probe is sent only while the k-th verified
+distance isn't below that; it is carried from round to round, and no query is asked again once it is covered.
+
+Scale: rows with one code count once (only their k + 1 least ids can matter), as do queries with one code, so a code that a third
+of all rows share costs nothing extra. A round is one join of probes and index by key. Index entries of one key are dealt to
+parts of bounded size, so a hot value is many tasks. Codes further than the k-th distance are dropped where they are verified, and each
+pair is verified at one key only. The one thing broadcast is the directory of keys: at most SEGMENTS * 2 ** (64 / SEGMENTS) rows,
+whatever the input. With n codes, segments of about log2(n) bits keep a key's entries few: 8 segments up to some
+million codes, 4 beyond.
 """
 
 from __future__ import annotations
 
-import numpy as np
-import pandas as pd
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from .common import table
+from .common import discard, materialize, table
 
-SEGMENTS, SEGMENT_BITS = 8, 8
-MASKS = [np.array([m for m in range(256) if m.bit_count() == s], dtype=np.uint8) for s in range(SEGMENT_BITS + 1)]
+SEGMENTS = 8
+PART_ROWS = 65_536
 
 
 def sign_code(embedding: Column) -> Column:
@@ -34,86 +35,69 @@ def sign_code(embedding: Column) -> Column:
     return F.when(F.size(embedding) > 64, F.raise_error(F.lit("a 64-bit sign code does not hold a vector of more than 64 components")).cast("bigint")).otherwise(code)
 
 
-class MultiIndex:
-    """Multi-index of one block: for each segment the rows in order of its value, and where each value starts."""
-
-    def __init__(self, codes: np.ndarray, ids: np.ndarray):
-        self.codes, self.ids = codes.astype(np.uint64), ids
-        parts = self.codes.view(np.uint8).reshape(-1, SEGMENTS)
-        self.order = [np.argsort(parts[:, j], kind="stable") for j in range(SEGMENTS)]
-        self.start = [np.searchsorted(parts[self.order[j], j], np.arange(257)) for j in range(SEGMENTS)]
-
-    def search(self, queries: np.ndarray, k: int, chunk: int = 64) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-        """(query index, id, distance) of the k nearest rows of each query by (distance, id)."""
-        found = [self._search(queries[i : i + chunk].astype(np.uint64), k, i) for i in range(0, len(queries), chunk)]
-        return tuple(np.concatenate(x) if found else np.empty(0, np.int64) for x in zip(*found)) if found else (np.empty(0, np.int64),) * 3
-
-    def _search(self, q: np.ndarray, k: int, base: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-        parts = q.view(np.uint8).reshape(-1, SEGMENTS)
-        kth, active = np.full(len(q), 255, np.int64), np.arange(len(q))
-        bq, bd, brow = np.empty(0, np.int64), np.empty(0, np.int64), np.empty(0, np.int64)
-        for covered in range(SEGMENTS * (SEGMENT_BITS + 1)):
-            radius, j = divmod(covered, SEGMENTS)
-            values = parts[active, j][:, None] ^ MASKS[radius][None, :]
-            lo, hi = self.start[j][values], self.start[j][values.astype(np.int64) + 1]
-            n = (hi - lo).ravel()
-            total = int(n.sum())
-            if total:
-                who = np.repeat(np.repeat(active, values.shape[1]), n)
-                at = np.arange(total) - np.repeat(np.cumsum(n) - n, n) + np.repeat(lo.ravel(), n)
-                rows = self.order[j][at]
-                d = np.bitwise_count(q[who] ^ self.codes[rows]).astype(np.int64)
-                keep = d <= kth[who]
-                bq, bd, brow = np.concatenate([bq, who[keep]]), np.concatenate([bd, d[keep]]), np.concatenate([brow, rows[keep]])
-                o = np.lexsort((self.ids[brow], bd, bq))
-                bq, bd, brow = bq[o], bd[o], brow[o]
-                if len(bq):
-                    new = np.r_[True, (bq[1:] != bq[:-1]) | (brow[1:] != brow[:-1])]
-                    bq, bd, brow = bq[new], bd[new], brow[new]
-                    first = np.searchsorted(bq, bq)
-                    rank = np.arange(len(bq)) - first
-                    top = rank < k
-                    bq, bd, brow, rank = bq[top], bd[top], brow[top], rank[top]
-                    last = rank == k - 1
-                    kth[bq[last]] = bd[last]
-            # segments 0..j are searched to this radius, the others to one less: distances up to `covered` are complete
-            active = active[kth[active] > covered]
-            if not len(active):
-                break
-        return bq + base, self.ids[brow], bd
-
-
-def topk(rows: DataFrame, queries: DataFrame, k: int, *, block_rows: int = 8192, block_queries: int = 1024) -> DataFrame:
+def _segment(code: Column, j: Column, bits: int) -> Column:
+    return F.call_function("shiftrightunsigned", code, (j * bits).cast("int")).bitwiseAND(F.lit((1 << bits) - 1))
+
+
+def _distance(a: Column, b: Column) -> Column:
+    return F.bit_count(a.bitwiseXOR(b)).cast("long")
+
+
+def topk(rows: DataFrame, queries: DataFrame, k: int, *, segments: int = SEGMENTS, part_rows: int = PART_ROWS) -> DataFrame:
     """The k nearest rows of each query by (Hamming distance, id), the query's own id left out.
 
     rows, queries: (id long, code long); more columns are ignored. Null ids or codes take no part: such
     rows are never found and such queries get no row. Rows repeated as a whole count once. Fewer than k
-    other rows: all of them. Returns (query_id, rank, neighbor_id, distance).
+    other rows: all of them. Empty input: no rows. Returns (query_id, rank, neighbor_id, distance).
     """
+    if segments not in (4, 8):
+        raise ValueError("4 or 8 segments")
+    bits, want = 64 // segments, k + 1  # a query's own row may be among its nearest
     rows = rows.select(F.col("id").cast("long"), F.col("code").cast("long")).where("id is not null and code is not null")
     queries = queries.select(F.col("id").cast("long").alias("query_id"), F.col("code").cast("long")).where("query_id is not null and code is not null").distinct()
-    near = rows.distinct().withColumn("r", F.row_number().over(W.partitionBy("code").orderBy("id"))).where(F.col("r") <= k + 1).drop("r")
-    wanted = queries.select("code").distinct()
-    n_rows, n_queries = near.count(), wanted.count()
-    rb, qb = max(1, -(-n_rows // block_rows)), max(1, -(-n_queries // block_queries))
-    left = wanted.select("code", F.pmod(F.xxhash64("code", F.lit(1)), F.lit(qb)).alias("q"), F.explode(F.sequence(F.lit(0).cast("long"), F.lit(rb - 1).cast("long"))).alias("b"))
-    right = near.select("code", "id", F.pmod(F.xxhash64("code", "id", F.lit(2)), F.lit(rb)).alias("b"), F.explode(F.sequence(F.lit(0).cast("long"), F.lit(qb - 1).cast("long"))).alias("q"))
-
-    def search(a: pd.DataFrame, b: pd.DataFrame) -> pd.DataFrame:
-        index = MultiIndex(b["code"].to_numpy(np.int64).view(np.uint64), b["id"].to_numpy(np.int64))
-        codes = a["code"].to_numpy(np.int64)
-        q, ids, d = index.search(codes.view(np.uint64), k + 1) if len(b) and len(a) else (np.empty(0, np.int64),) * 3
-        return pd.DataFrame({"code": codes[q], "neighbor_id": ids, "distance": d})
-
-    local = left.groupBy("q", "b").cogroup(right.groupBy("q", "b")).applyInPandas(search, "code long, neighbor_id long, distance long")
-    ranked = local.withColumn("r", F.row_number().over(W.partitionBy("code").orderBy("distance", "neighbor_id"))).where(F.col("r") <= k + 1)
-    lists = ranked.groupBy("code").agg(F.array_sort(F.collect_list(F.struct("distance", "neighbor_id"))).alias("found"))
-    own = queries.join(lists, "code").select("query_id", F.filter("found", lambda x: x["neighbor_id"] != F.col("query_id")).alias("found"))
-    return own.select("query_id", F.posexplode(F.slice("found", 1, k)).alias("p", "x")).select("query_id", (F.col("p") + 1).cast("long").alias("rank"), F.col("x.neighbor_id").alias("neighbor_id"), F.col("x.distance").alias("distance"))
+    few = rows.distinct().withColumn("r", F.row_number().over(W.partitionBy("code").orderBy("id"))).where(F.col("r") <= want)
+    codes = materialize(few.groupBy("code").agg(F.array_sort(F.collect_list("id")).alias("ids")), "codes")
+    split = lambda c: F.posexplode(F.transform(F.sequence(F.lit(0), F.lit(segments - 1)), lambda j: _segment(c, j, bits)))
+    entries = codes.select("code", "ids", split(F.col("code")).alias("seg", "value"))
+    directory = entries.groupBy("seg", "value").agg(F.ceil(F.count("*") / part_rows).cast("int").alias("parts"))
+    directory = materialize(directory, "directory")  # at most segments * 2 ** bits rows
+    part = F.pmod(F.xxhash64("code", F.lit(5)), F.col("parts")).cast("int")
+    index = materialize(entries.join(F.broadcast(directory), ["seg", "value"]).select("seg", "value", part.alias("part"), "code", "ids"), "index")
+    start = F.array().cast("array<struct<distance:bigint,id:bigint>>")
+    state = materialize(queries.select(F.col("code").alias("q")).distinct().select("q", start.alias("found"), F.lit(64).cast("long").alias("kth")), "state")
+    used = [codes, directory, index]
+    for radius in range(bits + 1):
+        # all codes within segments * radius - 1 are found
+        active = state.where(F.col("kth") >= segments * radius)
+        if active.isEmpty():
+            break
+        masks = F.filter(F.sequence(F.lit(0).cast("long"), F.lit((1 << bits) - 1).cast("long")), lambda m: F.bit_count(m) == radius)  # noqa: B023
+        probes = active.select("q", "kth", split(F.col("q")).alias("seg", "own")).where(F.col("kth") >= segments * radius + F.col("seg"))
+        probes = probes.select("q", "kth", "seg", F.col("own").alias("own"), F.explode(masks).alias("mask")).withColumn("value", F.col("own").bitwiseXOR(F.col("mask")))
+        probes = probes.join(F.broadcast(directory), ["seg", "value"]).select("q", "kth", "seg", "value", F.explode(F.sequence(F.lit(0), F.col("parts") - 1)).alias("part"))
+        met = probes.join(index, ["seg", "value", "part"])
+        away = [F.bit_count(_segment(F.col("q").bitwiseXOR(F.col("code")), F.lit(j), bits)) for j in range(segments)]
+        # a pair is verified at the first segment that is nearest, so it comes once in all rounds
+        once = F.lit(True)
+        for j in range(segments):
+            once = once & F.when(F.col("seg") > j, away[j] > radius).otherwise(away[j] >= radius)
+        near = met.where((_distance(F.col("q"), F.col("code")) <= F.col("kth")) & once)
+        near = near.select("q", _distance(F.col("q"), F.col("code")).alias("distance"), F.explode("ids").alias("id"))
+        both = near.unionByName(active.select("q", F.explode("found").alias("x")).select("q", "x.*"))
+        best = both.withColumn("r", F.row_number().over(W.partitionBy("q").orderBy("distance", "id"))).where(F.col("r") <= want)
+        found = best.groupBy("q").agg(F.array_sort(F.collect_list(F.struct("distance", "id"))).alias("found"))
+        kth = F.when(F.size("found") >= want, F.element_at("found", -1)["distance"]).otherwise(F.lit(64).cast("long"))
+        left = active.select("q").join(found, "q", "left").select("q", F.coalesce("found", start).alias("found"))
+        following = state.where(F.col("kth") < segments * radius).unionByName(left.withColumn("kth", kth))
+        used.append(state)
+        state = materialize(following.select("q", "found", "kth"), "state")
+    discard(*used)
+    own = queries.join(state.select(F.col("q").alias("code"), "found"), "code").select("query_id", F.filter("found", lambda x: x["id"] != F.col("query_id")).alias("found"))
+    return own.select("query_id", F.posexplode(F.slice("found", 1, k)).alias("p", "x")).select("query_id", (F.col("p") + 1).cast("long").alias("rank"), F.col("x.id").alias("neighbor_id"), F.col("x.distance").alias("distance"))
 
 
 def op1_topk(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Queries: every row of embeddings whose id is divisible by 20, against all rows; k = 10, sign codes."""
+    """Queries: every row of embeddings whose id is divisible by 20, against all rows; k = 10, sign codes. Null vectors take no part."""
     coded = table(spark, sf_dir, "embeddings").select(F.col("vec_id").alias("id"), sign_code(F.col("embedding")).alias("code"))
     return topk(coded, coded.where("id % 20 = 0"), 10)
 
