@@ -53,7 +53,7 @@ def fixture():
     return rows
 
 
-@pytest.mark.parametrize("hot", [suffix.HOT, 5])
+@pytest.mark.parametrize("hot", [suffix.HOT_BYTES, 5, 8000])
 def test_against_brute_force(spark, hot):
     rows = fixture()
     df = spark.createDataFrame([(i, t, "x") for i, t in rows], "doc_id long, text string, key string")

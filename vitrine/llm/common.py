@@ -90,19 +90,20 @@ def discard(*tables: DataFrame) -> None:
 HOT_SHARE = 10_000
 
 
-def join_split(left: DataFrame, right: DataFrame, key: str, how: str, *, counts: DataFrame, spread: str) -> DataFrame:
+def join_split(left: DataFrame, right: DataFrame, key: str | list[str], how: str, *, counts: DataFrame, spread: str) -> DataFrame:
     """left joined with right on key (one row a key in right), rows of hot keys spread over many tasks.
 
     counts: (key, n) of left's rows; spread: a column of left whose hash deals a hot key's rows out. A key of more than
     1 / HOT_SHARE of the rows gets one part for each such share and right's row once for each part. Shares sum to 1, so hot keys are at most
     HOT_SHARE and their parts at most twice that, whatever the input: their list is broadcast. Null keys match nothing.
     """
+    keys = [key] if isinstance(key, str) else key
     total = max(1, counts.agg(F.sum("n")).first()[0] or 0)  # one number
-    hot = counts.where(F.col(key).isNotNull() & (F.col("n") * HOT_SHARE > total)).select(F.col(key), F.ceil(F.col("n") * HOT_SHARE / total).cast("int").alias("__parts"))
-    hot = materialize(hot, "hot")
-    a = left.join(F.broadcast(hot), key, "left").withColumn("__part", F.when(F.col("__parts").isNull(), 0).otherwise(F.pmod(F.xxhash64(spread, F.lit(77)), F.col("__parts")).cast("int"))).drop("__parts")
-    b = right.join(F.broadcast(hot), key, "left").withColumn("__part", F.explode(F.sequence(F.lit(0), F.coalesce("__parts", F.lit(1)) - 1))).drop("__parts")
-    return a.join(b, [key, "__part"], how).drop("__part")
+    share = F.col("n") * HOT_SHARE
+    hot = materialize(counts.where(share > total).dropna(subset=keys).select(*keys, F.ceil(share / total).cast("int").alias("__parts")), "hot")
+    a = left.join(F.broadcast(hot), keys, "left").withColumn("__part", F.when(F.col("__parts").isNull(), 0).otherwise(F.pmod(F.xxhash64(spread, F.lit(77)), F.col("__parts")).cast("int"))).drop("__parts")
+    b = right.join(F.broadcast(hot), keys, "left").withColumn("__part", F.explode(F.sequence(F.lit(0), F.coalesce("__parts", F.lit(1)) - 1))).drop("__parts")
+    return a.join(b, [*keys, "__part"], how).drop("__part")
 
 
 def components(edges: DataFrame, *, max_rounds: int = 60) -> DataFrame:

@@ -4,19 +4,19 @@ Suffix arrays (Itoh and Tanaka's two stages): suffixes smaller than their succes
 eight bytes; all others are induced by one scan over the buckets of first characters; then the common prefixes of
 neighbours are computed. Sorting and prefixes stop at WINDOW bytes, more is never asked.
 
-Which bytes meet in one array: any two equal strings of WINDOW bytes choose the same anchor, the 64-gram of least
-hash in them, at the same offset (winnowing). So anchors stand for all windows:
-1. Every text gives its anchors (about one in 69 bytes): hash of the 64-gram, digest of all bytes that windows over it
-   can reach (its context), place. Anchors of one hash that chain within a text are one anchor with a range.
-2. Anchors whose hash occurs once are done. Contexts that occur twice as a whole are repeats as a whole. Of each
-   different context of a hash one stands for all.
-3. Where a hash has several contexts, or chains, these contexts meet in a task by hash, and suffix arrays over them find
-   which of their windows occur at two places. Hashes of more than HOT different contexts aren't gathered: their windows are counted
-   by digest in an ordinary aggregation instead, which no group overloads.
+Which bytes meet in one array: every window of WINDOW bytes chooses its anchor, the 64-gram of least hash in it (the first of
+equal ones), so equal windows choose equal anchors, at the same offset. So anchors stand for all windows:
+1. Every text is cut into pieces, runs of window starts whose anchors have one hash (about 69 starts), PIECE starts at most: hash, 128-bit
+   digest of all bytes of the run's windows (its context), place. Each window is in one piece. Only text that repeats itself has long runs.
+2. Pieces whose hash occurs once are done, but for runs over several anchors, which can repeat within themselves. Equal contexts of one
+   hash are aggregated before they are sorted: all copies are repeats as a whole, and one of them stands for all.
+3. The different contexts of a hash meet in a task, and suffix arrays over them find which of their windows occur at two places.
+   Hashes whose contexts come to more than HOT_BYTES aren't gathered: their windows are counted by 128-bit digest in an ordinary
+   aggregation instead, the exact way for what no one task should hold.
 4. The spans of a text are united and cut out.
 
-Scale: anchors, not windows, are shuffled; counting combines map-side; texts are shuffled twice, once to
-cut contexts out and once to apply spans. No cap: every window that repeats is found.
+Scale: pieces, not windows, are shuffled; counting combines map-side; joins split hot hashes and contexts; texts are shuffled
+twice, once to cut contexts out and once to apply spans. A task's array is bounded in bytes. No cap: every window that repeats is found.
 """
 
 from __future__ import annotations
@@ -30,10 +30,11 @@ import xxhash
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import arrow_map, discard, materialize, table, text_or_empty
+from .common import arrow_map, discard, join_split, materialize, table, text_or_empty
 
-WINDOW, GRAM, HOT, CHUNK = 200, 64, 20_000, 1_500_000
+WINDOW, GRAM, PIECE, HOT_BYTES, CHUNK = 200, 64, 4096, 6_000_000, 1_500_000
 REACH = WINDOW - GRAM  # how far before an anchor a window can start
+BLOCK_BITS = 20  # positions within a block of window starts take so many of the low bits of a hash
 SEPARATOR = 0xFF  # no byte of UTF-8
 _MASK = (1 << 64) - 1
 _TABLE = np.random.default_rng(5).integers(0, 1 << 64, 256, dtype=np.uint64)
@@ -60,39 +61,46 @@ def gram_hashes(data: np.ndarray) -> np.ndarray:
     return h
 
 
-def anchors(data: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """(hash, first, last) of the anchors of one text of at least WINDOW bytes."""
-    h = gram_hashes(data)
-    least = _slide(h, REACH + 1, np.minimum)
-    padded = np.concatenate([np.zeros(REACH, np.uint64), least, np.zeros(REACH, np.uint64)])
-    at = np.flatnonzero(_slide(padded, REACH + 1, np.maximum) == h)
-    value = h[at]
-    o = np.lexsort((at, value))
-    at, value = at[o], value[o]
-    new = np.r_[True, (value[1:] != value[:-1]) | (np.diff(at) > REACH)]
-    first = np.flatnonzero(new)
-    last = np.r_[first[1:], len(at)] - 1
-    return value[first].view(np.int64), at[first], at[last]
-
-
-def _anchor_rows(batch: pa.RecordBatch) -> dict | None:
-    parts = ([], [], [], [])
-    contexts, counts, keys = [], [], []
-    for key, text in zip(batch["key"].to_pylist(), batch["text"], strict=True):
+def pieces(data: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """(hash, first start, number of starts, over several anchors) of the pieces of one text of at least WINDOW bytes."""
+    starts, low = len(data) - WINDOW + 1, np.uint64((1 << BLOCK_BITS) - 1)
+    step, out = (1 << BLOCK_BITS) - REACH, ([], [], [], [])
+    for at in range(0, starts, step):
+        n = min(step, starts - at)
+        h = gram_hashes(data[at : at + n + WINDOW - 1])
+        # hash and position in one number: the least is the first of the least
+        chosen = _slide((h & ~low) | np.arange(len(h), dtype=np.uint64), REACH + 1, np.minimum) & low
+        value = h[chosen]
+        first = np.flatnonzero(np.r_[True, value[1:] != value[:-1]])
+        count = np.diff(np.r_[first, n])
+        if count.max() > PIECE:
+            parts = -(-count // PIECE)
+            rank = np.arange(parts.sum()) - np.repeat(np.cumsum(parts) - parts, parts)
+            ends = np.repeat(first + count, parts)
+            first = np.repeat(first, parts) + rank * PIECE
+            count = np.minimum(PIECE, ends - first)
+        for x, y in zip(out, (value[first].view(np.int64), first + at, count, chosen[first] != chosen[first + count - 1]), strict=True):
+            x.append(y)
+    return tuple(np.concatenate(x) for x in out)
+
+
+def _piece_rows(batch: pa.RecordBatch) -> dict | None:
+    parts, contexts, rows, counts = ([], [], [], []), [], [], []
+    for k, text in enumerate(batch["text"]):
         raw = text.as_buffer()
         if raw is None or raw.size < WINDOW:
             continue
         raw = memoryview(raw)
-        h, first, last = anchors(np.frombuffer(raw, np.uint8))
-        f, t = np.maximum(first - REACH, 0), last + WINDOW
-        contexts += [xxhash.xxh3_64_intdigest(raw[a:b], seed=s - a) for a, b, s in zip(f.tolist(), t.tolist(), first.tolist(), strict=True)]
-        for p, x in zip(parts, (h, first, last), strict=False):
+        found = pieces(np.frombuffer(raw, np.uint8))
+        contexts += [xxhash.xxh3_128_digest(raw[a : a + n + WINDOW - 1]) for a, n in zip(found[1].tolist(), found[2].tolist(), strict=True)]
+        for p, x in zip(parts, found, strict=True):
             p.append(x)
-        counts.append(len(h))
-        keys.append(key)
-    if not keys:
+        counts.append(len(found[0]))
+        rows.append(k)
+    if not rows:
         return None
-    return {"h": np.concatenate(parts[0]), "ctx": np.array(contexts, np.uint64).view(np.int64), "key": np.repeat(np.array(keys, np.int64), counts), "first": np.concatenate(parts[1]).astype(np.int32), "last": np.concatenate(parts[2]).astype(np.int32)}
+    h, a, n, several = (np.concatenate(p) for p in parts)
+    return {"h": h, "ctx": pa.array(contexts, pa.binary()), "key": batch["key"].take(pa.array(np.repeat(rows, counts))), "a": a.astype(np.int32), "n": n.astype(np.int32), "several": several}
 
 
 # --- the suffix array ---------------------------------------------------------------------------------------------
@@ -227,25 +235,28 @@ def repeated_windows(texts: list[bytes], owners: np.ndarray, offsets: np.ndarray
 
 
 def _cut(batch: pa.RecordBatch) -> dict | None:
-    """The contexts of a text's chosen anchors."""
+    """The contexts of a text's chosen pieces."""
     out = {k: [] for k in ("h", "hot", "key", "at", "bytes")}
     for key, text, chosen in zip(batch["key"].to_pylist(), batch["text"], batch["chosen"].to_pylist(), strict=True):
         raw = text.as_buffer().to_pybytes()
         for c in chosen:
-            a = max(0, c["first"] - REACH)
-            for k, v in (("h", c["h"]), ("hot", c["hot"]), ("key", key), ("at", a), ("bytes", raw[a : c["last"] + WINDOW])):
+            for k, v in (("h", c["h"]), ("hot", c["hot"]), ("key", key), ("at", c["a"]), ("bytes", raw[c["a"] : c["a"] + c["n"] + WINDOW - 1])):
                 out[k].append(v)
     return out if out["h"] else None
 
 
 def _search(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Rows in order of h: suffix arrays over whole hashes, about CHUNK bytes each."""
+    """Rows in order of h: suffix arrays over whole hashes, about CHUNK bytes each, at most CHUNK + HOT_BYTES."""
     rows: list[tuple] = []
     size, previous = 0, None
+    schema = pa.schema([("key", pa.binary()), ("a", pa.int32()), ("b", pa.int32())])
 
     def flush() -> pa.RecordBatch:
-        owner, a, b = repeated_windows([r[2] for r in rows], np.array([r[0] for r in rows], np.int64), np.array([r[1] for r in rows], np.int64))
-        return pa.RecordBatch.from_pydict({"key": owner, "a": a.astype(np.int32), "b": b.astype(np.int32)}, schema=pa.schema([("key", pa.int64()), ("a", pa.int32()), ("b", pa.int32())]))
+        number: dict[bytes, int] = {}
+        owners = np.array([number.setdefault(r[0], len(number)) for r in rows], np.int64)
+        owner, a, b = repeated_windows([r[2] for r in rows], owners, np.array([r[1] for r in rows], np.int64))
+        keys = pa.array(list(number), pa.binary()).take(pa.array(owner))
+        return pa.RecordBatch.from_arrays([keys, pa.array(a.astype(np.int32)), pa.array(b.astype(np.int32))], schema=schema)
 
     for batch in batches:
         for h, key, at, data in zip(batch["h"].to_pylist(), batch["key"].to_pylist(), batch["at"].to_pylist(), batch["bytes"].to_pylist(), strict=True):
@@ -253,14 +264,14 @@ def _search(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
                 yield flush()
                 rows, size = [], 0
             previous = h
-            rows.append((key, at, bytes(data)))
+            rows.append((key, at, data))
             size += len(data)
     if rows:
         yield flush()
 
 
 def _windows(batch: pa.RecordBatch) -> dict:
-    """Each window over a hot anchor, by digest."""
+    """Each window of a hot hash, by digest."""
     d, keys, at = [], [], []
     for key, a, raw in zip(batch["key"].to_pylist(), batch["at"].to_pylist(), batch["bytes"].to_pylist(), strict=True):
         for i in range(len(raw) - WINDOW + 1):
@@ -270,27 +281,28 @@ def _windows(batch: pa.RecordBatch) -> dict:
     return {"digest": d, "key": keys, "a": at}
 
 
-def repeated_spans(keyed: DataFrame, *, hot: int = HOT) -> DataFrame:
-    """(key, a, b): byte spans covered by windows that occur at two or more places. keyed: (key long, text); equal keys mean equal rows."""
-    found = materialize(arrow_map(keyed.select("key", "text"), _anchor_rows, "h long, ctx long, key long, first int, last int"), "anchors")
-    often = found.groupBy("h").agg(F.count("*").alias("n"), F.max(F.col("last") > F.col("first")).alias("chain")).where("n > 1 or chain").select("h")
-    again = materialize(found.join(often, "h"), "again")
-    discard(found)
-    kinds = again.groupBy("h", "ctx").agg(F.count("*").alias("n"), F.min(F.struct("key", "first", "last")).alias("one"))
-    kinds = materialize(kinds, "kinds")
-    whole = again.join(kinds.where("n > 1").select("h", "ctx"), ["h", "ctx"], "left_semi").select("key", F.greatest(F.col("first") - REACH, F.lit(0)).alias("a"), (F.col("last") + WINDOW).alias("b"))
-    several = kinds.groupBy("h").agg(F.count("*").alias("k")).where("k > 1")
-    alone = F.col("k").isNull() & (F.col("n") == 1)  # a chain: it may repeat within itself
-    chosen = kinds.join(several, "h", "left").where(F.col("k").isNotNull() | alone).select("h", F.coalesce(F.col("k") > hot, F.lit(False)).alias("hot"), "one.*")
-    lists = chosen.groupBy("key").agg(F.collect_list(F.struct("h", "hot", "first", "last")).alias("chosen"))
-    parts = arrow_map(keyed.join(lists, "key").select("key", "text", "chosen"), _cut, "h long, hot boolean, key long, at int, bytes binary")
+def repeated_spans(keyed: DataFrame, *, hot: int = HOT_BYTES) -> DataFrame:
+    """(key, a, b): byte spans covered by windows that occur at two or more places. keyed: (key binary, text); equal keys mean equal rows."""
+    found = materialize(arrow_map(keyed.select("key", "text"), _piece_rows, "h long, ctx binary, key binary, a int, n int, several boolean"), "pieces")
+    often = found.groupBy("h").agg(F.count("*").alias("n"), F.max("several").alias("several")).where("n > 1 or several").select("h", "n")
+    often = materialize(often, "often")
+    again = materialize(join_split(found, often.select("h"), "h", "left_semi", counts=often, spread="key"), "again")
+    kinds = again.groupBy("h", "ctx").agg(F.count("*").alias("copies"), F.min(F.struct("key", "a", "n", "several")).alias("one"))
+    kinds = materialize(kinds.select("h", "ctx", "copies", "one.*"), "kinds")
+    copied = kinds.where("copies > 1").select("h", "ctx", F.col("copies").alias("n"))
+    whole = join_split(again, copied.select("h", "ctx"), ["h", "ctx"], "left_semi", counts=copied, spread="key").select("key", "a", (F.col("a") + F.col("n") + F.lit(WINDOW - 1)).alias("b"))
+    groups = kinds.groupBy("h").agg(F.count("*").alias("kinds"), F.sum(F.col("n") + F.lit(WINDOW)).alias("bytes")).where("kinds > 1")
+    alone = F.col("kinds").isNull() & (F.col("copies") == 1) & F.col("several")
+    chosen = kinds.join(groups, "h", "left").where(F.col("kinds").isNotNull() | alone).select("key", F.struct("h", F.coalesce(F.col("bytes") > hot, F.lit(False)).alias("hot"), "a", "n").alias("c"))
+    lists = chosen.groupBy("key").agg(F.collect_list("c").alias("chosen"))
+    parts = arrow_map(keyed.join(lists, "key").select("key", "text", "chosen"), _cut, "h long, hot boolean, key binary, at int, bytes binary")
     parts = materialize(parts, "contexts")
-    searched = parts.where("not hot").select("h", "key", "at", "bytes").repartition("h").sortWithinPartitions("h").mapInArrow(_search, "key long, a int, b int")
-    single = materialize(arrow_map(parts.where("hot").select("key", "at", "bytes"), _windows, "digest binary, key long, a int"), "windows")
+    searched = parts.where("not hot").select("h", "key", "at", "bytes").repartition("h").sortWithinPartitions("h").mapInArrow(_search, "key binary, a int, b int")
+    single = materialize(arrow_map(parts.where("hot").select("key", "at", "bytes"), _windows, "digest binary, key binary, a int"), "windows")
     twice = single.groupBy("digest").agg(F.min(F.struct("key", "a")).alias("x"), F.max(F.struct("key", "a")).alias("y")).where("x <> y").select("digest")
     counted = single.join(twice, "digest", "left_semi").select("key", "a", (F.col("a") + WINDOW).alias("b"))
     spans = materialize(whole.unionByName(searched).unionByName(counted), "spans")
-    discard(again, kinds, parts, single)
+    discard(found, often, again, kinds, parts, single)
     return spans
 
 
@@ -323,10 +335,12 @@ def remove_repeats(docs: DataFrame, **options) -> DataFrame:
     all. Rows repeated as a whole are each other's copies. Rows with one doc_id and different texts are told
     apart. Null doc_ids stay null. Empty input: no rows.
     """
-    keyed = docs.select(F.col("doc_id").cast("long").alias("doc_id"), text_or_empty().alias("text")).select(F.xxhash64("doc_id", "text").alias("key"), "doc_id", "text")
+    keyed = docs.select(F.col("doc_id").cast("long").alias("doc_id"), text_or_empty().alias("text"))
+    keyed = keyed.select(F.unhex(F.md5(F.concat(F.coalesce(F.col("doc_id").cast("string"), F.lit("null")), F.lit(":"), "text"))).alias("key"), "doc_id", "text")
     spans = repeated_spans(keyed, **options).groupBy("key").agg(F.collect_set(F.struct("a", "b")).alias("spans"))
     return arrow_map(keyed.join(spans, "key", "left").select("doc_id", "text", "spans"), _apply, "doc_id long, n_bytes long, n_removed long, n_spans long, kept_sha256 string")
 
 
 def op5_suffix(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All documents; null texts are as empty, repeated rows are copies of each other, no rows for an empty table."""
     return remove_repeats(table(spark, sf_dir, "documents").select("doc_id", "text"))
