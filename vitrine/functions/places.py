@@ -11,16 +11,37 @@ from .text import bare_token, let
 LOCALITY = r"(?iu)^(?:г\.?|город|пгт|пос\.?|поселок|п\.|рп|р\.\s*п\.?|с\.|село|д\.|д\.п\.?|деревня|ст\.?|ст-ца|станица)\s*\S"
 REGION_STARTS = ["респ. ", "республика "]
 REGION_PARTS = ["область", "обл.", "край", "автономный округ", " ао"]
-ABBREVIATED = ["ул\\.?", "пр-кт", "пр-т", "пер\\.?", "кв-л", "мкр\\.?", "б-р", "бул\\.?"]
-STEMS = ["улиц", "переул", "набереж", "площад"]
-WHOLE_WORDS = ["просп(?:ект)?", "квартал", "дом", "шоссе", "тракт", "проезд", "пр-д", "аллея"]
+#: What makes an address of a text besides a digit, in order.
+ADDRESS_PATTERNS = [
+    r"(?:^|[\s,])ул\.?(?:\s|$|[a-zа-яё])",
+    r"\bулиц",
+    r"(?:^|[\s,])пр-кт(?:\s|$|[a-zа-яё])",
+    r"(?:^|[\s,])пр-т(?:\s|$|[a-zа-яё])",
+    r"\bпросп(?:ект)?\b",
+    r"(?:^|[\s,])пер\.?(?:\s|$|[a-zа-яё])",
+    r"\bпереул",
+    r"\bквартал\b",
+    r"(?:^|[\s,])кв-л(?:\s|$|[a-zа-яё])",
+    r"(?:^|[\s,])мкр\.?(?:\s|$|[a-zа-яё])",
+    r"\bдом\b",
+    r"(?:^|[\s,])д\.\s*\d",
+    r"(?:^|[\s,])б-р(?:\s|$|[a-zа-яё])",
+    r"(?:^|[\s,])бул\.?(?:\s|$|[a-zа-яё])",
+    r"\bшоссе\b",
+    r"\bтракт\b",
+    r"\bпроезд\b",
+    r"\bпр-д\b",
+    r"\bнабереж",
+    r"\bплощад",
+    r"\bаллея\b",
+]
 TECHNICAL_REGIONS = ["selection_wines", "coffee_frame", "round_clock_services", "opening_soon"]
 LABEL = r"(?iu)^адрес(?: магазина)?\s*[:\-]?\s*"
 STREET_REWRITES = [("ул\\s+", "ул. "), ("пер\\s+", "пер. "), ("пр[- ]?кт\\s+", "пр-кт "), ("пр-т\\s*", "пр-т "), ("просп(?:ект)?\\s+", "просп. "), ("б[- ]?р\\s+", "б-р "), ("бул\\s+", "бул. "), ("мкр\\s+", "мкр. "), ("кв[- ]?л\\s+", "кв-л "), ("д\\s+", "д. ")]
 PAGE_REWRITES = [(r"(?iu)^адрес\s*[:\-]?\s*", ""), (r"(?iu)^у\s+ул\.?\s*", "ул. "), (r"(?iu)^у\s+", ""), (r"(?iu)^ул\s+", "ул. "), (r"(?iu)^пер\s+", "пер. "), (r"(?iu)^пр[- ]?кт\s+", "пр-кт "), (r"(?iu)^просп\s+", "просп. "), (r"\s+,", ","), (r",\s*,+", ", "), (r"\s{2,}", " ")]
 # ------------------------------------------------------------------------------------------------------------------
 
-_ADDRESS = "(?U)" + "|".join([r"\d", *[rf"(?:^|[\s,]){x}(?:\s|$|[a-zа-яё])" for x in ABBREVIATED], r"(?:^|[\s,])д\.\s*\d", *[rf"\b{x}" for x in STEMS], *[rf"\b{x}\b" for x in WHOLE_WORDS]])
+_ADDRESS = "(?U)" + "|".join([r"\d", *ADDRESS_PATTERNS])
 
 
 def _blank_null(c: Column) -> Column:

@@ -31,8 +31,3 @@ def find_work_time(c: Column) -> Column:
     x = F.regexp_replace(c, r"(?U)\s+", " ")
     found = F.coalesce(*[F.nullif(F.regexp_extract(x, s, 1), F.lit("")) for s in SHAPES])
     return F.when(F.lower(x).contains("круглосуточ"), "круглосуточно").otherwise(clean_work_time(found))
-
-
-def hours_of_parts(start: Column, end: Column) -> Column:
-    """M9. start-end where both have text."""
-    return F.when((F.trim(start) != "") & (F.trim(end) != ""), F.concat_ws("-", F.trim(start), F.trim(end)))

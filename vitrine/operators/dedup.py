@@ -42,21 +42,27 @@ def completeness(columns: list[str] = ORDER_FIELDS) -> Column:
     return sum((F.when(F.coalesce(F.col(c).cast("string"), F.lit("")) != "", 1).otherwise(0) for c in columns), F.lit(0)).cast("long")
 
 
+def best_row(df: DataFrame, keys: list[str], order: list[Column]) -> DataFrame:
+    """The row of each key that is greatest by the order. Combines before the shuffle: one row a key and partition is sent."""
+    picked = df.groupBy(*keys).agg(F.max_by(F.struct("*"), F.struct(*[c.alias(f"o{i}") for i, c in enumerate(order)])).alias("__row"))
+    return picked.select("__row.*")
+
+
 def preference() -> list[Column]:
-    """D6. Completeness, then all fields as text, highest first."""
-    return [completeness().desc(), *[as_text(c).desc() for c in [*ORDER_FIELDS, "stable_key"]]]
+    """D6. Completeness, then all fields as text."""
+    return [completeness(), *[as_text(c) for c in [*ORDER_FIELDS, "stable_key"]]]
 
 
 def keep_best(df: DataFrame, ordinal: Column | None = None) -> DataFrame:
     """D6. The richest row of each stable_key; full ties: the last by the ordinal, or by collected_at."""
-    return keep_first(df, [F.col("stable_key")], [*preference(), (F.col("collected_at") if ordinal is None else ordinal).desc()])
+    return best_row(df, ["stable_key"], [*preference(), F.col("collected_at") if ordinal is None else ordinal])
 
 
 def keep_best_map(df: DataFrame, ordinal: Column | None = None) -> DataFrame:
     """D5. As keep_best, longer addresses before field order."""
     business = [c for c in STORE_COLUMNS if c != "collected_at"]
-    order = [completeness(business).desc(), F.char_length(F.coalesce("address", F.lit(""))).desc(), *[as_text(c).desc() for c in business], (F.col("collected_at") if ordinal is None else ordinal).desc()]
-    return keep_first(df, [F.col("stable_key")], order)
+    order = [completeness(business), F.char_length(F.coalesce("address", F.lit(""))), *[as_text(c) for c in business]]
+    return best_row(df, ["stable_key"], [*order, F.col("collected_at") if ordinal is None else ordinal])
 
 
 def conflicts(df: DataFrame) -> DataFrame:

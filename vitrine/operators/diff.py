@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from ..functions.identity import compare_url
 from ..schemas import CHANGE_SCHEMA, STORE_COLUMNS, TRACKED_FIELDS
-from .dedup import keep_best
+from .dedup import preference
 
 RANKS = {"added": 0, "removed": 1, "changed": 2}
 
@@ -20,19 +20,26 @@ def payload(fields: dict[str, Column]) -> Column:
 def changed_fields() -> Column:
     """C3. Names of the tracked fields that differ, in order; urls are compared by their alias."""
     def value(side: str, f: str) -> Column:
-        c = F.col(f"{side}.{f}")
-        return compare_url(c) if f == "source_url" else c
+        return F.col(f"{side}.alias") if f == "source_url" else F.col(f"{side}.{f}")
 
     return F.array_compact(F.array(*[F.when(~value("p", f).eqNullSafe(value("c", f)), F.lit(f)) for f in TRACKED_FIELDS]))
 
 
 def diff(previous: DataFrame, current: DataFrame, detected_at: str, *, initial: bool = False) -> DataFrame:
-    """C1-C6, X6-X8. Rows of CHANGE_SCHEMA. Both sides are deduplicated by stable_key, then meet in one full outer
-    join on the key that they are already dealt by. initial: no rows at all."""
+    """C1-C6, X6-X8. Rows of CHANGE_SCHEMA of two snapshots. initial: no rows at all."""
     if initial:
         return current.sparkSession.createDataFrame([], CHANGE_SCHEMA)
-    side = lambda df, n: keep_best(df).select("stable_key", F.struct(*STORE_COLUMNS).alias(n))
-    both = side(previous, "p").join(side(current, "c"), "stable_key", "full_outer")
+    side = lambda df, n: df.select(*STORE_COLUMNS, "stable_key", F.lit(n).alias("side"))
+    return diff_sides(side(previous, "p").unionByName(side(current, "c")), detected_at)
+
+
+def diff_sides(rows: DataFrame, detected_at: str) -> DataFrame:
+    """As diff, of one table of rows with side p (previous) or c (current): one grouping by stable_key picks the best row of
+    each side and brings them together, so there is one shuffle, combined before it, and no join."""
+    whole = F.struct(*STORE_COLUMNS, compare_url(F.col("source_url")).alias("alias"))
+    order = F.struct(*[c.alias(f"o{i}") for i, c in enumerate([*preference(), F.col("collected_at")])])
+    best = lambda n: F.max_by(F.when(F.col("side") == n, F.col("row")), F.when(F.col("side") == n, F.col("order"))).alias(n)
+    both = rows.select("stable_key", "side", whole.alias("row"), order.alias("order")).groupBy("stable_key").agg(best("p"), best("c"))
     both = both.withColumn("f", F.when(F.col("p").isNotNull() & F.col("c").isNotNull(), changed_fields()))
     both = both.where("f is null or size(f) > 0")
     kind = F.when(F.col("p").isNull(), "added").when(F.col("c").isNull(), "removed").otherwise("changed")

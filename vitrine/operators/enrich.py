@@ -15,12 +15,6 @@ def fill_region(cities: DataFrame, lookup: DataFrame) -> DataFrame:
     return cities.join(l, "region_id", "left").withColumn("region_name", F.when(F.trim(F.coalesce("region_name", F.lit(""))) != "", F.col("region_name")).otherwise(F.col("__name"))).drop("__name")
 
 
-def inherit(rows: DataFrame, context: DataFrame, key: str, columns: list[str]) -> DataFrame:
-    """X2, X3. Columns that a row lacks come from its context, at most one row a key."""
-    c = context.select(key, *[F.col(x).alias(f"__{x}") for x in columns])
-    return rows.join(c, key, "left").withColumns({x: F.coalesce(x, f"__{x}") for x in columns}).drop(*[f"__{x}" for x in columns])
-
-
 def first_context(rows: DataFrame, key: str, order: list[str], columns: list[str]) -> DataFrame:
     """D7. The first row's columns of each key, by the order; combines before the shuffle."""
     s = F.min(F.struct(*order, *[F.col(c).alias(f"v_{c}") for c in columns])).alias("s")
@@ -39,14 +33,21 @@ def backfill(city: Column, region: Column, context_city: Column, context_region:
 
 
 def with_detail(summaries: DataFrame, details: DataFrame, key: str = "url") -> DataFrame:
-    """X5. Each summary with its detail page where one was read (outcome parsed), else the summary alone (partial), if it says anything; others are skipped.
+    """X5, H13, H14. Each summary with its detail page where one was read (outcome parsed), else the summary alone (partial), if it says anything; others are skipped.
 
-    Both have key, city, region, address, work_time, phone, store_format; details may add more columns.
+    Both have key, city, region, address, work_time, phone, store_format; details may add more columns. Of a parsed row, address, work_time,
+    phone and store_format come from the details and, field by field, from the summary where these say nothing; city and
+    region are the details', completed from the summary by X4.
     """
-    shared = ["city", "region", "address", "work_time", "phone", "store_format"]
-    d = details.withColumn("__hit", F.lit(True)).withColumnsRenamed({c: f"__{c}" for c in shared})
-    partial = {"city": sanitize_location(F.col("city")), "region": sanitize_location(F.col("region")), "address": page_address(F.col("address")), "work_time": clean_work_time(F.col("work_time")), "phone": F.col("phone"), "store_format": F.col("store_format")}
+    fields = ["address", "work_time", "phone", "store_format"]
+    d = details.withColumn("__hit", F.lit(True)).withColumnsRenamed({c: f"__{c}" for c in ("city", "region", *fields)})
     j = summaries.join(d, key, "left")
-    some = F.coalesce(*[F.nullif(c, F.lit("")) for c in partial.values()]).isNotNull()
-    j = j.withColumn("outcome", F.when(F.col("__hit"), "parsed").when(some, "partial").otherwise("skipped"))
-    return j.withColumns({c: F.when(F.col("__hit"), F.col(f"__{c}")).otherwise(partial[c]) for c in shared}).drop("__hit", *[f"__{c}" for c in shared])
+    hit = F.coalesce("__hit", F.lit(False))
+    text = lambda c: F.when(F.trim(c) != "", c)
+    clean = {"address": page_address, "work_time": clean_work_time, "phone": lambda c: c, "store_format": lambda c: c}
+    merged = {c: clean[c](F.coalesce(text(F.col(f"__{c}")), text(F.col(c)))) for c in fields}  # without a hit the first is null
+    city, region = sanitize_location(F.col("city")), sanitize_location(F.col("region"))
+    j = j.withColumn("__place", F.when(hit, backfill(sanitize_location(F.col("__city")), sanitize_location(F.col("__region")), city, region)).otherwise(F.struct(city.alias("city"), region.alias("region"))))
+    j = j.withColumns(merged | {"city": F.col("__place.city"), "region": F.col("__place.region")})
+    some = F.coalesce(*[F.nullif(F.col(c), F.lit("")) for c in ("city", "region", *fields)]).isNotNull()
+    return j.withColumn("outcome", F.when(hit, "parsed").when(some, "partial").otherwise("skipped")).drop("__hit", "__place", *[f"__{c}" for c in ("city", "region", *fields)])

@@ -20,7 +20,35 @@ def snapshot_order() -> list[Column]:
 
 def data_order() -> list[Column]:
     """O1. Five fields with nulls last, then the snapshot's order."""
-    return [F.col(c).asc_nulls_last() for c in ("network", "region", "city", "address", "source_url")] + snapshot_order()
+    first = ("network", "region", "city", "address", "source_url")
+    return [x for c in first for x in (F.col(c).isNull(), F.col(c))] + snapshot_order()
+
+
+def business_order() -> list[Column]:
+    """O3. All canonical fields but the time as text, nulls and zeros empty."""
+    return [as_text(c) for c in STORE_COLUMNS if c != "collected_at"]
+
+
+def ranked(df: DataFrame, order: list[Column], to: str = "place", *, rows_a_range: int = 100_000) -> DataFrame:
+    """df plus each row's place (long, from 1) in the whole order, without a task that holds the whole table.
+
+    A sample by hash gives at most some thousand boundaries; rows are numbered within their range, and ranges' counts, one row each,
+    give the offsets. The order must end in something unique; nulls come first.
+    """
+    keys = df.select("*", F.struct(*[c.alias(f"k{i}") for i, c in enumerate(order)]).alias("__k"))
+    n = df.count()
+    every = max(1, n // 2_000, rows_a_range // 20)
+    edges = []
+    if n > rows_a_range:
+        sample = keys.where(F.pmod(F.xxhash64("__k"), F.lit(every)) == 0).select("__k").distinct().orderBy("__k")
+        edges = sample.collect()[:: max(1, rows_a_range // every)]  # some thousand at most
+    bounds = df.sparkSession.createDataFrame([(x["__k"],) for x in edges], keys.select("__k").schema)
+    low = keys.crossJoin(F.broadcast(bounds.agg(F.array_sort(F.collect_list("__k")).alias("__b"))))  # one row
+    placed = low.withColumn("__r", F.size(F.filter("__b", lambda b: b <= F.col("__k")))).drop("__b")
+    counts = placed.groupBy("__r").agg(F.count("*").alias("__n"))
+    before = counts.select("__r", (F.sum("__n").over(W.orderBy("__r")) - F.col("__n")).alias("__before"))  # one row a range
+    inside = placed.withColumn("__i", F.row_number().over(W.partitionBy("__r").orderBy("__k")))
+    return inside.join(F.broadcast(before), "__r").withColumn(to, F.col("__before") + F.col("__i")).drop("__r", "__i", "__before", "__k")
 
 
 def network_stats(stores: DataFrame) -> DataFrame:
@@ -39,10 +67,11 @@ def column_widths(df: DataFrame, columns: list[str] = STORE_COLUMNS) -> DataFram
     return most.select(F.inline(pairs))
 
 
-def rejects(links: DataFrame, examples: int = 10) -> DataFrame:
-    """G5. (reason, n, samples): refused links counted, with the first few."""
-    ranked = links.where("reason is not null").withColumn("__n", F.row_number().over(W.partitionBy("reason").orderBy("ordinal")))
-    return ranked.groupBy("reason").agg(F.count("*").alias("n"), F.array_sort(F.collect_list(F.when(F.col("__n") <= examples, F.struct("__n", "href")))).alias("s")).select("reason", "n", F.transform("s", lambda x: x["href"]).alias("samples"))
+def samples(links: DataFrame, examples: int = 10) -> DataFrame:
+    """G5. (reason, n, samples): links counted by why they were refused (null: accepted), with the first few hrefs of each."""
+    ranked = links.withColumn("__n", F.row_number().over(W.partitionBy("reason").orderBy("rank", "on", "pos")))
+    picked = F.array_sort(F.collect_list(F.when(F.col("__n") <= examples, F.struct("__n", "href"))))
+    return ranked.groupBy("reason").agg(F.count("*").alias("n"), picked.alias("s")).select("reason", "n", F.transform("s", lambda x: x["href"]).alias("samples"))
 
 
 def first_strategy(rows: DataFrame, rank: str, group: list[str]) -> DataFrame:

@@ -112,7 +112,7 @@ def url_keys(spark, d):
 @query(f"""with a as (select page_id, url, unnest(regexp_extract_all(html, '<a href="([^"]*)"', 1)) as href from pages),
 r as (select *, case when starts_with(href, 'http') then href else regexp_extract(url, '^(https?://[^/?#]*)', 1) || href end as full_url from a),
 c as (select page_id, case when trim(href) = '' then 'empty' when starts_with(href, '+') then 'starts_with_plus' when starts_with(href, '#') then 'starts_with_hash' when starts_with(lower(href), 'javascript:') then 'javascript_link'
- when not regexp_matches(full_url, '(?i)^https?://') then 'unsupported_scheme' when lower(regexp_extract(full_url, '^[a-zA-Z]+://([^/?#:]*)', 1)) not in ('example.com', 'www.example.com') then 'foreign_domain' else 'invalid_city_path' end as reason from r)
+ when not regexp_matches(full_url, '(?i)^https?://') then 'unsupported_scheme' when regexp_extract(full_url, '^[a-zA-Z]+://([^/?#]*)', 1) <> 'example.com' then 'foreign_domain' else 'invalid_city_path' end as reason from r)
 select page_id, reason, count(*) as n from c group by all""")
 def href_classify(spark, d):
     """P2, P3, G5 over the anchors of every page."""
@@ -192,13 +192,18 @@ def context_backfill(spark, d):
     return j.select("c_custkey", s.alias("s")).select("c_custkey", "s.city", "s.region")
 
 
-@query("""with s as (select doc_id as url, source as city, case when doc_id % 10 = 0 then null else 'ул. ' || doc_id end as address from documents)
-select url, case when l.doc_id is not null then 'parsed' when coalesce(city, address) is not null then 'partial' else 'skipped' end as outcome, case when l.doc_id is not null then 'q' || quality else city end as city, case when l.doc_id is not null then null else address end as address from s left join labels l on l.doc_id = url""")
+@query("""with s as (select doc_id as url, case when doc_id % 4 > 0 then source end as city, case when doc_id % 10 > 0 then 'ул. ' || doc_id end as address, case when doc_id % 3 = 0 then '8-21' end as hours, case when doc_id % 7 = 0 then 'f' || doc_id end as phone from documents),
+j as (select *, l.doc_id is not null as hit from s left join labels l on l.doc_id = url),
+x as (select url, hit, case when not hit then city when quality = 1 then 'Город ' || source_len else city end as city, case when hit and quality = 0 then 'пер. ' || url else address end as address, case when hours is not null then '08:00-21:00' when hit and toxic = 1 then '09:00-22:00' end as work_time, phone from (select *, length(coalesce(city, '')) as source_len from j))
+select url, case when hit then 'parsed' when coalesce(city, address, work_time, phone) is not null then 'partial' else 'skipped' end as outcome, city, address, work_time, phone from x""")
 def detail_fallback(spark, d):
-    none = F.lit(None).cast("string")
-    s = table(spark, d, "documents").select(F.col("doc_id").alias("url"), F.col("source").alias("city"), none.alias("region"), F.when(F.col("doc_id") % 10 != 0, F.concat(F.lit("ул. "), F.col("doc_id"))).alias("address"), *[none.alias(c) for c in ("work_time", "phone", "store_format")])
-    t = table(spark, d, "labels").select(F.col("doc_id").alias("url"), F.concat(F.lit("q"), F.col("quality")).alias("city"), *[none.alias(c) for c in ("region", "address", "work_time", "phone", "store_format")])
-    return enrich.with_detail(s, t).select("url", "outcome", "city", "address")
+    """A field that the detail page lacks comes from the summary, one by one; a page that wasn't read leaves the summary."""
+    none, k = F.lit(None).cast("string"), F.col("doc_id")
+    s = table(spark, d, "documents").select(k.alias("url"), F.when(k % 4 > 0, F.col("source")).alias("city"), none.alias("region"), F.when(k % 10 > 0, F.concat(F.lit("ул "), k)).alias("address"), F.when(k % 3 == 0, "8-21").alias("work_time"), F.when(k % 7 == 0, F.concat(F.lit("f"), k)).alias("phone"), none.alias("store_format"))
+    size = s.select(F.col("url").alias("__u"), F.char_length(F.coalesce("city", F.lit(""))).alias("__n"))
+    t = table(spark, d, "labels").join(size, k == F.col("__u"))
+    t = t.select(k.alias("url"), F.when(F.col("quality") == 1, F.concat(F.lit("Город "), F.col("__n"))).alias("city"), none.alias("region"), F.when(F.col("quality") == 0, F.concat(F.lit("пер "), k)).alias("address"), F.when((F.col("toxic") == 1) & (k % 3 > 0), "9 — 22").alias("work_time"), F.lit(" ").alias("phone"), none.alias("store_format"))
+    return enrich.with_detail(s, t).select("url", "outcome", "city", "address", "work_time", "phone")
 
 
 def _two(spark, d):
@@ -223,8 +228,20 @@ changes as (select stable_key, case when no_p then 'added' when no_c then 'remov
  case when not no_p and not no_c then p.work_time end as old_time, case when not no_p and not no_c then c.work_time end as new_time, '{DETECTED}' as detected_at from f where fields is null or len(fields) > 0)"""
 
 
+def _sides(spark, d):
+    """Both snapshots in one table: stores are made canonical and keyed once, then stand on one side or both."""
+    k = F.col("c_custkey")
+    x = keyed(spark, d).withColumn("side", F.explode(F.array_compact(F.array(F.when(k % 10 != 1, "p"), F.when(k % 10 != 2, "c")))))
+    now = F.col("side") == "c"
+    return x.withColumns({"work_time": F.when(now & (k % 6 == 0), "24/7").otherwise(F.col("work_time")), "source_url": F.when(now, F.replace(F.col("source_url"), F.lit("/ural/"), F.lit("/"))).otherwise(F.col("source_url"))})
+
+
+def _diff(spark, d):
+    return diff.diff_sides(_sides(spark, d), DETECTED)
+
+
 def _changes(spark, d):
-    x = diff.diff(*_two(spark, d), DETECTED)
+    x = _diff(spark, d)
     was = lambda c: F.when(F.col("change_type") == "changed", F.get_json_object(c, "$.work_time"))
     return x.select("stable_key", "change_type", "network", "region", "city", "address", "source_url", "changed_fields", was("old_value").alias("old_time"), was("new_value").alias("new_time"), "detected_at")
 
@@ -262,21 +279,19 @@ select stable_key, e.k as field, e.v as value from a where e.v is not null"""
 @query(_PAYLOAD)
 def diff_payload(spark, d):
     """The payload of added stores, field by field."""
-    x = diff.diff(*_two(spark, d), DETECTED).where("change_type = 'added'")
+    x = _diff(spark, d).where("change_type = 'added'")
     m = x.select("stable_key", F.explode(F.from_json("new_value", "map<string,string>")).alias("field", "value"))
     return m.where("value is not null")
 
 
 @query(f"with {_DIFF} select change_type, count(*) as n from changes group by 1")
 def change_counts(spark, d):
-    return diff.change_counts(diff.diff(*_two(spark, d), DETECTED))
+    return diff.change_counts(diff.diff(*_two(spark, d), DETECTED))  # two tables, as a run has them
 
 
 @query(f"with {_DIFF} select stable_key, row_number() over (order by case change_type when 'added' then 0 when 'removed' then 1 else 2 end, coalesce(network, ''), coalesce(city, ''), coalesce(address, ''), stable_key) as place from changes")
 def change_order(spark, d):
-    from pyspark.sql import Window as W
-
-    return diff.diff(*_two(spark, d), DETECTED).select("stable_key", F.row_number().over(W.orderBy(*diff.change_order())).alias("place"))
+    return report.ranked(_diff(spark, d), diff.change_order()).select("stable_key", "place")
 
 
 @query(f"with {CANONICAL} select network, count(*) as stores_count from stores group by 1")
@@ -286,16 +301,18 @@ def network_stats(spark, d):
 
 @query(f"with {KEYED} select c_custkey, row_number() over (order by network nulls last, region nulls last, city nulls last, address nulls last, source_url nulls last, {', '.join(_TEXTS)}, c_custkey) as place from keyed")
 def data_sheet_order(spark, d):
-    from pyspark.sql import Window as W
-
-    return keyed(spark, d).select("c_custkey", F.row_number().over(W.orderBy(*report.data_order(), "c_custkey")).alias("place"))
+    return report.ranked(keyed(spark, d), [*report.data_order(), F.col("c_custkey")]).select("c_custkey", "place")
 
 
 @query(f"with {KEYED} select c_custkey, row_number() over (order by {', '.join(_TEXTS)}, c_custkey) as place from keyed")
 def snapshot_order(spark, d):
-    from pyspark.sql import Window as W
+    return report.ranked(keyed(spark, d), [*report.snapshot_order(), F.col("c_custkey")]).select("c_custkey", "place")
+
 
-    return keyed(spark, d).select("c_custkey", F.row_number().over(W.orderBy(*report.snapshot_order(), "c_custkey")).alias("place"))
+@query(f"with {KEYED} select c_custkey, row_number() over (order by {', '.join(t for t, c in zip(_TEXTS, [*ORDER_FIELDS, 'stable_key']) if c != 'stable_key')}, c_custkey) as place from keyed")
+def map_store_order(spark, d):
+    """O3, with ranges of few rows."""
+    return report.ranked(keyed(spark, d), [*report.business_order(), F.col("c_custkey")], rows_a_range=200).select("c_custkey", "place")
 
 
 @query("select 0 as chain, c_custkey as id, c_name as name from customer union all select 1, s_suppkey, s_name from supplier")
@@ -331,6 +348,196 @@ def map_places(spark, d):
     return places.city_and_address(y)
 
 
+# --- pages, candidates and links, from templates over the tables ----------------------------------------------------
+
+
+@query("""with a as (select page_id, url, regexp_extract_all(html, '<a href="([^"]*)"', 1) as l from pages), b as (select page_id, url, unnest(l) as href, unnest(range(len(l))) as pos from a)
+select page_id, pos, href, case when regexp_matches(href, '^[a-z]+:') then href else regexp_extract(url, '^(https?://[^/?#]*)', 1) || href end as full_url from b""")
+def page_links(spark, d):
+    """P6 and what H1-H4 start from: every anchor in order, resolved."""
+    a = html.anchors(html.parse_pages(table(spark, d, "pages")), "page_id")
+    return a.select("page_id", F.col("pos").cast("long").alias("pos"), "href", F.col("url").alias("full_url"))
+
+
+@query("""with x as (select page_id as k, 'https://s.ru/c/' || page_id as u from pages)
+select k as page_id, u || '?PAGEN_1=2' as page_url, 1 as pos from x union all select k, 'https://s.ru/c/page/' || k, 2 from x where k % 2 = 0 union all select k, u || '?a=1&page=3', 3 from x where k % 3 = 0""")
+def page_pagination(spark, d):
+    """H4: query and path forms, each once at its first place, never the page itself."""
+    k, u = F.col("page_id"), F.concat(F.lit("https://s.ru/c/"), F.col("page_id"))
+    link = lambda href: F.concat(F.lit('<a href="'), href, F.lit('">x</a>'))
+    body = F.concat(link(u), link(F.lit("?PAGEN_1=2")), F.when(k % 2 == 0, link(F.concat(F.lit("/c/page/"), k))).otherwise(link(F.lit("/other"))), F.when(k % 3 == 0, link(F.lit("?a=1&amp;page=3"))).otherwise(link(F.lit("#page=9"))), link(F.lit("?PAGEN_1=2")))
+    p = html.parse_pages(table(spark, d, "pages").select("page_id", u.alias("url"), body.alias("html"))).withColumn("__self", F.col("url"))
+    return html.page_links(p, "page_id").select("page_id", "page_url", F.col("pos").cast("int").alias("pos"))
+
+
+@query("""with x as (select page_id as k from pages)
+select k as page_id, 'https://s.ru/r' || k || '/change' as region_url, 'Region ' || k as name from x union all select k, 'https://s.ru/b/CHANGE/', 'B' from x where k % 2 = 0""")
+def region_links(spark, d):
+    """First anchor of each change path; fragments and map paths are none."""
+    k = F.col("page_id")
+    body = F.concat(F.lit('<a href="/r'), k, F.lit('/change">Region '), k, F.lit('</a><a href="/r'), k, F.lit('/change">again</a><a href="/shops_map/x/change">m</a><a href="/change">c</a><a href="/r/change#f">f</a>'), F.when(k % 2 == 0, '<a href="/b/CHANGE/">B</a>').otherwise(""))
+    p = html.parse_pages(table(spark, d, "pages").select("page_id", F.lit("https://s.ru/shops_map/").alias("url"), body.alias("html")))
+    return html.region_links(p, "page_id")
+
+
+@query("""select page_id, 'City ' || page_id as hint, 'https://s.ru/u/shops_map/c' || page_id as city_url, null::varchar as reason from pages
+union all select page_id, 'Plus', 'https://s.ru/u/shops_map/+p', 'invalid_city_path' from pages where page_id % 2 = 0 union all select page_id, 'Number', 'https://s.ru/u/shops_map/12', 'invalid_city_path' from pages where page_id % 2 = 1
+union all select page_id, 'Far', 'https://t.ru/u/shops_map/c', 'foreign_domain' from pages""")
+def city_links(spark, d):
+    """Anchors of the city list, accepted and refused; those outside the list don't count."""
+    k = F.col("page_id")
+    body = F.concat(F.lit('<a href="/u/shops_map/out">Out</a><ul class="x shop_city_list_ul"><li><a href="/u/Shops_Map/c'), F.lit('0"></a><li><a href="/u/shops_map/c'), k, F.lit('#f">City '), k, F.lit("</a>"), F.when(k % 2 == 0, '<li><a href="/u/shops_map/+p">Plus</a>').otherwise('<li><a href="/u/shops_map/12">Number</a>'), F.lit('<li><b><a href="https://t.ru/u/shops_map/c">Far</a></b></ul>'))
+    p = html.parse_pages(table(spark, d, "pages").select("page_id", F.lit("https://s.ru/").alias("url"), body.alias("html")))
+    return html.city_links(p, "s.ru", "page_id").where("hint <> ''").select("page_id", "hint", "city_url", "reason")
+
+
+@query("""select page_id, 'https://s.ru/shops_map/e/' || page_id as store_url, 'ул. К, ' || page_id as address, case page_id % 3 when 0 then '08:00-21:00' when 1 then 'круглосуточно' end as work_time from pages""")
+def store_summaries(spark, d):
+    """Address of the anchor, hours of the lines around it that aren't the address."""
+    k = F.col("page_id")
+    hours = F.when(k % 3 == 0, "<div>с 8:00 — 21.00</div>").when(k % 3 == 1, "<div>Круглосуточно</div>").otherwise("<div>закрыто</div>")
+    body = F.concat(F.lit('<div><p><a href="/shops_map/e/'), k, F.lit('">ул К, '), k, F.lit('</a></p>'), hours, F.lit('</div><a href="/shops_map/e/'), k, F.lit('">again</a><a href="/shops_map/e/">no</a>'))
+    p = html.parse_pages(table(spark, d, "pages").select("page_id", F.lit("https://s.ru/c").alias("url"), body.alias("html")))
+    return html.store_summaries(p, "page_id").select("page_id", "store_url", "address", "work_time")
+
+
+@query("""select s_suppkey, case s_suppkey % 4 when 0 then 'ул. ' || s_name when 1 then 'Мира, ' || s_suppkey when 2 then 'пер. ' || s_name end as address, case s_suppkey % 4 when 1 then '09:00-21:00' when 2 then '08:30-20:00' end as work_time,
+case s_suppkey % 4 when 0 then '+7 ' || s_suppkey end as phone, case s_suppkey % 4 when 0 then 'Город К' when 3 then 'Омск' when 2 then 'Томск' end as city, case when s_suppkey % 4 = 3 then 'Край' end as store_format from supplier""")
+def html_details(spark, d):
+    """Pairs of dl and of detail blocks, labels in the text, script values; phones only from pairs."""
+    k = F.col("s_suppkey")
+    a = F.concat(F.lit("<dl><dt>Адрес</dt><dd>ул "), F.col("s_name"), F.lit("</dd><dt>Телефон</dt><dd>+7 "), k, F.lit("</dd><dt>Город</dt><dd>Город К</dd><dt>Без пары</dt></dl>"))
+    b = F.concat(F.lit('<div class="wide contacts"><dt>Адрес магазина</dt><dd>Адрес: у Мира, '), k, F.lit("</dd><dt>Режим</dt><dd>9-21</dd></div><footer>тел: 8800</footer>"))
+    c = F.concat(F.lit("<p>Адрес: пер "), F.col("s_name"), F.lit('</p><p>Время работы 8.30-20</p><script>{"city": "Томск"}</script>'))
+    e = F.lit("<p>Формат магазина - Край</p><p>Город: Омск</p><p>Наш город: Тверь</p>")
+    body = F.when(k % 4 == 0, a).when(k % 4 == 1, b).when(k % 4 == 2, c).otherwise(e)
+    p = html.parse_pages(table(spark, d, "supplier").select("s_suppkey", F.lit("https://s.ru/").alias("url"), body.alias("html")))
+    fields = html.store_page(F.col("page"))
+    return p.select("s_suppkey", *[fields[c].alias(c) for c in ("address", "work_time", "phone", "city", "store_format")])
+
+
+@query("""select s_suppkey, case when s_suppkey % 5 < 4 then s_suppkey % 80 + 0.25 end::double as latitude, case when s_suppkey % 5 < 4 then s_suppkey % 170 + 0.5 end::double as longitude from supplier""")
+def html_geo(spark, d):
+    """Attributes, meta properties, a script's pair in either order; half a pair is none."""
+    k = F.col("s_suppkey")
+    lat, lng = F.concat(k % 80, F.lit(".25")), F.concat(k % 170, F.lit(".5"))
+    a = F.concat(F.lit('<i data-lat="x" data-lng="1"></i><i data-lat="'), F.replace(lat, F.lit("."), F.lit(",")), F.lit('" data-lon="'), lng, F.lit('"></i>'))
+    b = F.concat(F.lit('<meta property="place:location:latitude" content="'), lat, F.lit('"><meta property="place:location:longitude" content="'), lng, F.lit('">'))
+    c = F.concat(F.lit('<script>{"lat": "'), lat, F.lit('", "z": 1, "lng": '), lng, F.lit("}</script>"))
+    e = F.concat(F.lit('<script>{"longitude": '), lng, F.lit(', "latitude": '), lat, F.lit("}</script>"))
+    body = F.when(k % 5 == 0, a).when(k % 5 == 1, b).when(k % 5 == 2, c).when(k % 5 == 3, e).otherwise('<script>{"lat": 5.5}</script>')
+    geo = html.coordinates(F.col("page"))
+    return html.parse_pages(table(spark, d, "supplier").select("s_suppkey", F.lit("").alias("url"), body.alias("html"))).select("s_suppkey", geo["lat"].alias("latitude"), geo["lng"].alias("longitude"))
+
+
+@query("""select n_nationkey as city_id, n_name as city, case when n_nationkey % 4 = 0 then 'own ' || n_nationkey when n_regionkey = 4 then 'Регион #4' when n_regionkey > 0 then r_name end as region from nation left join region on n_regionkey = r_regionkey""")
+def city_list(spark, d):
+    """The first endpoint with cities; shops, repeats and what has no id aren't cities; region number 0 is none."""
+    from ..sources import jsonsource as J
+
+    n, r = table(spark, d, "nation"), table(spark, d, "region").where("r_regionkey <> 4")
+    k = F.col("n_nationkey")
+    own = F.struct(k.alias("id"), F.when(k % 2 == 0, F.col("n_name")).alias("name"), F.when(k % 2 == 1, F.col("n_name")).alias("cityName"), F.col("n_regionkey").alias("regionId"), F.when(k % 4 == 0, F.concat(F.lit("own "), k)).alias("regionName"))
+    listed = n.agg(F.array_sort(F.collect_list(own)).alias("cities"))
+    extra = '{"id": 1, "name": "twice"}, {"id": 900, "name": "s", "address": "x"}, {"name": "no id"}, 5'
+    regions = r.agg(F.collect_list(F.struct(F.col("r_regionkey").cast("string").alias("id"), F.col("r_name").alias("title"))).alias("regions"))
+    body = F.concat(F.lit('{"data": {"cities": '), F.regexp_replace(F.to_json("cities"), "\\]$", f", {extra}]"), F.lit('}, "regions": '), F.to_json("regions"), F.lit("}"))
+    one = listed.crossJoin(regions).select(F.explode(F.array(F.struct(F.lit(0).alias("rank"), F.lit('{"cities": []}').alias("body")), F.struct(F.lit(1).alias("rank"), body.alias("body")))).alias("x")).select("x.*")
+    return J.cities(one).select("city_id", "city", "region")
+
+
+@query("""select c_custkey, 0 as item, 'ул. ' || c_custkey as address, case when c_custkey % 4 < 2 then 'Омск' end as city, case c_custkey % 4 when 0 then '52,5' when 1 then '52.5' end as lat, case when c_custkey % 4 = 2 then '8' end as phone from customer""")
+def candidate_flat(spark, d):
+    """M1-M6: JSON.parse of a literal, a named list with loose JSON, a telling list, a named object; others give nothing."""
+    from ..sources import mapscript
+
+    k = F.col("c_custkey")
+    a = F.concat(F.lit("var shops = [{'addr': 'ул. "), k, F.lit("', 'Town': ' Омск ', 'LAT': '52,5'},];"))
+    b = F.concat(F.lit('f(JSON.parse("[{\\"address\\": \\"ул. '), k, F.lit('\\", \\"city\\": \\"Омск\\", \\"lat\\": 52.5}, 7]"))'))
+    c = F.concat(F.lit('init([{"address": "ул. '), k, F.lit('", "tel": "8"}])'))
+    e = F.concat(F.lit('mapData = {"points": [{"fullAddress": "ул. '), k, F.lit('"}]};'))
+    s = table(spark, d, "customer").select("c_custkey", F.when(k % 4 == 0, a).when(k % 4 == 1, b).when(k % 4 == 2, c).otherwise(e).alias("script"))
+    return mapscript.candidates(s).select("c_custkey", "item", "address", "city", "lat", "phone")
+
+
+@query("""select c_custkey, 'ул. ' || c_custkey as address, 'К' || c_custkey as city, case when c_custkey % 2 = 0 then '9-21' end as work_time, [85.5, 52.0]::double[] as coords from customer""")
+def candidate_geojson(spark, d):
+    """M5, M7: features with properties, and with the values in a popup."""
+    from ..sources import mapscript
+
+    k = F.col("c_custkey")
+    geometry = F.lit('{"geometry": {"coordinates": [85.5, 52]}, "properties": {')
+    flat = F.concat(F.lit('"address": "ул. '), k, F.lit('", "town": "К'), k, F.lit('", "schedule": "9-21"'))
+    shown = F.concat(F.lit('"hintContent": "<b>Адрес: ул. '), k, F.lit('</b><br>Город - К'), k, F.lit('"'))
+    s = table(spark, d, "customer").select("c_custkey", F.concat(F.lit('[{"type": 1, "features": ['), geometry, F.when(k % 2 == 0, flat).otherwise(shown), F.lit("}}]}]")).alias("body"))
+    s = s.select("c_custkey", F.regexp_extract("body", "(?s)^\\[\\{\"type\": 1, \"features\": (.*)\\}\\]$", 1).alias("script"))
+    return mapscript.candidates(s, attribute=True).select("c_custkey", "address", "city", "work_time", "coords")
+
+
+@query("""select c_custkey, 'ул. ' || c_custkey as address, case when c_custkey % 2 = 0 then '8-20' end as work_time, case when c_custkey % 3 = 0 then '8 800' end as phone, case when c_custkey % 2 = 1 then [85.25, 52.5]::double[] end as coords from customer""")
+def candidate_popup(spark, d):
+    """M5, M7-M9: upper-case items, and flat ones with an escaped popup."""
+    from ..sources import mapscript
+
+    k = F.col("c_custkey")
+    phone = F.when(k % 3 == 0, "&lt;br&gt;Тел.: 8 800").otherwise("")
+    popup = F.concat(F.lit('[{"popup": "Адрес магазина: ул. '), k, F.lit("&lt;br&gt;Режим работы: 8-20"), phone, F.lit('"}]'))
+    upper = F.concat(F.lit('[{"NAME": "n", "addr": "ул. '), k, F.lit('", "COORDINATE": "52.5, 85.25", "STARTED_WORK": " "'), F.when(k % 3 == 0, ', "TEL": "8 800"').otherwise(""), F.lit("}]"))
+    s = table(spark, d, "customer").select("c_custkey", F.when(k % 2 == 0, popup).otherwise(upper).alias("script"))
+    return mapscript.candidates(s, attribute=True).select("c_custkey", "address", "work_time", "phone", "coords")
+
+
+@query("""select c_custkey, case c_custkey % 6 when 0 then 'Омск, 5' when 1 then 'ул. ' || c_custkey when 2 then 'Омск, д. 5а' when 3 then 'Томск, ул. 1' when 4 then '5 этаж' end as address from customer""")
+def address_city_strip(spark, d):
+    """A city in front goes only where what follows says more than a house number."""
+    k = F.col("c_custkey")
+    a = F.when(k % 6 == 0, "Омск , 5").when(k % 6 == 1, F.concat(F.lit("ОМСК,, ул. "), k)).when(k % 6 == 2, "Омск, д. 5а").when(k % 6 == 3, "Томск, ул. 1").when(k % 6 == 4, "омск;,5  этаж").otherwise(" n/a ")
+    x = table(spark, d, "customer").select("c_custkey", F.when(k % 6 == 4, F.replace(a, F.lit(";,"), F.lit(", "))).otherwise(a).alias("address"), F.lit("Омск").alias("city"))
+    return text.address_pass(x, "address", "city").select("c_custkey", "address")
+
+
+@query("""select event_id, event_id % 5 < 3 as gate from events""")
+def age_gate(spark, d):
+    """Marks in any case, with white space of any kind between words."""
+    from ..sources import mapscript
+
+    k = F.col("event_id") % 5
+    body = F.when(k == 0, "<b>Вам\n  ЕСТЬ\t18?</b>").when(k == 1, '<div class="age-gate">').when(k == 2, "18+ Подтвердите").when(k == 3, "18+ магазин").otherwise("возраст")
+    return table(spark, d, "events").select("event_id", mapscript.is_age_gate(body).alias("gate"))
+
+
+@query("""with x as (select event_id, case event_id % 4 when 0 then 404 when 1 then 503 when 2 then 403 end as status, case when event_id % 3 = 0 then 'city/pagination page' else 'store page' end as scope from events)
+select event_id, case when status is null or status >= 500 then 'ERROR' else 'WARNING' end as level, case when status = 404 and scope = 'city/pagination page' then 'WARNING' else 'INFO' end as quiet from x""")
+def request_levels(spark, d):
+    """Levels of failed requests, by status, scope and the default of the caller."""
+    from ..sources import fetched
+
+    k = F.col("event_id")
+    x = table(spark, d, "events").select("event_id", F.when(k % 4 == 0, 404).when(k % 4 == 1, 503).when(k % 4 == 2, 403).alias("status"), F.when(k % 3 == 0, "city/pagination page").otherwise("store page").alias("scope"))
+    return x.select("event_id", fetched.severity(F.col("status"), F.col("scope")).alias("level"), fetched.severity(F.col("status"), F.col("scope"), "INFO").alias("quiet"))
+
+
+@query("""select n_nationkey, case n_nationkey % 5 when 0 then n_name when 1 then n_name || ' край' when 2 then null when 3 then null else n_name end as place, n_nationkey % 5 in (0, 4) as same from nation""")
+def locations(spark, d):
+    """L1, L2: names need two characters and a letter; equal by letters and digits."""
+    k = F.col("n_nationkey") % 5
+    raw = F.when(k == 0, F.concat(F.lit(" .:"), F.col("n_name"), F.lit(";- "))).when(k == 1, F.concat(F.col("n_name"), F.lit("  край"))).when(k == 2, " 12-34 ").when(k == 3, "я").otherwise(F.concat(F.col("n_name"), F.lit(" ")))
+    return table(spark, d, "nation").select("n_nationkey", places.sanitize_location(raw).alias("place"), F.coalesce(places.same_location(raw, F.lower("n_name")), F.lit(False)).alias("same"))
+
+
+@query("""select event_id, ['200', '201', '202'][(event_id % 3 + 1)::int] as city, event_id % 2 = 0 as kept from events""")
+def shop_places(spark, d):
+    """Names in order of precedence; kept: both coordinates read."""
+    from ..sources import jsonsource as J
+
+    k = F.col("event_id")
+    name = F.when(k % 3 == 0, '"city": " ", "cityName": "200", "name": "x"').when(k % 3 == 1, '"town": "201", "title": "x"').otherwise('"city": 7, "locality": " 202 "')
+    at = F.when(k % 2 == 0, '"latitude": "x", "lat": "1.5", "lon": 2').otherwise('"lat": [1], "lng": "2"')
+    v = table(spark, d, "events").select("event_id", F.try_parse_json(F.concat(F.lit("{"), name, F.lit(", "), at, F.lit("}"))).alias("v"))
+    v = v.select("event_id", J.first_text(F.col("v"), J.SHOP_CITY).alias("city"), J.number(F.col("v"), J.LATITUDE).alias("lat"), J.number(F.col("v"), J.LONGITUDE).alias("lng"))
+    return v.select("event_id", "city", (F.col("lat").isNotNull() & F.col("lng").isNotNull()).alias("kept"))
+
+
 def queries():
     return dict(_QUERIES)
 

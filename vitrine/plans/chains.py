@@ -1,42 +1,73 @@
-"""The three chains as sources: from a table of fetched responses (url, status, final_url, body, error) to store-like rows."""
+"""The three chains as sources: from a table of fetched responses (url, status, final_url, body, error) to store-like rows.
+
+Without a table pages are fetched by the workers. A source's rows carry what else is to know of them: `held`, caches to release once
+the rows are used, and `rejected`, a table (url, reason) of what could not be read.
+"""
 
 from __future__ import annotations
 
+import logging
 from urllib.parse import urlparse
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..functions.identity import canonical, stable_key
-from ..operators.dedup import keep_best_map, keep_first, location_keys
-from ..operators.report import first_strategy
+from ..operators.dedup import conflicts, keep_best_map, keep_first, location_keys
+from ..operators.report import first_strategy, samples
 from ..sources import crawl, fetched, html, jsonsource, mapscript
 from .config import NETWORKS, Config
 
+log = logging.getLogger("vitrine")
+
+
+def _responses(table: DataFrame | None, urls: DataFrame, cfg: Config, headers: dict[str, str] | None = None) -> DataFrame:
+    return table.join(urls, "url", "left_semi") if table is not None else fetched.fetch(urls, timeout=cfg.timeout, retries=cfg.retries, headers=headers)
+
 
-def _responses(spark: SparkSession, table: DataFrame | None, urls: DataFrame, cfg: Config) -> DataFrame:
-    return table.join(urls, "url", "left_semi") if table is not None else fetched.fetch(urls, timeout=cfg.timeout, retries=cfg.retries)
+def _source(rows: DataFrame, held: list[DataFrame], rejected: DataFrame | None = None) -> DataFrame:
+    rows.held, rows.rejected = held, rejected
+    return rows
+
+
+def _counted(name: str, before: DataFrame, after: DataFrame) -> DataFrame:
+    """G3. Rows before and after deduplication."""
+    a, b = before.count(), after.count()
+    if a != b:
+        log.info("%s: deduplicated stores %s -> %s", name, a, b)
+    return after
 
 
 def kb(spark: SparkSession, cfg: Config, table: DataFrame | None) -> DataFrame:
-    """J16, S5, S6, D2. Cities, then their shops."""
+    """J16, S5, S6, D2, P8, E4. Cities, then their shops; what can't be read is set aside."""
     ends = [f"{cfg.kb_url}/api/cities/list/", f"{cfg.kb_url}/api/cities/list"]
-    ranked = spark.createDataFrame([(i, u) for i, u in enumerate(dict.fromkeys(ends))], "rank int, url string")
-    bodies = _responses(spark, table, ranked.select("url"), cfg).join(ranked, "url").select("rank", "body")
+    listed = spark.createDataFrame([(i, u) for i, u in enumerate(dict.fromkeys(ends))], "rank int, url string")
+    bodies = _responses(table, listed.select("url"), cfg).join(listed, "url").select("rank", "body").persist()
     cities = jsonsource.cities(bodies).persist()
     asked = cities.select("city_id", F.format_string(f"{cfg.kb_url}/api/cities/%d/shops/", "city_id").alias("url"))
-    shops = jsonsource.shops(_responses(spark, table, asked.select("url"), cfg).join(asked, "url").select("city_id", "body"))
-    rows = canonical(jsonsource.shop_rows(shops, cities, network=NETWORKS["kb"], base_url=cfg.kb_url), keep=("city_pos", "pos"))
-    return keep_first(rows, location_keys(url_fallback=True), [F.col("city_pos"), F.col("pos")])
+    answers = _responses(table, asked.select("url"), cfg).select("url", "body").persist()
+    shops = jsonsource.shops(answers.join(asked, "url").select("city_id", "body"))
+    rows = canonical(jsonsource.shop_rows(shops, cities, network=NETWORKS["kb"], base_url=cfg.kb_url), keep=("city_pos", "pos")).persist()
+    once = keep_first(rows, location_keys(url_fallback=True), [F.col("city_pos"), F.col("pos")])
+    lost = jsonsource.nameless_cities(bodies).unionByName(fetched.rejected(asked, answers))
+    return _source(_counted("kb", rows, once), [bodies, cities, answers, rows], lost)
 
 
 def maria_ra(spark: SparkSession, cfg: Config, table: DataFrame | None) -> DataFrame:
     """M27, S7-S10, D4, D5. Inline scripts, then external ones, then data attributes: the first that yields candidates. A browser isn't driven."""
-    page = _responses(spark, table, spark.createDataFrame([(cfg.maria_ra_map_url,)], "url string"), cfg).where(F.col("body").isNotNull() & ~mapscript.is_age_gate(F.col("body")))
+    wanted = spark.createDataFrame([(cfg.maria_ra_map_url,)], "url string")
+    page = _responses(table, wanted, cfg).where(F.col("body").isNotNull()).persist()
+    held = [page]
+    if not page.where(mapscript.is_age_gate(F.col("body"))).isEmpty():
+        log.warning("maria_ra: the map page asks for an age%s", "" if table is not None else ", trying again with its cookies")
+        if table is None:
+            cookies = "; ".join(f"{k}={v}" for k, v in fetched.AGE_COOKIES.items())
+            page = _responses(None, wanted, cfg, {"Cookie": cookies}).where(F.col("body").isNotNull()).persist()
+            held.append(page)
     parsed = html.parse_pages(page, "body", "url").persist()
     inline = parsed.select(F.posexplode("page.scripts").alias("pos", "script"))
     outside = parsed.select(F.posexplode("page.script_urls").alias("pos", "url"))
-    loaded = _responses(spark, table, outside.select("url").distinct(), cfg).where("body is not null").join(outside, "url").select("pos", F.col("body").alias("script"))
+    loaded = _responses(table, outside.select("url").distinct(), cfg).where("body is not null").join(outside, "url").select("pos", F.col("body").alias("script"))
     data = parsed.select(F.posexplode("page.data").alias("pos", "script"))
     found = None
     for rank, (texts, attribute) in enumerate(((inline, False), (loaded, False), (data, True))):
@@ -45,17 +76,29 @@ def maria_ra(spark: SparkSession, cfg: Config, table: DataFrame | None) -> DataF
         found = c if found is None else found.unionByName(c)
     best = mapscript.dedup_candidates(first_strategy(found, "rank", ["one"]), ["item"])
     rows = mapscript.store_rows(best, network=NETWORKS["maria_ra"], map_url=cfg.maria_ra_map_url, keep=("item",))
-    return keep_best_map(stable_key(canonical(rows, keep=("item",))), F.col("item")).drop("stable_key", "item")
+    rows = stable_key(canonical(rows, keep=("item",))).persist()
+    twice = conflicts(rows).agg(F.sum("duplicates").alias("n"), F.count(F.when(F.col("conflicting"), 1)).alias("bad")).first()
+    if twice.n:
+        log.log(logging.WARNING if twice.bad else logging.INFO, "maria_ra: %s rows removed, %s keys in conflict", twice.n, twice.bad)
+    return _source(keep_best_map(rows, F.col("item")).drop("stable_key", "item"), [*held, parsed, rows])
 
 
 def monetka(spark: SparkSession, cfg: Config, table: DataFrame | None) -> DataFrame:
-    """S13-S16, D3. The crawl over fetched pages; a live crawl fills that table level by level."""
-    if table is None:
-        raise RuntimeError("the crawl reads a table of fetched pages; pass --fetched")
+    """S13-S16, D3, G3-G5. The crawl, over fetched pages or live, level by level."""
     seed = f"{cfg.monetka_url}/shops_map/"
-    host = (urlparse(cfg.monetka_url).hostname or "").removeprefix("www.")
-    rows = crawl.crawl(table, seed, host).withColumn("network", F.lit(NETWORKS["monetka"]))
-    return keep_first(canonical(rows), location_keys(url_fallback=False), [F.col("source_url")])
+
+    def get(urls: DataFrame, referer: str | None) -> DataFrame:
+        return _responses(table, urls, cfg, {"Referer": referer} if referer else None)
+
+    site = crawl.crawl(spark, get, seed, urlparse(cfg.monetka_url).netloc)
+    for r in samples(site.links).collect():  # one row a reason, ten samples each
+        log.info("monetka: %s city links %s, such as %s", r.n, r.reason or "accepted", "; ".join(r.samples))
+    for r in site.issues.groupBy("scope", "status", "level").agg(F.count("*").alias("n"), F.min("url").alias("url")).collect():  # one row a kind
+        log.log(getattr(logging, r.level), "monetka: %s %s unavailable status_code=%s, such as %s", r.n, r.scope, r.status, r.url)
+    rows = canonical(site.stores, keep=("outcome",)).withColumn("network", F.lit(NETWORKS["monetka"])).persist()
+    log.info("monetka: %s, skipped %s", {r.outcome: r.n for r in rows.groupBy("outcome").agg(F.count("*").alias("n")).collect()}, site.skipped.count())
+    once = keep_first(rows, location_keys(url_fallback=False), [F.col("source_url")]).drop("outcome")
+    return _source(_counted("monetka", rows, once), [rows], site.issues.select("url", F.concat_ws(" ", "scope", F.col("status").cast("string")).alias("reason")))
 
 
 def all_sources(cfg: Config, table: DataFrame | None = None):

@@ -8,6 +8,7 @@ from dataclasses import dataclass
 # --- fixed values: names and defaults ------------------------------------------------------------------------------
 NETWORKS = {"kb": "Красное & Белое", "monetka": "Монетка", "maria_ra": "Мария-Ра"}
 PREFIX = "STORE_PARSER_"
+KB_URL, MONETKA_URL, MARIA_RA_URL, MARIA_RA_MAP_URL = "https://krasnoeibeloe.ru", "https://www.monetka.ru", "https://www.maria-ra.ru", "https://www.maria-ra.ru/o-kompanii/karta-seti/"
 # ------------------------------------------------------------------------------------------------------------------
 
 
@@ -51,8 +52,7 @@ def load_env_file(path: str = ".env") -> None:
 def from_env() -> Config:
     """S18."""
     site = lambda n, d: _text(n, d).rstrip("/")
-    maria = site("MARIA_RA_BASE_URL", "https://www.maria-ra.ru")
     return Config(
         _text("OUTPUT", "output/stores.xlsx"), _text("SNAPSHOT", "") or None, _text("LOG_FILE", "logs/parser.log"), _text("LOG_LEVEL", "INFO").upper(), _whole("TIMEOUT", 20, 1), _whole("RETRIES", 3, 0),
-        site("KB_BASE_URL", "https://krasnoeibeloe.ru"), site("MONETKA_BASE_URL", "https://www.monetka.ru"), maria, site("MARIA_RA_MAP_URL", f"{maria}/o-kompanii/karta-magazinov") + "/",
+        site("KB_BASE_URL", KB_URL), site("MONETKA_BASE_URL", MONETKA_URL), site("MARIA_RA_BASE_URL", MARIA_RA_URL), site("MARIA_RA_MAP_URL", MARIA_RA_MAP_URL) + "/",
     )

@@ -49,6 +49,16 @@ def default_snapshot(output: str) -> str:
     return os.path.join(head, os.path.splitext(name)[0] + "_snapshot")
 
 
+def set_aside(rejected: DataFrame, path: str, name: str) -> None:
+    """E4, P8. What could not be read, as JSON lines (url, reason) of this run."""
+    rejected = rejected.persist()
+    reasons = {r.reason: r.n for r in rejected.groupBy("reason").agg(F.count("*").alias("n")).collect()}
+    if reasons:
+        log.warning("source %s: set aside %s in %s", name, reasons, path)
+        rejected.write.mode("overwrite").json(path)
+    rejected.unpersist()
+
+
 def run(spark: SparkSession, sources: dict[str, Callable[[SparkSession], DataFrame]], output: str, snapshot: str | None = None, *, network: str | None = None, scoped: bool = False, now: str | None = None) -> Result:
     """E1, E2, P11, U1. Each source is materialised on its own, so that one that fails leaves the others; then the
     differences count as initial, the baseline stays and the exit code is 1. An empty source is a success (E7).
@@ -62,9 +72,15 @@ def run(spark: SparkSession, sources: dict[str, Callable[[SparkSession], DataFra
     parts, failed = [], []
     for i, (name, source) in enumerate(chosen.items()):
         try:
-            rows = canonical(source(spark), passes=1, collected_at=now).withColumn("chain", F.lit(i)).persist()
-            log.info("source %s: %s rows", name, rows.count())
+            found = source(spark)
+            rows = canonical(found, passes=1, collected_at=now).withColumn("chain", F.lit(i)).persist()
+            n = rows.count()
+            log.log(logging.INFO if n else logging.WARNING, "source %s: %s rows", name, n)  # E7: none is a success all the same
             parts.append(rows)
+            if getattr(found, "rejected", None) is not None:
+                set_aside(found.rejected, f"{default_snapshot(output).removesuffix('_snapshot')}_rejected/{name}", name)
+            for cached in getattr(found, "held", ()):
+                cached.unpersist()
         except KeyboardInterrupt:
             return Result(INTERRUPTED, diff(*[spark.createDataFrame([], STORE_SCHEMA)] * 2, now, initial=True), "missing", True, failed, {})
         except Exception:
@@ -88,6 +104,8 @@ def run(spark: SparkSession, sources: dict[str, Callable[[SparkSession], DataFra
         log.warning("baseline kept, failed: %s", failed)
     else:  # W5
         S.save(current, snapshot, now, ready=True)
+    for cached in (*parts, current):
+        cached.unpersist()
     log.info("done in %.2f s: %s", time.time() - began, counts)
     return Result(FAILED if failed else OK, changes, before.status, initial, failed, counts)
 

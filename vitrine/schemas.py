@@ -1,12 +1,11 @@
-"""Schemas (as DDL) of canonical rows, changes and extracted candidates."""
-
+"""Schemas (as DDL) of canonical rows and changes: fixed values, names and order of columns."""
 
 STORE_COLUMNS = ["network", "region", "city", "address", "work_time", "latitude", "longitude", "phone", "store_format", "status", "source_url", "collected_at"]
-STORE_SCHEMA = "network string, region string, city string, address string, work_time string, latitude double, longitude double, phone string, store_format string, status string, source_url string, collected_at string"
-SNAPSHOT_SCHEMA = "network string, region string, city string, address string, work_time string, latitude double, longitude double, phone string, store_format string, status string, source_url string, collected_at string, stable_key string"
+STORE_SCHEMA = ", ".join(f"{c} {'double' if c in ('latitude', 'longitude') else 'string'}" for c in STORE_COLUMNS)
+SNAPSHOT_SCHEMA = f"{STORE_SCHEMA}, stable_key string"
 TRACKED_FIELDS = ["region", "city", "address", "work_time", "latitude", "longitude", "phone", "store_format", "status", "source_url"]
 ORDER_FIELDS = ["network", *TRACKED_FIELDS]
-CHANGE_SCHEMA = "network string, region string, city string, address string, source_url string, change_type string, changed_fields string, old_value string, new_value string, detected_at string, stable_key string"
-CANDIDATE_SCHEMA = "address string, city string, region string, work_time string, phone string, lat string, lng string, coords array<double>, status string, format string"
+CHANGE_COLUMNS = ["network", "region", "city", "address", "source_url", "change_type", "changed_fields", "old_value", "new_value", "detected_at", "stable_key"]
+CHANGE_SCHEMA = ", ".join(f"{c} string" for c in CHANGE_COLUMNS)
 #: Older names of columns, in order of precedence; the first that is present counts even where it is null.
 ALIASES = {"latitude": ("lat",), "longitude": ("lng", "lon"), "collected_at": ("parsed_at",)}

@@ -1,60 +1,93 @@
-"""A site of seed, region, city and store pages as joins over a table of fetched pages."""
+"""A site of seed, region, city and store pages: levels of pages, each got and parsed once, written to the shared folder and joined downwards."""
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from collections.abc import Callable
+from dataclasses import dataclass
+
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from ..functions.places import sanitize_location
 from ..operators.dedup import keep_first
-from ..operators.enrich import backfill
+from ..operators.enrich import with_detail
+from ..shared import cut
 from . import html as H
+from .fetched import issues
 
 PAGES_PER_CITY = 20  # the reference behaviour: a city's pagination is followed over so many pages
 
 
-def crawl(pages: DataFrame, seed: str, host: str, *, most_pages: int = PAGES_PER_CITY) -> DataFrame:
-    """S13-S16, H1-H14, X3-X5, D7. Store-like rows with outcome (parsed or partial).
+@dataclass
+class Site:
+    """stores: store-like rows with outcome (parsed, partial); skipped: urls without anything to say; issues: (scope, url, status, level);
+    links: city links (rank, on: their page, pos, href, city_url, reason; null reason: accepted)."""
+
+    stores: DataFrame
+    skipped: DataFrame
+    issues: DataFrame
+    links: DataFrame
+
 
-    pages: (url, final_url, status, body), body null where a fetch failed. The seed or a region that can't be read, and a seed without
-    regions, fail as a whole (E5). Parsed pages are cached: five levels read them.
+def crawl(spark: SparkSession, get: Callable[[DataFrame, str | None], DataFrame], seed: str, site: str, *, most_pages: int = PAGES_PER_CITY) -> Site:
+    """S13-S16, H1-H14, X3-X5, D7, G4, P10.
+
+    get: urls (url) and a referer to (url, final_url, status, body); from a table of fetched pages, or live. The seed or a region that
+    can't be read, and a seed without regions, fail as a whole (E5).
     """
-    good = pages.where("body is not null and coalesce(status, 200) < 400")
-    parsed = H.parse_pages(good.select("url", F.coalesce("final_url", "url").alias("final_url"), "body"), "body", "url").persist()
-    regions = H.region_links(parsed.where(F.col("url") == seed), "url").select(F.col("region_url").alias("url"), "name").persist()
+    failed: list[DataFrame] = []
+
+    def pages(urls: DataFrame, scope: str, referer: str | None = None) -> DataFrame:
+        got = get(urls.select("url").distinct(), referer)
+        good = F.col("body").isNotNull() & (F.coalesce("status", F.lit(200)) < 400)
+        fresh = got.select("url", F.coalesce("final_url", "url").alias("final_url"), F.col("status").cast("int").alias("status"), F.when(good, F.col("body")).alias("body"))
+        fresh = H.parse_pages(fresh, "body", "url")
+        fresh = cut(fresh)
+        failed.append(issues(urls, fresh, scope))
+        return fresh.where("body is not null").select("url", "final_url", "page")
+
+    first = pages(spark.createDataFrame([(seed,)], "url string"), "seed page")
+    regions = H.region_links(first).select(F.col("region_url").alias("url"), sanitize_location(F.col("name")).alias("name"))
+    regions = cut(regions)
     n = regions.count()
     if not n:
         raise RuntimeError("the seed page is missing or has no regions")
-    if regions.join(good.select("url"), "url", "left_semi").count() < n:
+    tops = pages(regions, "region page", seed)
+    if tops.count() < n:
         raise RuntimeError("a region page is missing")
-    tops = parsed.join(regions.withColumn("rank", F.lit(1)), "url").unionByName(parsed.where(F.col("url") == seed).withColumns({"name": F.lit(None).cast("string"), "rank": F.lit(0)}))
-    links = H.city_links(tops.withColumn("region", sanitize_location(F.coalesce("name", "page.region_hint"))), host, "rank", "url", "region").where("reason is null")
-    cities = keep_first(links, [F.col("city_url")], [F.col("rank"), F.col("url"), F.col("pos")]).select("city_url", "hint", "region")
-    seen = cities.select("city_url", F.col("city_url").alias("url"), F.lit(1).alias("n"))
-    frontier = seen
-    for step in range(2, most_pages + 1):
-        found = H.page_links(parsed.join(frontier.select("city_url", "url"), "url").withColumn("__self", F.col("url")), "city_url").select("city_url", F.col("page_url").alias("url"))
-        counts = seen.groupBy("city_url").agg(F.count("*").alias("had"))
-        fresh = keep_first(found, [F.col("city_url"), F.col("url")], [F.col("url")]).join(seen, ["city_url", "url"], "left_anti")
-        ranked = fresh.join(counts, "city_url").withColumn("r", F.row_number().over(W.partitionBy("city_url").orderBy("url")))
-        frontier = ranked.where(F.col("r") + F.col("had") <= most_pages).select("city_url", "url", F.lit(step).alias("n")).persist()
+    tops = tops.join(regions, "url").select(F.col("url").alias("on"), "page", F.lit(1).alias("rank"), F.col("name").alias("region"))
+    tops = tops.unionByName(first.select(F.col("url").alias("on"), "page", F.lit(0).alias("rank"), H.active_region(F.col("page")).alias("region")))
+    links = H.city_links(tops, site, "rank", "on", "region")
+    links = cut(links)
+    accepted = links.where("reason is null").withColumn("hint", sanitize_location(F.col("hint")))
+    cities = keep_first(accepted, [F.col("city_url")], [F.col("rank"), F.col("on"), F.col("pos")]).select("city_url", "hint", "region")
+    cities = cut(cities)
+    seen = cities.select("city_url", F.col("city_url").alias("url"), F.lit(1).cast("long").alias("n"))
+    frontier, listing = seen, None
+    for _ in range(most_pages):
+        # a queue's order: by the page that a link is on, then by its place; pages of one level come before those they link to
+        level = pages(frontier, "city/pagination page").join(frontier, "url").select("city_url", "url", "n", "page")
+        listing = level if listing is None else listing.unionByName(level)
+        found = H.page_links(level.withColumn("__self", F.col("url")), "city_url", "n").select("city_url", F.col("page_url").alias("url"), F.struct("n", "pos").alias("at"))
+        fresh = found.groupBy("city_url", "url").agg(F.min("at").alias("at")).join(seen, ["city_url", "url"], "left_anti")
+        had = seen.groupBy("city_url").agg(F.max("n").alias("had"))
+        numbered = fresh.join(had, "city_url").withColumn("n", F.col("had") + F.row_number().over(W.partitionBy("city_url").orderBy("at", "url")))
+        frontier = cut(numbered.where(F.col("n") <= most_pages).select("city_url", "url", F.col("n").cast("long").alias("n")))
         if frontier.isEmpty():
             break
         seen = seen.unionByName(frontier)
-    listing = parsed.join(seen, "url").join(cities, "city_url")
-    context = listing.withColumn("ctx", H.city_context(F.col("page"), F.col("hint")))
-    context = context.withColumns({"c": F.col("ctx.city"), "r": F.coalesce("region", "ctx.region")})
-    stores = H.store_summaries(context, "city_url", "n", "c", "r")
-    stores = keep_first(stores, [F.col("store_url")], [F.col("city_url"), F.col("n"), F.col("pos")])
-    fields = H.store_page(F.col("page"))
-    detail = parsed.select(F.col("url").alias("store_url"), F.col("final_url").alias("moved"), *[v.alias(f"d_{k}") for k, v in fields.items()])
-    j = stores.join(detail, "store_url", "left")
-    hit = F.col("moved").isNotNull()
-    place = backfill(F.col("d_city"), F.col("d_region"), sanitize_location(F.col("c")), sanitize_location(F.col("r")))
-    j = j.withColumn("place", place)
-    some = F.coalesce(F.col("c"), F.col("r"), F.col("address"), F.col("work_time")).isNotNull()
-    return j.where(hit | some).select(
-        F.when(hit, "parsed").otherwise("partial").alias("outcome"), F.col("place.region").alias("region"), F.col("place.city").alias("city"), F.coalesce("d_address", "address").alias("address"), F.coalesce("d_work_time", "work_time").alias("work_time"),
-        F.col("d_latitude").alias("latitude"), F.col("d_longitude").alias("longitude"), F.col("d_phone").alias("phone"), F.col("d_store_format").alias("store_format"), F.col("d_status").alias("status"), F.coalesce("moved", "store_url").alias("source_url"),
-    )
+    own = listing.where("url = city_url").select("city_url", H.city_context(F.col("page"), F.lit(None).cast("string")).alias("ctx"))
+    context = cities.join(own, "city_url", "left").select("city_url", F.coalesce("hint", "ctx.city").alias("city"), F.coalesce("region", "ctx.region").alias("region"))
+    stores = H.store_summaries(listing, "city_url", "n")
+    stores = keep_first(stores, [F.col("store_url")], [F.col("city_url"), F.col("n"), F.col("pos")]).join(context, "city_url")
+    none = F.lit(None).cast("string")
+    summaries = stores.select(F.col("store_url").alias("url"), "city", "region", "address", "work_time", none.alias("phone"), none.alias("store_format"))
+    summaries = cut(summaries)
+    details = pages(summaries, "store page").select("url", F.col("final_url").alias("moved"), *[v.alias(k) for k, v in H.store_page(F.col("page")).items()])
+    rows = cut(with_detail(summaries, details).withColumn("source_url", F.coalesce("moved", "url")))
+    stores = rows.where("outcome <> 'skipped'").select("outcome", "region", "city", "address", "work_time", "latitude", "longitude", "phone", "store_format", "status", "source_url")
+    wrong = failed[0]
+    for x in failed[1:]:
+        wrong = wrong.unionByName(x)
+    return Site(stores, rows.where("outcome = 'skipped'").select("url"), wrong, links)

@@ -7,11 +7,12 @@ from pyspark.sql import functions as F
 
 # --- fixed values: when and how often a request is repeated ---------------------------------------------------------
 RETRY_STATUSES, BACKOFF = [429, 500, 502, 503, 504], 0.5
+AGE_COOKIES = {"is_adult": "1", "adult": "1", "age_verified": "1", "confirm18": "1", "age": "18"}
 # ------------------------------------------------------------------------------------------------------------------
 SCHEMA = "url string, status int, final_url string, body string, error string"
 
 
-def fetch(urls: DataFrame, *, timeout: int = 20, retries: int = 3, url: str = "url") -> DataFrame:
+def fetch(urls: DataFrame, *, timeout: int = 20, retries: int = 3, url: str = "url", headers: dict[str, str] | None = None) -> DataFrame:
     """S1-S3. Rows of SCHEMA for each url, fetched where the tasks run, with repeats on failures; repeated tasks fetch again."""
     import pandas as pd
 
@@ -23,7 +24,7 @@ def fetch(urls: DataFrame, *, timeout: int = 20, retries: int = 3, url: str = "u
         last = {"url": u, "status": None, "final_url": None, "body": None, "error": None}
         for i in range(retries + 1):
             try:
-                with urllib.request.urlopen(u, timeout=timeout) as r:
+                with urllib.request.urlopen(urllib.request.Request(u, headers=headers or {}), timeout=timeout) as r:
                     return last | {"status": r.status, "final_url": r.url, "body": r.read().decode(r.headers.get_content_charset() or "utf-8", "replace"), "error": None}
             except urllib.error.HTTPError as e:
                 last |= {"status": e.code, "error": f"HTTP {e.code}"}
@@ -44,17 +45,20 @@ def fetch(urls: DataFrame, *, timeout: int = 20, retries: int = 3, url: str = "u
     return urls.select(F.col(url).alias("url")).mapInPandas(run, SCHEMA)
 
 
-def severity(status: Column, scope: Column, handled: Column) -> Column:
-    """P10, E6. Log level of a failed request: a missing store page is expected, what a fallback covers is a warning."""
-    return F.when((status == 404) & (scope == "store"), "INFO").when(handled, "WARNING").otherwise("ERROR")
+def severity(status: Column, scope: Column, default: str = "WARNING") -> Column:
+    """P10, E6. Log level of a failed request: a missing page of a city is expected; no status, or the server's own failure, is an error."""
+    worse = "ERROR" if default in ("WARNING", "ERROR") else default
+    return F.when((status == 404) & (scope == "city/pagination page"), "WARNING").when(status.isNull() | (status >= 500), worse).otherwise(default)
 
 
-def as_json(body: Column) -> Column:
-    """S4. A variant, null where the body isn't JSON."""
-    return F.try_parse_json(body)
+def issues(asked: DataFrame, got: DataFrame, scope: str, default: str = "WARNING") -> DataFrame:
+    """(scope, url, status, level) of the urls that were asked for and not read."""
+    bad = asked.select("url").distinct().join(got.select("url", "status", "body"), "url", "left").where("body is null or status >= 400")
+    return bad.select(F.lit(scope).alias("scope"), "url", F.col("status").cast("int").alias("status")).withColumn("level", severity(F.col("status"), F.col("scope"), default))
 
 
-def parsed_or_quarantined(df: DataFrame, body: str = "body") -> tuple[DataFrame, DataFrame]:
-    """E4. Rows whose body is JSON, and those that aren't."""
-    v = df.withColumn("payload", F.try_parse_json(F.col(body)))
-    return v.where("payload is not null"), v.where("payload is null").drop("payload")
+def rejected(asked: DataFrame, got: DataFrame) -> DataFrame:
+    """S4, E4. (url, reason) of the urls without a response and of bodies that aren't JSON."""
+    j = asked.select("url").distinct().join(got.select("url", "body"), "url", "left")
+    reason = F.when(F.col("body").isNull(), "no response").when(F.try_parse_json("body").isNull(), "invalid json")
+    return j.select("url", reason.alias("reason")).where("reason is not null")

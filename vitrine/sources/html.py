@@ -1,14 +1,16 @@
 """HTML pages: one Arrow pass over the standard library's parser; everything after it is native.
 
-parse_pages() adds a struct with the text lines, anchors (with the text lines of up to five
-ancestors), definition pairs, coordinates in attributes, scripts, data attributes and headings.
+parse_pages() adds a struct with the text lines, anchors (those of stores with the lines of up to five
+ancestors), definition pairs, coordinates in attributes, scripts, data attributes and headings. A page is walked once: every
+node knows which stretch of the page's texts is its own, so time grows with the page, not with its depth.
 """
 
 from __future__ import annotations
 
+import re
 from html import unescape
 from html.parser import HTMLParser
-from urllib.parse import urljoin
+from urllib.parse import urljoin, urlsplit
 
 import pandas as pd
 from pyspark.sql import Column, DataFrame
@@ -21,8 +23,12 @@ from ..functions.worktime import clean_work_time, find_work_time
 
 VOID = {"area", "base", "br", "col", "embed", "hr", "img", "input", "link", "meta", "source", "track", "wbr"}
 CLOSES = {"li": {"li"}, "dt": {"dt", "dd"}, "dd": {"dt", "dd"}, "p": {"p"}, "tr": {"tr", "td", "th"}, "td": {"td", "th"}, "th": {"td", "th"}, "option": {"option"}}
+# --- fixed values: where a page holds things ------------------------------------------------------------------------
 DATA_LISTS = ["data-objects", "data-points", "data-shops", "data-stores", "data-features"]
+DETAIL_CLASSES = {"shop-card", "store-card", "contacts", "content"}
+STORE_PATH = re.compile(r"/shops_map/[^/]+/\d+/?$")
 ANCESTORS = 5
+# ------------------------------------------------------------------------------------------------------------------
 
 PAGE = (
     "struct<lines:array<string>,title:string,h1:string,region_hint:string,active_region:array<string>,scripts:array<string>,script_urls:array<string>,data:array<string>,"
@@ -31,25 +37,40 @@ PAGE = (
 
 
 class _Node:
-    __slots__ = ("tag", "attrs", "parent", "children")
+    __slots__ = ("tag", "attrs", "parent", "children", "span")
 
     def __init__(self, tag, attrs, parent):
-        self.tag, self.attrs, self.parent, self.children = tag, attrs, parent, []
-
-    def walk(self):
-        stack = [self]
-        while stack:
-            n = stack.pop()
-            yield n
-            if isinstance(n, _Node):
-                stack.extend(reversed(n.children))
-
-    def texts(self) -> list[str]:
-        return [t for n in self.walk() if isinstance(n, str) and (t := n.strip())]
+        self.tag, self.attrs, self.parent, self.children, self.span = tag, attrs, parent, [], (0, 0)
 
     def classes(self) -> list[str]:
         return (self.attrs.get("class") or "").split()
 
+    def within(self, ok) -> bool:
+        n = self.parent
+        while n is not None:
+            if ok(n):
+                return True
+            n = n.parent
+        return False
+
+
+def _walk(root: _Node) -> tuple[list[_Node], list[str]]:
+    """Nodes and texts in document order; each node gets the span of its texts."""
+    nodes, texts, stack = [], [], [root]
+    while stack:
+        n = stack.pop()
+        if isinstance(n, str):
+            if t := n.strip():
+                texts.append(t)
+        elif isinstance(n, tuple):  # the node's end
+            n[0].span = (n[0].span[0], len(texts))
+        else:
+            nodes.append(n)
+            n.span = (len(texts), len(texts))
+            stack.append((n,))
+            stack.extend(reversed(n.children))
+    return nodes, texts
+
 
 class _Tree(HTMLParser):
     def __init__(self):
@@ -83,41 +104,47 @@ def parse(html: str, base: str = "") -> dict:
     t = _Tree()
     t.feed(html or "")
     t.close()
-    nodes = [n for n in t.root.walk() if isinstance(n, _Node)]
-    first = lambda ok: next((" ".join(n.texts()) for n in nodes if ok(n)), None)
-    out: dict = {"lines": [x for s in t.root.texts() for x in s.splitlines()], "title": first(lambda n: n.tag == "title"), "h1": first(lambda n: n.tag == "h1")}
+    nodes, texts = _walk(t.root)
+    inner = lambda n: " ".join(texts[n.span[0] : n.span[1]])
+    first = lambda ok: next((inner(n) for n in nodes if ok(n)), None)
+    out: dict = {"lines": [x for s in texts for x in s.splitlines()], "title": first(lambda n: n.tag == "title"), "h1": first(lambda n: n.tag == "h1")}
     out["region_hint"] = first(lambda n: n.tag == "span" and {"black", "dashed"} <= set(n.classes()))
-    out["active_region"] = [" ".join(n.texts()) for n in nodes if n.tag in ("a", "li", "span") and {"active", "current", "selected"} & set(n.classes())][:3]
-    out["scripts"] = [" ".join(n.texts()) for n in nodes if n.tag == "script"]
+    layer = lambda n: n.attrs.get("id") == "city_layer"
+    chosen = lambda n: n.tag == "li" and "act" in n.classes() and n.within(layer)
+    active = [first(lambda n, x=x: n.tag == x and n.within(chosen)) for x in ("span", "a")]
+    active.append(first(lambda n: n.tag == "option" and "selected" in n.attrs and n.within(lambda m: m.tag == "select")))
+    out["active_region"] = [x for x in active if x is not None]
+    out["scripts"] = [inner(n) for n in nodes if n.tag == "script"]
     out["script_urls"] = [urljoin(base, n.attrs["src"]) for n in nodes if n.tag == "script" and n.attrs.get("src")]
     out["data"] = [n.attrs[k] for n in nodes for k in DATA_LISTS if (n.attrs.get(k) or "").strip()]
-    anchors = []
-    for n in nodes:
+    listed, anchors = set(), []
+    for n in nodes:  # parents come before their children
+        if n.tag == "ul" and "shop_city_list_ul" in n.classes() or n.parent is not None and id(n.parent) in listed:
+            listed.add(id(n))
         if n.tag != "a" or "href" not in n.attrs:
             continue
-        above, around, seen, in_list = n.parent, [], set(), False
-        for k in range(1000):
-            if above is None:
-                break
-            if k < ANCESTORS and above.tag:
-                lines = tuple(x.strip() for s in above.texts() for x in s.splitlines() if x.strip())
-                if lines and lines not in seen:
-                    seen.add(lines)
-                    around += lines
-            in_list = in_list or above.tag == "ul" and "shop_city_list_ul" in above.classes()
-            above = above.parent
         href = n.attrs["href"].strip()
         try:
             url = urljoin(base, href)
+            store = STORE_PATH.search(urlsplit(url).path) is not None
         except ValueError:
-            url = href
-        anchors.append({"href": href, "url": url, "text": " ".join(n.texts()), "in_city_list": in_list, "around": around})
+            url, store = href, False
+        anchors.append({"href": href, "url": url, "text": inner(n), "in_city_list": id(n) in listed, "around": _around(n, texts) if store else []})
     out["anchors"] = anchors
-    pairs = []
-    for b, d in enumerate(n for n in nodes if n.tag == "dl"):
-        inner = [x for x in d.walk() if isinstance(x, _Node)]
-        for p, (k, v) in enumerate(zip((x for x in inner if x.tag == "dt"), (x for x in inner if x.tag == "dd"), strict=False)):
-            pairs.append({"block": b, "pos": p, "label": " ".join(k.texts()), "value": " ".join(v.texts())})
+    labels, pairs = {"dt": [n for n in nodes if n.tag == "dt"], "dd": [n for n in nodes if n.tag == "dd"]}, []
+    order = {id(n): i for i, n in enumerate(nodes)}
+    blocks = [n for n in nodes if n.tag == "dl" or DETAIL_CLASSES & set(n.classes())]
+    owners: dict[int, dict[str, list[_Node]]] = {id(n): {"dt": [], "dd": []} for n in blocks}
+    for tag, found in labels.items():
+        for x in found:
+            n = x.parent
+            while n is not None:
+                if id(n) in owners:
+                    owners[id(n)][tag].append(x)
+                n = n.parent
+    for b, d in enumerate(sorted(blocks, key=lambda n: order[id(n)])):
+        for p, (k, v) in enumerate(zip(owners[id(d)]["dt"], owners[id(d)]["dd"], strict=False)):
+            pairs.append({"block": b, "pos": p, "label": inner(k), "value": inner(v)})
     out["pairs"] = pairs
     geo = []
     for n in nodes:
@@ -133,6 +160,19 @@ def parse(html: str, base: str = "") -> dict:
     return out
 
 
+def _around(anchor: _Node, texts: list[str]) -> list[str]:
+    """Lines of up to ANCESTORS ancestors, the nearest first; what a nearer one holds isn't said again."""
+    a = b = anchor.span[0]
+    out, n = [], anchor.parent
+    for _ in range(ANCESTORS):
+        if n is None or not n.tag:
+            break
+        for part in (texts[n.span[0] : a], texts[b : n.span[1]]):
+            out += [x.strip() for s in part for x in s.splitlines() if x.strip()]
+        (a, b), n = n.span, n.parent
+    return out
+
+
 def _parse_series(html: pd.Series, base: pd.Series) -> pd.DataFrame:
     return pd.DataFrame([parse(h, b or "") for h, b in zip(html, base, strict=True)], columns=[f.split(":")[0] for f in ("lines", "title", "h1", "region_hint", "active_region", "scripts", "script_urls", "data", "anchors", "pairs", "geo")])
 
@@ -149,8 +189,8 @@ def anchors(parsed: DataFrame, *keep: str) -> DataFrame:
 def region_links(parsed: DataFrame, *keep: str) -> DataFrame:
     """H1. First anchor of each region url of a page."""
     a = anchors(parsed, *keep)
-    a = a.where(~F.col("href").startswith("#") & L.is_region_change(F.col("url")))
-    return a.groupBy(*keep, F.col("url").alias("region_url")).agg(F.min(F.struct("pos", "text")).alias("f")).select(*keep, "region_url", F.col("f.text").alias("name"))
+    a = a.where((F.col("href") != "") & ~F.col("url").rlike("#.") & L.is_region_change(F.col("url")))
+    return a.groupBy(*keep, L.without_fragment(F.col("url")).alias("region_url")).agg(F.min(F.struct("pos", "text")).alias("f")).select(*keep, "region_url", F.col("f.text").alias("name"))
 
 
 def city_links(parsed: DataFrame, host: str, *keep: str) -> DataFrame:
@@ -168,8 +208,9 @@ def store_summaries(parsed: DataFrame, *keep: str) -> DataFrame:
 
 
 def page_links(parsed: DataFrame, *keep: str) -> DataFrame:
-    """H4. Distinct pagination links other than the page itself."""
-    return anchors(parsed, *keep, "__self").where(L.is_page_link(F.col("url")) & (F.col("url") != F.col("__self"))).select(*keep, F.col("url").alias("page_url")).distinct()
+    """H4. Pagination links other than the page itself, each with its first place."""
+    found = anchors(parsed, *keep, "__self").where((F.col("href") != "") & L.is_page_link(F.col("url")) & (F.col("url") != F.col("__self")))
+    return found.groupBy(*keep, F.col("url").alias("page_url")).agg(F.min("pos").alias("pos"))
 
 
 # --- fixed values: labels of a store page, in order of precedence ---------------------------------------------------
@@ -224,15 +265,19 @@ def store_page(page: Column) -> dict[str, Column]:
     }
 
 
+def active_region(page: Column) -> Column:
+    """H5. The first of the marked places whose text is a name."""
+    return F.get(F.filter(F.transform(page["active_region"], sanitize_location), lambda x: x.isNotNull()), F.lit(0))
+
+
 def city_context(page: Column, hint: Column) -> Column:
-    """H5, H6. (city, region) of a city page: the link's hint, else the heading; the region's marked span or active link."""
+    """H6. (city, region) of a city page: the link's hint, else the heading; the region's marked span."""
     head = sanitize_location(F.nullif(F.regexp_extract(page["h1"], r"(?iu)Карта\s+магазинов\s+в\s+(.+)$", 1), F.lit("")))
-    active = F.get(F.filter(F.transform(page["active_region"], sanitize_location), lambda x: x.isNotNull()), F.lit(0))
-    return F.struct(F.coalesce(sanitize_location(hint), head).alias("city"), F.coalesce(sanitize_location(page["region_hint"]), active).alias("region"))
+    return F.struct(F.coalesce(sanitize_location(hint), head).alias("city"), sanitize_location(page["region_hint"]).alias("region"))
 
 
 def popup_lines(html: str) -> str:
     t = _Tree()
     t.feed(unescape(html or ""))
     t.close()
-    return "\n".join(t.root.texts())
+    return "\n".join(_walk(t.root)[1])

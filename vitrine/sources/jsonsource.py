@@ -109,12 +109,17 @@ def is_city(v: Column) -> Column:
     return F.coalesce(kind_of(v).startswith("OBJECT") & integer(v, "id").isNotNull() & first_text(v, CANDIDATE_CITY).isNotNull() & ~(has(SHOP_MARKS) & ~has(REGION_MARKS)), F.lit(False))
 
 
-def city_list(body: Column) -> Column:
-    """J1. The city elements of a payload: the list itself, `cities`, or those under data, result, items; the first list counts."""
+def listed(body: Column) -> Column:
+    """J1. The list of a payload: itself, `cities`, or those under data, result, items; the first counts. No list: null."""
     tries = [items(body), items(field(body, "cities"))]
     for k in ("data", "result", "items"):
         tries += [items(field(body, f"{k}.cities")), items(field(body, k))]
-    return F.filter(F.coalesce(*tries, F.array().cast("array<variant>")), is_city)
+    return F.coalesce(*tries)
+
+
+def city_list(body: Column) -> Column:
+    """J1, J2. The city elements of a payload."""
+    return F.filter(F.coalesce(listed(body), F.array().cast("array<variant>")), is_city)
 
 
 def cities(endpoints: DataFrame) -> DataFrame:
@@ -133,6 +138,13 @@ def cities(endpoints: DataFrame) -> DataFrame:
     return keep_first(rows, [F.col("city_id")], [F.col("pos")]).select("city_id", "city", "region", "pos")
 
 
+def nameless_cities(endpoints: DataFrame) -> DataFrame:
+    """P8. (url, reason): the elements of city lists with a name but without an id, which are left out."""
+    c = endpoints.select(F.explode(listed(F.try_parse_json("body"))).alias("c"))
+    bad = kind_of(F.col("c")).startswith("OBJECT") & integer(F.col("c"), "id").isNull() & first_text(F.col("c"), CANDIDATE_CITY).isNotNull()
+    return c.where(bad).select(F.concat(F.lit("city "), first_text(F.col("c"), CANDIDATE_CITY)).alias("url"), F.lit("no id").alias("reason"))
+
+
 def shops(bodies: DataFrame) -> DataFrame:
     """S6. (city_id, pos, shop variant) of bodies (city_id, body): a list, or the first list under known names."""
     v = F.try_parse_json("body")

@@ -1,6 +1,6 @@
 """Store candidates of a map page: lists in scripts, data attributes and popups.
 
-JavaScript literals need Python: one Arrow pass turns a script into candidates of CANDIDATE_SCHEMA; cleaning is native.
+JavaScript literals need Python: one Arrow pass turns a script into candidates; cleaning is native.
 """
 
 from __future__ import annotations
@@ -8,6 +8,7 @@ from __future__ import annotations
 import ast
 import json
 import re
+from html import unescape
 
 import pandas as pd
 from pyspark.sql import Column, DataFrame
@@ -28,6 +29,11 @@ UPPER = {"address": ["ADDRESS", "ADDR", "FULL_ADDRESS", "FULLADDRESS"], "city":
 LATITUDE, LONGITUDE, COORDINATES = ["lat", "latitude"], ["lng", "lon", "longitude"], ["coords", "coordinates"]
 POPUPS, FEATURE_POPUPS = ["popup", "balloonContent", "balloonContentBody"], ["balloonContent", "balloonContentBody", "hintContent"]
 POPUP_LABELS = {"address": r"(?:Адрес(?: магазина)?|Магазин)", "work_time": r"(?:Режим работы|Время работы)", "phone": r"(?:Телефон|Тел\.)", "city": r"(?:Город|Населенный пункт|Населённый пункт)", "region": r"(?:Регион|Область|Край|Республика)", "format": r"Формат(?: магазина)?", "status": r"Статус"}
+JSON_CALL = r"""JSON\.parse\(\s*("(?:\\.|[^"])*"|'(?:\\.|[^'])*')\s*\)"""
+NAMED_LIST = rf"(?:{'|'.join(LIST_NAMES)})\s*[:=]\s*(\[[\s\S]*?\])\s*[;,}}]"
+TELLING_LIST = rf'(\[[\s\S]*?"(?:{"|".join(TELLING)})"[\s\S]*?\])'
+NAMED_OBJECT = rf"(?:{'|'.join(OBJECT_NAMES)})\s*[:=]\s*(\{{[\s\S]*?\}})\s*[;,]"
+COLLECTION = r'(\{[\s\S]*?"features"\s*:\s*\[[\s\S]*?\][\s\S]*?\})'
 GATE_MARKS = ["age-gate", "age_gate", "вам есть 18", "мне есть 18", "подтвердите возраст", "подтверждение возраста"]
 # ------------------------------------------------------------------------------------------------------------------
 
@@ -37,7 +43,7 @@ _COLUMNS = ["address", "city", "region", "work_time", "phone", "lat", "lng", "co
 
 def is_age_gate(c: Column) -> Column:
     """P9."""
-    x = F.lower(c)
+    x = F.regexp_replace(F.lower(c), r"(?U)\s+", " ")
     return x.rlike("|".join(GATE_MARKS)) | (x.contains("18+") & x.rlike("подтверд|возраст"))
 
 
@@ -133,15 +139,15 @@ def candidates_of(value) -> list[dict]:
 def script_candidates(script: str) -> list[dict]:
     """M1. The first strategy that yields any: JSON.parse calls, named and telling arrays, named objects, feature collections."""
     def parsed():
-        for m in re.finditer(r"""JSON\.parse\(\s*("(?:\\.|[^"])*"|'(?:\\.|[^'])*')\s*\)""", script):
+        for m in re.finditer(JSON_CALL, script):
             yield lenient_json(string_literal(m[1]) or "")
-        for p in (rf"(?:{'|'.join(LIST_NAMES)})\s*[:=]\s*(\[[\s\S]*?\])\s*[;,}}]", rf'(\[[\s\S]*?"(?:{"|".join(TELLING)})"[\s\S]*?\])'):
+        for p in (NAMED_LIST, TELLING_LIST):
             for m in re.finditer(p, script, re.IGNORECASE):
                 yield lenient_json(m[1])
-        for m in re.finditer(rf"(?:{'|'.join(OBJECT_NAMES)})\s*[:=]\s*(\{{[\s\S]*?\}})\s*[;,]", script, re.IGNORECASE):
+        for m in re.finditer(NAMED_OBJECT, script, re.IGNORECASE):
             d = lenient_json(m[1])
             yield from ((d.get(k) for k in INNER_LISTS) if isinstance(d, dict) else ())
-        for m in re.finditer(r'(\{[\s\S]*?"features"\s*:\s*\[[\s\S]*?\][\s\S]*?\})', script):
+        for m in re.finditer(COLLECTION, script):
             d = lenient_json(m[1])
             yield d.get("features") if isinstance(d, dict) else None
 
@@ -153,7 +159,7 @@ def _scripts(s: pd.Series) -> pd.Series:
 
 
 def _lists(s: pd.Series) -> pd.Series:
-    return s.map(lambda x: candidates_of(lenient_json(x or "")))
+    return s.map(lambda x: candidates_of(lenient_json(unescape(x or ""))))
 
 
 def candidates(texts: DataFrame, text: str = "script", *, attribute: bool = False) -> DataFrame:

@@ -1,8 +1,11 @@
-"""Snapshot store: versions in folders of their own and a pointer to the current one."""
+"""Snapshot store: numbered versions in folders of their own; the greatest one that is complete is current.
+
+A version is complete once its writer has left the _SUCCESS mark, so there is no moment without a current one: a writer that dies leaves
+a version that nobody reads.
+"""
 
 from __future__ import annotations
 
-import uuid
 from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, SparkSession
@@ -12,7 +15,7 @@ from ..functions.identity import canonical, stable_key
 from ..operators.dedup import keep_best
 from ..schemas import SNAPSHOT_SCHEMA
 
-SCHEMA_VERSION, POINTER = 1, "CURRENT"
+SCHEMA_VERSION, KEEP = 1, 3  # older versions than the last KEEP are removed
 
 
 @dataclass
@@ -33,40 +36,41 @@ def _fs(spark: SparkSession, path: str):
     return p.getFileSystem(spark._jsparkSession.sessionState().newHadoopConf()), p
 
 
-def _read_text(spark: SparkSession, path: str) -> str | None:
+def versions(spark: SparkSession, path: str, *, complete: bool = True) -> list[int]:
+    """Numbers of the versions, in order."""
     fs, p = _fs(spark, path)
     if not fs.exists(p):
-        return None
-    return "\n".join(r.value for r in spark.read.text(path).collect()).strip()  # one short file
+        return []
+    found = [x.getPath() for x in fs.listStatus(p) if x.isDirectory() and x.getPath().getName().startswith("v-")]
+    mark = lambda q: fs.exists(spark._jvm.org.apache.hadoop.fs.Path(q, "_SUCCESS"))
+    return sorted(int(q.getName()[2:]) for q in found if not complete or mark(q))
 
 
-def save(stores: DataFrame, path: str, saved_at: str, *, ready: bool = False) -> str:
-    """W1. Write a new version, then move the pointer to it; what reads the old version isn't disturbed. Returns the version's folder."""
+def save(stores: DataFrame, path: str, saved_at: str, *, ready: bool = False, number: int | None = None) -> str:
+    """W1. Write a version: the next one, or that of a given number anew. Returns its folder."""
     spark = stores.sparkSession
-    name = f"v-{uuid.uuid4().hex}"
+    if number is None:
+        number = max(versions(spark, path, complete=False), default=-1) + 1
+    folder = f"{path}/v-{number:020d}"
     rows = stores if ready else snapshot_rows(stores)
-    rows.withColumns({"schema_version": F.lit(SCHEMA_VERSION), "saved_at": F.lit(saved_at)}).write.parquet(f"{path}/{name}")
-    fs, new = _fs(spark, f"{path}/{POINTER}.new")
-    out = fs.create(new, True)
-    out.write(bytearray(name.encode()))
-    out.close()
-    current = _fs(spark, f"{path}/{POINTER}")[1]
-    fs.delete(current, False)
-    fs.rename(new, current)
-    return f"{path}/{name}"
-
-
-def load(spark: SparkSession, path: str, *, passes: int = 1) -> Loaded:
-    """S17. The current version, or a JSON document with a list `stores`; keys are recomputed, rows deduplicated."""
+    rows.withColumns({"schema_version": F.lit(SCHEMA_VERSION), "saved_at": F.lit(saved_at)}).write.mode("overwrite").parquet(folder)
+    for old in [v for v in versions(spark, path) if v <= number][:-KEEP]:
+        fs, p = _fs(spark, f"{path}/v-{old:020d}")
+        fs.delete(p, True)
+    return folder
+
+
+def load(spark: SparkSession, path: str, *, passes: int = 1, before: int | None = None) -> Loaded:
+    """S17. The current version (before: the last with a smaller number), or a JSON document with a list `stores`; keys are recomputed, rows deduplicated."""
     empty = spark.createDataFrame([], SNAPSHOT_SCHEMA)
     fs, p = _fs(spark, path)
     if not fs.exists(p):
         return Loaded(empty, "missing")
     if fs.getFileStatus(p).isDirectory():
-        name = _read_text(spark, f"{path}/{POINTER}")
-        if not name:
+        known = [v for v in versions(spark, path) if before is None or v < before]
+        if not known:
             return Loaded(empty, "missing")
-        return Loaded(snapshot_rows(spark.read.parquet(f"{path}/{name}"), passes=passes), "loaded")
+        return Loaded(snapshot_rows(spark.read.parquet(f"{path}/v-{known[-1]:020d}"), passes=passes), "loaded")
     doc = spark.read.option("wholetext", True).text(path).select(F.try_parse_json("value").alias("v"))
     listed = F.try_variant_get("v", "$.stores", "array<variant>")
     ok = doc.select((F.schema_of_variant("v").startswith("OBJECT") & F.schema_of_variant(F.try_variant_get("v", "$.stores", "variant")).startswith("ARRAY")).alias("ok")).first()
@@ -88,14 +92,3 @@ def json_rows(rows: DataFrame, s: str = "s") -> DataFrame:
         return out
 
     return rows.select(*[pick(n).alias(n) for n in STORE_COLUMNS])
-
-
-def to_json_document(rows: DataFrame, path: str, saved_at: str) -> None:
-    """The single-file form. It is one document, so it is written on the driver: for small snapshots only."""
-    import json
-    import os
-
-    stores = [r.asDict() for r in rows.toLocalIterator()]
-    os.makedirs(os.path.dirname(os.path.abspath(path)), exist_ok=True)
-    with open(path, "w", encoding="utf-8") as f:
-        json.dump({"schema_version": SCHEMA_VERSION, "saved_at": saved_at, "stores": stores}, f, ensure_ascii=False, indent=2)

@@ -10,18 +10,19 @@ from ..sources import snapshot as S
 
 
 def watch(stores: DataFrame, baseline: str, changes: str, checkpoint: str) -> StreamingQuery:
-    """Each micro-batch is a full snapshot: its changes are written under its batch number, then it is the baseline.
+    """Each micro-batch is a full snapshot: its changes are written under its batch number, then it is a version of that number.
 
-    A batch that is run again after a failure overwrites its own changes.
+    A batch is always compared with the last version before its own number, so one that is run again after a failure, wherever
+    that was, writes the same changes and the same version. An empty batch is a snapshot without stores.
     """
 
-    def one(batch: DataFrame, n: int) -> None:
-        spark = batch.sparkSession
-        now = f"batch-{n:020d}"
-        current = S.snapshot_rows(batch).persist()
-        before = S.load(spark, baseline)
-        diff(before.rows, current, now, initial=before.status != "loaded").write.mode("overwrite").parquet(f"{changes}/{now}")
-        S.save(current, baseline, now, ready=True)
-        current.unpersist()
+    return stores.writeStream.foreachBatch(lambda batch, n: apply_batch(batch, n, baseline, changes)).option("checkpointLocation", checkpoint).trigger(availableNow=True).start()
 
-    return stores.writeStream.foreachBatch(one).option("checkpointLocation", checkpoint).trigger(availableNow=True).start()
+
+def apply_batch(batch: DataFrame, n: int, baseline: str, changes: str) -> None:
+    now = f"batch-{n:020d}"
+    current = S.snapshot_rows(batch).persist()
+    before = S.load(batch.sparkSession, baseline, before=n)
+    diff(before.rows, current, now, initial=before.status != "loaded").write.mode("overwrite").parquet(f"{changes}/{now}")
+    S.save(current, baseline, now, ready=True, number=n)
+    current.unpersist()
