@@ -6,11 +6,11 @@ code within distance m * r + j is found (pigeonhole over m segments), so a probe
 distance isn't below that; it is carried from round to round, and no query is asked again once it is covered.
 
 Scale: rows with one code count once (only their k + 1 least ids can matter), as do queries with one code, so a code that a third
-of all rows share costs nothing extra. A round is one join of probes and index by key. Index entries of one key are dealt to
-parts of bounded size, so a hot value is many tasks. Codes further than the k-th distance are dropped where they are verified, and each
-pair is verified at one key only. The one thing broadcast is the directory of keys: at most SEGMENTS * 2 ** (64 / SEGMENTS) rows,
-whatever the input. With n codes, segments of about log2(n) bits keep a key's entries few: 8 segments up to some
-million codes, 4 beyond.
+of all rows share costs nothing extra. An index row holds the entries of one key, at most about PART_ROWS of them; a hot value is
+several rows. A round joins probes with index rows by key, and each of these meetings verifies its entries in place and gives at most k + 1
+nearest, so rows grow with the queries and not with queries times entries. The one thing broadcast is the directory of keys: at
+most SEGMENTS * 2 ** (64 / SEGMENTS) rows, whatever the input. With n codes, segments of about log2(n) bits keep a key's entries few: 8
+segments up to some million codes, 4 beyond.
 """
 
 from __future__ import annotations
@@ -22,7 +22,7 @@ from pyspark.sql import functions as F
 from .common import discard, materialize, table
 
 SEGMENTS = 8
-PART_ROWS = 65_536
+PART_ROWS = 4096
 
 
 def sign_code(embedding: Column) -> Column:
@@ -62,7 +62,8 @@ def topk(rows: DataFrame, queries: DataFrame, k: int, *, segments: int = SEGMENT
     directory = entries.groupBy("seg", "value").agg(F.ceil(F.count("*") / part_rows).cast("int").alias("parts"))
     directory = materialize(directory, "directory")  # at most segments * 2 ** bits rows
     part = F.pmod(F.xxhash64("code", F.lit(5)), F.col("parts")).cast("int")
-    index = materialize(entries.join(F.broadcast(directory), ["seg", "value"]).select("seg", "value", part.alias("part"), "code", "ids"), "index")
+    placed = entries.join(F.broadcast(directory), ["seg", "value"]).withColumn("part", part)
+    index = materialize(placed.groupBy("seg", "value", "part").agg(F.collect_list(F.struct("code", "ids")).alias("entries")), "index")
     start = F.array().cast("array<struct<distance:bigint,id:bigint>>")
     state = materialize(queries.select(F.col("code").alias("q")).distinct().select("q", start.alias("found"), F.lit(64).cast("long").alias("kth")), "state")
     used = [codes, directory, index]
@@ -76,16 +77,12 @@ def topk(rows: DataFrame, queries: DataFrame, k: int, *, segments: int = SEGMENT
         probes = probes.select("q", "kth", "seg", F.col("own").alias("own"), F.explode(masks).alias("mask")).withColumn("value", F.col("own").bitwiseXOR(F.col("mask")))
         probes = probes.join(F.broadcast(directory), ["seg", "value"]).select("q", "kth", "seg", "value", F.explode(F.sequence(F.lit(0), F.col("parts") - 1)).alias("part"))
         met = probes.join(index, ["seg", "value", "part"])
-        away = [F.bit_count(_segment(F.col("q").bitwiseXOR(F.col("code")), F.lit(j), bits)) for j in range(segments)]
-        # a pair is verified at the first segment that is nearest, so it comes once in all rounds
-        once = F.lit(True)
-        for j in range(segments):
-            once = once & F.when(F.col("seg") > j, away[j] > radius).otherwise(away[j] >= radius)
-        near = met.where((_distance(F.col("q"), F.col("code")) <= F.col("kth")) & once)
-        near = near.select("q", _distance(F.col("q"), F.col("code")).alias("distance"), F.explode("ids").alias("id"))
-        both = near.unionByName(active.select("q", F.explode("found").alias("x")).select("q", "x.*"))
-        best = both.withColumn("r", F.row_number().over(W.partitionBy("q").orderBy("distance", "id"))).where(F.col("r") <= want)
-        found = best.groupBy("q").agg(F.array_sort(F.collect_list(F.struct("distance", "id"))).alias("found"))
+        close = F.filter("entries", lambda e: _distance(F.col("q"), e["code"]) <= F.col("kth"))
+        # of codes at one distance the least id comes first, so the nearest k + 1 codes hold the nearest k + 1 rows
+        top = F.slice(F.array_sort(F.transform(close, lambda e: F.struct(_distance(F.col("q"), e["code"]).alias("distance"), e["ids"].alias("ids")))), 1, want)
+        near = met.select("q", F.explode(top).alias("x")).select("q", F.explode(F.transform("x.ids", lambda i: F.struct(F.col("x.distance").alias("distance"), i.alias("id")))).alias("x"))
+        both = near.unionByName(active.select("q", F.explode("found").alias("x")))
+        found = both.groupBy("q").agg(F.slice(F.array_sort(F.collect_set("x")), 1, want).alias("found"))  # a pair may meet at several keys
         kth = F.when(F.size("found") >= want, F.element_at("found", -1)["distance"]).otherwise(F.lit(64).cast("long"))
         left = active.select("q").join(found, "q", "left").select("q", F.coalesce("found", start).alias("found"))
         following = state.where(F.col("kth") < segments * radius).unionByName(left.withColumn("kth", kth))
