@@ -60,21 +60,32 @@ def mix(docs: DataFrame, *, share: float = 1.5, epochs: int = 2, weights: tuple[
     return out.select(*keep, "source_size", "target", "taken")
 
 
-def _queue(docs: DataFrame, *, share: float = 1.5, epochs: int = 2, weights: tuple[int, ...] = WEIGHTS, seed: str = "mix") -> DataFrame:
-    """docs of exactly (row, doc_id, source, size), row holding what the caller wants back, plus source_size, target and taken."""
-    docs = docs.withColumn("key", F.md5(F.concat(F.lit(f"{seed}:"), F.coalesce(F.col("doc_id").cast("string"), F.lit("null")))))
-    docs = docs.withColumn("slot", F.substring("key", 1, SLOT_DIGITS))
-    slots = docs.groupBy("source", "slot").agg(F.sum("size").alias("size"))
-    slots = slots.withColumn("before", F.sum("size").over(W.partitionBy("source").orderBy("slot")) - F.col("size"))
+def _queue(docs: DataFrame, *, sizes: DataFrame | None = None, share: float = 1.5, epochs: int = 2, weights: tuple[int, ...] = WEIGHTS, seed: str = "mix") -> DataFrame:
+    """docs of exactly (row, doc_id, source, size), row holding what the caller wants back, plus source_size, target and taken.
+
+    sizes: the (doc_id, source, size) of docs as a table, where those of docs cost a reading of its texts.
+    """
+
+    def keyed(df: DataFrame) -> DataFrame:
+        key = F.md5(F.concat(F.lit(f"{seed}:"), F.coalesce(F.col("doc_id").cast("string"), F.lit("null"))))
+        # a name without nulls, so that the join finds rows where the window has dealt them
+        name = F.concat(F.when(F.col("source").isNull(), "-").otherwise("+"), F.coalesce(F.col("source").cast("string"), F.lit("")))
+        return df.withColumns({"key": key, "name": name}).withColumn("slot", F.substring("key", 1, SLOT_DIGITS))
+
+    sizes = keyed(docs.select("doc_id", "source", "size") if sizes is None else sizes)
+    slots = sizes.groupBy("source", "name", "slot").agg(F.sum("size").alias("size"))
+    slots = slots.withColumn("before", F.sum("size").over(W.partitionBy("name").orderBy("slot")) - F.col("size"))
     targets = source_targets(slots, share=share, epochs=epochs, weights=weights)
-    heads = slots.select(F.col("source").alias("s"), F.col("slot").alias("at"), "before")
-    heads = heads.join(targets.withColumnRenamed("source", "t"), F.col("s").eqNullSafe(F.col("t"))).drop("t")
-    within = W.partitionBy("source", "slot").orderBy("key", "doc_id", "size").rowsBetween(W.unboundedPreceding, 0)
-    queued = docs.withColumn("inside", F.sum("size").over(within))
-    joined = queued.join(heads, F.col("source").eqNullSafe(F.col("s")) & (F.col("slot") == F.col("at"))).drop("s", "at")
+    heads = slots.select(F.col("source").alias("s"), "name", "slot", "before")
+    heads = heads.join(targets, F.col("s").eqNullSafe(F.col("source"))).drop("s", "source")
+    within = W.partitionBy("name", "slot").orderBy("key", "doc_id", "size").rowsBetween(W.unboundedPreceding, 0)
     finish = lambda e: F.when((F.col("size") > 0) & (F.col("target") > 0), (F.col("before") + F.col("inside") + F.col("source_size") * e) / F.col("target"))
-    timed = joined.withColumns({f"f{e}": finish(e) for e in range(epochs)})
-    served = timed.select("size", "doc_id", F.explode(F.array(*[F.struct(F.col(f"f{e}").alias("f"), F.lit(e).alias("e")) for e in range(epochs)])).alias("x")).select("size", "doc_id", "x.f", "x.e").where("f is not null")
+
+    def timing(df: DataFrame) -> DataFrame:
+        return df.withColumn("inside", F.sum("size").over(within)).join(heads, ["name", "slot"]).withColumns({f"f{e}": finish(e) for e in range(epochs)})
+
+    timed = timing(keyed(docs))
+    served = timing(sizes).select("size", "doc_id", F.explode(F.array(*[F.struct(F.col(f"f{e}").alias("f"), F.lit(e).alias("e")) for e in range(epochs)])).alias("x")).select("size", "doc_id", "x.f", "x.e").where("f is not null")
     # every finish time up to 1 is within a target and the targets sum to the budget: ranges split (0, 2) evenly, the rest is one
     served = served.withColumn("range", F.least(F.floor(F.col("f") * (RANGES // 2)), F.lit(RANGES)).cast("int"))
     budget = targets.agg(F.floor(F.sum("target") + 0.5).cast("long").alias("budget"))
@@ -119,7 +130,8 @@ def mix_documents(docs: DataFrame) -> DataFrame:
 
     Null and empty texts have no words and are never taken; null ids and sources and repeated rows are as mix says.
     """
-    mixed = _queue(docs.select(F.struct("*").alias("row"), "doc_id", "source", word_count().alias("size")))
+    sized = docs.select(F.struct("*").alias("row"), "doc_id", "source", word_count().alias("size"))
+    mixed = _queue(sized, sizes=materialize(sized.select("doc_id", "source", "size"), "sizes"))
     times = (F.col("taken") / F.col("size")).cast("int")
     return mixed.where("taken > 0").select("row", F.explode(F.sequence(F.lit(1), times))).select("row.*")
 
