@@ -9,17 +9,21 @@ Scale: no source is ever one group. Cumulative sums are taken in two levels: ove
 hash), then within a slot, so a source with a third of all rows is spread over all its slots. The global
 order is a range sort that stops where the budget ends: words are summed by range of finish time, the range that holds
 the end is cut into as many ranges again, and only the rows of the one of these that holds the end (one in eight million of the
-corpus) are sorted by row; all ranges before it are taken whole. What meets in one task are one row for each source, for
+corpus) are sorted by row; all ranges before it are taken whole. Of documents only ids and sizes are queued: texts are compared with
+their source's bound where they lie, a join that Spark broadcasts while the sources are few and splits by itself where one is hot. What meets in one task are one row for each source, for
 each slot of a source or for each range.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from functools import reduce
+from operator import or_
+
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from .common import materialize, table, text_or_empty
+from .common import discard, materialize, table, text_or_empty
 
 SLOT_DIGITS, RANGES = 3, 4096
 WEIGHTS = (3, 1, 2)
@@ -63,31 +67,27 @@ def mix(docs: DataFrame, *, share: float = 1.5, epochs: int = 2, weights: tuple[
 def _queue(docs: DataFrame, *, sizes: DataFrame | None = None, share: float = 1.5, epochs: int = 2, weights: tuple[int, ...] = WEIGHTS, seed: str = "mix") -> DataFrame:
     """docs of exactly (row, doc_id, source, size), row holding what the caller wants back, plus source_size, target and taken.
 
-    sizes: the (doc_id, source, size) of docs as a table, where those of docs cost a reading of its texts.
+    sizes: the (doc_id, source, size) of docs as a table, where those of docs cost a reading of its texts. Only it is queued: what
+    each source has served when the budget ends is the first rows of its order, so docs' own rows meet one bound a source and epoch.
     """
 
     def keyed(df: DataFrame) -> DataFrame:
         key = F.md5(F.concat(F.lit(f"{seed}:"), F.coalesce(F.col("doc_id").cast("string"), F.lit("null"))))
-        # a name without nulls, so that the join finds rows where the window has dealt them
-        name = F.concat(F.when(F.col("source").isNull(), "-").otherwise("+"), F.coalesce(F.col("source").cast("string"), F.lit("")))
-        return df.withColumns({"key": key, "name": name}).withColumn("slot", F.substring("key", 1, SLOT_DIGITS))
-
-    sizes = keyed(docs.select("doc_id", "source", "size") if sizes is None else sizes)
-    slots = sizes.groupBy("source", "name", "slot").agg(F.sum("size").alias("size"))
-    slots = slots.withColumn("before", F.sum("size").over(W.partitionBy("name").orderBy("slot")) - F.col("size"))
-    targets = source_targets(slots, share=share, epochs=epochs, weights=weights)
-    heads = slots.select(F.col("source").alias("s"), "name", "slot", "before")
-    heads = heads.join(targets, F.col("s").eqNullSafe(F.col("source"))).drop("s", "source")
+        return df.withColumns({"key": key, "name": _name("source")})
+
+    place = F.struct("key", "doc_id", "size")
+    rows = keyed(docs)
+    sizes = keyed(docs.select("doc_id", "source", "size") if sizes is None else sizes).withColumn("slot", F.substring("key", 1, SLOT_DIGITS))
+    slots = materialize(sizes.groupBy("source", "name", "slot").agg(F.sum("size").alias("size")), "slots")
+    targets = materialize(source_targets(slots, share=share, epochs=epochs, weights=weights).withColumn("name", _name("source")).drop("source"), "targets")
+    heads = slots.select("name", "slot", (F.sum("size").over(W.partitionBy("name").orderBy("slot")) - F.col("size")).alias("before")).join(targets, "name")
     within = W.partitionBy("name", "slot").orderBy("key", "doc_id", "size").rowsBetween(W.unboundedPreceding, 0)
-    finish = lambda e: F.when((F.col("size") > 0) & (F.col("target") > 0), (F.col("before") + F.col("inside") + F.col("source_size") * e) / F.col("target"))
-
-    def timing(df: DataFrame) -> DataFrame:
-        return df.withColumn("inside", F.sum("size").over(within)).join(heads, ["name", "slot"]).withColumns({f"f{e}": finish(e) for e in range(epochs)})
-
-    timed = timing(keyed(docs))
-    served = timing(sizes).select("size", "doc_id", F.explode(F.array(*[F.struct(F.col(f"f{e}").alias("f"), F.lit(e).alias("e")) for e in range(epochs)])).alias("x")).select("size", "doc_id", "x.f", "x.e").where("f is not null")
+    timed = sizes.withColumn("inside", F.sum("size").over(within)).join(heads, ["name", "slot"]).where("size > 0 and target > 0")
+    timed = materialize(timed.select("name", "key", "doc_id", "size", (F.col("before") + F.col("inside")).alias("upto"), "source_size", "target"), "timed")
+    times = F.array(*[F.struct(((F.col("upto") + F.col("source_size") * e) / F.col("target")).alias("f"), F.lit(e).alias("e")) for e in range(epochs)])
+    served = timed.select("name", "key", "doc_id", "size", F.explode(times).alias("x")).select("name", "key", "doc_id", "size", "x.f", "x.e")
     # every finish time up to 1 is within a target and the targets sum to the budget: ranges split (0, 2) evenly, the rest is one
-    served = served.withColumn("range", F.least(F.floor(F.col("f") * (RANGES // 2)), F.lit(RANGES)).cast("int"))
+    ranged = served.withColumn("range", F.least(F.floor(F.col("f") * (RANGES // 2)), F.lit(RANGES)).cast("int"))
     budget = targets.agg(F.floor(F.sum("target") + 0.5).cast("long").alias("budget"))
     every = W.orderBy("range")
 
@@ -97,8 +97,8 @@ def _queue(docs: DataFrame, *, sizes: DataFrame | None = None, share: float = 1.
         sums = sums.withColumn("upto", F.col("spent") + F.sum("words").over(every)).where(F.col("upto") > F.col("budget"))
         return sums.agg(F.min(F.struct("range", (F.col("upto") - F.col("words")).alias("spent"), "budget")).alias("m")).select("m.*").where("range is not null")
 
-    first = edge_of(served, budget.withColumn("spent", F.lit(0).cast("long")))
-    inside = served.join(F.broadcast(first.select("range")), "range")
+    first = materialize(edge_of(ranged, budget.withColumn("spent", F.lit(0).cast("long"))), "edge")
+    inside = ranged.join(F.broadcast(first.select("range")), "range")
     fine = F.when(F.col("range") < RANGES, F.least(F.floor((F.col("f") * (RANGES // 2) - F.col("range")) * RANGES), F.lit(RANGES - 1)).cast("int")).otherwise(0)
     inside = inside.withColumn("range", fine)
     second = edge_of(inside, first.select("spent", "budget"))
@@ -106,12 +106,37 @@ def _queue(docs: DataFrame, *, sizes: DataFrame | None = None, share: float = 1.
     run = W.partitionBy("range").orderBy("f", "e", "doc_id", "size").rowsBetween(W.unboundedPreceding, 0)
     cut = last.withColumn("cum", F.col("spent") + F.sum("size").over(run)).where(F.col("cum") > F.col("budget")).agg(F.min(F.struct("f", "e", "doc_id", "size")).alias("cut"))
 
-    def words(e: int):
-        before = F.col("cut").isNull() | (F.struct(F.col(f"f{e}").alias("f"), F.lit(e).alias("e"), "doc_id", "size") < F.col("cut"))
-        return F.when(F.col(f"f{e}").isNotNull() & before, F.col("size")).otherwise(F.lit(0))
+    cut = materialize(cut, "cut")
+    judged = served.crossJoin(F.broadcast(cut)).withColumn("in", F.col("cut").isNull() | (F.struct("f", "e", "doc_id", "size") < F.col("cut")))  # one row
+    ends = [f(F.when((F.col("e") == e) & test, place)).alias(f"{label}{e}") for e in range(epochs) for label, f, test in (("last", F.max, F.col("in")), ("next", F.min, ~F.col("in")))]
+    bounds = materialize(targets.join(judged.groupBy("name").agg(*ends), "name", "left"), "bounds")
+
+    rows = rows.join(bounds, "name")
+    split = [F.coalesce(F.col(f"last{e}").eqNullSafe(F.col(f"next{e}")) & F.col(f"last{e}").isNotNull(), F.lit(False)) for e in range(epochs)]
+    at = [s & place.eqNullSafe(F.col(f"last{e}")) for e, s in enumerate(split)]
+    got = [F.when((F.col("size") > 0) & (F.col("target") > 0) & (place <= F.col(f"last{e}")), F.col("size")).otherwise(F.lit(0)) for e in range(epochs)]
+    total = lambda parts: sum(parts[1:], parts[0]).cast("long").alias("taken")
+    fixed = ["row", "doc_id", "source", "size", "source_size", "target"]
+    if bounds.where(_any(split)).isEmpty():
+        out = rows.select(*fixed, total(got))
+    else:  # a bound inside rows that are equal in id, source and size: so many of them, counted in the queue, are in
+        counts = judged.where("in").join(bounds, "name").where(_any([a & (F.col("e") == e) for e, a in enumerate(at)]))
+        counts = materialize(counts.groupBy("name").agg(*[F.sum((F.col("e") == e).cast("long")).alias(f"n{e}") for e in range(epochs)]), "split")
+        nth = F.row_number().over(W.partitionBy("name", "key", "doc_id", "size").orderBy("key"))
+        equal = rows.where(_any(at)).withColumn("nth", nth).join(counts, "name")
+        part = [F.when(a, F.when(F.col("nth") <= F.col(f"n{e}"), F.col("size")).otherwise(F.lit(0))).otherwise(g) for e, (a, g) in enumerate(zip(at, got, strict=True))]
+        out = rows.where(~_any(at)).select(*fixed, total(got)).unionByName(equal.select(*fixed, total(part)))
+    discard(slots, timed, targets, first, cut)
+    return out
+
+
+def _name(source: str) -> Column:
+    """A source's name without nulls, for joins."""
+    return F.concat(F.when(F.col(source).isNull(), "-").otherwise("+"), F.coalesce(F.col(source).cast("string"), F.lit("")))
+
 
-    taken = sum((words(e) for e in range(1, epochs)), words(0))
-    return timed.crossJoin(F.broadcast(cut)).select("row", "doc_id", "source", "size", "source_size", "target", taken.cast("long").alias("taken"))
+def _any(tests: list[Column]) -> Column:
+    return reduce(or_, tests)
 
 
 def word_count(column: str = "text"):
@@ -131,7 +156,9 @@ def mix_documents(docs: DataFrame) -> DataFrame:
     Null and empty texts have no words and are never taken; null ids and sources and repeated rows are as mix says.
     """
     sized = docs.select(F.struct("*").alias("row"), "doc_id", "source", word_count().alias("size"))
-    mixed = _queue(sized, sizes=materialize(sized.select("doc_id", "source", "size"), "sizes"))
+    sizes = materialize(sized.select("doc_id", "source", "size"), "sizes")
+    mixed = _queue(sized, sizes=sizes)
+    discard(sizes)
     times = (F.col("taken") / F.col("size")).cast("int")
     return mixed.where("taken > 0").select("row", F.explode(F.sequence(F.lit(1), times))).select("row.*")
 
