@@ -7,6 +7,7 @@ from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from ..schemas import ORDER_FIELDS, STORE_COLUMNS
+from ..shared import cut
 from .dedup import as_text
 
 #: The names of the workbook's sheets.
@@ -29,26 +30,21 @@ def business_order() -> list[Column]:
     return [as_text(c) for c in STORE_COLUMNS if c != "collected_at"]
 
 
-def ranked(df: DataFrame, order: list[Column], to: str = "place", *, rows_a_range: int = 100_000) -> DataFrame:
-    """df plus each row's place (long, from 1) in the whole order, without a task that holds the whole table.
+def ranked(df: DataFrame, order: list[Column], to: str = "place") -> DataFrame:
+    """df plus each row's place (long, from 1) by ascending values of the order, nulls first, without a task that holds the whole table.
 
-    A sample by hash gives at most some thousand boundaries; rows are numbered within their range, and ranges' counts, one row each,
-    give the offsets. The order must end in something unique; nulls come first.
+    The rows are cut once, so their plan runs once whatever follows. Spark's range partitioner deals them out by the order, each
+    partition numbers its sorted rows, and the partitions' counts, one row each, give the offsets. Rows that are equal in
+    the whole order stand in any order among themselves. An empty table gives no rows.
     """
-    keys = df.select("*", F.struct(*[c.alias(f"k{i}") for i, c in enumerate(order)]).alias("__k"))
-    n = df.count()
-    every = max(1, n // 2_000, rows_a_range // 20)
-    edges = []
-    if n > rows_a_range:
-        sample = keys.where(F.pmod(F.xxhash64("__k"), F.lit(every)) == 0).select("__k").distinct().orderBy("__k")
-        edges = sample.collect()[:: max(1, rows_a_range // every)]  # some thousand at most
-    bounds = df.sparkSession.createDataFrame([(x["__k"],) for x in edges], keys.select("__k").schema)
-    low = keys.crossJoin(F.broadcast(bounds.agg(F.array_sort(F.collect_list("__k")).alias("__b"))))  # one row
-    placed = low.withColumn("__r", F.size(F.filter("__b", lambda b: b <= F.col("__k")))).drop("__b")
+    keys = [f"__k{i}" for i in range(len(order))]
+    once = cut(df.select("*", *[c.alias(k) for c, k in zip(order, keys, strict=True)]))
+    inside = F.monotonically_increasing_id().bitwiseAND(F.lit((1 << 33) - 1))  # the row's index in its partition
+    dealt = once.repartitionByRange(*keys).sortWithinPartitions(*keys)
+    placed = cut(dealt.select(*df.columns, F.spark_partition_id().alias("__r"), inside.alias("__i")))
     counts = placed.groupBy("__r").agg(F.count("*").alias("__n"))
-    before = counts.select("__r", (F.sum("__n").over(W.orderBy("__r")) - F.col("__n")).alias("__before"))  # one row a range
-    inside = placed.withColumn("__i", F.row_number().over(W.partitionBy("__r").orderBy("__k")))
-    return inside.join(F.broadcast(before), "__r").withColumn(to, F.col("__before") + F.col("__i")).drop("__r", "__i", "__before", "__k")
+    before = counts.select("__r", (F.sum("__n").over(W.orderBy("__r")) - F.col("__n")).alias("__before"))  # one row a partition
+    return placed.join(F.broadcast(before), "__r").withColumn(to, F.col("__before") + F.col("__i") + 1).drop("__r", "__i", "__before")
 
 
 def network_stats(stores: DataFrame) -> DataFrame:
@@ -68,10 +64,16 @@ def column_widths(df: DataFrame, columns: list[str] = STORE_COLUMNS) -> DataFram
 
 
 def samples(links: DataFrame, examples: int = 10) -> DataFrame:
-    """G5. (reason, n, samples): links counted by why they were refused (null: accepted), with the first few hrefs of each."""
-    ranked = links.withColumn("__n", F.row_number().over(W.partitionBy("reason").orderBy("rank", "on", "pos")))
-    picked = F.array_sort(F.collect_list(F.when(F.col("__n") <= examples, F.struct("__n", "href"))))
-    return ranked.groupBy("reason").agg(F.count("*").alias("n"), picked.alias("s")).select("reason", "n", F.transform("s", lambda x: x["href"]).alias("samples"))
+    """G5. (reason, n, samples): links counted by why they were refused (null: accepted), with the first few hrefs of each.
+
+    The counts combine before their shuffle. Of the links only each partition's first few a reason are sent: a reason that nearly all
+    links share costs no task more than partitions times examples rows.
+    """
+    placed = links.select("reason", F.struct("rank", "on", "pos", "href").alias("__s"))
+    first = placed.withColumn("__n", F.row_number().over(W.partitionBy("reason").orderBy("__s"))).where(F.col("__n") <= examples)
+    picked = first.groupBy("reason").agg(F.transform(F.array_sort(F.collect_list("__s")), lambda x: x["href"]).alias("samples"))
+    counts = links.groupBy("reason").agg(F.count("*").alias("n"))
+    return counts.join(picked, counts.reason.eqNullSafe(picked.reason)).select(counts.reason, "n", "samples")
 
 
 def first_strategy(rows: DataFrame, rank: str, group: list[str]) -> DataFrame:

@@ -312,7 +312,7 @@ def snapshot_order(spark, d):
 @query(f"with {KEYED} select c_custkey, row_number() over (order by {', '.join(t for t, c in zip(_TEXTS, [*ORDER_FIELDS, 'stable_key']) if c != 'stable_key')}, c_custkey) as place from keyed")
 def map_store_order(spark, d):
     """O3, with ranges of few rows."""
-    return report.ranked(keyed(spark, d), [*report.business_order(), F.col("c_custkey")], rows_a_range=200).select("c_custkey", "place")
+    return report.ranked(keyed(spark, d), [*report.business_order(), F.col("c_custkey")]).select("c_custkey", "place")
 
 
 @query("select 0 as chain, c_custkey as id, c_name as name from customer union all select 1, s_suppkey, s_name from supplier")
