@@ -1,6 +1,6 @@
 """The queries of this subpackage and their SQL, where SQL can express them."""
 
-from . import bpe, chat, media, minhash, mixing, secrets, suffix, topk, toxicity, urls
+from . import bpe, chat, media, minhash, mixing, neighbours, resampling, secrets, sessions, suffix, topk, toxicity, urls
 
 
 def queries():
@@ -15,8 +15,19 @@ def queries():
         "op8_minhash": minhash.op8_minhash,
         "op9_urls": urls.op9_urls,
         "op10_chat": chat.op10_chat,
+        "op11_sessions": sessions.op11_sessions,
+        "op12_resample": resampling.op12_resample,
+        "op13_neighbours": neighbours.op13_neighbours,
     }
 
 
 def oracle_sql():
-    return {"op1_topk": topk.ORACLE, "op6_mix": mixing.ORACLE, "op8_minhash": minhash.ORACLE, "op9_urls": urls.ORACLE, "op10_chat": chat.ORACLE}
+    return {
+        "op1_topk": topk.ORACLE,
+        "op6_mix": mixing.ORACLE,
+        "op8_minhash": minhash.ORACLE,
+        "op9_urls": urls.ORACLE,
+        "op10_chat": chat.ORACLE,
+        "op11_sessions": sessions.ORACLE,
+        "op12_resample": resampling.ORACLE,
+    }
