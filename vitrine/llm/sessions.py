@@ -48,15 +48,15 @@ def cents(value: Column) -> Column:
 def timely_and_late(clicks: DataFrame, *, late: int = LATE) -> DataFrame:
     """(click_id, client_id, us, late, final, cents) of each click once. Rows with a null click_id, client_id or ts take no part.
 
-    Of rows that share a click_id but differ, the one that is least in (ts, client_id, arrived_at, final, cents) counts. A click whose
+    Of rows that share a click_id but differ, the one that is least in (ts, client_id, late, final, cents) counts. A click whose
     arrival is null is timely.
     """
     final = F.coalesce((F.col("value") >= FINAL_VALUE) & F.col("kind").isin(*FINAL_KINDS) & ~F.isnan("value"), F.lit(False))
     us = micros(clicks, "ts")
     rows = clicks.where("click_id is not null and client_id is not null and ts is not null").select(
-        F.col("click_id").cast("long"), F.col("client_id").cast("long"), us.alias("us"), F.coalesce(micros(clicks, "arrived_at") - us, F.lit(0)).alias("delay"), final.alias("final"), cents(F.col("value")).alias("cents"))
-    once = W.partitionBy("click_id").orderBy("us", "client_id", "delay", "final", "cents")
-    return rows.withColumn("n", F.lag("click_id").over(once)).where("n is null").select("click_id", "client_id", "us", (F.col("delay") > late).alias("late"), "final", "cents")
+        F.col("click_id").cast("long"), F.col("client_id").cast("long"), us.alias("us"), F.coalesce(micros(clicks, "arrived_at") - us > late, F.lit(False)).alias("late"), final.alias("final"), cents(F.col("value")).alias("cents"))
+    once = W.partitionBy("click_id").orderBy("us", "client_id", "late", "final", "cents")
+    return rows.withColumn("n", F.lag("click_id").over(once)).where("n is null").drop("n")
 
 
 def runs(clicks: DataFrame, *, gap: int = GAP) -> DataFrame:
@@ -67,8 +67,9 @@ def runs(clicks: DataFrame, *, gap: int = GAP) -> DataFrame:
     clicks before all timely ones of their client belong to none and are left out.
     """
     cell = F.floor(F.col("us") / gap).cast("long")
-    dealt = clicks.withColumn("cell", cell)
-    inside = W.partitionBy("client_id", "cell", "late").orderBy("us", "click_id")
+    # dealt once by (client, cell), which serves the summary and the way back alike; for that both must need the same columns, so cents is in the order
+    dealt = clicks.withColumn("cell", cell).repartition("client_id", "cell")
+    inside = W.partitionBy("client_id", "cell", "late").orderBy("us", "click_id", "cents")
     dealt = dealt.withColumns({"before": F.lag("final").over(inside), "after_us": F.lead("us").over(inside)})
     timely, first, last = ~F.col("late"), F.col("before").isNull(), F.col("after_us").isNull()
     begins = timely & F.coalesce("before", F.lit(False))  # a final click right before, in the same cell
