@@ -52,7 +52,7 @@ def test_by_hand(spark, n):
 
 
 def test_small_blocks_give_the_same(spark, monkeypatch):
-    monkeypatch.setattr(R, "BLOCK_CHARS", 500)
+    monkeypatch.setattr(R, "BLOCK_BYTES", 500)
     assert order(run(spark, DOCS, TARGET)) == order(by_hand(DOCS, TARGET, 1, 100))
 
 

@@ -5,20 +5,19 @@ once, into one of a fixed number of buckets; a bucket's gain is the log ratio of
 corpus. The gains go back to the strings and meet the documents' own counts; a document's weight is their sum, and the documents with the
 highest weights plus Gumbel noise are drawn: a sample without replacement in proportion to importance.
 
-Scale: one pass counts features a block of documents, so a row stands for (block, feature) and holds the counts of all the block's documents
-as bytes. A block has at most BLOCK_DOCS documents and starts anew beyond BLOCK_CHARS characters, so a row is bounded, and a feature that every
-document has is one row a block, not one a document: no key is hot. The counts join the dictionary by feature and come together again by
-block; both shuffles move blocks' features, not texts. The only thing broadcast is the table of buckets, BUCKETS rows whatever the input.
+Scale: one pass counts features a block of documents. A block has at most BLOCK_DOCS documents and BLOCK_BYTES of texts, or a single longer text.
+What is shuffled is one row (block, feature), so a feature that every document has is one row a block, not one a document, and no
+key is hot. It meets the dictionary by feature and goes back, as a number, to its block, whose documents' own counts lie there as bytes, about two
+for a document's feature. Texts are read once. The only thing broadcast is the table of buckets, BUCKETS rows whatever the input.
 """
 
 from __future__ import annotations
 
-from collections import Counter
 from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-import regex
+import pyarrow.compute as pc
 from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -29,81 +28,116 @@ from .common import discard, give_back, materialize, table
 BUCKETS = 10_000
 NGRAM = 1
 PERCENT, LEAST_WORDS, SEED = 10, 20, 2024
-BLOCK_DOCS, BLOCK_CHARS = 4_096, 16_000_000
-
-#: Fixed value: words are runs of ASCII letters, digits and anything beyond ASCII, after A-Z are lower-cased.
-WORD = regex.compile(r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+")
-UPPER = {c: c + 32 for c in range(65, 91)}
-
-COUNTS_SCHEMA = "block long, feature string, n long, docs binary, counts binary"
-
-
-def features(text: str | None, n: int = NGRAM) -> tuple[list[str], int]:
-    """The n-grams of 1 to n words of a text, in any order, and how many words it has."""
-    words = WORD.findall((text or "").translate(UPPER))
-    grams = list(words)
+BLOCK_DOCS, BLOCK_BYTES = 16_384, 16_000_000
+
+#: Fixed value: the bytes of words, ASCII letters and digits and all bytes beyond ASCII, after A-Z are lower-cased.
+WORD_BYTES = b"0123456789abcdefghijklmnopqrstuvwxyz" + bytes(range(128, 256))
+LOWER = np.arange(256, dtype=np.uint8)
+LOWER[65:91] += 32
+IN_WORD = np.isin(np.arange(256), np.frombuffer(WORD_BYTES, np.uint8))
+
+COUNTS_SCHEMA = "block long, feature string, n long, place int, held array<binary>"
+
+
+def _words(texts: pa.Array) -> tuple[pa.Array, np.ndarray]:
+    """All words of the texts, one after another, and the place of each one's text. Null texts have none."""
+    raw = texts.fill_null("").cast(pa.large_binary())
+    bounds = np.frombuffer(raw.buffers()[1], np.int64)[raw.offset : raw.offset + len(raw) + 1]
+    data = LOWER[np.frombuffer(raw.buffers()[2] or b"", np.uint8)[bounds[0] : bounds[-1]]]
+    bounds = bounds - bounds[0]
+    inside = IN_WORD[data]
+    opens = inside.copy()
+    opens[1:] &= ~inside[:-1]
+    edges = bounds[:-1][bounds[:-1] < bounds[1:]]
+    opens[edges] = inside[edges]  # a word ends with its text
+    start = np.flatnonzero(opens)
+    kept = np.cumsum(inside) - inside  # where a byte stands among the words' bytes
+    offsets = np.append(kept[start], inside.sum()).astype(np.int64)
+    words = pa.LargeBinaryArray.from_buffers(pa.large_binary(), len(start), [None, pa.py_buffer(offsets), pa.py_buffer(data[inside])])
+    return words, np.searchsorted(bounds, start, "right") - 1
+
+
+def _features(texts: pa.Array, n: int) -> tuple[pa.Array, np.ndarray, np.ndarray]:
+    """The n-grams of 1 to n words of the texts, the place of each one's text, and the texts' numbers of words."""
+    words, of = _words(texts)
+    grams, places = [words], [of]
     for k in range(2, n + 1):
-        grams += [" ".join(words[i : i + k]) for i in range(len(words) - k + 1)]
-    return grams, len(words)
-
-
-def _narrow(values: list[int]) -> bytes:
-    return np.asarray(values, "<u4").tobytes()
-
-
-class _Block:
-    """Feature counts of some documents: for each feature the documents that have it and how often."""
-
-    def __init__(self) -> None:
-        self.chars, self.size, self.heads = 0, 0, []
-        self.docs: dict[str, list[int]] = {}
-        self.counts: dict[str, list[int]] = {}
-
-    def add(self, head: tuple, text: str | None, n: int) -> None:
-        grams, words = features(text, n)
-        for gram, count in Counter(grams).items():
-            self.docs.setdefault(gram, []).append(self.size)
-            self.counts.setdefault(gram, []).append(count)
-        self.heads.append((*head, len(grams), words))
-        self.size += 1
-        self.chars += len(text or "")
-
-    def full(self) -> bool:
-        return self.size >= BLOCK_DOCS or self.chars >= BLOCK_CHARS
+        at = np.flatnonzero(of[: len(of) - k + 1] == of[k - 1 :]) if len(of) >= k else np.zeros(0, np.int64)
+        grams.append(pc.binary_join_element_wise(*[words.take(pa.array(at + i)) for i in range(k)], pa.scalar(b" ", pa.large_binary())))
+        places.append(of[at])
+    return pa.concat_arrays(grams), np.concatenate(places), np.bincount(of, minlength=len(texts))
+
+
+def _pack(doc: np.ndarray, count: np.ndarray, first: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Places and counts as bytes, two a step: how far the place moves on, how much is added there. Larger moves and counts take several steps.
+
+    doc, count: sorted by feature, then place; first: where a feature begins. Also returns where its steps begin."""
+    move = doc.copy()
+    move[1:] -= doc[:-1]
+    move[first] = doc[first]
+    moves, adds = move // 255, np.maximum(1, -(-count // 255))
+    steps = moves + adds
+    ends = np.cumsum(steps)
+    within = np.arange(ends[-1] if len(ends) else 0) - np.repeat(ends - steps, steps)
+    moving = within < np.repeat(moves, steps)
+    at = within - np.repeat(moves, steps)
+    moved = np.where(moving, 255, np.where(at == 0, np.repeat(move % 255, steps), 0))
+    added = np.where(moving, 0, np.minimum(255, np.repeat(count, steps) - 255 * at))
+    return moved.astype(np.uint8), added.astype(np.uint8), (ends - steps)[first]
+
+
+def _block(name: int, ids: pa.Array, texts: pa.Array, n: int) -> pa.RecordBatch:
+    """Rows of COUNTS_SCHEMA of one block of documents."""
+    grams, of, words = _features(texts, n)
+    coded = grams.dictionary_encode()
+    key, count = np.unique(coded.indices.to_numpy(zero_copy_only=False).astype(np.int64) * len(texts) + of, return_counts=True)
+    feature, doc = np.divmod(key, max(1, len(texts)))
+    first = np.flatnonzero(np.diff(feature, prepend=-1))
+    moved, added, begin = _pack(doc, count, first)
+    total = np.add.reduceat(count, first) if len(first) else np.zeros(0, np.int64)
+    marked = np.stack([ids.fill_null(0).to_numpy(zero_copy_only=False), ids.is_null().to_numpy(zero_copy_only=False)], axis=1)
+    sizes = np.stack([np.bincount(of, minlength=len(texts)), words], axis=1)
+    held = [marked.astype("<i8").tobytes(), sizes.astype("<i8").tobytes(), np.diff(np.append(begin, len(moved))).astype("<u4").tobytes(), moved.tobytes(), added.tobytes()]
+    columns = [
+        pa.array(np.full(len(first) + 1, name)),
+        pa.concat_arrays([coded.dictionary.cast(pa.large_string()), pa.nulls(1, pa.large_string())]).cast(pa.string()),
+        pa.array(np.append(total, 0)),
+        pa.array(np.arange(len(first) + 1, dtype=np.int32)),
+        pa.concat_arrays([pa.nulls(len(first), pa.list_(pa.binary())), pa.array([held], pa.list_(pa.binary()))]),
+    ]
+    return pa.RecordBatch.from_arrays(columns, names=["block", "feature", "n", "place", "held"])
 
 
 def block_counts(docs: DataFrame, n: int = NGRAM) -> DataFrame:
-    """(block, feature, n, docs, counts) of docs (doc_id long, text string), and a row with a null feature a block.
+    """(block, feature, n, place, held) of docs (doc_id long, text string), and a row with a null feature a block.
 
-    n is how often the block has the feature; docs and counts are unsigned 32-bit numbers, the documents' places in the block and how often each
-    has it. The row without a feature holds what restores the documents: docs the ids and a mark of null ids, counts the numbers of features and
-    words. Blocks are named by the task that made them, so the rows must be written before they are used: a second run may cut them otherwise.
+    n is how often the block has the feature, place numbers the block's features from 0. The row without a feature holds the block's documents:
+    ids with marks of null ones, numbers of features and words, and for each feature in order its documents and counts as _pack has them.
+    Blocks are named by the task that made them, so the rows must be written before they are used: a second run may cut them otherwise.
     """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        task, made, block = TaskContext.get().partitionId(), 0, _Block()
-
-        def out() -> Iterator[pa.RecordBatch]:
-            nonlocal made, block
-            name = (task << 32) + made
-            ids = np.array([[h[0] or 0, h[0] is None] for h in block.heads], "<i8").tobytes()
-            sizes = np.array([h[1:] for h in block.heads], "<i8").tobytes()
-            grams = list(block.docs)
-            for i in range(0, max(1, len(grams)), 10_000):
-                part = grams[i : i + 10_000]
-                rows = [(name, g, sum(block.counts[g]), _narrow(block.docs[g]), _narrow(block.counts[g])) for g in part]
-                if i == 0:
-                    rows.append((name, None, 0, ids, sizes))
-                yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*rows, strict=True), (pa.int64(), pa.string(), pa.int64(), pa.binary(), pa.binary()), strict=True)], names=["block", "feature", "n", "docs", "counts"])
-            made, block = made + 1, _Block()
+        name, held, chars = TaskContext.get().partitionId() << 32, [], 0
+
+        def block() -> pa.RecordBatch:
+            whole = pa.Table.from_batches(held).combine_chunks()
+            return _block(name, whole.column(0).combine_chunks(), whole.column(1).combine_chunks(), n)
 
         for batch in batches:
-            for doc_id, text in zip(batch.column(0).to_pylist(), batch.column(1), strict=True):
-                block.add((doc_id,), text.as_py(), n)
-                if block.full():
-                    yield from out()
-        if block.size:
-            yield from out()
+            sizes = pc.fill_null(pc.binary_length(batch.column(1)), 0).to_numpy(zero_copy_only=False)
+            at = 0
+            while at < batch.num_rows:
+                fits = np.searchsorted(np.cumsum(sizes[at:], dtype=np.int64), BLOCK_BYTES - chars, "right") + (not held)
+                some = int(min(max(fits, 0), BLOCK_DOCS - sum(x.num_rows for x in held), batch.num_rows - at))
+                if some:
+                    held.append(batch.slice(at, some))
+                    chars += int(sizes[at : at + some].sum())
+                    at += some
+                if at < batch.num_rows:  # full
+                    yield block()
+                    name, held, chars = name + 1, [], 0
+        if held:
+            yield block()
         give_back()
 
     return docs.select(F.col("doc_id").cast("long"), F.col("text").cast("string")).mapInArrow(run, COUNTS_SCHEMA)
@@ -134,19 +168,19 @@ def bucket_gains(corpus: DataFrame, target: DataFrame, buckets: int = BUCKETS) -
     return both.select("bucket", F.floor(F.lit(1000.0) * F.log(up / down)).cast("long").alias("gain"))
 
 
-def _block_weights(key: tuple, rows: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Weights of a block's documents from its rows (feature, gain, docs, counts), which come in any order."""
-    weights, heads = np.zeros(BLOCK_DOCS, np.int64), None
-    for batch in rows:
-        named, gains = batch.column("feature").is_valid().to_pylist(), batch.column("gain").to_pylist()
-        for has, gain, docs, counts in zip(named, gains, batch.column("docs"), batch.column("counts"), strict=True):
-            if has:
-                weights[np.frombuffer(docs.as_buffer(), "<u4")] += gain * np.frombuffer(counts.as_buffer(), "<u4").astype(np.int64)
-            else:
-                heads = (np.frombuffer(docs.as_py(), "<i8").reshape(-1, 2), np.frombuffer(counts.as_py(), "<i8").reshape(-1, 2))
-    ids, sizes = heads
-    doc_id = pa.array(ids[:, 0], pa.int64(), mask=ids[:, 1] == 1)
-    yield pa.RecordBatch.from_arrays([doc_id, pa.array(sizes[:, 0]), pa.array(sizes[:, 1]), pa.array(weights[: len(ids)])], names=["doc_id", "n_features", "n_words", "weight"])
+def _block_weights(heads: pa.Table, priced: pa.Table) -> pa.Table:
+    """Cogrouped applyInArrow: weights of a block's documents from what it holds and the gains of its features (place, gain)."""
+    marked, sizes, steps, moved, added = (x.as_py() for x in heads.column("held")[0])
+    marked, sizes = np.frombuffer(marked, "<i8").reshape(-1, 2), np.frombuffer(sizes, "<i8").reshape(-1, 2)
+    steps, moved, added = np.frombuffer(steps, "<u4").astype(np.int64), np.frombuffer(moved, np.uint8), np.frombuffer(added, np.uint8)
+    gains = np.zeros(len(steps), np.int64)
+    gains[priced.column("place").to_numpy()] = priced.column("gain").to_numpy()
+    way = np.append(0, np.cumsum(moved, dtype=np.int64))
+    doc = way[1:] - np.repeat(way[np.cumsum(steps) - steps], steps)  # each feature's places begin at 0
+    weights = np.zeros(len(marked), np.int64)
+    np.add.at(weights, doc, np.repeat(gains, steps) * added)
+    doc_id = pa.array(marked[:, 0], pa.int64(), mask=marked[:, 1] == 1)
+    return pa.table({"doc_id": doc_id, "n_features": sizes[:, 0], "n_words": sizes[:, 1], "weight": weights})
 
 
 def importance(docs: DataFrame, target: DataFrame, *, n: int = NGRAM, buckets: int = BUCKETS) -> DataFrame:
@@ -161,8 +195,9 @@ def importance(docs: DataFrame, target: DataFrame, *, n: int = NGRAM, buckets: i
     known = materialize(dictionary(counts, buckets), "dictionary")
     gains = bucket_gains(known, dictionary(wanted, buckets), buckets)
     priced = known.select("feature", "bucket").join(F.broadcast(gains), "bucket").select("feature", "gain")  # gains: one row a bucket
-    met = counts.select("block", "feature", "docs", "counts").join(priced, "feature", "left")
-    out = materialize(met.groupBy("block").applyInArrow(_block_weights, "doc_id long, n_features long, n_words long, weight long"), "weights")
+    met = counts.where("feature is not null").select("block", "place", "feature").join(priced, "feature").select(F.col("block").alias("of"), "place", "gain")
+    heads = counts.where("feature is null").select("block", "held")
+    out = materialize(heads.groupBy("block").cogroup(met.groupBy("of")).applyInArrow(_block_weights, "doc_id long, n_features long, n_words long, weight long"), "weights")
     discard(counts, wanted, known)
     return out
 
