@@ -51,8 +51,9 @@ def _words(texts: pa.Array) -> tuple[pa.Array, np.ndarray]:
     edges = bounds[:-1][bounds[:-1] < bounds[1:]]
     opens[edges] = inside[edges]  # a word ends with its text
     start = np.flatnonzero(opens)
-    kept = np.cumsum(inside) - inside  # where a byte stands among the words' bytes
-    offsets = np.append(kept[start], inside.sum()).astype(np.int64)
+    closes = inside.copy()
+    closes[:-1] &= ~inside[1:] | opens[1:]
+    offsets = np.append(0, np.cumsum(np.flatnonzero(closes) + 1 - start)).astype(np.int64)
     words = pa.LargeBinaryArray.from_buffers(pa.large_binary(), len(start), [None, pa.py_buffer(offsets), pa.py_buffer(data[inside])])
     return words, np.searchsorted(bounds, start, "right") - 1
 
