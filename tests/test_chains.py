@@ -9,7 +9,6 @@ from vitrine.operators.diff import diff
 from vitrine.plans import chains, config, runner
 from vitrine.sources import fetched
 from vitrine.sources import snapshot as S
-from vitrine.streaming.snapshots import apply_batch, watch
 
 RESPONSES = "url string, status int, final_url string, body string, error string"
 SITE = "https://www.monetka.ru"
@@ -155,19 +154,6 @@ def stores(spark, *hours):
     return spark.createDataFrame([("N", f"https://x.ru/shop/{i}", h) for i, h in enumerate(hours)], ROW)
 
 
-def test_versions(spark, tmp_path):
-    """A version that was not finished is never read, older ones go, a number can be written anew."""
-    path = str(tmp_path / "s")
-    assert S.load(spark, path).status == "missing"
-    for i in range(5):
-        S.save(stores(spark, str(i)), path, "t")
-    assert S.versions(spark, path) == [2, 3, 4]
-    (tmp_path / "s" / "v-00000000000000000009").mkdir()
-    assert [r.work_time for r in S.load(spark, path).rows.collect()] == ["4"] and S.load(spark, path, before=4).rows.first().work_time == "3"
-    S.save(stores(spark, "new"), path, "t", number=4)
-    assert S.load(spark, path).rows.first().work_time == "new"
-
-
 def test_snapshot_document(spark, tmp_path):
     """A JSON document with older names; the first name that is there counts. Other shapes are invalid."""
     p = tmp_path / "s.json"
@@ -180,28 +166,6 @@ def test_snapshot_document(spark, tmp_path):
         assert S.load(spark, str(p)).status == "invalid"
 
 
-def test_batch_again(spark, tmp_path):
-    """A batch that is run again, before or after its version was written, gives the same changes."""
-    base, out = str(tmp_path / "b"), str(tmp_path / "c")
-    read = lambda n: sorted((r.change_type, r.changed_fields) for r in spark.read.parquet(f"{out}/batch-{n:020d}").collect())
-    apply_batch(stores(spark, "8-20", "9-21"), 0, base, out)
-    apply_batch(stores(spark, "8-22", "9-21", "1-2"), 1, base, out)
-    want = [("added", None), ("changed", "work_time")]
-    assert read(0) == [] and read(1) == want
-    apply_batch(stores(spark, "8-22", "9-21", "1-2"), 1, base, out)
-    assert read(1) == want and S.load(spark, base).rows.count() == 3
-
-
-def test_watch(spark, tmp_path):
-    src = str(tmp_path / "in")
-    stores(spark, "8-20").coalesce(1).write.parquet(src)
-    stream = spark.readStream.schema(ROW).parquet(src)
-    watch(stream, str(tmp_path / "b"), str(tmp_path / "c"), str(tmp_path / "k")).awaitTermination(120)
-    stores(spark, "8-21").coalesce(1).write.mode("append").parquet(src)
-    watch(spark.readStream.schema(ROW).parquet(src), str(tmp_path / "b"), str(tmp_path / "c"), str(tmp_path / "k")).awaitTermination(120)
-    assert spark.read.parquet(str(tmp_path / "c" / f"batch-{1:020d}")).first().changed_fields == "work_time"
-
-
 def test_set_aside_and_empty_source(spark, tmp_path):
     out = str(tmp_path / "r.xlsx")
 

@@ -36,10 +36,19 @@ def diff(previous: DataFrame, current: DataFrame, detected_at: str, *, initial:
 def diff_sides(rows: DataFrame, detected_at: str) -> DataFrame:
     """As diff, of one table of rows with side p (previous) or c (current): one grouping by stable_key picks the best row of
     each side and brings them together, so there is one shuffle, combined before it, and no join."""
-    whole = F.struct(*STORE_COLUMNS, compare_url(F.col("source_url")).alias("alias"))
     order = F.struct(*[c.alias(f"o{i}") for i, c in enumerate([*preference(), F.col("collected_at")])])
     best = lambda n: F.max_by(F.when(F.col("side") == n, F.col("row")), F.when(F.col("side") == n, F.col("order"))).alias(n)
-    both = rows.select("stable_key", "side", whole.alias("row"), order.alias("order")).groupBy("stable_key").agg(best("p"), best("c"))
+    both = rows.select("stable_key", "side", sided().alias("row"), order.alias("order")).groupBy("stable_key").agg(best("p"), best("c"))
+    return describe(both, detected_at)
+
+
+def sided() -> Column:
+    """A row as one side of a comparison: its fields and the alias by which urls are compared."""
+    return F.struct(*STORE_COLUMNS, compare_url(F.col("source_url")).alias("alias"))
+
+
+def describe(both: DataFrame, detected_at: str) -> DataFrame:
+    """Rows of CHANGE_SCHEMA from (stable_key, p, c), a key's rows as sided() has them, null where a side has none."""
     both = both.withColumn("f", F.when(F.col("p").isNotNull() & F.col("c").isNotNull(), changed_fields()))
     both = both.where("f is null or size(f) > 0")
     kind = F.when(F.col("p").isNull(), "added").when(F.col("c").isNull(), "removed").otherwise("changed")

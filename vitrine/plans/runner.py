@@ -10,7 +10,7 @@ from collections.abc import Callable
 from dataclasses import dataclass
 from datetime import datetime, timezone
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..functions.identity import canonical, stable_key
@@ -93,23 +93,35 @@ def run(spark: SparkSession, sources: dict[str, Callable[[SparkSession], DataFra
     before = S.load(spark, snapshot)
     if before.status == "invalid":
         log.warning("the baseline %s can't be read and is made anew", snapshot)
-    base = before.rows
-    if scoped:
-        base = base.join(current.select("network").distinct(), "network", "left_semi")
     initial = bool(failed) or before.status != "loaded"
-    changes = diff(base, current, now, initial=initial).persist()
+    stored = S.write(current, snapshot, now, like=before.version.stored if before.version else None)
+    if before.version and not initial:
+        changes = S.diff_stored(spark, before.version.stored, stored, now, only=_networks(current) if scoped else None).persist()
+    else:
+        base = before.rows
+        if scoped:
+            base = base.where(_networks(current))
+        changes = diff(base, current, now, initial=initial).persist()
     counts = {r.change_type: r.n for r in changes.groupBy("change_type").agg(F.count("*").alias("n")).collect()} | {"stores": current.count()}
     write_workbook(output, current.orderBy(*data_order()).select(*STORE_COLUMNS), changes.orderBy(*change_order()), network_stats(current).orderBy(*stats_order()))
     if failed:
         log.warning("baseline kept, failed: %s", failed)
+        S.remove(spark, stored)
     else:  # W5
-        S.save(current, snapshot, now, ready=True)
+        S.adopt(spark, snapshot, now)
+        S.commit(spark, snapshot, stored, now, writer="run")
     for cached in (*parts, current):
         cached.unpersist()
     log.info("done in %.2f s: %s", time.time() - began, counts)
     return Result(FAILED if failed else OK, changes, before.status, initial, failed, counts)
 
 
+def _networks(current: DataFrame) -> Column:
+    """Whether a row's network is one of the run's: as many as it has sources, and their spellings."""
+    found = [r.network for r in current.select("network").distinct().collect()]
+    return F.col("network").isin([n for n in found if n is not None])
+
+
 def parser() -> argparse.ArgumentParser:
     p = argparse.ArgumentParser(prog="vitrine")
     r = p.add_subparsers(dest="command").add_parser("run")
