@@ -2,13 +2,16 @@
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import functions as F
 
 from ..functions import identity, links, places, text, worktime
 from ..functions.identity import canonical, stable_key
 from ..operators import dedup, diff, enrich, report
 from ..schemas import ORDER_FIELDS, STORE_COLUMNS, TRACKED_FIELDS
-from ..sources import html
+from ..shared import cut, shared_folder
+from ..sources import html, snapshot
 from .views import CANONICAL, KEYED, raw_stores, sql_compare_url, sql_number, sql_text, sql_token, table
 
 DETECTED = "2026-01-02T00:00:00+00:00"
@@ -241,7 +244,10 @@ def _diff(spark, d):
 
 
 def _changes(spark, d):
-    x = _diff(spark, d)
+    return _shown(_diff(spark, d))
+
+
+def _shown(x):
     was = lambda c: F.when(F.col("change_type") == "changed", F.get_json_object(c, "$.work_time"))
     return x.select("stable_key", "change_type", "network", "region", "city", "address", "source_url", "changed_fields", was("old_value").alias("old_time"), was("new_value").alias("new_time"), "detected_at")
 
@@ -251,6 +257,21 @@ def diff_all(spark, d):
     return _changes(spark, d)
 
 
+@query(f"with {_DIFF} select * from changes")
+def diff_snapshots(spark, d):
+    """As diff_all, of two tables: each side is made canonical and keyed on its own, as a run has them."""
+    return _shown(diff.diff(*_two(spark, d), DETECTED))
+
+
+@query(f"with {_DIFF} select * from changes")
+def diff_versions(spark, d):
+    """As diff_all, of two stored versions in the shared folder, from the digests of their slices down."""
+    path = f"{shared_folder(spark)}/vitrine-versions-{uuid.uuid4().hex}"
+    previous, current = (dedup.keep_best(x.select(*STORE_COLUMNS, "stable_key")) for x in _two(spark, d))
+    first = snapshot.write(cut(previous), path, DETECTED)
+    return _shown(snapshot.diff_stored(spark, first, snapshot.write(cut(current), path, DETECTED, like=first), DETECTED))
+
+
 @query(f"with {_DIFF} select * from changes where change_type = 'added'")
 def diff_added(spark, d):
     return _changes(spark, d).where("change_type = 'added'")
@@ -482,17 +503,38 @@ def candidate_popup(spark, d):
     k = F.col("c_custkey")
     phone = F.when(k % 3 == 0, "&lt;br&gt;Тел.: 8 800").otherwise("")
     popup = F.concat(F.lit('[{"popup": "Адрес магазина: ул. '), k, F.lit("&lt;br&gt;Режим работы: 8-20"), phone, F.lit('"}]'))
-    upper = F.concat(F.lit('[{"NAME": "n", "addr": "ул. '), k, F.lit('", "COORDINATE": "52.5, 85.25", "STARTED_WORK": " "'), F.when(k % 3 == 0, ', "TEL": "8 800"').otherwise(""), F.lit("}]"))
+    upper = F.concat(F.lit('[{"NAME": " ", "addr": "ул. '), k, F.lit('", "COORDINATE": "52.5, 85.25", "STARTED_WORK": " "'), F.when(k % 3 == 0, ', "TEL": "8 800"').otherwise(""), F.lit("}]"))
     s = table(spark, d, "customer").select("c_custkey", F.when(k % 2 == 0, popup).otherwise(upper).alias("script"))
     return mapscript.candidates(s, attribute=True).select("c_custkey", "address", "work_time", "phone", "coords")
 
 
-@query("""select c_custkey, case c_custkey % 6 when 0 then 'Омск, 5' when 1 then 'ул. ' || c_custkey when 2 then 'Омск, д. 5а' when 3 then 'Томск, ул. 1' when 4 then '5 этаж' end as address from customer""")
+@query("""with keys as (select c_custkey, c_custkey % 5 as k from customer),
+items as (select c_custkey, unnest(range(4)) as item, k from keys)
+select c_custkey, count(*) as stores, string_agg(distinct city, ',' order by city) as cities, min(address) as first_address from (
+ select c_custkey, case when item = 3 and k > 0 then 'г. Омск' when item = 1 then 'г. Томск' when item = 3 then 'г. Бийск' else 'г. Омск' end as city,
+  case when item = 1 then 'ул. Мира, 1' when item = 3 and k > 0 then 'пр. Новый, 2' when item = 3 then 'ул. Мира, 1' when item = 2 then 'ул. Мира, 2' else 'ул. Мира, 1' end as address from items
+ where not (item = 2 and k = 1)) group by 1""")
+def candidate_upper(spark, d):
+    """Upper-case items without coordinates differ by what their NAME says; those alike in city, address and coordinates count once."""
+    from ..sources import mapscript
+
+    k = F.col("c_custkey") % 5
+    one = lambda name, rest='"STARTED_WORK": "8", "END_WORK": "20"': '{"NAME": "' + name + '", ' + rest + "}"
+    last = F.when(k > 0, one("г. Омск, пр. Новый, 2")).otherwise(one("г. Бийск, ул. Мира, 1"))
+    third = F.when(k == 1, one("г. Омск, ул. Мира, 1", '"COORDINATE": "x"')).otherwise(one("г. Омск, ул. Мира, 2"))
+    items = F.concat_ws(",", F.lit(one("г. Омск, ул. Мира, 1")), F.lit(one("г. Томск, ул. Мира, 1")), third, last)
+    s = table(spark, d, "customer").select("c_custkey", F.concat(F.lit("["), items, F.lit("]")).alias("script"))
+    c = mapscript.candidates(s, attribute=True)
+    once = dedup.keep_first(c, [F.col("c_custkey"), *dedup.candidate_keys()], [F.col("item")]).where("work_time = '8-20'")
+    return once.groupBy("c_custkey").agg(F.count("*").alias("stores"), F.array_join(F.array_sort(F.collect_set("city")), ",").alias("cities"), F.min("address").alias("first_address"))
+
+
+@query("""select c_custkey, case c_custkey % 7 when 0 then 'Омск, 5' when 1 then 'ул. ' || c_custkey when 2 then 'Омск, д. 5а' when 3 then 'Томск, ул. 1' when 4 then '5 этаж' when 6 then '5 к 2/3' end as address from customer""")
 def address_city_strip(spark, d):
     """A city in front goes only where what follows says more than a house number."""
     k = F.col("c_custkey")
-    a = F.when(k % 6 == 0, "Омск , 5").when(k % 6 == 1, F.concat(F.lit("ОМСК,, ул. "), k)).when(k % 6 == 2, "Омск, д. 5а").when(k % 6 == 3, "Томск, ул. 1").when(k % 6 == 4, "омск;,5  этаж").otherwise(" n/a ")
-    x = table(spark, d, "customer").select("c_custkey", F.when(k % 6 == 4, F.replace(a, F.lit(";,"), F.lit(", "))).otherwise(a).alias("address"), F.lit("Омск").alias("city"))
+    a = F.when(k % 7 == 0, "Омск , 5").when(k % 7 == 1, F.concat(F.lit("ОМСК,, ул. "), k)).when(k % 7 == 2, "Омск, д. 5а").when(k % 7 == 3, "Томск, ул. 1").when(k % 7 == 4, "омск;,5  этаж").when(k % 7 == 6, "Омск, 5 к 2/3").otherwise(" n/a ")
+    x = table(spark, d, "customer").select("c_custkey", F.when(k % 7 == 4, F.replace(a, F.lit(";,"), F.lit(", "))).otherwise(a).alias("address"), F.lit("Омск").alias("city"))
     return text.address_pass(x, "address", "city").select("c_custkey", "address")
 
 

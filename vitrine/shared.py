@@ -4,20 +4,23 @@ from __future__ import annotations
 
 import tempfile
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 
 
-def cut(df: DataFrame) -> DataFrame:
-    """The rows, written to the checkpoint folder and read from there: computed once, with no plan before them, safe from lost executors.
-
-    The folder is spark.checkpoint.dir; one of our own only in local mode, where driver and executors are one.
-    """
-    sc = df.sparkSession.sparkContext
+def shared_folder(spark: SparkSession) -> str:
+    """spark.checkpoint.dir; a folder of our own only in local mode, where driver and executors are one."""
+    sc = spark.sparkContext
     if sc.getCheckpointDir() is None:
-        where = df.sparkSession.conf.get("spark.checkpoint.dir", None)
+        where = spark.conf.get("spark.checkpoint.dir", None)
         if not where and not sc.master.startswith("local"):
             raise RuntimeError("set spark.checkpoint.dir to a folder that driver and executors share")
         sc.setCheckpointDir(where or tempfile.mkdtemp(prefix="vitrine-"))
+    return sc.getCheckpointDir()
+
+
+def cut(df: DataFrame) -> DataFrame:
+    """The rows, written to the shared folder and read from there: computed once, with no plan before them, safe from lost executors."""
+    shared_folder(df.sparkSession)
     kept = df.persist()  # a checkpoint reads its rows twice
     out = kept.checkpoint()
     kept.unpersist()

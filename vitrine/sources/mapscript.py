@@ -163,10 +163,15 @@ def _lists(s: pd.Series) -> pd.Series:
 
 
 def candidates(texts: DataFrame, text: str = "script", *, attribute: bool = False) -> DataFrame:
-    """S8-S10. texts plus one row for each candidate, with its place `item` in the list."""
+    """S8-S10. texts plus one row for each candidate, with its place `item` in the list.
+
+    The NAME of an upper-case item is split here, so that what follows, D4 first, sees its city and address.
+    """
     kind = "array<struct<" + ", ".join(f"{x.split()[0]}:{x.split(' ', 1)[1]}" for x in CANDIDATE.split(", ")) + ">>"
     found = F.pandas_udf(_lists if attribute else _scripts, kind)(F.col(text))
-    return texts.withColumn("__c", found).select(*texts.columns, F.posexplode("__c").alias("item", "__c")).select(*texts.columns, "item", "__c.*")
+    df = texts.withColumn("__c", found).select(*texts.columns, F.posexplode("__c").alias("item", "__c")).select(*texts.columns, "item", "__c.*")
+    named = F.when(F.col("upper"), P.split_city(F.col("name")))
+    return df.withColumns({"address": F.coalesce(F.nullif(named["address"], F.lit("")), "address"), "city": F.coalesce(named["city"], "city")})
 
 
 def dedup_candidates(df: DataFrame, order: list[str]) -> DataFrame:
@@ -176,8 +181,6 @@ def dedup_candidates(df: DataFrame, order: list[str]) -> DataFrame:
 
 def store_rows(df: DataFrame, *, network: str, map_url: str, keep: tuple[str, ...] = ()) -> DataFrame:
     """M26. Store-like rows of candidates."""
-    named = F.when(F.col("upper"), P.split_city(F.col("name")))
-    df = df.withColumns({"address": F.coalesce(F.nullif(named["address"], F.lit("")), "address"), "city": F.coalesce(named["city"], "city")})
     r = P.split_region(F.col("address"))
     df = df.withColumns({"__r": r}).withColumns({"region": F.coalesce(P.clean_region(F.col("region")), P.clean_region(F.col("__r.region"))), "address": F.coalesce(F.nullif("__r.rest", F.lit("")), "address")})
     df = P.city_and_address(df)

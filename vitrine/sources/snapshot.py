@@ -182,6 +182,7 @@ def commit(spark: SparkSession, path: str, stored: Stored, saved_at: str, *, wri
 
 
 def remove(spark: SparkSession, stored: Stored) -> None:
+    spark.sql(f"DROP TABLE IF EXISTS {_name(stored)}")
     fs, p = _fs(spark, stored.folder)
     fs.delete(p, True)
 
@@ -237,9 +238,13 @@ def write(rows: DataFrame, path: str, saved_at: str, *, like: Stored | None = No
     return Stored(folder, slices, buckets, json.dumps(parts))
 
 
+def _name(stored: Stored) -> str:
+    return f"vitrine_read_{stored.folder.rsplit('data-', 1)[-1]}"
+
+
 def read(spark: SparkSession, stored: Stored) -> DataFrame:
     """The stored rows with their slice, as a table whose partitions and buckets Spark knows."""
-    name = f"vitrine_read_{stored.folder.rsplit('data-', 1)[-1]}"
+    name = _name(stored)
     if not spark.catalog.tableExists(name):
         where = stored.folder.replace("\\", "\\\\").replace("'", "\\'")
         spark.sql(f"CREATE TABLE {name} ({STORED}, slice int) USING parquet PARTITIONED BY (slice) CLUSTERED BY (stable_key) SORTED BY (stable_key) INTO {stored.buckets} BUCKETS LOCATION '{where}'")
