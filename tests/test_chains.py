@@ -119,34 +119,6 @@ def test_maria_ra(spark, where):
     ]
 
 
-def test_fetch_retries(spark):
-    """S1-S3 against a local server: a body, a redirect's target, a failure's status."""
-    import threading
-    from http.server import BaseHTTPRequestHandler, HTTPServer
-
-    class Handler(BaseHTTPRequestHandler):
-        def do_GET(self):
-            if self.path == "/moved":
-                self.send_response(302)
-                self.send_header("Location", "/ok")
-                self.end_headers()
-                return
-            self.send_response(200 if self.path == "/ok" else 404)
-            self.end_headers()
-            self.wfile.write(f"{self.headers.get('Cookie')}".encode())
-
-        def log_message(self, *a):
-            pass
-
-    server = HTTPServer(("127.0.0.1", 0), Handler)
-    threading.Thread(target=server.serve_forever, daemon=True).start()
-    base = f"http://127.0.0.1:{server.server_port}"
-    urls = spark.createDataFrame([(f"{base}{x}",) for x in ("/ok", "/moved", "/none")] + [("bad",)], "url string")
-    got = {r.url.removeprefix(base): r for r in fetched.fetch(urls, retries=0, headers={"Cookie": "a=1"}).collect()}
-    server.shutdown()
-    assert (got["/ok"].body, got["/moved"].final_url, got["/none"].status, got["bad"].error) == ("a=1", f"{base}/ok", 404, "ValueError")
-
-
 ROW = "network string, source_url string, work_time string"
 
 

@@ -21,8 +21,10 @@ from .config import NETWORKS, Config
 log = logging.getLogger("vitrine")
 
 
-def _responses(table: DataFrame | None, urls: DataFrame, cfg: Config, headers: dict[str, str] | None = None) -> DataFrame:
-    return table.join(urls, "url", "left_semi") if table is not None else fetched.fetch(urls, timeout=cfg.timeout, retries=cfg.retries, headers=headers)
+def _responses(table: DataFrame | None, urls: DataFrame, cfg: Config, headers: dict[str, str] | None = None, **session) -> DataFrame:
+    if table is not None:
+        return table.join(urls, "url", "left_semi")
+    return fetched.fetch(urls, landing=cfg.landing, timeout=cfg.timeout, retries=cfg.retries, pace=cfg.pace, headers=headers, **session)
 
 
 def _source(rows: DataFrame, held: list[DataFrame], rejected: DataFrame | None = None) -> DataFrame:
@@ -57,17 +59,17 @@ def maria_ra(spark: SparkSession, cfg: Config, table: DataFrame | None) -> DataF
     """M27, S7-S10, D4, D5. Inline scripts, then external ones, then data attributes: the first that yields candidates. A browser isn't driven."""
     wanted = spark.createDataFrame([(cfg.maria_ra_map_url,)], "url string")
     page = _responses(table, wanted, cfg).where(F.col("body").isNotNull()).persist()
-    held = [page]
+    held, session = [page], {}
     if not page.where(mapscript.is_age_gate(F.col("body"))).isEmpty():
         log.warning("maria_ra: the map page asks for an age%s", "" if table is not None else ", trying again with its cookies")
-        if table is None:
-            cookies = "; ".join(f"{k}={v}" for k, v in fetched.AGE_COOKIES.items())
-            page = _responses(None, wanted, cfg, {"Cookie": cookies}).where(F.col("body").isNotNull()).persist()
+        if table is None:  # S7: the site's first page comes first, so that its own cookies join those of age
+            session = {"cookies": fetched.AGE_COOKIES, "prime": cfg.maria_ra_url}
+            page = _responses(None, wanted, cfg, **session).where(F.col("body").isNotNull()).persist()
             held.append(page)
     parsed = html.parse_pages(page, "body", "url").persist()
     inline = parsed.select(F.posexplode("page.scripts").alias("pos", "script"))
     outside = parsed.select(F.posexplode("page.script_urls").alias("pos", "url"))
-    loaded = _responses(table, outside.select("url").distinct(), cfg).where("body is not null").join(outside, "url").select("pos", F.col("body").alias("script"))
+    loaded = _responses(table, outside.select("url").distinct(), cfg, **session).where("body is not null").join(outside, "url").select("pos", F.col("body").alias("script"))
     data = parsed.select(F.posexplode("page.data").alias("pos", "script"))
     found = None
     for rank, (texts, attribute) in enumerate(((inline, False), (loaded, False), (data, True))):

@@ -25,6 +25,15 @@ def _whole(name: str, default: int, least: int) -> int:
     return v if v >= least else default
 
 
+def _seconds(name: str) -> float:
+    """A number of seconds not below 0; anything else is none."""
+    try:
+        v = float(_text(name, "0"))
+    except ValueError:
+        return 0.0
+    return v if 0 <= v < float("inf") else 0.0
+
+
 @dataclass(frozen=True)
 class Config:
     output: str
@@ -37,6 +46,8 @@ class Config:
     monetka_url: str
     maria_ra_url: str
     maria_ra_map_url: str
+    landing: str | None = None  # folder of a run's responses: a run started again with it requests only what is missing
+    pace: float = 0.0  # least seconds between two requests to a host
 
 
 def load_env_file(path: str = ".env") -> None:
@@ -55,4 +66,5 @@ def from_env() -> Config:
     return Config(
         _text("OUTPUT", "output/stores.xlsx"), _text("SNAPSHOT", "") or None, _text("LOG_FILE", "logs/parser.log"), _text("LOG_LEVEL", "INFO").upper(), _whole("TIMEOUT", 20, 1), _whole("RETRIES", 3, 0),
         site("KB_BASE_URL", KB_URL), site("MONETKA_BASE_URL", MONETKA_URL), site("MARIA_RA_BASE_URL", MARIA_RA_URL), site("MARIA_RA_MAP_URL", MARIA_RA_MAP_URL) + "/",
+        _text("LANDING", "") or None, _seconds("PACE"),
     )

@@ -2,47 +2,26 @@
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-# --- fixed values: when and how often a request is repeated ---------------------------------------------------------
-RETRY_STATUSES, BACKOFF = [429, 500, 502, 503, 504], 0.5
+from ..shared import shared_folder
+from .responses import responses
+
+# --- fixed values: cookies that say of age ---------------------------------------------------------------------------
 AGE_COOKIES = {"is_adult": "1", "adult": "1", "age_verified": "1", "confirm18": "1", "age": "18"}
 # ------------------------------------------------------------------------------------------------------------------
-SCHEMA = "url string, status int, final_url string, body string, error string"
-
-
-def fetch(urls: DataFrame, *, timeout: int = 20, retries: int = 3, url: str = "url", headers: dict[str, str] | None = None) -> DataFrame:
-    """S1-S3. Rows of SCHEMA for each url, fetched where the tasks run, with repeats on failures; repeated tasks fetch again."""
-    import pandas as pd
-
-    def get(u: str) -> dict:
-        import time
-        import urllib.error
-        import urllib.request
 
-        last = {"url": u, "status": None, "final_url": None, "body": None, "error": None}
-        for i in range(retries + 1):
-            try:
-                with urllib.request.urlopen(urllib.request.Request(u, headers=headers or {}), timeout=timeout) as r:
-                    return last | {"status": r.status, "final_url": r.url, "body": r.read().decode(r.headers.get_content_charset() or "utf-8", "replace"), "error": None}
-            except urllib.error.HTTPError as e:
-                last |= {"status": e.code, "error": f"HTTP {e.code}"}
-                if e.code not in RETRY_STATUSES:
-                    break
-            except (OSError, ValueError) as e:
-                last |= {"error": type(e).__name__}
-                if isinstance(e, ValueError):
-                    break
-            if i < retries:
-                time.sleep(BACKOFF * 2**i)
-        return last
 
-    def run(batches):
-        for b in batches:
-            yield pd.DataFrame([get(u) for u in b["url"]], columns=["url", "status", "final_url", "body", "error"])
+def fetch(urls: DataFrame, *, landing: str | None = None, url: str = "url", **settings) -> DataFrame:
+    """S1-S3. Rows of responses.SCHEMA for each url, fetched where the tasks run, each once whatever runs again.
 
-    return urls.select(F.col(url).alias("url")).mapInPandas(run, SCHEMA)
+    landing: the folder of the run's responses; without one, a new one in the shared folder. settings as responses.Session has them.
+    """
+    where = landing or f"{shared_folder(urls.sparkSession)}/responses-{uuid.uuid4().hex}"
+    return responses(urls.select(F.col(url).alias("url")), where, **settings)
 
 
 def severity(status: Column, scope: Column, default: str = "WARNING") -> Column:
