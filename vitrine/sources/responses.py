@@ -49,9 +49,11 @@ class Session:
         wait = self.last.get(host, -1e9) + self.pace - time.monotonic()
         if wait > 0:
             time.sleep(wait)
-        self.last[host] = time.monotonic()
-        with self.opener.open(urllib.request.Request(url, headers=self.headers), timeout=self.timeout) as r:
-            return r.status, r.url, r.read().decode(r.headers.get_content_charset() or "utf-8", "replace")
+        try:
+            with self.opener.open(urllib.request.Request(url, headers=self.headers), timeout=self.timeout) as r:
+                return r.status, r.url, r.read().decode(r.headers.get_content_charset() or "utf-8", "replace")
+        finally:
+            self.last[host] = time.monotonic()  # the pace counts from the end of a request
 
     def get(self, url: str) -> dict:
         """S1-S3, S7. One response as a row of SCHEMA; failures that may pass are repeated with growing pauses."""
