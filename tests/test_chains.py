@@ -69,7 +69,8 @@ def test_crawl_city_failure_and_frontier(spark):
             chains.monetka(spark, cfg, responses(spark, site(**broken)))
 
 
-def test_crawl_queue_order_and_cap(spark):
+@pytest.mark.parametrize("way", ["levels", "recursive"])
+def test_crawl_queue_order_and_cap(spark, way):
     """25 pages that link on: 20 are visited, in the queue's order, failed ones too; the first place of a store counts."""
     from vitrine.sources import crawl
 
@@ -81,7 +82,9 @@ def test_crawl_queue_order_and_cap(spark):
         pages[page(n)] = f'<a href="/shops_map/e/{n}">ул {n}</a><a href="/shops_map/e/99">ул {n}</a><a href="?page={n + 10}">next</a>'
     pages[page(12)] = 500
     table = responses(spark, pages)
-    got = crawl.crawl(spark, lambda urls, _: table.join(urls, "url", "left_semi"), f"{SITE}/shops_map/", "www.monetka.ru")
+    get = {"get": lambda urls, _: table.join(urls, "url", "left_semi")} if way == "levels" else {"get": None, "table": table}
+    got = crawl.crawl(spark, seed=f"{SITE}/shops_map/", site="www.monetka.ru", **get)
+    assert [(r.url, r.status) for r in got.issues.where("status = 500").collect()] == [(page(12), 500)]
     stores = {r.source_url.rsplit("/", 1)[1]: r.address for r in got.stores.collect()}
     # 1 city page, ten of the first level (12 fails), then nine of the second: 21 down to 13
     assert set(stores) == {str(n) for n in [*range(3, 12), *range(13, 22)]} | {"99"} and stores["99"] == "ул. 11"

@@ -391,6 +391,26 @@ def page_pagination(spark, d):
     return html.page_links(p, "page_id").select("page_id", "page_url", F.col("pos").cast("int").alias("pos"))
 
 
+@query("""with recursive n as (select max(page_id) + 1 as n from pages),
+links as (select page_id as k, [page_id, (page_id * 3 + 1) % n, (page_id * 7 + 2) % n]::bigint[] as links from pages, n where page_id % 5 > 0),
+walk(start, queue, taken) as (select page_id, [page_id]::bigint[], 0 from pages union all
+ select w.start, list_concat(w.queue, list_distinct_in_order)[1:20], w.taken + 1 from (
+  select w.*, coalesce(list_filter(l.links, lambda x, i: not list_contains(w.queue, x) and list_position(l.links, x) = i), []::bigint[]) as list_distinct_in_order
+  from walk w left join links l on l.k = w.queue[w.taken + 1] where w.taken < len(w.queue)) w),
+whole as (select start, arg_max(queue, taken) as queue from walk group by 1)
+select start as page_id, array_to_string(queue, ',') as queue from whole""")
+def page_queues(spark, d):
+    """Pagination in a queue's order, at most 20 pages a start, cycles and links to the page itself among them."""
+    from ..sources import crawl
+
+    p = table(spark, d, "pages").select("page_id")
+    n = p.agg((F.max("page_id") + 1).alias("n"))
+    k, as_text = F.col("page_id"), lambda c: c.cast("string")
+    links = p.crossJoin(F.broadcast(n)).where(k % 5 > 0).select(as_text(k).alias("url"), F.array(as_text(k), as_text((k * 3 + 1) % F.col("n")), as_text((k * 7 + 2) % F.col("n"))).alias("links"))
+    q = crawl.queues(p.select(as_text(k).alias("start")), links, 20)
+    return q.select(F.col("start").cast("long").alias("page_id"), F.array_join("queue", ",").alias("queue"))
+
+
 @query("""with x as (select page_id as k from pages)
 select k as page_id, 'https://s.ru/r' || k || '/change' as region_url, 'Region ' || k as name from x union all select k, 'https://s.ru/b/CHANGE/', 'B' from x where k % 2 = 0""")
 def region_links(spark, d):

@@ -92,7 +92,7 @@ def monetka(spark: SparkSession, cfg: Config, table: DataFrame | None) -> DataFr
     def get(urls: DataFrame, referer: str | None) -> DataFrame:
         return _responses(table, urls, cfg, {"Referer": referer} if referer else None)
 
-    site = crawl.crawl(spark, get, seed, urlparse(cfg.monetka_url).netloc)
+    site = crawl.crawl(spark, get, seed, urlparse(cfg.monetka_url).netloc, table=table)
     for r in samples(site.links).collect():  # one row a reason, ten samples each
         log.info("monetka: %s city links %s, such as %s", r.n, r.reason or "accepted", "; ".join(r.samples))
     for r in site.issues.groupBy("scope", "status", "level").agg(F.count("*").alias("n"), F.min("url").alias("url")).collect():  # one row a kind

@@ -30,20 +30,51 @@ class Site:
     links: DataFrame
 
 
-def crawl(spark: SparkSession, get: Callable[[DataFrame, str | None], DataFrame], seed: str, site: str, *, most_pages: int = PAGES_PER_CITY) -> Site:
+QUEUES = """
+WITH RECURSIVE walk(start, queue, taken) AS (
+  SELECT start, array(start), 0 FROM {starts}
+  UNION ALL
+  SELECT w.start, slice(concat(w.queue, array_except(coalesce(l.links, cast(array() AS array<string>)), w.queue)), 1, {most}), w.taken + 1
+  FROM walk w LEFT JOIN {links} l ON l.url = get(w.queue, w.taken)
+  WHERE w.taken < size(w.queue))
+SELECT start, max_by(queue, taken) AS queue FROM walk GROUP BY start
+"""
+
+
+def queues(starts: DataFrame, links: DataFrame, most: int) -> DataFrame:
+    """S15. (start, queue): the pages that are reached from each start (start), in a queue's order, the start first, at most `most` of them.
+
+    links: (url, links array), a row a page. One recursive query with a row a start: each step takes the next page of every queue and appends its
+    links that the queue doesn't hold yet; a page without links takes its place all the same. The steps end with the last queue, after `most` at the latest.
+    """
+    spark, limit = starts.sparkSession, "spark.sql.cteRecursionRowLimit"
+    before = spark.conf.get(limit)
+    spark.conf.set(limit, "-1")  # rows are bounded by starts times `most`
+    try:
+        return cut(spark.sql(QUEUES, starts=starts.select("start").where("start is not null").distinct(), links=links.select("url", "links"), most=most))
+    finally:
+        spark.conf.set(limit, before)
+
+
+def crawl(spark: SparkSession, get: Callable[[DataFrame, str | None], DataFrame] | None, seed: str, site: str, *, most_pages: int = PAGES_PER_CITY, table: DataFrame | None = None) -> Site:
     """S13-S16, H1-H14, X3-X5, D7, G4, P10.
 
-    get: urls (url) and a referer to (url, final_url, status, body); from a table of fetched pages, or live. The seed or a region that
+    get: urls (url) and a referer to (url, final_url, status, body), live, level by level. table: fetched pages instead; they are parsed once, and
+    the cities' pagination is one recursive query over their links. The seed or a region that
     can't be read, and a seed without regions, fail as a whole (E5).
     """
     failed: list[DataFrame] = []
 
-    def pages(urls: DataFrame, scope: str, referer: str | None = None) -> DataFrame:
-        got = get(urls.select("url").distinct(), referer)
+    def parsed(got: DataFrame) -> DataFrame:
         good = F.col("body").isNotNull() & (F.coalesce("status", F.lit(200)) < 400)
         fresh = got.select("url", F.coalesce("final_url", "url").alias("final_url"), F.col("status").cast("int").alias("status"), F.when(good, F.col("body")).alias("body"))
-        fresh = H.parse_pages(fresh, "body", "url")
-        fresh = cut(fresh)
+        return cut(H.parse_pages(fresh, "body", "url"))
+
+    every = parsed(table) if table is not None else None
+
+    def pages(urls: DataFrame, scope: str, referer: str | None = None) -> DataFrame:
+        wanted = urls.select("url").distinct()
+        fresh = parsed(get(wanted, referer)) if every is None else every.join(wanted, "url", "left_semi")
         failed.append(issues(urls, fresh, scope))
         return fresh.where("body is not null").select("url", "final_url", "page")
 
@@ -65,7 +96,13 @@ def crawl(spark: SparkSession, get: Callable[[DataFrame, str | None], DataFrame]
     cities = cut(cities)
     seen = cities.select("city_url", F.col("city_url").alias("url"), F.lit(1).cast("long").alias("n"))
     frontier, listing = seen, None
-    for _ in range(most_pages):
+    if every is not None:
+        of = H.page_links(every.where("body is not null").select(F.col("url").alias("of"), F.col("url").alias("__self"), "page"), "of")
+        links_of = cut(of.groupBy(F.col("of").alias("url")).agg(F.transform(F.array_sort(F.collect_list(F.struct("pos", "page_url"))), lambda x: x["page_url"]).alias("links")))
+        walked = queues(cities.select(F.col("city_url").alias("start")), links_of, most_pages).select(F.col("start").alias("city_url"), F.posexplode("queue").alias("n", "url"))
+        walked = walked.select("city_url", "url", (F.col("n") + 1).cast("long").alias("n"))
+        listing = pages(walked, "city/pagination page").join(walked, "url").select("city_url", "url", "n", "page")
+    for _ in range(most_pages if every is None else 0):
         # a queue's order: by the page that a link is on, then by its place; pages of one level come before those they link to
         level = pages(frontier, "city/pagination page").join(frontier, "url").select("city_url", "url", "n", "page")
         listing = level if listing is None else listing.unionByName(level)
