@@ -8,7 +8,9 @@ from __future__ import annotations
 import ast
 import json
 import re
+from collections.abc import Iterator
 from html import unescape
+from itertools import chain
 
 import pandas as pd
 from pyspark.sql import Column, DataFrame
@@ -29,11 +31,6 @@ UPPER = {"address": ["ADDRESS", "ADDR", "FULL_ADDRESS", "FULLADDRESS"], "city":
 LATITUDE, LONGITUDE, COORDINATES = ["lat", "latitude"], ["lng", "lon", "longitude"], ["coords", "coordinates"]
 POPUPS, FEATURE_POPUPS = ["popup", "balloonContent", "balloonContentBody"], ["balloonContent", "balloonContentBody", "hintContent"]
 POPUP_LABELS = {"address": r"(?:Адрес(?: магазина)?|Магазин)", "work_time": r"(?:Режим работы|Время работы)", "phone": r"(?:Телефон|Тел\.)", "city": r"(?:Город|Населенный пункт|Населённый пункт)", "region": r"(?:Регион|Область|Край|Республика)", "format": r"Формат(?: магазина)?", "status": r"Статус"}
-JSON_CALL = r"""JSON\.parse\(\s*("(?:\\.|[^"])*"|'(?:\\.|[^'])*')\s*\)"""
-NAMED_LIST = rf"(?:{'|'.join(LIST_NAMES)})\s*[:=]\s*(\[[\s\S]*?\])\s*[;,}}]"
-TELLING_LIST = rf'(\[[\s\S]*?"(?:{"|".join(TELLING)})"[\s\S]*?\])'
-NAMED_OBJECT = rf"(?:{'|'.join(OBJECT_NAMES)})\s*[:=]\s*(\{{[\s\S]*?\}})\s*[;,]"
-COLLECTION = r'(\{[\s\S]*?"features"\s*:\s*\[[\s\S]*?\][\s\S]*?\})'
 GATE_MARKS = ["age-gate", "age_gate", "вам есть 18", "мне есть 18", "подтвердите возраст", "подтверждение возраста"]
 # ------------------------------------------------------------------------------------------------------------------
 
@@ -136,19 +133,86 @@ def candidates_of(value) -> list[dict]:
     return [c for x in value if isinstance(x, dict) and (c := candidate(x))] if isinstance(value, list) else []
 
 
+OPEN_CALL, CLOSE_CALL = re.compile(r"""JSON\.parse\(\s*(["'])"""), re.compile(r"\s*\)")
+OPEN_LIST, CLOSE_LIST = re.compile(rf"(?:{'|'.join(LIST_NAMES)})\s*[:=]\s*\[", re.IGNORECASE), re.compile(r"\]\s*[;,}]")
+OPEN_OBJECT, CLOSE_OBJECT = re.compile(rf"(?:{'|'.join(OBJECT_NAMES)})\s*[:=]\s*\{{", re.IGNORECASE), re.compile(r"\}\s*[;,]")
+TELLING_MARK, FEATURES_MARK = re.compile(f'"(?:{"|".join(TELLING)})"', re.IGNORECASE), re.compile(r'"features"\s*:\s*\[')
+PLAIN = {q: re.compile(rf"[^\\{q}]*") for q in "\"'"}
+
+# Literals of a script, each found by moving forward only: the time is in proportion to the script, however many brackets open in it.
+
+
+def literal_end(script: str, start: int, quote: str) -> int:
+    """Where a string literal ends that a call's parenthesis follows; -1: nowhere.
+
+    A backslash takes the next character with it; where no end follows from that, it stands for itself. No place is looked at twice.
+    """
+    seen, open_places = set(), [start]
+    while open_places:
+        at = open_places.pop()
+        if at in seen:
+            continue
+        seen.add(at)
+        at = PLAIN[quote].match(script, at).end()
+        if at == len(script):
+            continue
+        if script[at] == quote:
+            if CLOSE_CALL.match(script, at + 1):
+                return at
+            continue
+        open_places.append(at + 1)
+        if script[at + 1 : at + 2] not in ("", "\n"):
+            open_places.append(at + 2)
+    return -1
+
+
+def json_calls(script: str) -> Iterator[str]:
+    """String literals that JSON.parse is called with."""
+    at = 0
+    while m := OPEN_CALL.search(script, at):
+        end = literal_end(script, m.end(), m[1])
+        at = m.end()
+        if end >= 0:
+            yield script[m.end() - 1 : end + 1]
+            at = CLOSE_CALL.match(script, end + 1).end()
+
+
+def enclosed(script: str, opening: re.Pattern, closing: re.Pattern) -> Iterator[str]:
+    """From the bracket that ends an opening to the first bracket that begins a closing."""
+    at = 0
+    while (m := opening.search(script, at)) and (c := closing.search(script, m.end())):
+        yield script[m.end() - 1 : c.start() + 1]
+        at = c.end()
+
+
+def telling_lists(script: str) -> Iterator[str]:
+    """From a bracket to the first one that closes after a telling name."""
+    at = 0
+    while (i := script.find("[", at)) >= 0 and (m := TELLING_MARK.search(script, i + 1)) and (e := script.find("]", m.end())) >= 0:
+        yield script[i : e + 1]
+        at = e + 1
+
+
+def collections(script: str) -> Iterator[str]:
+    """From a brace over a list of features to the first brace that closes after it."""
+    at = 0
+    while (i := script.find("{", at)) >= 0 and (m := FEATURES_MARK.search(script, i + 1)) and (e := script.find("]", m.end())) >= 0 and (b := script.find("}", e + 1)) >= 0:
+        yield script[i : b + 1]
+        at = b + 1
+
+
 def script_candidates(script: str) -> list[dict]:
     """M1. The first strategy that yields any: JSON.parse calls, named and telling arrays, named objects, feature collections."""
     def parsed():
-        for m in re.finditer(JSON_CALL, script):
-            yield lenient_json(string_literal(m[1]) or "")
-        for p in (NAMED_LIST, TELLING_LIST):
-            for m in re.finditer(p, script, re.IGNORECASE):
-                yield lenient_json(m[1])
-        for m in re.finditer(NAMED_OBJECT, script, re.IGNORECASE):
-            d = lenient_json(m[1])
+        for x in json_calls(script):
+            yield lenient_json(string_literal(x) or "")
+        for x in chain(enclosed(script, OPEN_LIST, CLOSE_LIST), telling_lists(script)):
+            yield lenient_json(x)
+        for x in enclosed(script, OPEN_OBJECT, CLOSE_OBJECT):
+            d = lenient_json(x)
             yield from ((d.get(k) for k in INNER_LISTS) if isinstance(d, dict) else ())
-        for m in re.finditer(COLLECTION, script):
-            d = lenient_json(m[1])
+        for x in collections(script):
+            d = lenient_json(x)
             yield d.get("features") if isinstance(d, dict) else None
 
     return next((c for v in parsed() if (c := candidates_of(v))), [])
