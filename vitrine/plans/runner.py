@@ -6,12 +6,15 @@ import argparse
 import logging
 import os
 import time
+import uuid
 from collections.abc import Callable
+from concurrent.futures import ThreadPoolExecutor, wait
 from dataclasses import dataclass
 from datetime import datetime, timezone
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.util import inheritable_thread_target
 
 from ..functions.identity import canonical, stable_key
 from ..operators.dedup import keep_best
@@ -59,33 +62,74 @@ def set_aside(rejected: DataFrame, path: str, name: str) -> None:
     rejected.unpersist()
 
 
-def run(spark: SparkSession, sources: dict[str, Callable[[SparkSession], DataFrame]], output: str, snapshot: str | None = None, *, network: str | None = None, scoped: bool = False, now: str | None = None) -> Result:
-    """E1, E2, P11, U1. Each source is materialised on its own, so that one that fails leaves the others; then the
-    differences count as initial, the baseline stays and the exit code is 1. An empty source is a success (E7).
+def collect_sources(spark: SparkSession, sources: dict[str, Callable[[SparkSession], DataFrame]], now: str, aside: str) -> tuple[list[DataFrame], list[str]]:
+    """E1-E3. The sources' canonical rows, materialised side by side, in the sources' order; and the names of those that failed.
 
-    scoped: compare only with baseline rows of the networks that this run has; by default a run of one network
-    reports all others as removed.
+    A source has a thread, a scheduler pool (of equal share under FAIR) and a job tag of its own. An interrupt, of the program or of a source, cancels the
+    jobs of all tags until every thread has ended, and is raised again.
     """
-    began, now = time.time(), now or datetime.now(timezone.utc).isoformat()
-    chosen = {network: sources[network]} if network else sources
-    snapshot = snapshot or default_snapshot(output)
-    parts, failed = [], []
-    for i, (name, source) in enumerate(chosen.items()):
+    run_id, sc = uuid.uuid4().hex, spark.sparkContext
+
+    def one(i: int, name: str, source: Callable[[SparkSession], DataFrame]) -> DataFrame:
+        sc.setLocalProperty("spark.scheduler.pool", name)
+        sc.addJobTag(f"vitrine-{run_id}-{i}")
         try:
             found = source(spark)
             rows = canonical(found, passes=1, collected_at=now).withColumn("chain", F.lit(i)).persist()
             n = rows.count()
             log.log(logging.INFO if n else logging.WARNING, "source %s: %s rows", name, n)  # E7: none is a success all the same
-            parts.append(rows)
             if getattr(found, "rejected", None) is not None:
-                set_aside(found.rejected, f"{default_snapshot(output).removesuffix('_snapshot')}_rejected/{name}", name)
+                set_aside(found.rejected, f"{aside}/{name}", name)
             for cached in getattr(found, "held", ()):
                 cached.unpersist()
+            return rows
+        finally:
+            sc.removeJobTag(f"vitrine-{run_id}-{i}")
+            sc.setLocalProperty("spark.scheduler.pool", None)
+
+    parts, failed, stopped = [], [], False
+    with ThreadPoolExecutor(max_workers=max(1, len(sources))) as pool:
+        tasks = {name: pool.submit(inheritable_thread_target(spark)(one), i, name, source) for i, (name, source) in enumerate(sources.items())}
+        try:
+            while not (stopped or all(t.done() for t in tasks.values())):
+                wait(tasks.values(), timeout=0.5)
+                stopped = any(t.done() and isinstance(t.exception(), KeyboardInterrupt) for t in tasks.values())
         except KeyboardInterrupt:
-            return Result(INTERRUPTED, diff(*[spark.createDataFrame([], STORE_SCHEMA)] * 2, now, initial=True), "missing", True, failed, {})
-        except Exception:
-            log.exception("source %s failed", name)
+            stopped = True
+        while stopped and not all(t.done() for t in tasks.values()):  # a source may begin another job between two rounds
+            for i in range(len(tasks)):
+                sc.cancelJobsWithTag(f"vitrine-{run_id}-{i}")
+            wait(tasks.values(), timeout=0.2)
+    if stopped:
+        for t in tasks.values():
+            if t.exception() is None:
+                t.result().unpersist()
+        raise KeyboardInterrupt
+    for name, t in tasks.items():
+        if t.exception() is None:
+            parts.append(t.result())
+        else:
+            log.error("source %s failed", name, exc_info=t.exception())
             failed.append(name)
+    return parts, failed
+
+
+def run(spark: SparkSession, sources: dict[str, Callable[[SparkSession], DataFrame]], output: str, snapshot: str | None = None, *, network: str | None = None, scoped: bool = False, now: str | None = None) -> Result:
+    """E1, E2, P11, U1. Each source is materialised on its own, side by side, so that one that fails leaves the others; then the
+    differences count as initial, the baseline stays and the exit code is 1. An empty source is a success (E7).
+
+    scoped: compare only with baseline rows of the networks that this run has; by default a run of one network
+    reports all others as removed.
+    """
+    began, now = time.time(), now or datetime.now(timezone.utc).isoformat()
+    chosen = {network: sources[network]} if network else sources
+    snapshot = snapshot or default_snapshot(output)
+    aside = f"{default_snapshot(output).removesuffix('_snapshot')}_rejected"
+    try:
+        parts, failed = collect_sources(spark, chosen, now, aside)
+    except KeyboardInterrupt:
+        log.warning("interrupted after %.2f s", time.time() - began)
+        return Result(INTERRUPTED, diff(*[spark.createDataFrame([], STORE_SCHEMA)] * 2, now, initial=True), "missing", True, [], {})
     stores = spark.createDataFrame([], STORE_SCHEMA).withColumn("chain", F.lit(0))
     for p in parts:
         stores = stores.unionByName(p)
@@ -139,7 +183,7 @@ def main(argv: list[str] | None = None) -> int:
     C.load_env_file()
     args, cfg = parser().parse_args(argv), C.from_env()
     setup_logging(cfg)
-    spark = SparkSession.builder.appName("vitrine").getOrCreate()
+    spark = SparkSession.builder.appName("vitrine").config("spark.scheduler.mode", "FAIR").getOrCreate()
     fetched = getattr(args, "fetched", None)
     responses = spark.read.parquet(fetched) if fetched else None
     return run(spark, all_sources(cfg, responses), getattr(args, "output", None) or cfg.output, getattr(args, "snapshot", None) or cfg.snapshot, network=getattr(args, "network", None)).exit_code
