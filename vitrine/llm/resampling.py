@@ -28,7 +28,7 @@ from .common import discard, give_back, materialize, table
 BUCKETS = 10_000
 NGRAM = 1
 PERCENT, LEAST_WORDS, SEED = 10, 20, 2024
-BLOCK_DOCS, BLOCK_BYTES = 16_384, 16_000_000
+BLOCK_DOCS, BLOCK_BYTES = 16_384, 12_000_000
 
 #: Fixed value: the bytes of words, ASCII letters and digits and all bytes beyond ASCII, after A-Z are lower-cased.
 WORD_BYTES = b"0123456789abcdefghijklmnopqrstuvwxyz" + bytes(range(128, 256))
