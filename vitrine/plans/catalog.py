@@ -600,6 +600,30 @@ def shop_places(spark, d):
     return v.select("event_id", "city", (F.col("lat").isNotNull() & F.col("lng").isNotNull()).alias("kept"))
 
 
+@query("""select c_custkey, case c_custkey % 3 when 0 then 'Край ' || c_nationkey when 1 then 'Область' else n_name end as region, case when c_custkey % 2 = 0 then 'Омск' else n_name end as city,
+ case when c_custkey % 5 > 0 then 'ул. ' || c_custkey end as address, case c_custkey % 3 when 0 then '9-21' when 1 then '8-20' end as work_time, case when c_custkey % 2 = 0 then 55.5::double end as latitude, 60::double as longitude,
+ case when c_custkey % 4 = 0 then '8 800' end as phone, case when c_custkey % 3 = 2 then 'Мини' end as store_format, case when c_custkey % 2 = 0 then 'active' else 'inactive' end as status,
+ 'https://k.ru/api/cities/' || c_nationkey || '/shops/' || case when c_custkey % 7 > 0 then '#' || c_custkey else '' end as source_url from customer join nation on c_nationkey = n_nationkey""")
+def shop_api_rows(spark, d):
+    """Bodies of an API to store rows; a shop's own place comes before its city's, what isn't an object is no shop."""
+    from ..sources import jsonsource as J
+
+    k, q = F.col("c_custkey"), lambda c: F.concat(F.lit('"'), c, F.lit('"'))
+    region = F.when(k % 3 == 0, F.concat(F.lit('"region": {"name": '), q(F.concat(F.lit(" Край "), F.col("c_nationkey").cast("string"))), F.lit("}"))).when(k % 3 == 1, '"regionName": "Область", "region": {"name": "x"}').otherwise('"regionName": " "')
+    place = F.when(k % 2 == 0, '"city": "Омск", "latitude": "55.5"').otherwise('"city": null, "lat": "x"')
+    street = F.when(k % 5 > 0, F.concat(F.lit('"address": '), q(F.concat(F.lit(" ул. "), k)))).otherwise('"address": 5')
+    hours = F.when(k % 3 == 0, '"workTime": {"daily": "9-21"}').when(k % 3 == 1, '"workTime": "", "work_time": {"week": ["8", "20"]}').otherwise('"workTime": [" "], "format": "Мини"')
+    call = F.when(k % 4 == 0, '"phones": [" ", "8 800"]').when(k % 4 == 1, '"phone": "", "phones": ["1"]').otherwise('"phones": []')
+    more = F.concat(F.lit('"lng": 60, "isActive": '), F.when(k % 2 == 0, "true").otherwise("false"), F.when(k % 7 > 0, F.concat(F.lit(', "id": '), k)).otherwise(', "id": 0'))
+    body = F.concat(F.lit('{"items": [3, {'), F.concat_ws(", ", region, place, street, hours, call, more), F.lit("}]}"))
+    c, n = table(spark, d, "customer"), table(spark, d, "nation")
+    bodies = c.select(F.col("c_nationkey").alias("city_id"), body.alias("body"), "c_custkey")
+    found = J.shops(bodies.select(F.struct("city_id", "c_custkey").alias("city_id"), "body")).select(F.col("city_id.city_id").alias("city_id"), (F.col("city_id.c_custkey") * 10 + F.col("pos")).alias("pos"), "shop")
+    cities = n.select(F.col("n_nationkey").alias("city_id"), F.col("n_name").alias("city"), F.col("n_name").alias("region"), F.lit(0).alias("pos"))
+    rows = J.shop_rows(found, cities, network="K", base_url="https://k.ru")
+    return rows.select(F.floor(F.col("pos") / 10).alias("c_custkey"), "region", "city", "address", "work_time", "latitude", "longitude", "phone", "store_format", "status", "source_url")
+
+
 def queries():
     return dict(_QUERIES)
 
