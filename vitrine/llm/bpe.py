@@ -6,7 +6,7 @@ every occurrence of that pair in the word (left to right, not overlapping), and
 only give rise to pairs of later rank, this equals merging one pair at a time.
 
 Scale: one pass over rows, no shuffle. A worker keeps the merge table (fixed size) and a cache of words
-bounded in entries and in bytes; long texts are cut into words as a stream.
+bounded in entries and in bytes; of a long text all words are held at once, beside the text.
 """
 
 from __future__ import annotations
@@ -229,6 +229,7 @@ def decode(docs: DataFrame, ids: str = "token_ids", to: str = "decoded", *, path
 
 
 def op7_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All documents, encoded and decoded. Null and empty texts have no tokens; repeated rows and null ids each give their row, an empty table none."""
     where = default_path()
 
     def digest(batch):

@@ -121,6 +121,7 @@ def _digest(batch):
 
 
 def op2_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Secrets of all documents. Null and empty texts have none; repeated rows and null ids each give their row, an empty table none."""
     docs = table(spark, sf_dir, "documents").select("doc_id", text_or_empty().alias("text"))
     return arrow_map(docs, _digest, "doc_id long, n_assign long, n_access long, n_hex long, base_sha256 string, spans string, n_entropy long")
 

@@ -127,6 +127,7 @@ def filter_urls(pages: DataFrame, rules: tuple[Rule, ...] = RULES, *, url: str =
 
 
 def op9_urls(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Verdicts on all pages. A null url has an empty host and path; repeated rows and null ids each give their row, an empty table none."""
     return filter_urls(table(spark, sf_dir, "pages").select("page_id", "url")).select("page_id", "host", "path", "rule", "verdict")
 
 
