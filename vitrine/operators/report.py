@@ -53,7 +53,8 @@ def network_stats(stores: DataFrame) -> DataFrame:
 
 
 def stats_order() -> list[Column]:
-    return [F.col("stores_count").desc(), F.col("network").asc_nulls_last()]
+    """Most stores first, then by network, null last."""
+    return [-F.col("stores_count"), F.col("network").isNull(), F.col("network")]
 
 
 def column_widths(df: DataFrame, columns: list[str] = STORE_COLUMNS) -> DataFrame:

@@ -20,9 +20,9 @@ from ..functions.identity import canonical, stable_key
 from ..operators.dedup import keep_best
 from ..operators.diff import change_order, diff
 from ..operators.report import data_order, network_stats, stats_order
-from ..schemas import STORE_COLUMNS, STORE_SCHEMA
+from ..schemas import CHANGE_COLUMNS, STORE_COLUMNS, STORE_SCHEMA
 from ..sources import snapshot as S
-from ..sources.workbook import write_workbook
+from ..sources.workbook import write_tables, write_workbook
 from . import config as C
 
 OK, FAILED, INTERRUPTED = 0, 1, 130
@@ -114,12 +114,12 @@ def collect_sources(spark: SparkSession, sources: dict[str, Callable[[SparkSessi
     return parts, failed
 
 
-def run(spark: SparkSession, sources: dict[str, Callable[[SparkSession], DataFrame]], output: str, snapshot: str | None = None, *, network: str | None = None, scoped: bool = False, now: str | None = None) -> Result:
+def run(spark: SparkSession, sources: dict[str, Callable[[SparkSession], DataFrame]], output: str, snapshot: str | None = None, *, network: str | None = None, scoped: bool = False, now: str | None = None, tables: str | None = None) -> Result:
     """E1, E2, P11, U1. Each source is materialised on its own, side by side, so that one that fails leaves the others; then the
     differences count as initial, the baseline stays and the exit code is 1. An empty source is a success (E7).
 
     scoped: compare only with baseline rows of the networks that this run has; by default a run of one network
-    reports all others as removed.
+    reports all others as removed. tables: a folder in which the report's tables are written, too, in order.
     """
     began, now = time.time(), now or datetime.now(timezone.utc).isoformat()
     chosen = {network: sources[network]} if network else sources
@@ -147,7 +147,11 @@ def run(spark: SparkSession, sources: dict[str, Callable[[SparkSession], DataFra
             base = base.where(_networks(current))
         changes = diff(base, current, now, initial=initial).persist()
     counts = {r.change_type: r.n for r in changes.groupBy("change_type").agg(F.count("*").alias("n")).collect()} | {"stores": current.count()}
-    write_workbook(output, current.orderBy(*data_order()).select(*STORE_COLUMNS), changes.orderBy(*change_order()), network_stats(current).orderBy(*stats_order()))
+    stats = network_stats(current)
+    report = [(current, STORE_COLUMNS, data_order()), (changes, CHANGE_COLUMNS, change_order()), (stats, stats.columns, stats_order())]
+    write_workbook(output, report)
+    if tables:
+        write_tables(tables, report)
     if failed:
         log.warning("baseline kept, failed: %s", failed)
         S.remove(spark, stored)
@@ -172,6 +176,7 @@ def parser() -> argparse.ArgumentParser:
     r.add_argument("--network", choices=[*C.NETWORKS])
     r.add_argument("--output")
     r.add_argument("--snapshot")
+    r.add_argument("--tables", help="folder for the report as Parquet tables in order, beside the workbook")
     r.add_argument("--fetched", help="table of fetched responses (url, status, final_url, body)")
     return p
 
@@ -186,4 +191,4 @@ def main(argv: list[str] | None = None) -> int:
     spark = SparkSession.builder.appName("vitrine").config("spark.scheduler.mode", "FAIR").getOrCreate()
     fetched = getattr(args, "fetched", None)
     responses = spark.read.parquet(fetched) if fetched else None
-    return run(spark, all_sources(cfg, responses), getattr(args, "output", None) or cfg.output, getattr(args, "snapshot", None) or cfg.snapshot, network=getattr(args, "network", None)).exit_code
+    return run(spark, all_sources(cfg, responses), getattr(args, "output", None) or cfg.output, getattr(args, "snapshot", None) or cfg.snapshot, network=getattr(args, "network", None), tables=getattr(args, "tables", None)).exit_code
