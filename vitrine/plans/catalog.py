@@ -119,13 +119,13 @@ c as (select page_id, case when trim(href) = '' then 'empty' when starts_with(hr
 select page_id, reason, count(*) as n from c group by all""")
 def href_classify(spark, d):
     """P2, P3, G5 over the anchors of every page."""
-    a = html.anchors(html.parse_pages(table(spark, d, "pages")), "page_id")
+    a = html.anchors(html.parse_pages(table(spark, d, "pages"), fields=html.PAGE_LINKS), "page_id")
     return a.select("page_id", F.coalesce(links.href_reject_reason(F.col("href"), F.col("url"), "example.com"), F.lit("accepted")).alias("reason")).groupBy("page_id", "reason").agg(F.count("*").alias("n"))
 
 
 @query("""select page_id, html_n as n_links, h1 from (select page_id, len(regexp_extract_all(html, '<a href="([^"]*)"', 1)) as html_n, trim(replace(replace(replace(replace(replace(regexp_extract(html, '<h1>([^<]*)</h1>', 1), '&lt;', '<'), '&gt;', '>'), '&quot;', '"'), '&#x27;', ''''), '&amp;', '&')) as h1 from pages)""")
 def page_headings(spark, d):
-    p = html.parse_pages(table(spark, d, "pages"))
+    p = html.parse_pages(table(spark, d, "pages"), fields=("h1", "anchors.href"))
     return p.select("page_id", F.size("page.anchors").cast("long").alias("n_links"), F.col("page.h1").alias("h1"))
 
 
@@ -376,7 +376,7 @@ def map_places(spark, d):
 select page_id, pos, href, case when regexp_matches(href, '^[a-z]+:') then href else regexp_extract(url, '^(https?://[^/?#]*)', 1) || href end as full_url from b""")
 def page_links(spark, d):
     """P6 and what H1-H4 start from: every anchor in order, resolved."""
-    a = html.anchors(html.parse_pages(table(spark, d, "pages")), "page_id")
+    a = html.anchors(html.parse_pages(table(spark, d, "pages"), fields=html.PAGE_LINKS), "page_id")
     return a.select("page_id", F.col("pos").cast("long").alias("pos"), "href", F.col("url").alias("full_url"))
 
 
@@ -387,7 +387,7 @@ def page_pagination(spark, d):
     k, u = F.col("page_id"), F.concat(F.lit("https://s.ru/c/"), F.col("page_id"))
     link = lambda href: F.concat(F.lit('<a href="'), href, F.lit('">x</a>'))
     body = F.concat(link(u), link(F.lit("?PAGEN_1=2")), F.when(k % 2 == 0, link(F.concat(F.lit("/c/page/"), k))).otherwise(link(F.lit("/other"))), F.when(k % 3 == 0, link(F.lit("?a=1&amp;page=3"))).otherwise(link(F.lit("#page=9"))), link(F.lit("?PAGEN_1=2")))
-    p = html.parse_pages(table(spark, d, "pages").select("page_id", u.alias("url"), body.alias("html"))).withColumn("__self", F.col("url"))
+    p = html.parse_pages(table(spark, d, "pages").select("page_id", u.alias("url"), body.alias("html")), fields=html.PAGE_LINKS).withColumn("__self", F.col("url"))
     return html.page_links(p, "page_id").select("page_id", "page_url", F.col("pos").cast("int").alias("pos"))
 
 
@@ -417,7 +417,7 @@ def region_links(spark, d):
     """First anchor of each change path; fragments and map paths are none."""
     k = F.col("page_id")
     body = F.concat(F.lit('<a href="/r'), k, F.lit('/change">Region '), k, F.lit('</a><a href="/r'), k, F.lit('/change">again</a><a href="/shops_map/x/change">m</a><a href="/change">c</a><a href="/r/change#f">f</a>'), F.when(k % 2 == 0, '<a href="/b/CHANGE/">B</a>').otherwise(""))
-    p = html.parse_pages(table(spark, d, "pages").select("page_id", F.lit("https://s.ru/shops_map/").alias("url"), body.alias("html")))
+    p = html.parse_pages(table(spark, d, "pages").select("page_id", F.lit("https://s.ru/shops_map/").alias("url"), body.alias("html")), fields=html.REGION_LINKS)
     return html.region_links(p, "page_id")
 
 
@@ -428,7 +428,7 @@ def city_links(spark, d):
     """Anchors of the city list, accepted and refused; those outside the list don't count."""
     k = F.col("page_id")
     body = F.concat(F.lit('<a href="/u/shops_map/out">Out</a><ul class="x shop_city_list_ul"><li><a href="/u/Shops_Map/c'), F.lit('0"></a><li><a href="/u/shops_map/c'), k, F.lit('#f">City '), k, F.lit("</a>"), F.when(k % 2 == 0, '<li><a href="/u/shops_map/+p">Plus</a>').otherwise('<li><a href="/u/shops_map/12">Number</a>'), F.lit('<li><b><a href="https://t.ru/u/shops_map/c">Far</a></b></ul>'))
-    p = html.parse_pages(table(spark, d, "pages").select("page_id", F.lit("https://s.ru/").alias("url"), body.alias("html")))
+    p = html.parse_pages(table(spark, d, "pages").select("page_id", F.lit("https://s.ru/").alias("url"), body.alias("html")), fields=html.CITY_LINKS)
     return html.city_links(p, "s.ru", "page_id").where("hint <> ''").select("page_id", "hint", "city_url", "reason")
 
 
@@ -438,7 +438,7 @@ def store_summaries(spark, d):
     k = F.col("page_id")
     hours = F.when(k % 3 == 0, "<div>с 8:00 — 21.00</div>").when(k % 3 == 1, "<div>Круглосуточно</div>").otherwise("<div>закрыто</div>")
     body = F.concat(F.lit('<div><p><a href="/shops_map/e/'), k, F.lit('">ул К, '), k, F.lit('</a></p>'), hours, F.lit('</div><a href="/shops_map/e/'), k, F.lit('">again</a><a href="/shops_map/e/">no</a>'))
-    p = html.parse_pages(table(spark, d, "pages").select("page_id", F.lit("https://s.ru/c").alias("url"), body.alias("html")))
+    p = html.parse_pages(table(spark, d, "pages").select("page_id", F.lit("https://s.ru/c").alias("url"), body.alias("html")), fields=html.SUMMARIES)
     return html.store_summaries(p, "page_id").select("page_id", "store_url", "address", "work_time")
 
 
@@ -452,7 +452,7 @@ def html_details(spark, d):
     c = F.concat(F.lit("<p>Адрес: пер "), F.col("s_name"), F.lit('</p><p>Время работы 8.30-20</p><script>{"city": "Томск"}</script>'))
     e = F.lit("<p>Формат магазина - Край</p><p>Город: Омск</p><p>Наш город: Тверь</p>")
     body = F.when(k % 4 == 0, a).when(k % 4 == 1, b).when(k % 4 == 2, c).otherwise(e)
-    p = html.parse_pages(table(spark, d, "supplier").select("s_suppkey", F.lit("https://s.ru/").alias("url"), body.alias("html")))
+    p = html.parse_pages(table(spark, d, "supplier").select("s_suppkey", F.lit("https://s.ru/").alias("url"), body.alias("html")), fields=html.STORE_PAGE)
     fields = html.store_page(F.col("page"))
     return p.select("s_suppkey", *[fields[c].alias(c) for c in ("address", "work_time", "phone", "city", "store_format")])
 
@@ -468,7 +468,7 @@ def html_geo(spark, d):
     e = F.concat(F.lit('<script>{"longitude": '), lng, F.lit(', "latitude": '), lat, F.lit("}</script>"))
     body = F.when(k % 5 == 0, a).when(k % 5 == 1, b).when(k % 5 == 2, c).when(k % 5 == 3, e).otherwise('<script>{"lat": 5.5}</script>')
     geo = html.coordinates(F.col("page"))
-    return html.parse_pages(table(spark, d, "supplier").select("s_suppkey", F.lit("").alias("url"), body.alias("html"))).select("s_suppkey", geo["lat"].alias("latitude"), geo["lng"].alias("longitude"))
+    return html.parse_pages(table(spark, d, "supplier").select("s_suppkey", F.lit("").alias("url"), body.alias("html")), fields=html.COORDINATES).select("s_suppkey", geo["lat"].alias("latitude"), geo["lng"].alias("longitude"))
 
 
 @query("""select n_nationkey as city_id, n_name as city, case when n_nationkey % 4 = 0 then 'own ' || n_nationkey when n_regionkey = 4 then 'Регион #4' when n_regionkey > 0 then r_name end as region from nation left join region on n_regionkey = r_regionkey""")

@@ -66,7 +66,7 @@ def maria_ra(spark: SparkSession, cfg: Config, table: DataFrame | None) -> DataF
             session = {"cookies": fetched.AGE_COOKIES, "prime": cfg.maria_ra_url}
             page = _responses(None, wanted, cfg, **session).where(F.col("body").isNotNull()).persist()
             held.append(page)
-    parsed = html.parse_pages(page, "body", "url").persist()
+    parsed = html.parse_pages(page, "body", "url", ("scripts", "script_urls", "data")).persist()
     inline = parsed.select(F.posexplode("page.scripts").alias("pos", "script"))
     outside = parsed.select(F.posexplode("page.script_urls").alias("pos", "url"))
     loaded = _responses(table, outside.select("url").distinct(), cfg, **session).where("body is not null").join(outside, "url").select("pos", F.col("body").alias("script"))

@@ -17,6 +17,8 @@ from . import html as H
 from .fetched import issues
 
 PAGES_PER_CITY = 20  # the reference behaviour: a city's pagination is followed over so many pages
+TOP = (*H.CITY_LINKS, "active_region")
+LISTING = (*H.SUMMARIES, *H.PAGE_LINKS, *H.CITY_CONTEXT)
 
 
 @dataclass
@@ -65,26 +67,26 @@ def crawl(spark: SparkSession, get: Callable[[DataFrame, str | None], DataFrame]
     """
     failed: list[DataFrame] = []
 
-    def parsed(got: DataFrame) -> DataFrame:
+    def parsed(got: DataFrame, fields: tuple[str, ...]) -> DataFrame:
         good = F.col("body").isNotNull() & (F.coalesce("status", F.lit(200)) < 400)
         fresh = got.select("url", F.coalesce("final_url", "url").alias("final_url"), F.col("status").cast("int").alias("status"), F.when(good, F.col("body")).alias("body"))
-        return cut(H.parse_pages(fresh, "body", "url"))
+        return cut(H.parse_pages(fresh, "body", "url", fields))
 
-    every = parsed(table) if table is not None else None
+    every = parsed(table, (*TOP, *LISTING, *H.STORE_PAGE)) if table is not None else None
 
-    def pages(urls: DataFrame, scope: str, referer: str | None = None) -> DataFrame:
+    def pages(urls: DataFrame, scope: str, fields: tuple[str, ...], referer: str | None = None) -> DataFrame:
         wanted = urls.select("url").distinct()
-        fresh = parsed(get(wanted, referer)) if every is None else every.join(wanted, "url", "left_semi")
+        fresh = parsed(get(wanted, referer), fields) if every is None else every.join(wanted, "url", "left_semi")
         failed.append(issues(urls, fresh, scope))
         return fresh.where("body is not null").select("url", "final_url", "page")
 
-    first = pages(spark.createDataFrame([(seed,)], "url string"), "seed page")
+    first = pages(spark.createDataFrame([(seed,)], "url string"), "seed page", TOP)
     regions = H.region_links(first).select(F.col("region_url").alias("url"), sanitize_location(F.col("name")).alias("name"))
     regions = cut(regions)
     n = regions.count()
     if not n:
         raise RuntimeError("the seed page is missing or has no regions")
-    tops = pages(regions, "region page", seed)
+    tops = pages(regions, "region page", TOP, seed)
     if tops.count() < n:
         raise RuntimeError("a region page is missing")
     tops = tops.join(regions, "url").select(F.col("url").alias("on"), "page", F.lit(1).alias("rank"), F.col("name").alias("region"))
@@ -101,10 +103,10 @@ def crawl(spark: SparkSession, get: Callable[[DataFrame, str | None], DataFrame]
         links_of = cut(of.groupBy(F.col("of").alias("url")).agg(F.transform(F.array_sort(F.collect_list(F.struct("pos", "page_url"))), lambda x: x["page_url"]).alias("links")))
         walked = queues(cities.select(F.col("city_url").alias("start")), links_of, most_pages).select(F.col("start").alias("city_url"), F.posexplode("queue").alias("n", "url"))
         walked = walked.select("city_url", "url", (F.col("n") + 1).cast("long").alias("n"))
-        listing = pages(walked, "city/pagination page").join(walked, "url").select("city_url", "url", "n", "page")
+        listing = pages(walked, "city/pagination page", LISTING).join(walked, "url").select("city_url", "url", "n", "page")
     for _ in range(most_pages if every is None else 0):
         # a queue's order: by the page that a link is on, then by its place; pages of one level come before those they link to
-        level = pages(frontier, "city/pagination page").join(frontier, "url").select("city_url", "url", "n", "page")
+        level = pages(frontier, "city/pagination page", LISTING).join(frontier, "url").select("city_url", "url", "n", "page")
         listing = level if listing is None else listing.unionByName(level)
         found = H.page_links(level.withColumn("__self", F.col("url")), "city_url", "n").select("city_url", F.col("page_url").alias("url"), F.struct("n", "pos").alias("at"))
         fresh = found.groupBy("city_url", "url").agg(F.min("at").alias("at")).join(seen, ["city_url", "url"], "left_anti")
@@ -121,7 +123,7 @@ def crawl(spark: SparkSession, get: Callable[[DataFrame, str | None], DataFrame]
     none = F.lit(None).cast("string")
     summaries = stores.select(F.col("store_url").alias("url"), "city", "region", "address", "work_time", none.alias("phone"), none.alias("store_format"))
     summaries = cut(summaries)
-    details = pages(summaries, "store page").select("url", F.col("final_url").alias("moved"), *[v.alias(k) for k, v in H.store_page(F.col("page")).items()])
+    details = pages(summaries, "store page", H.STORE_PAGE).select("url", F.col("final_url").alias("moved"), *[v.alias(k) for k, v in H.store_page(F.col("page")).items()])
     rows = cut(with_detail(summaries, details).withColumn("source_url", F.coalesce("moved", "url")))
     stores = rows.where("outcome <> 'skipped'").select("outcome", "region", "city", "address", "work_time", "latitude", "longitude", "phone", "store_format", "status", "source_url")
     wrong = failed[0]

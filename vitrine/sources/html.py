@@ -1,18 +1,20 @@
 """HTML pages: one Arrow pass over the standard library's parser; everything after it is native.
 
-parse_pages() adds a struct with the text lines, anchors (those of stores with the lines of up to five
-ancestors), definition pairs, coordinates in attributes, scripts, data attributes and headings. A page is walked once: every
-node knows which stretch of the page's texts is its own, so time grows with the page, not with its depth.
+parse_pages() adds a struct of the fields asked for: text lines, anchors (those of stores with the lines of up to five
+ancestors), definition pairs, coordinates in attributes, scripts, data attributes, headings. What isn't asked for is neither computed nor sent.
+A page is walked once: every node knows which stretch of the page's texts is its own, so time grows with the page, not with its depth.
 """
 
 from __future__ import annotations
 
 import re
+from collections.abc import Callable, Iterable, Iterator
+from functools import cached_property
 from html import unescape
 from html.parser import HTMLParser
 from urllib.parse import urljoin, urlsplit
 
-import pandas as pd
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -30,12 +32,6 @@ STORE_PATH = re.compile(r"/shops_map/[^/]+/\d+/?$")
 ANCESTORS = 5
 # ------------------------------------------------------------------------------------------------------------------
 
-PAGE = (
-    "struct<lines:array<string>,title:string,h1:string,region_hint:string,active_region:array<string>,scripts:array<string>,script_urls:array<string>,data:array<string>,"
-    "anchors:array<struct<href:string,url:string,text:string,in_city_list:boolean,around:array<string>>>,pairs:array<struct<block:int,pos:int,label:string,value:string>>,geo:array<struct<lat:string,lng:string>>>"
-)
-
-
 class _Node:
     __slots__ = ("tag", "attrs", "parent", "children", "span")
 
@@ -99,65 +95,108 @@ class _Tree(HTMLParser):
         self.at.children.append(data)
 
 
-def parse(html: str, base: str = "") -> dict:
-    """One page as a dict of PAGE. Any text is accepted; scripts count as text, as a plain text dump has them."""
-    t = _Tree()
-    t.feed(html or "")
-    t.close()
-    nodes, texts = _walk(t.root)
-    inner = lambda n: " ".join(texts[n.span[0] : n.span[1]])
-    first = lambda ok: next((inner(n) for n in nodes if ok(n)), None)
-    out: dict = {"lines": [x for s in texts for x in s.splitlines()], "title": first(lambda n: n.tag == "title"), "h1": first(lambda n: n.tag == "h1")}
-    out["region_hint"] = first(lambda n: n.tag == "span" and {"black", "dashed"} <= set(n.classes()))
-    layer = lambda n: n.attrs.get("id") == "city_layer"
-    chosen = lambda n: n.tag == "li" and "act" in n.classes() and n.within(layer)
-    active = [first(lambda n, x=x: n.tag == x and n.within(chosen)) for x in ("span", "a")]
-    active.append(first(lambda n: n.tag == "option" and "selected" in n.attrs and n.within(lambda m: m.tag == "select")))
-    out["active_region"] = [x for x in active if x is not None]
-    out["scripts"] = [inner(n) for n in nodes if n.tag == "script"]
-    out["script_urls"] = [urljoin(base, n.attrs["src"]) for n in nodes if n.tag == "script" and n.attrs.get("src")]
-    out["data"] = [n.attrs[k] for n in nodes for k in DATA_LISTS if (n.attrs.get(k) or "").strip()]
-    listed, anchors = set(), []
-    for n in nodes:  # parents come before their children
-        if n.tag == "ul" and "shop_city_list_ul" in n.classes() or n.parent is not None and id(n.parent) in listed:
-            listed.add(id(n))
-        if n.tag != "a" or "href" not in n.attrs:
-            continue
-        href = n.attrs["href"].strip()
+class _Page:
+    """A page's nodes and texts, and a method for each field. Any text is accepted; scripts count as text, as a plain text dump has them."""
+
+    def __init__(self, html: str, base: str = ""):
+        t = _Tree()
+        t.feed(html)
+        t.close()
+        self.base = base
+        self.nodes, self.texts = _walk(t.root)
+
+    def inner(self, n: _Node) -> str:
+        return " ".join(self.texts[n.span[0] : n.span[1]])
+
+    def first(self, ok: Callable[[_Node], bool]) -> str | None:
+        return next((self.inner(n) for n in self.nodes if ok(n)), None)
+
+    def lines(self) -> list[str]:
+        return [x for s in self.texts for x in s.splitlines()]
+
+    def title(self) -> str | None:
+        return self.first(lambda n: n.tag == "title")
+
+    def h1(self) -> str | None:
+        return self.first(lambda n: n.tag == "h1")
+
+    def region_hint(self) -> str | None:
+        return self.first(lambda n: n.tag == "span" and {"black", "dashed"} <= set(n.classes()))
+
+    def active_region(self) -> list[str]:
+        layer = lambda n: n.attrs.get("id") == "city_layer"
+        chosen = lambda n: n.tag == "li" and "act" in n.classes() and n.within(layer)
+        found = [self.first(lambda n, x=x: n.tag == x and n.within(chosen)) for x in ("span", "a")]
+        found.append(self.first(lambda n: n.tag == "option" and "selected" in n.attrs and n.within(lambda m: m.tag == "select")))
+        return [x for x in found if x is not None]
+
+    def scripts(self) -> list[str]:
+        return [self.inner(n) for n in self.nodes if n.tag == "script"]
+
+    def script_urls(self) -> list[str]:
+        return [self.resolved(n.attrs["src"]) for n in self.nodes if n.tag == "script" and n.attrs.get("src")]
+
+    def data(self) -> list[str]:
+        return [n.attrs[k] for n in self.nodes for k in DATA_LISTS if (n.attrs.get(k) or "").strip()]
+
+    @cached_property
+    def links(self) -> list[_Node]:
+        return [n for n in self.nodes if n.tag == "a" and "href" in n.attrs]
+
+    @cached_property
+    def listed(self) -> set[int]:
+        """What lies in a list of cities."""
+        found = set()
+        for n in self.nodes:  # parents come before their children
+            if n.tag == "ul" and "shop_city_list_ul" in n.classes() or n.parent is not None and id(n.parent) in found:
+                found.add(id(n))
+        return found
+
+    def resolved(self, href: str) -> str:
+        """The link by the page's url; as it stands, where either is no url."""
         try:
-            url = urljoin(base, href)
-            store = STORE_PATH.search(urlsplit(url).path) is not None
+            return urljoin(self.base, href)
         except ValueError:
-            url, store = href, False
-        anchors.append({"href": href, "url": url, "text": inner(n), "in_city_list": id(n) in listed, "around": _around(n, texts) if store else []})
-    out["anchors"] = anchors
-    labels, pairs = {"dt": [n for n in nodes if n.tag == "dt"], "dd": [n for n in nodes if n.tag == "dd"]}, []
-    order = {id(n): i for i, n in enumerate(nodes)}
-    blocks = [n for n in nodes if n.tag == "dl" or DETAIL_CLASSES & set(n.classes())]
-    owners: dict[int, dict[str, list[_Node]]] = {id(n): {"dt": [], "dd": []} for n in blocks}
-    for tag, found in labels.items():
-        for x in found:
-            n = x.parent
+            return href
+
+    def url(self, n: _Node) -> str:
+        return self.resolved(n.attrs["href"].strip())
+
+    def around(self, n: _Node) -> list[str]:
+        try:
+            store = STORE_PATH.search(urlsplit(self.url(n)).path) is not None
+        except ValueError:
+            store = False
+        return _around(n, self.texts) if store else []
+
+    def anchors(self, parts: Iterable[str]) -> Iterator[tuple]:
+        """The asked parts of every anchor."""
+        ways = {"href": lambda n: n.attrs["href"].strip(), "url": self.url, "text": self.inner, "in_city_list": lambda n: id(n) in self.listed, "around": self.around}
+        return (tuple(ways[p](n) for p in parts) for n in self.links)
+
+    def pairs(self, parts: Iterable[str]) -> Iterator[tuple]:
+        """Labels and values, paired by place, of each block that holds any."""
+        blocks = [n for n in self.nodes if n.tag == "dl" or DETAIL_CLASSES & set(n.classes())]  # in the order of the page
+        owned: dict[int, dict[str, list[_Node]]] = {id(n): {"dt": [], "dd": []} for n in blocks}
+        for x in self.nodes if blocks else ():
+            n = x.parent if x.tag in ("dt", "dd") else None
             while n is not None:
-                if id(n) in owners:
-                    owners[id(n)][tag].append(x)
+                if id(n) in owned:
+                    owned[id(n)][x.tag].append(x)
                 n = n.parent
-    for b, d in enumerate(sorted(blocks, key=lambda n: order[id(n)])):
-        for p, (k, v) in enumerate(zip(owners[id(d)]["dt"], owners[id(d)]["dd"], strict=False)):
-            pairs.append({"block": b, "pos": p, "label": inner(k), "value": inner(v)})
-    out["pairs"] = pairs
-    geo = []
-    for n in nodes:
-        lat = n.attrs.get("data-lat") or n.attrs.get("data-latitude")
-        lng = n.attrs.get("data-lng") or n.attrs.get("data-lon") or n.attrs.get("data-longitude")
-        if lat and lng:
-            geo.append({"lat": lat, "lng": lng})
-    for attr, a, b in (("property", "place:location:latitude", "place:location:longitude"), ("itemprop", "latitude", "longitude")):
-        lat, lng = (next((n.attrs["content"] for n in nodes if n.attrs.get(attr) == x and n.attrs.get("content")), None) for x in (a, b))
-        if lat and lng:
-            geo.append({"lat": lat, "lng": lng})
-    out["geo"] = geo
-    return out
+        for b, d in enumerate(blocks):
+            for i, (k, v) in enumerate(zip(owned[id(d)]["dt"], owned[id(d)]["dd"], strict=False)):
+                row = {"block": b, "pos": i, "label": self.inner(k), "value": self.inner(v)}
+                yield tuple(row[p] for p in parts)
+
+    def geo(self, parts: Iterable[str]) -> Iterator[tuple]:
+        """Coordinates of attributes, then of meta properties."""
+        found = []
+        for n in self.nodes:
+            found.append((n.attrs.get("data-lat") or n.attrs.get("data-latitude"), n.attrs.get("data-lng") or n.attrs.get("data-lon") or n.attrs.get("data-longitude")))
+        for attr, *names in (("property", "place:location:latitude", "place:location:longitude"), ("itemprop", "latitude", "longitude")):
+            found.append(tuple(next((n.attrs["content"] for n in self.nodes if n.attrs.get(attr) == x and n.attrs.get("content")), None) for x in names))
+        return (tuple({"lat": lat, "lng": lng}[p] for p in parts) for lat, lng in found if lat and lng)
 
 
 def _around(anchor: _Node, texts: list[str]) -> list[str]:
@@ -173,13 +212,69 @@ def _around(anchor: _Node, texts: list[str]) -> list[str]:
     return out
 
 
-def _parse_series(html: pd.Series, base: pd.Series) -> pd.DataFrame:
-    return pd.DataFrame([parse(h, b or "") for h, b in zip(html, base, strict=True)], columns=[f.split(":")[0] for f in ("lines", "title", "h1", "region_hint", "active_region", "scripts", "script_urls", "data", "anchors", "pairs", "geo")])
-
-
-def parse_pages(pages: DataFrame, html: str = "html", url: str = "url") -> DataFrame:
-    """pages plus the struct `page`."""
-    return pages.withColumn("page", F.pandas_udf(_parse_series, PAGE)(F.coalesce(F.col(html), F.lit("")), F.coalesce(F.col(url), F.lit(""))))
+KINDS = {"string": pa.string(), "boolean": pa.bool_(), "int": pa.int32(), "array<string>": pa.list_(pa.string())}
+#: Fields of a page and their types; of lists of records, the types of their parts.
+FIELDS: dict[str, str | dict[str, str]] = {
+    "lines": "array<string>",
+    "title": "string",
+    "h1": "string",
+    "region_hint": "string",
+    "active_region": "array<string>",
+    "scripts": "array<string>",
+    "script_urls": "array<string>",
+    "data": "array<string>",
+    "anchors": {"href": "string", "url": "string", "text": "string", "in_city_list": "boolean", "around": "array<string>"},
+    "pairs": {"block": "int", "pos": "int", "label": "string", "value": "string"},
+    "geo": {"lat": "string", "lng": "string"},
+}
+# What the functions below need of a page.
+REGION_LINKS = ("anchors.href", "anchors.url", "anchors.text")
+CITY_LINKS = (*REGION_LINKS, "anchors.in_city_list")
+SUMMARIES = ("anchors.url", "anchors.text", "anchors.around")
+PAGE_LINKS = ("anchors.href", "anchors.url")
+COORDINATES = ("scripts", "geo")
+STORE_PAGE = ("lines", "pairs", *COORDINATES)
+CITY_CONTEXT = ("h1", "region_hint")
+
+
+def planned(asked: Iterable[str]) -> dict[str, tuple[str, ...]]:
+    """Fields in the order of FIELDS with the parts asked of each: "anchors" asks for all of them, "anchors.url" for one."""
+    asked, plan = set(asked), {}
+    for name, kind in FIELDS.items():
+        parts = tuple(p for p in kind if {name, f"{name}.{p}"} & asked) if isinstance(kind, dict) else ()
+        if parts or name in asked:
+            plan[name] = parts
+            asked -= {name, *(f"{name}.{p}" for p in parts)}
+    if asked or not plan:
+        raise ValueError(f"a page has no fields {sorted(asked)}; it has {list(FIELDS)}")
+    return plan
+
+
+def parse_pages(pages: DataFrame, html: str = "html", url: str = "url", fields: Iterable[str] = tuple(FIELDS)) -> DataFrame:
+    """pages plus the struct `page` of the fields, or parts of fields ("anchors.url"), asked for. A null page has no texts."""
+    plan = planned(fields)
+    record = lambda n, ps: f"{n}:array<struct<{','.join(f'{p}:{FIELDS[n][p]}' for p in ps)}>>"
+    kind = "struct<" + ",".join(record(n, ps) if ps else f"{n}:{FIELDS[n]}" for n, ps in plan.items()) + ">"
+
+    def columns(texts: pa.Array, bases: pa.Array) -> pa.Array:
+        held: dict[str, list] = {n: [] for n in plan}
+        for text, base in zip(texts.to_pylist(), bases.to_pylist(), strict=True):
+            page = _Page(text, base)
+            for n, parts in plan.items():
+                held[n].append(list(getattr(page, n)(parts)) if parts else getattr(page, n)())
+        return pa.StructArray.from_arrays([_records(held[n], FIELDS[n], ps) if ps else pa.array(held[n], KINDS[FIELDS[n]]) for n, ps in plan.items()], list(plan))
+
+    return pages.withColumn("page", F.arrow_udf(columns, kind)(F.coalesce(F.col(html), F.lit("")), F.coalesce(F.col(url), F.lit(""))))
+
+
+def _records(rows: list[list[tuple]], kinds: dict[str, str], parts: tuple[str, ...]) -> pa.Array:
+    """A list column of structs, a column a part, without a dictionary a record."""
+    ends = [0]
+    for r in rows:
+        ends.append(ends[-1] + len(r))
+    flat = [x for r in rows for x in r]
+    cells = [pa.array([x[i] for x in flat], KINDS[kinds[p]]) for i, p in enumerate(parts)]
+    return pa.ListArray.from_arrays(pa.array(ends, pa.int32()), pa.StructArray.from_arrays(cells, list(parts)))
 
 
 def anchors(parsed: DataFrame, *keep: str) -> DataFrame:
