@@ -56,6 +56,7 @@ def test_crawl(spark):
         ("Region A", "City One", "ул. Зелёная, 35А", "09:00-22:00", "8 800", None, f"{SITE}/shops_map/e/1001"),
         (None, "Асбест", "ул. Мира, 3", None, None, 55.5, f"{SITE}/shops_map/e/3"),
     ]
+    assert df.counts() == {"parsed": 2, "partial": 1, "skipped": 0, "rows": 3, "kept": 3}
 
 
 def test_crawl_city_failure_and_frontier(spark):
@@ -105,6 +106,7 @@ def test_kb(spark):
         ("Омская область", "Омск", "ул. Мира, 1", "9-21", "8", "active", 55.5, 60.0, f"{base}/api/cities/7/shops/#1"),
         ("Омская область", "Омск", None, None, None, None, None, None, f"{base}/api/cities/7/shops/#5"),
     ]
+    assert df.counts() == {"rows": 3, "kept": 2}
 
 
 @pytest.mark.parametrize("where", ["inline", "outside", "data"])
@@ -120,6 +122,7 @@ def test_maria_ra(spark, where):
         ("Алтайский край", "Барнаул", "ул. Попова, 1", None, 53.3, f"{cfg.maria_ra_map_url}#store=53.300000,83.700000"),
         (None, "Бийск", "ул. Мира, 5", "8-22", None, f"{cfg.maria_ra_map_url}#store=улмира5"),
     ]
+    assert df.counts() == {"removed": 0, "conflicts": 0}  # D4 took the copy before keys were
 
 
 ROW = "network string, source_url string, work_time string"

@@ -64,6 +64,40 @@ def test_interrupt_cancels_what_runs(spark, tmp_path):
     assert not [t for t in threading.enumerate() if "ThreadPool" in t.name]
 
 
+def test_counts_come_from_the_job_that_makes_the_rows(spark, tmp_path, caplog):
+    """Rows before and after deduplication and conflicts, through caches and shuffles; a source without rows waits for none."""
+    from pyspark.sql import functions as F
+
+    from vitrine.functions.identity import canonical, stable_key
+    from vitrine.operators.dedup import keep_best_map
+    from vitrine.plans import chains
+    from vitrine.shared import Watch, cut
+
+    rows = [("N", f"https://x.ru/shop/{i % 3}", f"{i % 2}") for i in range(8)]
+
+    def once(s, data):
+        made, counts = chains._watched(s.createDataFrame(data, ROW).repartition(3), [F.col("source_url")], [F.col("work_time")])
+        return chains._source(made, [], counts=counts)
+
+    def best(s):
+        twice = Watch()
+        keyed = stable_key(canonical(s.createDataFrame([*rows, rows[0], ("M", "https://y.ru/shop/9", "1")], ROW)))
+        kept = keep_best_map(keyed, watch=twice)
+        return chains._source(kept.drop("stable_key"), [], counts=twice.get)
+
+    began = time.time()
+    with caplog.at_level("INFO", "vitrine"):
+        parts, failed = runner.collect_sources(spark, {"once": lambda s: once(s, rows), "none": lambda s: once(s, []), "best": best}, "t", str(tmp_path))
+    assert failed == [] and [p.count() for p in parts] == [3, 0, 4] and time.time() - began < 60
+    said = {(r.levelname, r.getMessage()) for r in caplog.records}
+    assert ("INFO", "source once: {'rows': 8, 'kept': 3}") in said
+    assert ("WARNING", "source best: {'removed': 6, 'conflicts': 3}") in said
+    assert ("WARNING", "source none: 0 rows") in said and not [m for _, m in said if m.startswith("source none: {")]
+    seen = Watch()
+    cut(seen.on(spark.range(5), n=F.count("*"), odd=F.count_if(F.col("id") % 2 == 1)))
+    assert seen.get() == {"n": 5, "odd": 2} and Watch().get(seconds=0.2) is None
+
+
 @pytest.mark.parametrize("bad", [["run", "--network", "other"], ["walk"]])
 def test_command_line_refuses(bad, capsys):
     with pytest.raises(SystemExit) as e:

@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 
 from ..functions.text import squeeze
 from ..schemas import ORDER_FIELDS, STORE_COLUMNS
+from ..shared import Watch
 
 
 def keep_first(df: DataFrame, keys: list[Column], order: list[Column]) -> DataFrame:
@@ -42,10 +43,16 @@ def completeness(columns: list[str] = ORDER_FIELDS) -> Column:
     return sum((F.when(F.coalesce(F.col(c).cast("string"), F.lit("")) != "", 1).otherwise(0) for c in columns), F.lit(0)).cast("long")
 
 
-def best_row(df: DataFrame, keys: list[str], order: list[Column]) -> DataFrame:
-    """The row of each key that is greatest by the order. Combines before the shuffle: one row a key and partition is sent."""
-    picked = df.groupBy(*keys).agg(F.max_by(F.struct("*"), F.struct(*[c.alias(f"o{i}") for i, c in enumerate(order)])).alias("__row"))
-    return picked.select("__row.*")
+def best_row(df: DataFrame, keys: list[str], order: list[Column], watch: Watch | None = None) -> DataFrame:
+    """The row of each key that is greatest by the order. Combines before the shuffle: one row a key and partition is sent.
+
+    watch: sees the rows that go (removed) and the keys whose rows differ in their business fields (conflicts), in the same grouping.
+    """
+    best = F.max_by(F.struct("*"), F.struct(*[c.alias(f"o{i}") for i, c in enumerate(order)])).alias("__row")
+    if watch is None:
+        return df.groupBy(*keys).agg(best).select("__row.*")
+    picked = df.groupBy(*keys).agg(best, *copies())
+    return watch.on(picked, removed=F.sum("duplicates"), conflicts=F.count_if("conflicting")).select("__row.*")
 
 
 def preference() -> list[Column]:
@@ -58,15 +65,19 @@ def keep_best(df: DataFrame, ordinal: Column | None = None) -> DataFrame:
     return best_row(df, ["stable_key"], [*preference(), F.col("collected_at") if ordinal is None else ordinal])
 
 
-def keep_best_map(df: DataFrame, ordinal: Column | None = None) -> DataFrame:
+def keep_best_map(df: DataFrame, ordinal: Column | None = None, watch: Watch | None = None) -> DataFrame:
     """D5. As keep_best, longer addresses before field order."""
     business = [c for c in STORE_COLUMNS if c != "collected_at"]
     order = [completeness(business), F.char_length(F.coalesce("address", F.lit(""))), *[as_text(c) for c in business]]
-    return best_row(df, ["stable_key"], [*order, F.col("collected_at") if ordinal is None else ordinal])
+    return best_row(df, ["stable_key"], [*order, F.col("collected_at") if ordinal is None else ordinal], watch)
+
+
+def copies() -> list[Column]:
+    """Of the rows of a key: how many are too many, and whether their business fields differ."""
+    payload = F.to_json(F.struct(*[c for c in STORE_COLUMNS if c != "collected_at"]))
+    return [(F.count("*") - 1).alias("duplicates"), (F.min(payload) != F.max(payload)).alias("conflicting")]
 
 
 def conflicts(df: DataFrame) -> DataFrame:
     """D5. (stable_key, duplicates, conflicting) of keys with more than one row; conflicting: their business fields differ."""
-    business = [c for c in STORE_COLUMNS if c != "collected_at"]
-    payload = F.to_json(F.struct(*business))
-    return df.groupBy("stable_key").agg((F.count("*") - 1).alias("duplicates"), (F.min(payload) != F.max(payload)).alias("conflicting")).where("duplicates > 0")
+    return df.groupBy("stable_key").agg(*copies()).where("duplicates > 0")

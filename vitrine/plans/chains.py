@@ -1,20 +1,22 @@
 """The three chains as sources: from a table of fetched responses (url, status, final_url, body, error) to store-like rows.
 
 Without a table pages are fetched by the workers. A source's rows carry what else is to know of them: `held`, caches to release once
-the rows are used, and `rejected`, a table (url, reason) of what could not be read.
+the rows are used, `rejected`, a table (url, reason) of what could not be read, and `counts`, figures taken while the rows are made.
 """
 
 from __future__ import annotations
 
 import logging
+from collections.abc import Callable
 from urllib.parse import urlparse
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..functions.identity import canonical, stable_key
-from ..operators.dedup import conflicts, keep_best_map, keep_first, location_keys
+from ..operators.dedup import keep_best_map, keep_first, location_keys
 from ..operators.report import first_strategy, samples
+from ..shared import Watch
 from ..sources import crawl, fetched, html, jsonsource, mapscript
 from .config import NETWORKS, Config
 
@@ -27,17 +29,16 @@ def _responses(table: DataFrame | None, urls: DataFrame, cfg: Config, headers: d
     return fetched.fetch(urls, landing=cfg.landing, timeout=cfg.timeout, retries=cfg.retries, pace=cfg.pace, headers=headers, **session)
 
 
-def _source(rows: DataFrame, held: list[DataFrame], rejected: DataFrame | None = None) -> DataFrame:
-    rows.held, rows.rejected = held, rejected
+def _source(rows: DataFrame, held: list[DataFrame], rejected: DataFrame | None = None, counts: Callable[[], dict[str, int]] = dict) -> DataFrame:
+    rows.held, rows.rejected, rows.counts = held, rejected, counts
     return rows
 
 
-def _counted(name: str, before: DataFrame, after: DataFrame) -> DataFrame:
-    """G3. Rows before and after deduplication."""
-    a, b = before.count(), after.count()
-    if a != b:
-        log.info("%s: deduplicated stores %s -> %s", name, a, b)
-    return after
+def _watched(rows: DataFrame, keys: list, order: list) -> tuple[DataFrame, Callable[[], dict[str, int]]]:
+    """G3. The first row of each key, and the rows before and after, known once the rows are made."""
+    before, after = Watch(), Watch()
+    once = after.on(keep_first(before.on(rows, n=F.count("*")), keys, order), n=F.count("*"))
+    return once, lambda: {"rows": (before.get() or {"n": 0})["n"], "kept": (after.get() or {"n": 0})["n"]}
 
 
 def kb(spark: SparkSession, cfg: Config, table: DataFrame | None) -> DataFrame:
@@ -49,10 +50,10 @@ def kb(spark: SparkSession, cfg: Config, table: DataFrame | None) -> DataFrame:
     asked = cities.select("city_id", F.format_string(f"{cfg.kb_url}/api/cities/%d/shops/", "city_id").alias("url"))
     answers = _responses(table, asked.select("url"), cfg).select("url", "body").persist()
     shops = jsonsource.shops(answers.join(asked, "url").select("city_id", "body"))
-    rows = canonical(jsonsource.shop_rows(shops, cities, network=NETWORKS["kb"], base_url=cfg.kb_url), keep=("city_pos", "pos")).persist()
-    once = keep_first(rows, location_keys(url_fallback=True), [F.col("city_pos"), F.col("pos")])
+    rows = canonical(jsonsource.shop_rows(shops, cities, network=NETWORKS["kb"], base_url=cfg.kb_url), keep=("city_pos", "pos"))
+    once, counts = _watched(rows, location_keys(url_fallback=True), [F.col("city_pos"), F.col("pos")])
     lost = jsonsource.nameless_cities(bodies).unionByName(fetched.rejected(asked, answers))
-    return _source(_counted("kb", rows, once), [bodies, cities, answers, rows], lost)
+    return _source(once, [bodies, cities, answers], lost, counts)
 
 
 def maria_ra(spark: SparkSession, cfg: Config, table: DataFrame | None) -> DataFrame:
@@ -78,11 +79,10 @@ def maria_ra(spark: SparkSession, cfg: Config, table: DataFrame | None) -> DataF
         found = c if found is None else found.unionByName(c)
     best = mapscript.dedup_candidates(first_strategy(found, "rank", ["one"]), ["item"])
     rows = mapscript.store_rows(best, network=NETWORKS["maria_ra"], map_url=cfg.maria_ra_map_url, keep=("item",))
-    rows = stable_key(canonical(rows, keep=("item",))).persist()
-    twice = conflicts(rows).agg(F.sum("duplicates").alias("n"), F.count(F.when(F.col("conflicting"), 1)).alias("bad")).first()
-    if twice.n:
-        log.log(logging.WARNING if twice.bad else logging.INFO, "maria_ra: %s rows removed, %s keys in conflict", twice.n, twice.bad)
-    return _source(keep_best_map(rows, F.col("item")).drop("stable_key", "item"), [*held, parsed, rows])
+    rows = stable_key(canonical(rows, keep=("item",)))
+    twice = Watch()
+    kept = keep_best_map(rows, F.col("item"), twice).drop("stable_key", "item")
+    return _source(kept, [*held, parsed], counts=lambda: twice.get() or {"removed": 0, "conflicts": 0})
 
 
 def monetka(spark: SparkSession, cfg: Config, table: DataFrame | None) -> DataFrame:
@@ -97,10 +97,10 @@ def monetka(spark: SparkSession, cfg: Config, table: DataFrame | None) -> DataFr
         log.info("monetka: %s city links %s, such as %s", r.n, r.reason or "accepted", "; ".join(r.samples))
     for r in site.issues.groupBy("scope", "status", "level").agg(F.count("*").alias("n"), F.min("url").alias("url")).collect():  # one row a kind
         log.log(getattr(logging, r.level), "monetka: %s %s unavailable status_code=%s, such as %s", r.n, r.scope, r.status, r.url)
-    rows = canonical(site.stores, keep=("outcome",)).withColumn("network", F.lit(NETWORKS["monetka"])).persist()
-    log.info("monetka: %s, skipped %s", {r.outcome: r.n for r in rows.groupBy("outcome").agg(F.count("*").alias("n")).collect()}, site.skipped.count())
-    once = keep_first(rows, location_keys(url_fallback=False), [F.col("source_url")]).drop("outcome")
-    return _source(_counted("monetka", rows, once), [rows], site.issues.select("url", F.concat_ws(" ", "scope", F.col("status").cast("string")).alias("reason")))
+    rows = canonical(site.stores).withColumn("network", F.lit(NETWORKS["monetka"]))
+    once, counts = _watched(rows, location_keys(url_fallback=False), [F.col("source_url")])
+    lost = site.issues.select("url", F.concat_ws(" ", "scope", F.col("status").cast("string")).alias("reason"))
+    return _source(once, [], lost, lambda: (site.outcomes.get() or {}) | counts())
 
 
 def all_sources(cfg: Config, table: DataFrame | None = None):

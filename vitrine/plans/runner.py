@@ -78,6 +78,8 @@ def collect_sources(spark: SparkSession, sources: dict[str, Callable[[SparkSessi
             rows = canonical(found, passes=1, collected_at=now).withColumn("chain", F.lit(i)).persist()
             n = rows.count()
             log.log(logging.INFO if n else logging.WARNING, "source %s: %s rows", name, n)  # E7: none is a success all the same
+            if n and (counts := getattr(found, "counts", dict)()):  # G3, G4
+                log.log(logging.WARNING if counts.get("conflicts") else logging.INFO, "source %s: %s", name, counts)
             if getattr(found, "rejected", None) is not None:
                 set_aside(found.rejected, f"{aside}/{name}", name)
             for cached in getattr(found, "held", ()):

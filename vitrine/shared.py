@@ -3,8 +3,9 @@
 from __future__ import annotations
 
 import tempfile
+import threading
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 
 
 def shared_folder(spark: SparkSession) -> str:
@@ -25,3 +26,27 @@ def cut(df: DataFrame) -> DataFrame:
     out = kept.checkpoint()
     kept.unpersist()
     return out
+
+
+class Watch:
+    """Aggregates of the rows that pass a place of a plan, taken by the job that runs the plan: no job of their own.
+
+    A task that runs again because what it sent was lost may count its rows twice; these are figures for people and logs.
+    """
+
+    def __init__(self) -> None:
+        self._seen, self._found = Observation(), None
+
+    def on(self, rows: DataFrame, **aggregates: Column) -> DataFrame:
+        return rows.observe(self._seen, *[c.alias(name) for name, c in aggregates.items()])
+
+    def get(self, seconds: float = 20) -> dict[str, int] | None:
+        """The aggregates once a job has run, else None after some seconds: an adaptive plan may leave out a part that turns out to be empty."""
+        if self._found is None:
+            def wait() -> None:
+                self._found = {k: v or 0 for k, v in self._seen.get.items()}
+
+            t = threading.Thread(target=wait, daemon=True)
+            t.start()
+            t.join(seconds)
+        return self._found

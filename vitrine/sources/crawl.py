@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 from ..functions.places import sanitize_location
 from ..operators.dedup import keep_first
 from ..operators.enrich import with_detail
-from ..shared import cut
+from ..shared import Watch, cut
 from . import html as H
 from .fetched import issues
 
@@ -24,12 +24,13 @@ LISTING = (*H.SUMMARIES, *H.PAGE_LINKS, *H.CITY_CONTEXT)
 @dataclass
 class Site:
     """stores: store-like rows with outcome (parsed, partial); skipped: urls without anything to say; issues: (scope, url, status, level);
-    links: city links (rank, on: their page, pos, href, city_url, reason; null reason: accepted)."""
+    links: city links (rank, on: their page, pos, href, city_url, reason; null reason: accepted); outcomes: stores by outcome."""
 
     stores: DataFrame
     skipped: DataFrame
     issues: DataFrame
     links: DataFrame
+    outcomes: Watch
 
 
 QUEUES = """
@@ -124,9 +125,11 @@ def crawl(spark: SparkSession, get: Callable[[DataFrame, str | None], DataFrame]
     summaries = stores.select(F.col("store_url").alias("url"), "city", "region", "address", "work_time", none.alias("phone"), none.alias("store_format"))
     summaries = cut(summaries)
     details = pages(summaries, "store page", H.STORE_PAGE).select("url", F.col("final_url").alias("moved"), *[v.alias(k) for k, v in H.store_page(F.col("page")).items()])
-    rows = cut(with_detail(summaries, details).withColumn("source_url", F.coalesce("moved", "url")))
+    outcomes = Watch()
+    rows = outcomes.on(with_detail(summaries, details), **{k: F.count_if(F.col("outcome") == k) for k in ("parsed", "partial", "skipped")})
+    rows = cut(rows.withColumn("source_url", F.coalesce("moved", "url")))
     stores = rows.where("outcome <> 'skipped'").select("outcome", "region", "city", "address", "work_time", "latitude", "longitude", "phone", "store_format", "status", "source_url")
     wrong = failed[0]
     for x in failed[1:]:
         wrong = wrong.unionByName(x)
-    return Site(stores, rows.where("outcome = 'skipped'").select("url"), wrong, links)
+    return Site(stores, rows.where("outcome = 'skipped'").select("url"), wrong, links, outcomes)
