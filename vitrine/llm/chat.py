@@ -1,10 +1,12 @@
 """Operator 10, chat formatting by schema fingerprints. DataFrame functions only.
 
-A record is one JSON string. Its fingerprint is the hash of its sorted nested field paths (objects, and objects in
-lists, all elements of a list, two levels deep). Layouts are declared as data: the paths that they need, and where role and text
-come from. A layout fits a record if the fingerprint of the record's paths, restricted to the paths that the layout names, is the
-layout's own, so ids and other metadata beside them don't matter. Messages in a list are fingerprinted one by one: a list
-fits if every message's print is one that the layout knows, so that no text is lost under a name that nothing reads.
+A record is one JSON string. Its shape is the set of its nested field paths, to any depth, with their types: `messages[].role:STRING`,
+`history[][]:STRING`. They come from the schema of a variant, parsed from the record with its texts emptied and runs of equal
+objects reduced to one, so the shape's size doesn't grow with texts or turns. `fingerprint` is the hash of all of them.
+
+Layouts are declared as data: which paths may hold roles and texts. The hash of a record's telling paths selects the layout. Telling
+are all paths with texts, and those that a layout names whatever they hold; numbers, flags, nulls and the declared metadata are not. So
+a record with a text that its layout doesn't read has another hash and gets no layout: nothing is lost in silence.
 
 The template marks each turn as <s>[role]text</s>. Inside roles and texts the characters that control
 strings need (& < > [ ]) stand as entities, so no text can hold a mark and unescaping gives every
@@ -15,6 +17,8 @@ Scale: one row is one conversation; expressions only, no shuffle in the operator
 
 from __future__ import annotations
 
+import re
+from collections.abc import Iterator
 from dataclasses import dataclass
 from itertools import combinations
 
@@ -28,61 +32,96 @@ TURNS = "array<struct<role:string,text:string>>"
 ENTITIES = (("&", "&amp;"), ("<", "&lt;"), (">", "&gt;"), ("[", "&#91;"), ("]", "&#93;"))
 
 
+#: Fields that say something about a record and hold nothing that was said, at any depth and with all below them.
+METADATA = ("id", "uuid", "conv_id", "conversation_id", "message_id", "parent_id", "prompt_id", "meta", "metadata", "source", "origin", "dataset", "lang", "language", "model", "timestamp", "created_at", "updated_at", "label", "tags", "category", "type")
+
+
+def _subsets(names: tuple[str, ...], least: int) -> Iterator[tuple[str, ...]]:
+    return (c for n in range(least, len(names) + 1) for c in combinations(names, n))
+
+
 @dataclass(frozen=True)
 class Layout:
-    """A list of messages (`items`), each with a role and a text under one of the names given, or single fields: (role, field) for each turn.
+    """A list of messages (`items`, a dotted path), each with a role and a text under one of the names given, or single fields: (role, field) for each turn.
 
-    Of several names in a message the first that isn't null counts. `context` names a field whose text, where not empty, follows that
-    of the user after a blank line. `lead`: optional (role, field) whose text, where not empty, is a turn before all others.
+    `parts`: a message's text is a list of objects, whose texts under this name follow each other. `context` names a field whose text,
+    where not empty, follows that of the user after a blank line; `history` one with a list of pairs, turns of user and assistant
+    before the others. `lead`: optional (role, field) whose text, where not empty, is a turn before all. `repeated`: an optional field
+    that says the text of a message again.
     """
 
     name: str
     items: str | None = None
     role: tuple[str, ...] = ("role", "from")
     text: tuple[str, ...] = ("content", "value", "text")
+    parts: str | None = None
     fields: tuple[tuple[str, str], ...] = ()
     context: str | None = None
+    history: str | None = None
     lead: tuple[str, str] | None = ("system", "system")
+    repeated: str | None = None
 
     @property
-    def paths(self) -> list[str]:
-        """The paths that a record needs; for a list of messages its own key."""
-        return [self.items] if self.items else sorted([f for _, f in self.fields] + ([self.context] if self.context else []))
+    def leaves(self) -> list[str]:
+        """Paths of roles and texts, whatever they hold."""
+        inside = [f"{self.items}[].{n}" for n in (*self.role, *([] if self.parts else self.text))] if self.items else [f for _, f in self.fields]
+        return inside + [x for x in (self.context, self.lead and self.lead[1], self.repeated) if x]
 
     @property
-    def message_prints(self) -> list[str]:
-        """Joined names of the messages that the layout reads: any of the role names with any of the text names."""
-        some = lambda names: [c for n in range(1, len(names) + 1) for c in combinations(names, n)]
-        return ["\n".join(sorted(r + t)) for r in some(self.role) for t in some(self.text)]
-
-    def fits(self, record: Column, keys: Column) -> Column:
-        own = fingerprint(F.array_intersect(keys, F.array(*map(F.lit, self.paths)))) == F.xxhash64(F.lit("\n".join(self.paths)))
-        if not self.items:
-            return own
-        names = F.array(*map(F.lit, (*self.role, *self.text)))
-        known = [F.xxhash64(F.lit(p)) for p in self.message_prints]
-        each = F.transform(elements(record, self.items), lambda m: fingerprint(F.array_intersect(F.array_sort(F.json_object_keys(m)), names)))
-        return own & F.coalesce(F.forall(each, lambda x: F.coalesce(x.isin(*known), F.lit(False))), F.lit(False))
+    def prints(self) -> set[str]:
+        """Joined telling paths of the records that the layout reads: any of the role names with any of the text names, with and without what is optional."""
+        if self.items:
+            inside = f"[].{self.parts}" if self.parts else ""
+            bodies = [{f"{self.items}[].{n}" for n in r} | {f"{self.items}[].{n}{inside}" for n in t} for r in _subsets(self.role, 1) for t in _subsets(self.text, 1)]
+            bodies += [] if self.parts else [{f"{self.items}[]"}]
+        else:
+            own = {f for _, f in self.fields} | ({self.context} if self.context else set())
+            bodies = [own | {f"{self.history}{x}"} for x in ("[]", "[][]")] if self.history else [own]
+        optional = tuple(x for x in (self.lead and self.lead[1], self.repeated) if x)
+        return {"\n".join(sorted(body | set(more))) for body in bodies for more in _subsets(optional, 0)}
 
     def turns(self, record: Column) -> Column:
+        """Turns of a record with one of the prints; null where a message has two roles or texts, or the repeated text stands in none."""
+        plain = [f for _, f in self.fields] + [x for x in (self.context, self.lead and self.lead[1], self.repeated) if x]
+        columns = [f"`{x}`:string" for x in plain] + ([f"`{self.history}`:array<array<string>>"] if self.history else [])
+        if self.items:
+            kind = f"array<struct<`{self.parts}`:string>>" if self.parts else "string"
+            listed = f"array<struct<{','.join([f'`{n}`:string' for n in self.role] + [f'`{n}`:{kind}' for n in self.text])}>>"
+            *outer, last = self.items.split(".")
+            inner = f"`{last}`:{listed}"
+            for x in reversed(outer):
+                inner = f"`{x}`:struct<{inner}>"
+            columns.append(inner)
+        read = F.from_json(record, f"struct<{','.join(columns)}>", {"maxStringLen": str(2**31 - 1)})
+        return F.get(F.transform(F.array(read), self._turns_of), F.lit(0))  # parsed once, however often it is named
+
+    def _turns_of(self, r: Column) -> Column:
         turn = lambda role, text: F.struct(role.alias("role"), text.alias("text"))
-        lead = [self.lead] if self.lead else []
-        plain = [f for _, f in [*lead, *self.fields]] + ([self.context] if self.context else [])
-        listed = ",".join(f"`{n}`:string" for n in (*self.role, *self.text))
-        schema = "struct<" + ",".join([f"`{f}`:string" for f in plain] + ([f"`{self.items}`:string"] if self.items else [])) + ">"
-        r = F.from_json(record, schema)
-        first = lambda m, names: F.coalesce(*[m[n] for n in names])
+        whole = F.lit(True)
         if self.items:
-            body = F.transform(F.from_json(r[self.items], f"array<struct<{listed}>>"), lambda m: turn(first(m, self.role), first(m, self.text)))
+            items = r
+            for x in self.items.split("."):
+                items = items[x]
+            said = lambda m, n: F.array_join(F.transform(m[n], lambda p: F.coalesce(p[self.parts], F.lit(""))), "") if self.parts else m[n]
+            first = lambda m, names, of: F.coalesce(*[of(m, n) for n in names])
+            body = F.transform(items, lambda m: turn(first(m, self.role, lambda m, n: m[n]), first(m, self.text, said)))
+            several = lambda m, names: sum((m[n].isNotNull().cast("int") for n in names), F.lit(0)) > 1
+            whole = F.forall(items, lambda m: m.isNotNull() & ~several(m, self.role) & ~several(m, self.text))
+            if self.repeated:
+                whole = whole & (F.coalesce(r[self.repeated], F.lit("")).isin("") | F.exists(body, lambda m: m["text"].eqNullSafe(r[self.repeated])))
         else:
             own = lambda role, field: r[field] if role != "user" or not self.context else F.when(F.coalesce(r[self.context], F.lit("")) == "", r[field]).otherwise(F.concat(F.coalesce(r[field], F.lit("")), F.lit("\n\n"), r[self.context]))
             body = F.array(*[turn(F.lit(role), own(role, field)) for role, field in self.fields])
-        for role, field in lead:
+        if self.history:
+            pairs = F.coalesce(r[self.history], F.array().cast("array<array<string>>"))
+            whole = F.forall(pairs, lambda x: F.coalesce(F.size(x) == 2, F.lit(False)))
+            body = F.concat(F.flatten(F.transform(pairs, lambda x: F.array(turn(F.lit("user"), F.get(x, F.lit(0))), turn(F.lit("assistant"), F.get(x, F.lit(1)))))), body)
+        if self.lead:
+            role, field = self.lead
             body = F.when(F.coalesce(r[field], F.lit("")) != "", F.concat(F.array(turn(F.lit(role), r[field])), body)).otherwise(body)
-        return body
+        return F.when(whole, body)
 
 
-#: Where several fit, the last counts.
 LAYOUTS = (
     Layout("question", fields=(("user", "question"), ("assistant", "answer"))),
     Layout("question_system", fields=(("system", "system_prompt"), ("user", "question"), ("assistant", "response")), lead=None),
@@ -90,58 +129,90 @@ LAYOUTS = (
     Layout("completion", fields=(("user", "prompt"), ("assistant", "completion"))),
     Layout("instruction", fields=(("user", "instruction"), ("assistant", "output"))),
     Layout("instruction_input", fields=(("user", "instruction"), ("assistant", "output")), context="input"),
+    Layout("instruction_history", fields=(("user", "instruction"), ("assistant", "output")), history="history"),
+    Layout("instruction_input_history", fields=(("user", "instruction"), ("assistant", "output")), context="input", history="history"),
     Layout("sharing", "conversations"),
     Layout("turns", "turns"),
-    Layout("messages", "messages"),
+    Layout("messages", "messages", repeated="prompt"),
+    Layout("messages_parts", "messages", role=("role",), text=("content",), parts="text", repeated="prompt"),
+    Layout("nested_messages", "data.messages"),
 )
 #: Other names of roles.
 ROLES = {"human": "user", "gpt": "assistant", "bot": "assistant", "model": "assistant", "prompter": "user"}
 
 
-def elements(record: Column, key: str | Column) -> Column:
-    """The elements of a list as JSON strings; null where the key holds no list."""
-    at = F.lit(f"$['{key}']") if isinstance(key, str) else F.concat(F.lit("$['"), key, F.lit("']"))
-    inner = F.call_function("get_json_object", record, at)
-    return F.when(inner.startswith("["), F.from_json(inner, "array<string>"))
+def shape(record: Column) -> Column:
+    """The schema of a record as a string, like OBJECT<id: BIGINT, turns: ARRAY<OBJECT<text: STRING>>>; null for what isn't JSON or names a field twice.
+
+    Texts are emptied before it is parsed, then runs of equal objects reduced to one: a variant is bounded in size, records are not.
+    """
+    closed = F.regexp_replace(F.regexp_replace(record, r"(?s)\\.", "?"), r'"([^"]*+)"', '"$1\x01')  # no quote in a string, and its end differs from its start
+    bare = F.translate(F.regexp_replace(closed, r'"[^"\x01]*+\x01(?!\s*+:)', '"\x01'), "\x01", '"')
+    return F.schema_of_variant(F.try_parse_json(F.regexp_replace(bare, r"(\{[^{}\[\]]*+\},\s*+)\1++", "$1")))
+
+
+TOKENS = r"OBJECT<|ARRAY<|>|[A-Z]+(?:\(\d+,\d+\))?(?=[,>]|$)|(?:`[^`]*+`|\w+): "
 
 
 def field_paths(record: Column) -> Column:
-    """Sorted nested field paths of a JSON object: `a`, `a.b` for an object, `a[].b` for the objects in a list (all of them), `a[]` for a list without."""
+    """Sorted nested field paths of a JSON value with their types: `a:STRING`, `a.b:BIGINT` in an object, `a[].b:VOID` in the objects of a list, `a[]:VARIANT` for a list of several kinds.
 
-    def under(key: Column) -> Column:
-        inner = F.call_function("get_json_object", record, F.concat(F.lit("$['"), key, F.lit("']")))
-        inside = F.array_distinct(F.flatten(F.transform(elements(record, key), lambda m: F.coalesce(F.json_object_keys(m), F.array().cast("array<string>")))))
-        deeper = lambda keys, sep: F.transform(keys, lambda k: F.concat(key, F.lit(sep), k))
-        of_list = F.when(F.size(inside) > 0, deeper(inside, "[].")).otherwise(F.array(F.concat(key, F.lit("[]"))))
-        return F.when(inner.startswith("["), of_list).when(inner.startswith("{"), F.coalesce(deeper(F.json_object_keys(inner), "."), F.array(key))).otherwise(F.array(key))
+    Objects in a list count together. Null for what isn't JSON, names a field twice or has a backtick in a name.
+    """
+    schema = shape(record)
+    tokens = F.regexp_extract_all(F.when(~schema.contains("``"), schema), F.lit(TOKENS), F.lit(0))
+    start = F.struct(F.array(F.lit("")).alias("open"), F.lit("").alias("at"), F.array().cast("array<string>").alias("found"))
 
-    return F.array_sort(F.array_distinct(F.flatten(F.transform(F.json_object_keys(record), under))))
+    def step(acc: Column, t: Column) -> Column:
+        top, name = F.element_at(acc["open"], -1), t.endswith(": ")
+        opens, listed = t.isin("OBJECT<", "ARRAY<"), F.concat(acc["at"], F.lit("[]"))
+        key = F.regexp_replace(t, ": $", "")
+        at = F.when(name, F.when(top == "", key).otherwise(F.concat(top, F.lit("."), key))).when(t == "ARRAY<", listed).otherwise(acc["at"])
+        stack = F.when(opens, F.concat(acc["open"], F.array(at))).when(t == ">", F.slice(acc["open"], 1, F.size(acc["open"]) - 1)).otherwise(acc["open"])
+        found = F.when(~name & ~opens & (t != ">"), F.concat(acc["found"], F.array(F.concat(acc["at"], F.lit(":"), t)))).otherwise(acc["found"])
+        return F.struct(stack.alias("open"), at.alias("at"), found.alias("found"))
+
+    return F.array_sort(F.aggregate(tokens, start, step, lambda acc: acc["found"]))
 
 
 def fingerprint(paths: Column) -> Column:
-    return F.xxhash64(F.array_join(paths, "\n"))
+    return F.when(paths.isNotNull(), F.xxhash64(F.array_join(paths, "\n")))
+
+
+def _any_of(names) -> str:
+    return "(?:" + "|".join(re.escape(n) for n in sorted(set(names))) + ")"
+
+
+def telling_paths(paths: Column, layouts: tuple[Layout, ...]) -> Column:
+    """The paths, without types, that hold texts or that a layout names; metadata left out."""
+    named = _any_of([x for y in layouts for x in [*y.leaves, *[p for s in y.prints for p in s.split("\n")]]])
+    told = F.filter(paths, lambda p: (p.rlike(r":(?:STRING|VARIANT)$") | p.rlike(rf"^{named}:")) & ~p.rlike(rf"(?:^|\.){_any_of(METADATA)}[.\[:]"))
+    return F.transform(told, lambda p: F.regexp_replace(p, r":[A-Z]+(?:\(\d+,\d+\))?$", ""))
 
 
 def canonical_turns(records: DataFrame, column: str = "record", layouts: tuple[Layout, ...] = LAYOUTS) -> DataFrame:
-    """records plus fingerprint (long, of all paths), layout (string) and turns (array of role and text).
+    """records plus fingerprint (long, of all paths and types), layout (string) and turns (array of role and text).
 
-    Fields that no layout names don't matter. Records that no layout fits get a null layout and null turns: null records, what
-    isn't a JSON object, unknown fields only, and lists with a message whose role or text has an unknown name. Null texts and
-    roles are empty; a text that is itself a list or object counts as its JSON. An empty list gives no turns. Repeated records
-    are records of their own. Input columns of the new names are replaced; other columns stay. Empty input: no rows.
+    The hash of the telling paths selects the layout. Where it is no layout's, lists and objects that stand where a text is named count
+    as their JSON, and the hash of what remains selects. Null layout, null turns: null records, what isn't a JSON object, a text under
+    a name that no layout reads beside the others, a message with two texts or roles. Numbers, flags, nulls and METADATA don't matter.
+    Null texts and roles are empty. An empty list gives no turns. Repeated records are records of their own. Input columns of the
+    new names are replaced; other columns stay. Empty input: no rows.
     """
     keep = [c for c in records.columns if c not in ("fingerprint", "layout", "turns")]
     record = F.col(column)
-    keys = F.array_sort(F.json_object_keys(record))
-    df = records.select(keep).withColumn("fingerprint", fingerprint(field_paths(record)))
-    fit = F.lit(None).cast("string")
-    for x in layouts:
-        fit = F.when(x.fits(record, keys), F.lit(x.name)).otherwise(fit)
-    df = df.withColumn("layout", fit)
+    leaves = _any_of([x for y in layouts for x in y.leaves])
+    df = records.select(*keep, field_paths(record).alias("__paths")).withColumn("__exact", telling_paths(F.col("__paths"), layouts))
+    cut = F.array_sort(F.array_distinct(F.transform("__exact", lambda p: F.regexp_replace(p, rf"^({leaves})[.\[].*$", "$1"))))
+    df = df.select(*keep, fingerprint(F.col("__paths")).alias("fingerprint"), fingerprint(F.array_sort("__exact")).alias("__exact"), fingerprint(cut).alias("__cut"))
+    quoted = {x.name: ", ".join("xxhash64('" + p.replace("\n", "\\n") + "')" for p in sorted(x.prints)) for x in layouts}
+    fits = [f"when {by} in ({quoted[x.name]}) then '{x.name}'" for by in ("__exact", "__cut") for x in reversed(layouts)]  # as text: one expression, not hundreds of calls
+    fit = F.expr(f"case {' '.join(fits)} end")
+    df = df.select(*keep, "fingerprint", fit.alias("layout"))
     turns = F.lit(None).cast(TURNS)
     for x in layouts:
         turns = F.when(F.col("layout") == x.name, _canonical(x.turns(record))).otherwise(turns)
-    return df.withColumn("turns", turns)
+    return df.withColumn("turns", turns).withColumn("layout", F.when(F.col("turns").isNotNull(), F.col("layout"))).select(*keep, "fingerprint", "layout", "turns")
 
 
 def _canonical(raw: Column) -> Column:
@@ -201,17 +272,42 @@ def loss_text(formatted: Column, spans: Column) -> Column:
 def conversation_records(rows: DataFrame) -> DataFrame:
     """(conv_id, record): the rows of a conversation in order of turn, role and text (nulls first), as a JSON record.
 
-    Null texts and roles are empty; rows with a null conv_id are one conversation; repeated rows are turns of their own. Records
-    come in three layouts, dealt by a hash of the id, two of them with fields beside their messages.
+    Null texts and roles are empty; rows with a null conv_id are one conversation; repeated rows are turns of their own. A hash of the
+    id deals conversations to layouts: half to lists of messages of five kinds, half to single fields, where the roles are those of
+    such a layout.
     """
     row = F.struct(F.col("turn"), F.coalesce("role", F.lit("")).alias("role"), F.coalesce("text", F.lit("")).alias("text"))
     by = rows.groupBy("conv_id").agg(F.collect_list(row).alias("x"))
     ordered = F.array_sort(F.transform("x", lambda m: F.struct(m["turn"].isNotNull().alias("k"), F.coalesce(m["turn"], F.lit(0)).alias("turn"), m["role"].alias("role"), m["text"].alias("text"))))
-    listed = lambda role, text: F.transform(ordered, lambda m: F.struct(m["role"].alias(role), m["text"].alias(text)))
-    ident, kind = F.col("conv_id").cast("long"), F.pmod(F.xxhash64("conv_id"), F.lit(3))
-    record = F.when(kind == 0, F.to_json(F.struct(listed("role", "content").alias("messages"), ident.alias("id"))))
-    record = record.when(kind == 1, F.to_json(F.struct(ident.alias("id"), listed("from", "value").alias("conversations"), F.lit("table").alias("origin"))))
-    return by.select(ident.alias("conv_id"), record.otherwise(F.to_json(F.struct(listed("role", "text").alias("turns")))).alias("record"))
+    by = by.select(F.col("conv_id").cast("long").alias("conv_id"), F.xxhash64("conv_id").alias("h"), ordered.alias("x"))
+    ident, kind, way, n = F.col("conv_id"), F.pmod("h", F.lit(5)), F.pmod(F.shiftright("h", 16), F.lit(10)), F.size("x")
+    listed = lambda role, text: F.transform("x", lambda m: F.struct(m["role"].alias(role), m["text"].alias(text)))
+    piece = lambda t: F.struct(F.lit("text").alias("type"), t.alias("text"))
+    half = lambda t: F.floor(F.char_length(t) / 2).cast("int")
+    parts = F.transform("x", lambda m: F.struct(m["role"].alias("role"), F.array(piece(F.left(m["text"], half(m["text"]))), piece(F.substring(m["text"], half(m["text"]) + 1, F.char_length(m["text"])))).alias("content")))
+    said = lambda i: F.get("x", F.lit(i))["text"] if isinstance(i, int) else F.get("x", i)["text"]
+    roles = F.transform("x", lambda m: m["role"])
+    one, led = roles == F.array(F.lit("user"), F.lit("assistant")), roles == F.array(F.lit("system"), F.lit("user"), F.lit("assistant"))
+    pairs = (n > 2) & (n % 2 == 0) & F.forall(F.transform("x", lambda m, i: m["role"] == F.when(i % 2 == 0, "user").otherwise("assistant")), lambda ok: ok)
+    before = F.transform(F.sequence(F.lit(0), F.greatest(F.floor(n / 2).cast("int") - 2, F.lit(0))), lambda i: F.array(said(i * 2), said(i * 2 + 1)))
+    at = F.instr(said(0), "\n\n")
+    task, given = F.when(at > 0, F.left(said(0), at - 1)).otherwise(said(0)), F.when(at > 0, F.substring(said(0), at + 2, F.char_length(said(0)))).otherwise("")
+    task, given = F.when(given == "", said(0)).otherwise(task), given
+    pack = lambda **fields: F.to_json(F.struct(*[v.alias(k) for k, v in fields.items()]))
+    single = way >= 5
+    record = F.when(single & pairs, pack(instruction=said(n - 2), output=said(n - 1), history=before, id=ident))
+    record = record.when(single & led & (kind < 3), pack(system_prompt=said(0), question=said(1), response=said(2)))
+    record = record.when(single & led & (said(0) != ""), pack(system=said(0), prompt=said(1), completion=said(2)))
+    record = record.when(single & one & (kind == 0), pack(question=said(0), answer=said(1)))
+    record = record.when(single & one & (kind == 1), pack(prompt=said(0), response=said(1), source=F.lit("table")))
+    record = record.when(single & one & (kind == 2), pack(prompt=said(0), completion=said(1)))
+    record = record.when(single & one & (kind == 3), pack(instruction=said(0), output=said(1)))
+    record = record.when(single & one, pack(instruction=task, input=given, output=said(1)))
+    record = record.when(kind == 0, pack(messages=listed("role", "content"), id=ident))
+    record = record.when(kind == 1, pack(id=ident, conversations=listed("from", "value"), origin=F.lit("table")))
+    record = record.when(kind == 2, pack(turns=listed("role", "text")))
+    record = record.when(kind == 3, F.to_json(F.struct(F.struct(listed("role", "content").alias("messages")).alias("data"), ident.alias("id"))))
+    return by.select("conv_id", record.otherwise(pack(messages=parts)).alias("record"))
 
 
 PROBE = "</s>[INST] ok [/INST]"
