@@ -1,10 +1,10 @@
 """Operator 2, secret scans: fixed patterns, and sliding-window Shannon entropy over candidate strings.
 
-Candidates are maximal runs of [A-Za-z0-9+/_=-] of 20 characters or more. Each is judged under the character
-classes that hold all of it: hex, then letters and digits, then the base64 alphabet. A window of 20 characters slides over it;
+Candidates are the maximal runs of each character class (hex, letters and digits, the base64 alphabet) of 20 characters or more; a run of
+one class may lie inside one of another, as the digest in `key=9F86...` does. A window of 20 characters slides over each;
 counts change by one character in and one out, and sum(c * log2 c) is kept with them, so a step costs
-O(1). Windows at or above the class's entropy are merged into spans of kind entropy. The allow-list
-drops candidates that are words, one-class runs, UUIDs, placeholders, paths or repeat patterns.
+O(1). Windows at or above the class's entropy are merged, over all classes, into spans of kind entropy. The allow-list drops runs
+that are words, numbers, UUIDs, placeholders, paths or repeat patterns; runs inside a dropped one are judged by themselves.
 
 Scale: one pass over the rows, no shuffle, whole texts, memory of one Arrow batch.
 """
@@ -26,10 +26,11 @@ ASSIGN = re.compile(r"""(password|passwd|secret|token|api_?key)["']?\x20*[:=]\x2
 NAMES = ("password", "passwd", "secret", "token", "api_key", "apikey")
 ACCESS = re.compile(r"AKIA[A-Z0-9]{14,}")  # a maximal run of fewer characters fails at any start
 HEX = re.compile(r"[0-9a-f]{16,}")
-CANDIDATE = re.compile(r"[A-Za-z0-9+/_=-]{20,}")
 WINDOW = 20
 #: Character classes and the bits a character that a window of 20 needs under each.
-CLASSES = (("hex", re.compile(r"[0-9a-fA-F]+"), 3.0), ("alnum", re.compile(r"[0-9A-Za-z]+"), 3.7), ("base64", re.compile(r"[A-Za-z0-9+/_=-]+"), 3.8))
+CLASSES = (("hex", re.compile(r"[0-9a-fA-F]{20,}"), 3.0), ("alnum", re.compile(r"[0-9A-Za-z]{20,}"), 3.7), ("base64", re.compile(r"[A-Za-z0-9+/_=-]{20,}"), 3.8))
+#: The class that holds the others.
+CANDIDATE = CLASSES[-1][1]
 #: Candidates that aren't secrets: words, numbers, UUIDs, placeholders, dotted or slashed words.
 ALLOW = (
     re.compile(r"[A-Za-z_=-]*"),
@@ -65,6 +66,26 @@ def entropy_spans(text: str, start: int, end: int, bits: float, window: int = WI
     return spans
 
 
+def class_spans(text: str, start: int, end: int) -> list[tuple[int, int]]:
+    """Merged spans of the runs of every class in text[start:end], a maximal run of the widest class."""
+    found = []
+    for _, run, bits in CLASSES:
+        whole = False
+        for m in run.finditer(text, start, end):
+            if not any(a.fullmatch(m.group()) for a in ALLOW):
+                found += entropy_spans(text, m.start(), m.end(), bits)
+            whole = m.start() == start and m.end() == end
+        if whole:  # wider classes have the same run and ask for more bits
+            break
+    merged: list[tuple[int, int]] = []
+    for a, b in sorted(found):
+        if merged and a <= merged[-1][1]:
+            merged[-1] = (merged[-1][0], max(b, merged[-1][1]))
+        else:
+            merged.append((a, b))
+    return merged
+
+
 def scan(text: str) -> list[tuple[int, int, int]]:
     """Spans (start, kind, end) of one text in order; kind indexes KINDS. Code points, end exclusive."""
     spans = []
@@ -75,11 +96,7 @@ def scan(text: str) -> list[tuple[int, int, int]]:
         spans += [(m.start(), 1, m.end()) for m in ACCESS.finditer(text)]
     spans += [(m.start(), 2, m.end()) for m in HEX.finditer(text)]
     for m in CANDIDATE.finditer(text):
-        s = m.group()
-        if any(a.fullmatch(s) for a in ALLOW):
-            continue
-        bits = next(b for _, p, b in CLASSES if p.fullmatch(s))
-        spans += [(a, 3, b) for a, b in entropy_spans(text, m.start(), m.end(), bits)]
+        spans += [(a, 3, b) for a, b in class_spans(text, m.start(), m.end())]
     return sorted(spans)
 
 
