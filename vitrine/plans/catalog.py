@@ -549,6 +549,27 @@ def candidate_upper(spark, d):
     return once.groupBy("c_custkey").agg(F.count("*").alias("stores"), F.array_join(F.array_sort(F.collect_set("city")), ",").alias("cities"), F.min("address").alias("first_address"))
 
 
+@query("""with x as (select c_custkey, c_custkey % 5 as k, 'ул. Мира, ' || c_custkey as a, 'https://shop.example/map#store=' as u from customer)
+select c_custkey, 'map' as network, case k when 0 then 'Алтайский край' when 1 then 'Омская область' end as region, case k when 0 then 'Бийск' when 3 then 'Томск' else 'Омск' end as city, a as address,
+ case k when 3 then '8:00-20:00' when 4 then '9-21' end as work_time, case when k <> 4 then 52.5::double end as latitude, case when k in (0, 1, 3) then 85.25::double end as longitude, case k when 3 then '8 800' end as phone,
+ case k when 0 then 'мини маркет' end as store_format, case k when 1 then 'open' end as status, u || case when k in (0, 1, 3) then '52.500000,85.250000' else 'улмира' || c_custkey end as source_url from x""")
+def map_store_rows(spark, d):
+    """Candidates of five kinds to store rows; a flat pair counts only whole, else both come from the list; without a spot the address marks the url."""
+    from ..sources import mapscript
+
+    k = F.col("c_custkey")
+    street = F.concat(F.lit("ул. Мира, "), k)
+    item = lambda *parts: F.concat(F.lit("[{"), *[F.lit(x) if isinstance(x, str) else x for x in parts], F.lit("}]"))
+    whole = item('"addr": "Алтайский край, г. Бийск, ', street, '", "lat": 52.5, "lon": "85,25", "storeFormat": " мини  маркет "')
+    half = item('"address": "', street, '", "city": "Омск", "regionName": "Омская область", "LAT": "1", "coords": [85.25, 52.5], "status": "open"')
+    alone = item('"address": "', street, '", "city": "Омск", "latitude": "52.5"')
+    upper = item('"NAME": "г. Томск, ', street, '", "COORDINATE": "52.5, 85.25", "STARTED_WORK": " 8:00", "END_WORK": "20:00 ", "TEL": "8 800"')
+    bare = item('"full_address": "', street, '", "locality": "Омск", "schedule": "9-21"')
+    body = F.when(k % 5 == 0, whole).when(k % 5 == 1, half).when(k % 5 == 2, alone).when(k % 5 == 3, upper).otherwise(bare)
+    c = mapscript.candidates(table(spark, d, "customer").select("c_custkey", body.alias("script")), attribute=True)
+    return mapscript.store_rows(c, network="map", map_url="https://shop.example/map", keep=("c_custkey",))
+
+
 @query("""select c_custkey, case c_custkey % 7 when 0 then 'Омск, 5' when 1 then 'ул. ' || c_custkey when 2 then 'Омск, д. 5а' when 3 then 'Томск, ул. 1' when 4 then '5 этаж' when 6 then '5 к 2/3' end as address from customer""")
 def address_city_strip(spark, d):
     """A city in front goes only where what follows says more than a house number."""
