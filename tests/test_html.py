@@ -1,6 +1,7 @@
 """Fields of a page as they are asked for."""
 
 import pytest
+from pyspark.sql import functions as F
 
 from vitrine.sources import html
 
@@ -51,6 +52,28 @@ def test_what_is_no_url_stays_as_it_is(spark):
     assert [a["url"] for a in got[2]["anchors"]] == ["/u/shops_map/one#f", "/shops_map/e/5", "http://[bad"]
 
 
+def test_references_count_only_whole(spark):
+    """A reference that is cut off stays, in texts, attributes and scripts; numbers and whole names are resolved."""
+    page = '<h1>a&amp;b &amp &lt;c&#x27;&#39 &ampx; &quo R&D; &copy</h1><a href="/x?a=1&copy=2&amp;b=3&lt">l</a><script>if (a&&b &amp c) {}</script>'
+    got = rows(spark, [(1, page, "https://s.ru/c"), (2, page.replace("a=1", "a=\ufdd0"), None)], "h1", "anchors.href", "scripts")
+    assert got[1]["h1"] == got[2]["h1"] == "a&b &amp <c'' &ampx; &quo R&D; &copy"
+    assert (got[1]["anchors"], got[1]["scripts"]) == ([{"href": "/x?a=1&copy=2&b=3&lt"}], ["if (a&&b &amp c) {}"])
+    assert got[2]["anchors"] == [{"href": "/x?a=\ufdd0&copy=2&b=3&lt"}]
+
+
+def test_headings_of_odd_pages(spark, tmp_path):
+    """page_headings: cut references, a page without a heading and a null page, as its SQL has them."""
+    import duckdb
+
+    from vitrine.plans import catalog
+
+    pages = [(1, "<h1> x&amp;&amp</h1><a href=\"/a\">b</a>"), (2, "<p>none</p>"), (3, None)]
+    spark.createDataFrame(pages, "page_id long, html string").withColumn("url", F.lit("https://s.ru/")).coalesce(1).write.parquet(f"{tmp_path}/pages.parquet")
+    con = duckdb.connect()
+    con.execute(f"create view pages as select * from '{tmp_path}/pages.parquet/*.parquet'")
+    assert sorted(tuple(r) for r in catalog.page_headings(spark, str(tmp_path)).collect()) == sorted(con.execute(catalog.oracle_sql()["page_headings"]).fetchall())
+
+
 def test_plan_keeps_what_was_asked():
     assert html.planned(["geo", "anchors.url", "h1", "anchors.href"]) == {"h1": (), "anchors": ("href", "url"), "geo": ("lat", "lng")}
     for bad in (["h2"], ["anchors.h1"], []):

@@ -125,8 +125,10 @@ def href_classify(spark, d):
 
 @query("""select page_id, html_n as n_links, h1 from (select page_id, len(regexp_extract_all(html, '<a href="([^"]*)"', 1)) as html_n, trim(replace(replace(replace(replace(replace(regexp_extract(html, '<h1>([^<]*)</h1>', 1), '&lt;', '<'), '&gt;', '>'), '&quot;', '"'), '&#x27;', ''''), '&amp;', '&')) as h1 from pages)""")
 def page_headings(spark, d):
+    """H6's heading and P6's count. A page without a heading has an empty one, a null page none of either."""
     p = html.parse_pages(table(spark, d, "pages"), fields=("h1", "anchors.href"))
-    return p.select("page_id", F.size("page.anchors").cast("long").alias("n_links"), F.col("page.h1").alias("h1"))
+    there = lambda c: F.when(F.col("html").isNotNull(), c)
+    return p.select("page_id", there(F.size("page.anchors").cast("long")).alias("n_links"), there(F.coalesce("page.h1", F.lit(""))).alias("h1"))
 
 
 def _copies(df):

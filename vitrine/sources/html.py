@@ -11,6 +11,7 @@ import re
 from collections.abc import Callable, Iterable, Iterator
 from functools import cached_property
 from html import unescape
+from html.entities import html5
 from html.parser import HTMLParser
 from urllib.parse import urljoin, urlsplit
 
@@ -68,31 +69,50 @@ def _walk(root: _Node) -> tuple[list[_Node], list[str]]:
     return nodes, texts
 
 
+REFERENCE = re.compile(r"&(?!#)([A-Za-z][A-Za-z0-9]*;)?")
+
+
 class _Tree(HTMLParser):
+    """The tree of one page. A named reference counts only whole, with its semicolon: &amp at the end of a cut text stays as it stands."""
+
     def __init__(self):
         super().__init__(convert_charrefs=True)
         self.root = self.at = _Node("", {}, None)
+        self.mark = None
+
+    def feed(self, data):
+        # the parser would resolve what is cut off, so those ampersands pass it as a character that the page doesn't have
+        self.mark = next((c for c in map(chr, range(0xFDD0, 0xFDF0)) if c not in data), None)
+        if self.mark is not None:
+            data = REFERENCE.sub(lambda m: m[0] if m[1] in html5 else self.mark + m[0][1:], data)
+        super().feed(data)
+
+    def plain(self, s):
+        return s.replace(self.mark, "&") if s and self.mark is not None else s or ""
+
+    def node(self, tag, attrs):
+        return _Node(self.plain(tag), {self.plain(k): self.plain(v) for k, v in reversed(attrs)}, self.at)
 
     def handle_starttag(self, tag, attrs):
         if self.at.tag in CLOSES.get(tag, ()):
             self.at = self.at.parent
-        node = _Node(tag, {k: v or "" for k, v in reversed(attrs)}, self.at)
+        node = self.node(tag, attrs)
         self.at.children.append(node)
         if tag not in VOID:
             self.at = node
 
     def handle_startendtag(self, tag, attrs):
-        self.at.children.append(_Node(tag, {k: v or "" for k, v in reversed(attrs)}, self.at))
+        self.at.children.append(self.node(tag, attrs))
 
     def handle_endtag(self, tag):
-        n = self.at
+        tag, n = self.plain(tag), self.at
         while n.parent is not None and n.tag != tag:
             n = n.parent
         if n.parent is not None:
             self.at = n.parent
 
     def handle_data(self, data):
-        self.at.children.append(data)
+        self.at.children.append(self.plain(data))
 
 
 class _Page:
