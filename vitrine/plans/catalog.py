@@ -12,7 +12,7 @@ from ..operators import dedup, diff, enrich, report
 from ..schemas import ORDER_FIELDS, STORE_COLUMNS, TRACKED_FIELDS
 from ..shared import cut, shared_folder
 from ..sources import html, snapshot
-from .views import CANONICAL, KEYED, raw_stores, sql_compare_url, sql_number, sql_text, sql_token, table
+from .views import CANONICAL, KEYED, customers, raw_stores, sql_compare_url, sql_number, sql_text, sql_token, table
 
 DETECTED = "2026-01-02T00:00:00+00:00"
 _QUERIES, _SQL = {}, {}
@@ -61,7 +61,7 @@ select c_custkey, {sql_number('s')} as plain, {sql_number("replace(s, ',', '.')"
 def coord_parse(spark, d):
     k = F.col("c_custkey")
     s = F.when(k % 4 == 0, F.concat(F.lit(" "), k % 90, F.lit(",5 "))).when(k % 4 == 1, "abc").when(k % 4 == 2, F.concat(k % 180, F.lit(".25"))).otherwise(F.concat(k % 9, F.lit(" шт")))
-    x = table(spark, d, "customer").select("c_custkey", s.alias("s"))
+    x = customers(spark, d).select("c_custkey", s.alias("s"))
     return x.select("c_custkey", text.to_number(F.col("s")).alias("plain"), text.to_number_comma(F.col("s")).alias("comma"), text.to_number_loose(F.col("s")).alias("loose"))
 
 
@@ -192,7 +192,7 @@ t as (select *, coalesce(lower(c) <> lower(cc), false) as wc, coalesce(lower(r)
 select c_custkey, case when wc or wr then c else coalesce(c, cc) end as city, case when wc or wr then r else coalesce(r, cr) end as region from t""")
 def context_backfill(spark, d):
     k = F.col("c_custkey")
-    j = table(spark, d, "customer").join(table(spark, d, "nation"), F.col("c_nationkey") == F.col("n_nationkey"))
+    j = customers(spark, d).join(table(spark, d, "nation"), F.col("c_nationkey") == F.col("n_nationkey"))
     s = enrich.backfill(F.when(k % 3 > 0, F.col("n_name")), F.when(k % 5 > 1, F.concat(F.lit("R"), k % 2)), F.when(k % 7 > 0, F.lower("n_name")).otherwise("Else"), F.when(k % 4 > 0, "r1"))
     return j.select("c_custkey", s.alias("s")).select("c_custkey", "s.city", "s.region")
 
@@ -364,7 +364,7 @@ def sheet_widths(spark, d):
 @query("""select c_custkey, (case when c_custkey % 3 = 0 then 'Алтайский край' end) as region, n as city, 'ул. ' || c_custkey || ', 1' as address from (select c_custkey, lower(c_mktsegment) as n from customer)""")
 def map_places(spark, d):
     """Region and city taken off the front of a map address."""
-    x = table(spark, d, "customer").select("c_custkey", F.lower("c_mktsegment").alias("n"))
+    x = customers(spark, d).select("c_custkey", F.lower("c_mktsegment").alias("n"))
     full = F.concat(F.when(F.col("c_custkey") % 3 == 0, "Алтайский край, ").otherwise(""), F.lit("г. "), F.col("n"), F.lit(", ул "), F.col("c_custkey"), F.lit(",, 1;"))
     y = x.select("c_custkey", places.split_region(full).alias("r"), full.alias("full"))
     y = y.select("c_custkey", places.clean_region(F.col("r.region")).alias("region"), F.lit(None).cast("string").alias("city"), F.coalesce("r.rest", "full").alias("address"))
@@ -499,7 +499,7 @@ def candidate_flat(spark, d):
     b = F.concat(F.lit('f(JSON.parse("[{\\"address\\": \\"ул. '), k, F.lit('\\", \\"city\\": \\"Омск\\", \\"lat\\": 52.5}, 7]"))'))
     c = F.concat(F.lit('init([{"address": "ул. '), k, F.lit('", "tel": "8"}])'))
     e = F.concat(F.lit('mapData = {"points": [{"fullAddress": "ул. '), k, F.lit('"}]};'))
-    s = table(spark, d, "customer").select("c_custkey", F.when(k % 4 == 0, a).when(k % 4 == 1, b).when(k % 4 == 2, c).otherwise(e).alias("script"))
+    s = customers(spark, d).select("c_custkey", F.when(k % 4 == 0, a).when(k % 4 == 1, b).when(k % 4 == 2, c).otherwise(e).alias("script"))
     return mapscript.candidates(s).select("c_custkey", "item", "address", "city", "lat", "phone")
 
 
@@ -512,7 +512,7 @@ def candidate_geojson(spark, d):
     geometry = F.lit('{"geometry": {"coordinates": [85.5, 52]}, "properties": {')
     flat = F.concat(F.lit('"address": "ул. '), k, F.lit('", "town": "К'), k, F.lit('", "schedule": "9-21"'))
     shown = F.concat(F.lit('"hintContent": "<b>Адрес: ул. '), k, F.lit('</b><br>Город - К'), k, F.lit('"'))
-    s = table(spark, d, "customer").select("c_custkey", F.concat(F.lit('[{"type": 1, "features": ['), geometry, F.when(k % 2 == 0, flat).otherwise(shown), F.lit("}}]}]")).alias("body"))
+    s = customers(spark, d).select("c_custkey", F.concat(F.lit('[{"type": 1, "features": ['), geometry, F.when(k % 2 == 0, flat).otherwise(shown), F.lit("}}]}]")).alias("body"))
     s = s.select("c_custkey", F.regexp_extract("body", "(?s)^\\[\\{\"type\": 1, \"features\": (.*)\\}\\]$", 1).alias("script"))
     return mapscript.candidates(s, attribute=True).select("c_custkey", "address", "city", "work_time", "coords")
 
@@ -526,7 +526,7 @@ def candidate_popup(spark, d):
     phone = F.when(k % 3 == 0, "&lt;br&gt;Тел.: 8 800").otherwise("")
     popup = F.concat(F.lit('[{"popup": "Адрес магазина: ул. '), k, F.lit("&lt;br&gt;Режим работы: 8-20"), phone, F.lit('"}]'))
     upper = F.concat(F.lit('[{"NAME": " ", "addr": "ул. '), k, F.lit('", "COORDINATE": "52.5, 85.25", "STARTED_WORK": " "'), F.when(k % 3 == 0, ', "TEL": "8 800"').otherwise(""), F.lit("}]"))
-    s = table(spark, d, "customer").select("c_custkey", F.when(k % 2 == 0, popup).otherwise(upper).alias("script"))
+    s = customers(spark, d).select("c_custkey", F.when(k % 2 == 0, popup).otherwise(upper).alias("script"))
     return mapscript.candidates(s, attribute=True).select("c_custkey", "address", "work_time", "phone", "coords")
 
 
@@ -545,7 +545,7 @@ def candidate_upper(spark, d):
     last = F.when(k > 0, one("г. Омск, пр. Новый, 2")).otherwise(one("г. Бийск, ул. Мира, 1"))
     third = F.when(k == 1, one("г. Омск, ул. Мира, 1", '"COORDINATE": "x"')).otherwise(one("г. Омск, ул. Мира, 2"))
     items = F.concat_ws(",", F.lit(one("г. Омск, ул. Мира, 1")), F.lit(one("г. Томск, ул. Мира, 1")), third, last)
-    s = table(spark, d, "customer").select("c_custkey", F.concat(F.lit("["), items, F.lit("]")).alias("script"))
+    s = customers(spark, d).select("c_custkey", F.concat(F.lit("["), items, F.lit("]")).alias("script"))
     c = mapscript.candidates(s, attribute=True)
     once = dedup.keep_first(c, [F.col("c_custkey"), *dedup.candidate_keys()], [F.col("item")]).where("work_time = '8-20'")
     return once.groupBy("c_custkey").agg(F.count("*").alias("stores"), F.array_join(F.array_sort(F.collect_set("city")), ",").alias("cities"), F.min("address").alias("first_address"))
@@ -568,7 +568,7 @@ def map_store_rows(spark, d):
     upper = item('"NAME": "г. Томск, ', street, '", "COORDINATE": "52.5, 85.25", "STARTED_WORK": " 8:00", "END_WORK": "20:00 ", "TEL": "8 800"')
     bare = item('"full_address": "', street, '", "locality": "Омск", "schedule": "9-21"')
     body = F.when(k % 5 == 0, whole).when(k % 5 == 1, half).when(k % 5 == 2, alone).when(k % 5 == 3, upper).otherwise(bare)
-    c = mapscript.candidates(table(spark, d, "customer").select("c_custkey", body.alias("script")), attribute=True)
+    c = mapscript.candidates(customers(spark, d).select("c_custkey", body.alias("script")), attribute=True)
     return mapscript.store_rows(c, network="map", map_url="https://shop.example/map", keep=("c_custkey",))
 
 
@@ -577,7 +577,7 @@ def address_city_strip(spark, d):
     """A city in front goes only where what follows says more than a house number."""
     k = F.col("c_custkey")
     a = F.when(k % 7 == 0, "Омск , 5").when(k % 7 == 1, F.concat(F.lit("ОМСК,, ул. "), k)).when(k % 7 == 2, "Омск, д. 5а").when(k % 7 == 3, "Томск, ул. 1").when(k % 7 == 4, "омск;,5  этаж").when(k % 7 == 6, "Омск, 5 к 2/3").otherwise(" n/a ")
-    x = table(spark, d, "customer").select("c_custkey", F.when(k % 7 == 4, F.replace(a, F.lit(";,"), F.lit(", "))).otherwise(a).alias("address"), F.lit("Омск").alias("city"))
+    x = customers(spark, d).select("c_custkey", F.when(k % 7 == 4, F.replace(a, F.lit(";,"), F.lit(", "))).otherwise(a).alias("address"), F.lit("Омск").alias("city"))
     return text.address_pass(x, "address", "city").select("c_custkey", "address")
 
 
@@ -639,7 +639,7 @@ def shop_api_rows(spark, d):
     call = F.when(k % 4 == 0, '"phones": [" ", "8 800"]').when(k % 4 == 1, '"phone": "", "phones": ["1"]').otherwise('"phones": []')
     more = F.concat(F.lit('"lng": 60, "isActive": '), F.when(k % 2 == 0, "true").otherwise("false"), F.when(k % 7 > 0, F.concat(F.lit(', "id": '), k)).otherwise(', "id": 0'))
     body = F.concat(F.lit('{"items": [3, {'), F.concat_ws(", ", region, place, street, hours, call, more), F.lit("}]}"))
-    c, n = table(spark, d, "customer"), table(spark, d, "nation")
+    c, n = customers(spark, d), table(spark, d, "nation")
     bodies = c.select(F.col("c_nationkey").alias("city_id"), body.alias("body"), "c_custkey")
     found = J.shops(bodies.select(F.struct("city_id", "c_custkey").alias("city_id"), "body")).select(F.col("city_id.city_id").alias("city_id"), (F.col("city_id.c_custkey") * 10 + F.col("pos")).alias("pos"), "shop")
     cities = n.select(F.col("n_nationkey").alias("city_id"), F.col("n_name").alias("city"), F.col("n_name").alias("region"), F.lit(0).alias("pos"))

@@ -5,6 +5,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from ..shared import spread
+
 COLLECTED = "2026-01-01T00:00:00+00:00"
 
 
@@ -12,9 +14,14 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def customers(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Customers, over many tasks: what the queries make of a customer costs far more than reading it."""
+    return spread(table(spark, sf_dir, "customer"), "c_custkey")
+
+
 def raw_stores(spark: SparkSession, sf_dir: str) -> DataFrame:
     """One store a customer, with untidy text; key c_custkey."""
-    c, n, r = (table(spark, sf_dir, t) for t in ("customer", "nation", "region"))
+    c, n, r = customers(spark, sf_dir), table(spark, sf_dir, "nation"), table(spark, sf_dir, "region")
     k = F.col("c_custkey")
     j = c.join(n, F.col("c_nationkey") == F.col("n_nationkey")).join(r, F.col("n_regionkey") == F.col("r_regionkey"))
     url = F.when(k % 3 == 0, "https://shops.example.com/list").when(k % 3 == 1, F.concat(F.lit("https://shops.example.com/store/"), k)).otherwise(F.concat(F.lit("https://www.monetka.ru/ural/shops_map/"), F.lower("n_name"), F.lit("/"), k, F.lit("/")))

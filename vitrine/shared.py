@@ -28,6 +28,20 @@ def cut(df: DataFrame) -> DataFrame:
     return out
 
 
+#: Rows that a task gets where a step costs far more than its rows weigh, and those below which a further task isn't worth it.
+MOST_ROWS, LEAST_ROWS = 50_000, 1_000
+
+
+def spread(df: DataFrame, *keys: str) -> DataFrame:
+    """The rows dealt out by keys that few of them share, to as many tasks as there is work for; for input files (their rows are counted first).
+
+    Files are split by bytes, so millions of short rows can be one task's. This many tasks fill the cluster, and none has much over MOST_ROWS.
+    """
+    rows = df.count()
+    tasks = max(min(2 * df.sparkSession.sparkContext.defaultParallelism, rows // LEAST_ROWS), -(-rows // MOST_ROWS))
+    return df.repartition(tasks, *keys) if tasks > 1 else df
+
+
 class Watch:
     """Aggregates of the rows that pass a place of a plan, taken by the job that runs the plan: no job of their own.
 
