@@ -34,12 +34,16 @@ def diff(previous: DataFrame, current: DataFrame, detected_at: str, *, initial:
 
 
 def diff_sides(rows: DataFrame, detected_at: str) -> DataFrame:
-    """As diff, of one table of rows with side p (previous) or c (current): one grouping by stable_key picks the best row of
-    each side and brings them together, so there is one shuffle, combined before it, and no join."""
+    """As diff, of one table of rows with side p (previous) or c (current)."""
+    return describe(best_sides(rows), detected_at)
+
+
+def best_sides(rows: DataFrame) -> DataFrame:
+    """(stable_key, p, c) of rows with side p or c: one grouping by stable_key picks the best row of each side and
+    brings them together, so there is one shuffle, combined before it, and no join."""
     order = F.struct(*[c.alias(f"o{i}") for i, c in enumerate([*preference(), F.col("collected_at")])])
     best = lambda n: F.max_by(F.when(F.col("side") == n, F.col("row")), F.when(F.col("side") == n, F.col("order"))).alias(n)
-    both = rows.select("stable_key", "side", sided().alias("row"), order.alias("order")).groupBy("stable_key").agg(best("p"), best("c"))
-    return describe(both, detected_at)
+    return rows.select("stable_key", "side", sided().alias("row"), order.alias("order")).groupBy("stable_key").agg(best("p"), best("c"))
 
 
 def sided() -> Column:

@@ -10,7 +10,7 @@ from ..functions import identity, links, places, text, worktime
 from ..functions.identity import canonical, stable_key
 from ..operators import dedup, diff, enrich, report
 from ..schemas import ORDER_FIELDS, STORE_COLUMNS, TRACKED_FIELDS
-from ..shared import cut, shared_folder
+from ..shared import drop, put, shared_folder
 from ..sources import html, snapshot
 from .views import CANONICAL, KEYED, customers, raw_stores, sql_compare_url, sql_number, sql_text, sql_token, table
 
@@ -267,11 +267,13 @@ def diff_snapshots(spark, d):
 
 @query(f"with {_DIFF} select * from changes")
 def diff_versions(spark, d):
-    """As diff_all, of two stored versions in the shared folder, from the digests of their slices down."""
-    path = f"{shared_folder(spark)}/vitrine-versions-{uuid.uuid4().hex}"
-    previous, current = (dedup.keep_best(x.select(*STORE_COLUMNS, "stable_key")) for x in _two(spark, d))
-    first = snapshot.write(cut(previous), path, DETECTED)
-    return _shown(snapshot.diff_stored(spark, first, snapshot.write(cut(current), path, DETECTED, like=first), DETECTED))
+    """As diff_all, of two stored versions in the shared folder, from the digests of their slices down. Stores are made canonical and keyed once for both."""
+    path, both = f"{shared_folder(spark)}/vitrine-versions-{uuid.uuid4().hex}", put(diff.best_sides(_sides(spark, d)))
+    previous, current = (spark.read.parquet(both).where(F.col(n).isNotNull()).select(f"{n}.*", "stable_key") for n in "pc")
+    first = snapshot.write(previous, path, DETECTED)
+    second = snapshot.write(current, path, DETECTED, like=first)
+    drop(spark, both)
+    return _shown(snapshot.diff_stored(spark, first, second, DETECTED))
 
 
 @query(f"with {_DIFF} select * from changes where change_type = 'added'")

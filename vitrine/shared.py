@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import tempfile
 import threading
+import uuid
 
 from pyspark.sql import Column, DataFrame, Observation, SparkSession
 
@@ -28,6 +29,19 @@ def cut(df: DataFrame) -> DataFrame:
     return out
 
 
+def put(df: DataFrame, *by: str) -> str:
+    """The path of a Parquet table in the shared folder with the rows, in folders by columns. Unlike cut() nothing is cached first, and readers leave out columns."""
+    path = f"{shared_folder(df.sparkSession)}/vitrine-put-{uuid.uuid4().hex}"
+    df.write.partitionBy(*by).parquet(path)
+    return path
+
+
+def drop(spark: SparkSession, path: str) -> None:
+    """Delete what put() wrote, once nothing that is still to run reads it."""
+    p = spark._jvm.org.apache.hadoop.fs.Path(path)
+    p.getFileSystem(spark._jsparkSession.sessionState().newHadoopConf()).delete(p, True)
+
+
 #: Rows that a task gets where a step costs far more than its rows weigh, and those below which a further task isn't worth it.
 MOST_ROWS, LEAST_ROWS = 50_000, 1_000
 

@@ -27,7 +27,7 @@ from ..operators.diff import describe, sided
 from ..schemas import CHANGE_SCHEMA, SNAPSHOT_SCHEMA, STORE_COLUMNS, TRACKED_FIELDS
 
 SCHEMA_VERSION, KEEP = 1, 3
-SLICES, SMALL, BUCKET_ROWS, MAX_BUCKETS = 32, 10_000, 250_000, 512
+SLICES, SMALL, BUCKET_ROWS, MAX_BUCKETS = 32, 10_000, 100_000, 512
 STORED = f"{SNAPSHOT_SCHEMA}, schema_version int, saved_at string"
 
 
