@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Callable
 from dataclasses import dataclass
+from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import Window as W
@@ -12,7 +13,7 @@ from pyspark.sql import functions as F
 from ..functions.places import sanitize_location
 from ..operators.dedup import keep_first
 from ..operators.enrich import with_detail
-from ..shared import Watch, cut
+from ..shared import Watch, cut, put
 from . import html as H
 from .fetched import issues
 
@@ -33,37 +34,36 @@ class Site:
     outcomes: Watch
 
 
-QUEUES = """
-WITH RECURSIVE walk(start, queue, taken) AS (
-  SELECT start, array(start), 0 FROM {starts}
-  UNION ALL
-  SELECT w.start, slice(concat(w.queue, array_except(coalesce(l.links, cast(array() AS array<string>)), w.queue)), 1, {most}), w.taken + 1
-  FROM walk w LEFT JOIN {links} l ON l.url = get(w.queue, w.taken)
-  WHERE w.taken < size(w.queue))
-SELECT start, max_by(queue, taken) AS queue FROM walk GROUP BY start
-"""
-
-
 def queues(starts: DataFrame, links: DataFrame, most: int) -> DataFrame:
     """S15. (start, queue): the pages that are reached from each start (start), in a queue's order, the start first, at most `most` of them.
 
-    links: (url, links array), a row a page. One recursive query with a row a start: each step takes the next page of every queue and appends its
-    links that the queue doesn't hold yet; a page without links takes its place all the same. The steps end with the last queue, after `most` at the latest.
+    links: (url, links array), a row a page. A round takes all pages of a queue that weren't taken yet: their links that the queue doesn't hold are
+    appended by place of page, then of link, which is the order of taking them one by one. A queue leaves the rounds when it is full or nothing was appended; each
+    round of a queue that stays appends a page at least, so there are `most` rounds at the most, and some five where pages have two new links each.
     """
-    spark, limit = starts.sparkSession, "spark.sql.cteRecursionRowLimit"
-    before = spark.conf.get(limit)
-    spark.conf.set(limit, "-1")  # rows are bounded by starts times `most`
-    try:
-        return cut(spark.sql(QUEUES, starts=starts.select("start").where("start is not null").distinct(), links=links.select("url", "links"), most=most))
-    finally:
-        spark.conf.set(limit, before)
+    spark = starts.sparkSession
+    known = spark.read.schema(links.select("url", "links").schema).parquet(put(links.select("url", "links").where("url is not null and links is not null")))
+    live = starts.select("start").where("start is not null").distinct().select("start", F.array("start").alias("queue"), F.lit(0).alias("taken"))
+    found, rounds = F.flatten(F.transform(F.array_sort("found"), lambda x: x["links"])), []
+    while True:
+        pending = live.select("start", "taken", F.posexplode("queue").alias("pos", "url")).where("pos >= taken").select("start", "pos", "url")
+        held = live.select("start", "queue", F.lit(None).cast(f"struct<pos int, links {known.schema['links'].dataType.simpleString()}>").alias("at"))
+        here = pending.join(known, "url").select("start", F.lit(None).cast(live.schema["queue"].dataType).alias("queue"), F.struct("pos", "links").alias("at"))
+        both = held.union(here).groupBy("start").agg(F.any_value("queue", True).alias("had"), F.collect_list("at").alias("found"))
+        after = both.select("start", F.slice(F.array_union("had", found), 1, most).alias("queue"), F.size("had").alias("taken"))
+        after = after.withColumn("live", (F.size("queue") > F.col("taken")) & (F.size("queue") < most))
+        path = put(after, "live")
+        rounds.append(spark.read.schema(after.schema).parquet(path))
+        if rounds[-1].where("live").isEmpty():
+            return reduce(DataFrame.union, [r.where("not live").select("start", "queue") for r in rounds])
+        live = spark.read.schema(live.schema).parquet(f"{path}/live=true")  # its own size tells Spark when few queues are left
 
 
 def crawl(spark: SparkSession, get: Callable[[DataFrame, str | None], DataFrame] | None, seed: str, site: str, *, most_pages: int = PAGES_PER_CITY, table: DataFrame | None = None) -> Site:
     """S13-S16, H1-H14, X3-X5, D7, G4, P10.
 
     get: urls (url) and a referer to (url, final_url, status, body), live, level by level. table: fetched pages instead; they are parsed once, and
-    the cities' pagination is one recursive query over their links. The seed or a region that
+    the cities' pagination is rounds of joins over their links. The seed or a region that
     can't be read, and a seed without regions, fail as a whole (E5).
     """
     failed: list[DataFrame] = []
