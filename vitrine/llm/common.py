@@ -86,6 +86,31 @@ def discard(*tables: DataFrame) -> None:
         path.getFileSystem(df.sparkSession._jsparkSession.sessionState().newHadoopConf()).delete(path, True)
 
 
+#: Bits of possible()'s table: so many a key, and at most so many (8 MB).
+KEY_BITS, MAX_BITS = 16, 1 << 26
+
+
+def possible(df: DataFrame, key: str, few: DataFrame) -> DataFrame:
+    """df with a column __maybe: true for all rows whose key is in few, and for a few others; false is certain.
+
+    So an exact join need not move the rest. Keys of few (a table, cheap to read) set a bit each, by hash, in rows of 64 longs that are broadcast. With more
+    than MAX_BITS / KEY_BITS keys more other rows are true, and the table stays as large as it is.
+    """
+    bits = max(4096, min(MAX_BITS, few.count() * KEY_BITS))
+    place = F.pmod(F.xxhash64(F.col(key), F.lit(5)), F.lit(bits).cast("long"))
+    row, word, bit = F.shiftright("__h", 12), F.shiftright("__h", 6).bitwiseAND(F.lit(63)).cast("int"), F.col("__h").bitwiseAND(F.lit(63)).cast("int")
+    words = few.select(place.alias("__h")).groupBy(row.alias("__at"), word.alias("w")).agg(F.bit_or(F.expr("shiftleft(1L, cast(__h & 63 as int))")).alias("b"))
+    rows = words.groupBy("__at").agg(F.map_from_entries(F.collect_list(F.struct("w", "b"))).alias("m"))
+    rows = rows.select("__at", F.transform(F.sequence(F.lit(0), F.lit(63)), lambda i: F.coalesce(F.try_element_at("m", i), F.lit(0).cast("long"))).alias("__words"))
+    held = df.withColumn("__h", place).withColumn("__at", row).join(F.broadcast(rows), "__at", "left")
+    return held.withColumn("__maybe", F.coalesce(F.bit_get(F.get("__words", word), bit) == 1, F.lit(False))).select(*[F.col(f"`{c}`") for c in df.columns], "__maybe")
+
+
+def likely(df: DataFrame, key: str, few: DataFrame) -> DataFrame:
+    """The rows of df whose key may be in few, as possible() finds them."""
+    return possible(df, key, few).where("__maybe").drop("__maybe")
+
+
 #: Keys that hold more than one in so many rows are split in a join: at most so many keys, and twice as many parts.
 HOT_SHARE = 10_000
 

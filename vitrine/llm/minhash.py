@@ -14,7 +14,8 @@
 5. The components of those roots are the result.
 
 Scale: rows grow with documents and bands, not with the square of a group; buckets are counted with map-side combining, and
-joins split hot bands, sets and components. Ids of components and links are never collected. A cluster of G different
+joins split hot bands, sets and components. Texts and bands that can't be in a join are
+left out before it by a bit table of its keys (common.possible), so what is shuffled goes with what is alike, not with all texts. Ids of components and links are never collected. A cluster of G different
 texts that are all alike costs (G / block)^2 / 2 tasks, the price of losing no link among them.
 """
 
@@ -30,7 +31,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from .common import arrow_map, components, discard, give_back, join_split, materialize, table, text_or_empty
+from .common import arrow_map, components, discard, give_back, join_split, likely, materialize, possible, table, text_or_empty
 
 BANDS, ROWS, BATCH, EPSILON = 45, 6, 54, 1e-7
 BLOCK_DOCS, BLOCK_SHINGLES = 4096, 3_000_000
@@ -234,7 +235,7 @@ def _clusters(sets: DataFrame, percent: int) -> DataFrame:
     sig = sets.select("node", "sig")
     banded = sets.select("node", F.explode("bands").alias("band"))
     buckets = materialize(banded.groupBy("band").agg(F.min("node").alias("least"), F.count("*").alias("n")).where("n > 1"), "buckets")
-    met = join_split(banded, buckets, "band", "inner", counts=buckets.select("band", "n"), spread="node").where("node <> least")
+    met = join_split(likely(banded, "band", buckets), buckets, "band", "inner", counts=buckets.select("band", "n"), spread="node").where("node <> least")
     met = met.groupBy(F.col("least").alias("a"), F.col("node").alias("b")).agg(F.max("n").alias("n"))
     pairs = met.join(sig.select(F.col("node").alias("a"), F.col("sig").alias("sa")), "a").join(sig.select(F.col("node").alias("b"), F.col("sig").alias("sb")), "b")
     judged = materialize(arrow_map(pairs.select("a", "b", "n", "sa", "sb"), _judge(percent / 100), "a binary, b binary, n long, good boolean"), "judged")
@@ -248,10 +249,11 @@ def _clusters(sets: DataFrame, percent: int) -> DataFrame:
     if bad.isEmpty():
         discard(*used)
         return cores.withColumnRenamed("core", "cluster")
-    outside = banded.join(bad.select(F.col("b").alias("node")).distinct(), "node", "left_semi").join(buckets.where("n > 2"), "band")
+    pruned = bad.select(F.col("b").alias("node")).distinct()
+    outside = likely(sets.select("node", "bands"), "node", pruned).join(pruned, "node", "left_semi").select("node", F.explode("bands").alias("band")).join(buckets.where("n > 2"), "band")
     outside = outside.join(bad.select(F.col("a").alias("least"), F.col("b").alias("node")), ["least", "node"], "left_semi")
     mixed = materialize(outside.groupBy("band").agg(F.any_value("least").alias("least"), F.any_value("n").alias("n"), F.count("*").alias("others")), "mixed")
-    members = join_split(banded, mixed, "band", "inner", counts=mixed.select("band", "n"), spread="node")
+    members = join_split(likely(banded, "band", mixed), mixed, "band", "inner", counts=mixed.select("band", "n"), spread="node")
     members = members.join(cores, "node", "left").withColumn("core", F.coalesce("core", "node"))
     members = members.join(core("least", "__c"), "least", "left").withColumn("out", F.col("core") != F.coalesce("__c", "least")).drop("__c")
     members = members.join(sets.select("node", "sig", "n_shingles"), "node")
@@ -326,7 +328,7 @@ def _verify(docs: DataFrame, sets: DataFrame, clusters: DataFrame, words: int, p
     # sets of rows without an id only are found by their own name
     nameless = _named(docs.where("doc_id is null"), words).where("__node is not null").groupBy(F.col("__node").alias("node")).agg(F.min("text").alias("text"))
     columns = ("cluster", "blocks", "block", "node", "sig", "text")
-    texts = placed.join(docs, "doc_id").select(*columns).union(placed.where("doc_id is null").join(nameless, "node").select(*columns))
+    texts = placed.join(likely(docs, "doc_id", member.select("doc_id")), "doc_id").select(*columns).union(placed.where("doc_id is null").join(nameless, "node").select(*columns))
     sent = texts.withColumn("p", F.explode(tasks)).select("cluster", "p.i", "p.j", "block", "node", "sig", "text")
 
     def link(keys: tuple, t: pa.Table) -> pa.Table:
@@ -359,7 +361,10 @@ def keep_one(docs: DataFrame) -> DataFrame:
     found = materialize(_found(docs, 5, 80).select("doc_id", "node", "root", "kept"), "found")
     packed = docs.select(F.struct("*").alias("__row"), F.col("doc_id").cast("long").alias("doc_id"), "text")
     again = found.where("doc_id is not null").groupBy("doc_id").count().where("count > 1").select("doc_id")
-    once = packed.join(found.where("kept").join(again, "doc_id", "left_anti").select("doc_id"), "doc_id", "left_semi").select("__row.*")
+    # most ids are in no group: only texts of ids that may go are moved to be held against those that do
+    gone = materialize(found.where("doc_id is not null and not kept").select("doc_id").union(again).distinct(), "gone")
+    told = possible(packed.where("doc_id is not null"), "doc_id", gone)
+    once = told.where("not __maybe").select("__row.*").union(told.where("__maybe").join(gone, "doc_id", "left_anti").select("__row.*"))
     if again.isEmpty() and found.where("doc_id is null").isEmpty():
         return once
     # ids that repeat, and rows without one, are decided by id and set
